@@ -154,7 +154,8 @@ def flag_outliers(df: DataFrame, columns: dict[str, str], multiplier: float = IQ
 
 
 def features(bars: DataFrame, grain: str = "1d", fill: bool = True,
-             outliers: bool = True, exact_quantiles: bool = True) -> DataFrame:
+             outliers: bool = True, exact_quantiles: bool = True,
+             keep_index: bool = False) -> DataFrame:
     """BAR -> FEATURE for every symbol at once (one grain per call).
 
     Plan: index (one shuffle by symbol x time bucket) -> halo blocks (one
@@ -178,4 +179,6 @@ def features(bars: DataFrame, grain: str = "1d", fill: bool = True,
                            for c, name in flags.items()})
     if "volume_outlier" not in flags.values():
         out = out.withColumn("volume_outlier", F.lit(False))
+    if keep_index:
+        return out.select(*FEATURE_COLUMNS, F.col("_idx").alias("seq"), F.col("_len").alias("n_bars"))
     return out.select(*FEATURE_COLUMNS)
