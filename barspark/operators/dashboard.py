@@ -140,3 +140,8 @@ def top_performers(fact: DataFrame) -> DataFrame:
             .withColumn("performance_rank", F.rank().over(Window.orderBy(F.col("total_return").desc())))
             .select("symbol", round_half("first_close").alias("first_close"),
                     round_half("last_close").alias("last_close"), "total_return", "performance_rank"))
+
+
+def profiles(dim: DataFrame, fact: DataFrame) -> DataFrame:
+    """Dimension rows of the symbols that have facts (left-semi join)."""
+    return dim.join(fact.select("symbol"), "symbol", "left_semi")

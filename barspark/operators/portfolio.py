@@ -88,5 +88,10 @@ def portfolio_growth(rets: DataFrame) -> DataFrame:
     per portfolio is bounded by the number of common dates."""
     daily = rets.groupBy("portfolio_id", "date").agg(F.sum(F.col("weight") * F.col("ret")).alias("_pr"))
     w = Window.partitionBy("portfolio_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    return daily.select("portfolio_id", "date", round_half("_pr", 6).alias("portfolio_return"),
-                        round_half(F.exp(F.sum(F.ln(1 + F.col("_pr"))).over(w)), 6).alias("growth"))
+    lg = F.sum(F.ln(1 + F.col("_pr"))).over(w)
+    # growth spans many orders of magnitude: the log is reported to fixed
+    # decimals, the level in scientific notation (7 significant digits)
+    return (daily.withColumn("_lg", lg)
+            .select("portfolio_id", "date", round_half("_pr", 6).alias("portfolio_return"),
+                    round_half("_lg", 6).alias("log_growth"),
+                    F.format_string("%.6e", F.exp(round_half("_lg", 9))).alias("growth")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barspark.functions.scalar import round_half
 from barspark.operators import clean, dashboard, eda, forecast, portfolio, reports
 from barspark.plans import pipeline as P
-from barspark.plans.oracle import DIM, R, with_bars, with_features
+from barspark.plans.oracle import DIM, R, feature_ctes, with_bars, with_features
 from barspark.schemas import FEATURE_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,3 +211,438 @@ SELECT trading_year, date, symbol, volume, {R('close', 2)} AS closing_price, vol
   FROM feat_1d) WHERE volume_rank <= 5"""))
 def q_top_volume_days(spark, sf):
     return reports.top_volume_days(_fact(spark, sf)).withColumn("volume_rank", F.col("volume_rank").cast("long"))
+
+
+# ------------------------------------------------------------------ exploratory statistics
+
+_FILLED = """cal AS (SELECT s.symbol, d.date FROM (SELECT DISTINCT symbol FROM feat_1d) s
+                 CROSS JOIN (SELECT DISTINCT date FROM feat_1d) d),
+filled AS (SELECT symbol, date, coalesce(
+    last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    first_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS close
+  FROM cal LEFT JOIN feat_1d USING (symbol, date))"""
+
+
+def _with_filled(select: str) -> str:
+    return with_features(f", {_FILLED}\n{select}".lstrip(", "), "1d").replace(
+        "\n, cal AS", ",\ncal AS")
+
+
+def _feat_plus(extra_ctes: str, select: str, dim: bool = False) -> str:
+    base = with_features("", "1d", dim=dim).rstrip()
+    return f"{base},\n{extra_ctes}\n{select}"
+
+
+@register("close_pivot", with_features(
+    f"PIVOT (SELECT date, symbol, {R('close')} AS c FROM feat_1d) ON symbol USING max(c) GROUP BY date"))
+def q_close_pivot(spark, sf):
+    return eda.close_pivot(_fact(spark, sf))
+
+
+@register("calendar_fill", _feat_plus(_FILLED, f"SELECT symbol, date, {R('close')} AS close FROM filled"))
+def q_calendar_fill(spark, sf):
+    return eda.calendar_fill(_fact(spark, sf)).select("symbol", "date", round_half("close").alias("close"))
+
+
+@register("rebased_growth", _feat_plus(_FILLED, f"""
+SELECT symbol, date, {R("close / nullif(first_value(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) * 100")} AS rebased_close
+FROM filled"""))
+def q_rebased_growth(spark, sf):
+    return eda.rebased_growth(_fact(spark, sf))
+
+
+@register("price_corr", _feat_plus(_FILLED, f"""
+SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {R('corr(a.close, b.close)')} AS corr
+FROM filled a JOIN filled b ON a.date = b.date GROUP BY a.symbol, b.symbol"""))
+def q_price_corr(spark, sf):
+    return eda.price_corr(_fact(spark, sf))
+
+
+@register("clipped_returns", with_features(
+    f"SELECT symbol, date, {R('daily_return', 6)} AS daily_return FROM feat_1d WHERE daily_return > -0.1 AND daily_return < 0.1"))
+def q_clipped_returns(spark, sf):
+    return eda.clipped_returns(_fact(spark, sf))
+
+
+@register("return_box", _feat_plus("""r AS (SELECT symbol, daily_return AS x FROM feat_1d WHERE daily_return > -0.1 AND daily_return < 0.1),
+q AS (SELECT symbol, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+             quantile_cont(x, 0.75) AS q3 FROM r GROUP BY symbol),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)""", f"""
+SELECT f.symbol, f.n, {R('f.q1', 6)} AS q1, {R('f.median', 6)} AS median, {R('f.q3', 6)} AS q3,
+       {R('min(CASE WHEN r.x >= f.lo AND r.x <= f.hi THEN r.x END)', 6)} AS whisker_low,
+       {R('max(CASE WHEN r.x >= f.lo AND r.x <= f.hi THEN r.x END)', 6)} AS whisker_high,
+       count_if(NOT (r.x >= f.lo AND r.x <= f.hi)) AS outliers
+FROM r JOIN f USING (symbol) GROUP BY f.symbol, f.n, f.q1, f.median, f.q3"""))
+def q_return_box(spark, sf):
+    return eda.return_box(_fact(spark, sf))
+
+
+@register("avg_volume_millions", with_features(
+    f"SELECT symbol, {R('avg(volume) / 1e6', 6)} AS volume_millions FROM feat_1d GROUP BY symbol"))
+def q_avg_volume_millions(spark, sf):
+    return eda.avg_volume_millions(_fact(spark, sf))
+
+
+_SQRT_2PI = repr(__import__("math").sqrt(2 * __import__("math").pi))
+
+
+@register("return_kde", _feat_plus(f"""grid AS (SELECT round(-0.08::DOUBLE + i * 0.001::DOUBLE, 6) AS x FROM range(161) t(i)),
+bw AS (SELECT symbol, count(daily_return) AS n, stddev_samp(daily_return) * pow(count(daily_return)::DOUBLE, -0.2) AS h
+       FROM feat_1d GROUP BY symbol)""", f"""
+SELECT f.symbol, g.x, {R(f'sum(exp(-0.5 * ((g.x - f.daily_return) / bw.h) * ((g.x - f.daily_return) / bw.h))) / nullif(bw.n * bw.h * {_SQRT_2PI}::DOUBLE, 0)', 6)} AS density
+FROM feat_1d f JOIN bw USING (symbol) CROSS JOIN grid g
+WHERE f.daily_return IS NOT NULL GROUP BY f.symbol, g.x, bw.n, bw.h"""))
+def q_return_kde(spark, sf):
+    return eda.return_kde(_fact(spark, sf))
+
+
+# ------------------------------------------------------------------ dashboard
+
+_LAST = "seq = n_bars - 1"
+
+
+@register("latest_kpis", with_features(f"""
+SELECT symbol, max(CASE WHEN {_LAST} THEN date END) AS date,
+       {R(f'max(CASE WHEN {_LAST} THEN close END)')} AS close,
+       {R(f'max(CASE WHEN NOT ({_LAST}) THEN close END)')} AS prev_close,
+       {R(f'max(CASE WHEN {_LAST} THEN close END) - max(CASE WHEN NOT ({_LAST}) THEN close END)')} AS price_diff,
+       {R(f'max(CASE WHEN {_LAST} THEN pct_change END)')} AS pct_change,
+       max(CASE WHEN {_LAST} THEN volume END) AS volume
+FROM feat_1d WHERE seq >= n_bars - 2 GROUP BY symbol"""))
+def q_latest_kpis(spark, sf):
+    return dashboard.latest_kpis(_fact(spark, sf))
+
+
+@register("high_low_52w", with_features(
+    f"SELECT symbol, {R('max(high)')} AS high_52w, {R('min(low)')} AS low_52w FROM feat_1d WHERE seq >= n_bars - 252 GROUP BY symbol"))
+def q_high_low_52w(spark, sf):
+    return dashboard.high_low_52w(_fact(spark, sf))
+
+
+@register("volume_state", with_features(
+    f"SELECT symbol, date, volume_outlier, CASE WHEN volume_outlier THEN 'ANOMALOUS' ELSE 'NORMAL' END AS volume_state "
+    f"FROM feat_1d WHERE {_LAST}"))
+def q_volume_state(spark, sf):
+    return dashboard.volume_state(_fact(spark, sf))
+
+
+@register("range_filter", with_features(
+    f"SELECT symbol, date, {R('close')} AS close FROM feat_1d WHERE seq >= greatest(n_bars - 365, 0)"))
+def q_range_filter(spark, sf):
+    return dashboard.range_filter(_fact(spark, sf)).select("symbol", "date", round_half("close").alias("close"))
+
+
+@register("rsi_regime", with_features(f"""
+SELECT symbol, date, {R('rsi_14')} AS rsi_14,
+       CASE WHEN rsi_14 >= 70 THEN 'OVERBOUGHT (SELL ALERT)' WHEN rsi_14 <= 30 THEN 'OVERSOLD (BUY OPPORTUNITY)' ELSE 'NEUTRAL' END AS rsi_signal,
+       CASE WHEN rsi_14 >= 70 THEN 'OVERBOUGHT' WHEN rsi_14 <= 30 THEN 'OVERSOLD' ELSE 'BALANCED' END AS rsi_regime
+FROM feat_1d WHERE {_LAST}"""))
+def q_rsi_regime(spark, sf):
+    return dashboard.rsi_regime(_fact(spark, sf))
+
+
+@register("sma_state", with_features(f"""
+SELECT symbol, date, {R('close')} AS close, {R('sma_20')} AS sma_20,
+       CASE WHEN coalesce(close > sma_20, false) THEN 'BULLISH' ELSE 'BEARISH' END AS sma_state
+FROM feat_1d WHERE {_LAST}"""))
+def q_sma_state(spark, sf):
+    return dashboard.sma_state(_fact(spark, sf))
+
+
+@register("candle_flags", with_features(
+    "SELECT symbol, date, close > open AS rising_candle, macd_hist > 0 AS macd_hist_positive FROM feat_1d"))
+def q_candle_flags(spark, sf):
+    return dashboard.candle_flags(_fact(spark, sf))
+
+
+@register("price_label", with_features(f"""
+SELECT symbol,
+       (CASE WHEN contains(symbol, 'NS') THEN '₹' ELSE '$' END) || printf('%.2f', {R('c', 2)}) AS price_text,
+       printf('%+.2f', {R('c - p', 2)}) || ' (' || printf('%+.2f', {R('pc', 2)}) || '%)' AS delta_text,
+       format('{{:,}}', v) || ' shares' AS volume_text
+FROM (SELECT symbol, max(CASE WHEN {_LAST} THEN close END) AS c, max(CASE WHEN NOT ({_LAST}) THEN close END) AS p,
+             max(CASE WHEN {_LAST} THEN pct_change END) AS pc, max(CASE WHEN {_LAST} THEN volume END) AS v
+      FROM feat_1d WHERE seq >= n_bars - 2 GROUP BY symbol)"""))
+def q_price_label(spark, sf):
+    return dashboard.price_label(_fact(spark, sf))
+
+
+@register("chart_series", with_features(
+    "SELECT symbol, date, volume, " + ", ".join(f"{R(c)} AS {c}" for c in dashboard.CHART_COLUMNS if c != "volume")
+    + " FROM feat_1d WHERE seq >= greatest(n_bars - 365, 0)"))
+def q_chart_series(spark, sf):
+    return dashboard.chart_series(_fact(spark, sf))
+
+
+@register("company_profile", with_features(
+    "SELECT * FROM dim WHERE symbol IN (SELECT symbol FROM feat_1d)", dim=True))
+def q_company_profile(spark, sf):
+    return dashboard.profiles(P.dim(spark, sf), _fact(spark, sf))
+
+
+@register("volume_spike", with_features(f"""
+SELECT symbol, date, volume, {R('volume_rolling_mean_20')} AS volume_rolling_mean_20,
+       {R('volume / volume_rolling_mean_20')} AS spike_ratio
+FROM feat_1d WHERE volume > 2.0::DOUBLE * volume_rolling_mean_20"""))
+def q_volume_spike(spark, sf):
+    return dashboard.volume_spike(_fact(spark, sf))
+
+
+@register("top_performers", with_features(f"""
+SELECT symbol, {R('f')} AS first_close, {R('l')} AS last_close, {R('l / nullif(f, 0) - 1')} AS total_return,
+       rank() OVER (ORDER BY {R('l / nullif(f, 0) - 1')} DESC) AS performance_rank
+FROM (SELECT symbol, max(CASE WHEN seq = 0 THEN close END) AS f, max(CASE WHEN {_LAST} THEN close END) AS l
+      FROM feat_1d WHERE seq = 0 OR {_LAST} GROUP BY symbol)"""))
+def q_top_performers(spark, sf):
+    return dashboard.top_performers(_fact(spark, sf)).withColumn("performance_rank", F.col("performance_rank").cast("long"))
+
+
+# ------------------------------------------------------------------ portfolio
+
+_WEIGHTS = """w AS (SELECT r_name AS portfolio_id, n_name AS symbol,
+    CAST(floor(100 / k) + CASE WHEN rn <= 100 - floor(100 / k) * k THEN 1 ELSE 0 END AS INTEGER) AS weight_pct
+  FROM (SELECT r_name, n_name, row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) AS rn,
+               count(*) OVER (PARTITION BY r_name) AS k
+        FROM nation JOIN region ON n_regionkey = r_regionkey)),
+px AS (SELECT w.portfolio_id, f.symbol, f.date, f.close, w.weight_pct FROM feat_1d f JOIN w USING (symbol)),
+common AS (SELECT portfolio_id, date FROM px GROUP BY portfolio_id, date
+           HAVING count(*) = (SELECT count(*) FROM w w2 WHERE w2.portfolio_id = px.portfolio_id)),
+rets AS (SELECT portfolio_id, symbol, date, weight_pct / 100.0::DOUBLE AS weight, ret FROM (
+           SELECT px.*, close / nullif(lag(close) OVER (PARTITION BY portfolio_id, symbol ORDER BY date), 0) - 1 AS ret
+           FROM px JOIN common USING (portfolio_id, date)) WHERE ret IS NOT NULL)"""
+
+
+def _weights(spark, sf):
+    return portfolio.region_portfolios(spark, sf)
+
+
+def _rets(spark, sf):
+    return portfolio.aligned_returns(_fact(spark, sf), _weights(spark, sf))
+
+
+@register("portfolio_aligned_returns", _feat_plus(_WEIGHTS, f"SELECT portfolio_id, symbol, date, weight, {R('ret', 6)} AS ret FROM rets"))
+def q_portfolio_aligned_returns(spark, sf):
+    return _rets(spark, sf).withColumn("ret", round_half("ret", 6))
+
+
+@register("portfolio_cov", _feat_plus(_WEIGHTS, f"""
+SELECT a.portfolio_id, a.symbol AS symbol_a, b.symbol AS symbol_b, {R('covar_samp(a.ret, b.ret) * 252', 6)} AS annual_cov
+FROM rets a JOIN rets b ON a.portfolio_id = b.portfolio_id AND a.date = b.date
+GROUP BY a.portfolio_id, a.symbol, b.symbol"""))
+def q_portfolio_cov(spark, sf):
+    return portfolio.portfolio_cov(_rets(spark, sf))
+
+
+@register("portfolio_risk", _feat_plus(_WEIGHTS + """,
+er AS (SELECT portfolio_id, sum(weight * m) * 252 AS er FROM
+       (SELECT portfolio_id, symbol, weight, avg(ret) AS m FROM rets GROUP BY ALL) GROUP BY portfolio_id),
+pv AS (SELECT portfolio_id, stddev_samp(pr) * sqrt(252) AS v FROM
+       (SELECT portfolio_id, date, sum(weight * ret) AS pr FROM rets GROUP BY ALL) GROUP BY portfolio_id)""", f"""
+SELECT portfolio_id, {R('er', 6)} AS expected_annual_return, {R('v', 6)} AS annual_volatility,
+       {R('(er - 0.04::DOUBLE) / nullif(v, 0)', 6)} AS sharpe_ratio,
+       CASE WHEN (er - 0.04::DOUBLE) / nullif(v, 0) > 1 THEN 'Premium Returns' ELSE 'Moderate Returns' END AS sharpe_label
+FROM er JOIN pv USING (portfolio_id)"""))
+def q_portfolio_risk(spark, sf):
+    return portfolio.portfolio_risk(_rets(spark, sf))
+
+
+@register("portfolio_validation", _feat_plus(_WEIGHTS, """
+SELECT portfolio_id, sum(weight_pct) AS total_weight_pct, count(*) AS n_assets, sum(weight_pct) = 100 AS is_valid
+FROM w GROUP BY portfolio_id"""))
+def q_portfolio_validation(spark, sf):
+    return portfolio.validate_weights(_weights(spark, sf))
+
+
+@register("portfolio_growth", _feat_plus(_WEIGHTS + """,
+daily AS (SELECT portfolio_id, date, sum(weight * ret) AS pr FROM rets GROUP BY ALL)""", f"""
+SELECT portfolio_id, date, {R('pr', 6)} AS portfolio_return, {R('lg', 6)} AS log_growth,
+       printf('%.6e', exp({R('lg', 9)})) AS growth
+FROM (SELECT *, sum(ln(1 + pr)) OVER (PARTITION BY portfolio_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lg
+      FROM daily)"""))
+def q_portfolio_growth(spark, sf):
+    return portfolio.portfolio_growth(_rets(spark, sf))
+
+
+# ------------------------------------------------------------------ forecasting (features, split)
+
+_FEATS = forecast.feature_names("1d")
+_LAGGED = """lagged AS (SELECT *, """ + ", ".join(
+    f"lag(close, {n}) OVER ws AS close_lag_{n}, CAST(lag(volume, {n}) OVER ws AS DOUBLE) AS volume_lag_{n}, "
+    f"lag(daily_return, {n}) OVER ws AS return_lag_{n}" for n in forecast.LAGS
+) + """, lead(close, 1) OVER ws AS target_close FROM feat_1d WINDOW ws AS (PARTITION BY symbol ORDER BY seq)),
+train AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY seq) - 1 AS split_rank,
+                 count(*) OVER (PARTITION BY symbol) AS n_train_rows
+          FROM lagged WHERE """ + " AND ".join(f"{c} IS NOT NULL" for c in _FEATS + ["target_close"]) + ")"
+_LAG_COLS = [f"{p}_lag_{n}" for n in forecast.LAGS for p in ("close", "volume", "return")] + ["target_close"]
+
+
+@register("lag_features", _feat_plus(_LAGGED, f"SELECT symbol, date, {_sr(_LAG_COLS)} FROM lagged"))
+def q_lag_features(spark, sf):
+    lf = forecast.lag_features(_fact(spark, sf))
+    return _r(lf, _LAG_COLS).select("symbol", "date", *_LAG_COLS)
+
+
+@register("training_rows", _feat_plus(_LAGGED, """
+SELECT symbol, n_train_rows, n_train_rows >= 100 AS eligible,
+       CAST(floor(n_train_rows * 0.8::DOUBLE) AS BIGINT) AS n_train, n_train_rows - CAST(floor(n_train_rows * 0.8::DOUBLE) AS BIGINT) AS n_test
+FROM train GROUP BY symbol, n_train_rows"""))
+def q_training_rows(spark, sf):
+    t = forecast.training_rows(_fact(spark, sf))
+    return (t.groupBy("symbol", "n_train_rows", "eligible")
+            .agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test")))
+
+
+@register("latest_vector", _feat_plus(_LAGGED, f"SELECT symbol, date, {_sr(_FEATS)} FROM lagged WHERE seq = n_bars - 1"))
+def q_latest_vector(spark, sf):
+    lv = forecast.latest_vector(_fact(spark, sf))
+    return _r(lv, _FEATS).select("symbol", "date", *_FEATS)
+
+
+@register("chrono_split", _feat_plus(_LAGGED, """
+SELECT symbol, date, split_rank, split_rank >= floor(n_train_rows * 0.8::DOUBLE) AS is_test FROM train"""))
+def q_chrono_split(spark, sf):
+    return forecast.training_rows(_fact(spark, sf)).select("symbol", "date", "split_rank", "is_test")
+
+
+# ------------------------------------------------------------------ forecasting (models; rows-only)
+
+@register("forecast_metrics")
+def q_forecast_metrics(spark, sf):
+    return forecast.forecast_metrics(_fact(spark, sf))
+
+
+@register("best_model")
+def q_best_model(spark, sf):
+    return forecast.best_model(forecast.forecast_metrics(_fact(spark, sf)))
+
+
+@register("forecast_next")
+def q_forecast_next(spark, sf):
+    return forecast.forecast_next(_fact(spark, sf))
+
+
+@register("backtest")
+def q_backtest(spark, sf):
+    return forecast.backtest(_fact(spark, sf))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    return forecast.feature_importance(_fact(spark, sf))
+
+
+# ------------------------------------------------------------------ warehouse sinks
+
+_REPLACE_SQL = (with_features("", "1d").rstrip() + ",\n" + feature_ctes("1h") +
+                "\nSELECT grain, symbol, count(*) AS n_rows FROM (SELECT grain, symbol FROM feat_1d "
+                "UNION ALL SELECT grain, symbol FROM feat_1h) GROUP BY grain, symbol")
+
+
+@register("replace_by_symbol", _REPLACE_SQL)
+def q_replace_by_symbol(spark, sf):
+    """Load daily then intraday facts into one table, then re-load one symbol's daily
+    facts: both grains survive and the re-load leaves the counts unchanged."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.warehouse import write_facts
+    path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/fact-{uuid.uuid4().hex[:10]}"
+    d, h = _fact(spark, sf, "1d"), _fact(spark, sf, "1h")
+    write_facts(d, path)
+    write_facts(h, path)
+    first = d.select("symbol").orderBy("symbol").limit(1)
+    write_facts(d.join(first, "symbol", "left_semi"), path)
+    return spark.read.parquet(path).groupBy("grain", "symbol").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_VENDOR_NAMES = {"date": "Date", "symbol": "Ticker", "open": "Open", "high": "High", "low": "Low",
+                 "close": "Close", "volume": "Volume", "daily_return": "Daily_Return",
+                 "pct_change": "Pct_Change", "volatility": "Volatility_20d",
+                 "close_rolling_mean_20": "Close_Rolling_Mean_20", "sma_20": "SMA_20", "sma_50": "SMA_50",
+                 "ema_20": "EMA_20", "rsi_14": "RSI_14", "macd_line": "MACD_Line", "macd_signal": "MACD_Signal",
+                 "macd_hist": "MACD_Hist", "bb_upper": "BB_Upper", "bb_middle": "BB_Middle",
+                 "bb_lower": "BB_Lower", "bb_bandwidth": "BB_Bandwidth",
+                 "daily_return_outlier": "Daily_Return_Outlier", "volume_outlier": "Volume_Outlier"}
+_FACT_DBL = ["open", "high", "low", "close", "adj_close", "daily_return", "pct_change", "volatility_20d",
+             "sma_20", "sma_50", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist",
+             "bb_upper", "bb_middle", "bb_lower", "bb_bandwidth"]
+
+
+@register("column_map", with_features(
+    "SELECT CAST(date AS VARCHAR) AS date, symbol, volume, daily_return_outlier AS Daily_Return_Outlier, "
+    "volume_outlier AS Volume_Outlier, " + ", ".join(
+        f"{R('volatility' if c == 'volatility_20d' else c)} AS {c}" for c in _FACT_DBL) + " FROM feat_1d"))
+def q_column_map(spark, sf):
+    """Processed bars in the vendor layout mapped onto the fact columns."""
+    from barspark.sources.warehouse import map_columns
+    f = _fact(spark, sf)
+    vendor = f.select(*[F.col(k).alias(v) for k, v in _VENDOR_NAMES.items()])
+    return _r(map_columns(vendor), _FACT_DBL)
+
+
+@register("suite_report")
+def q_suite_report(spark, sf):
+    from barspark.plans.suite import run_suite
+    return run_suite(spark, sf, ["perf_summary", "mom_trend", "sma_sql", "rsi_alerts", "top_volume_days"])
+
+
+# ------------------------------------------------------------------ streaming
+
+_DELAY_SQL = "INTERVAL 10 MINUTE"
+
+
+@register("stream_bars", with_bars(f"""
+SELECT symbol, ts, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low, {R('close')} AS close, volume
+FROM bars_1h WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - {_DELAY_SQL}""", "1h"))
+def q_stream_bars(spark, sf):
+    from barspark.streaming import live
+    out = live.run_to_parquet(live.stream_bars(live.tick_stream(spark, sf)), "bars")
+    return _r(out, ["open", "high", "low", "close"])
+
+
+@register("stream_dedup", f"SELECT event_type AS symbol, ts, {R('value')} AS price FROM events")
+def q_stream_dedup(spark, sf):
+    from barspark.streaming import live
+    out = live.run_to_parquet(live.stream_dedup(live.tick_stream(spark, sf)), "dedup")
+    return out.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), round_half("price").alias("price"))
+
+
+_STREAM_IND = ["daily_return", "volatility", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist"]
+
+
+@register("stream_indicators", with_features(
+    f"SELECT symbol, ts, {R('close')} AS close, " + ", ".join(f"{R(c, 6)} AS {c}" for c in _STREAM_IND)
+    + " FROM feat_1h", "1h"))
+def q_stream_indicators(spark, sf):
+    from barspark.session import table_path
+    from barspark.streaming import live
+    bars = P.bars(spark, sf, "1h")
+    src = live.file_stream(spark, bars, table_path(bars))
+    out = live.run_to_parquet(live.stream_indicators(src), "indicators")
+    return (out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+            .withColumns({"close": round_half("close"), **{c: round_half(c, 6) for c in _STREAM_IND}}))
+
+
+@register("stream_alerts", with_features(f"""
+SELECT f.date, s.company_name, f.symbol, {R('f.close', 2)} AS closing_price, {R('f.rsi_14', 2)} AS rsi_14,
+       {R('f.pct_change', 2)} AS daily_pct_change
+FROM feat_1d f JOIN dim s ON f.symbol = s.symbol WHERE f.rsi_14 >= 70 OR f.rsi_14 <= 30""", dim=True))
+def q_stream_alerts(spark, sf):
+    from barspark.session import table_path
+    from barspark.streaming import live
+    fact = _fact(spark, sf)
+    src = live.file_stream(spark, fact, table_path(fact))
+    out = live.run_to_parquet(live.stream_alerts(src, P.dim(spark, sf)), "alerts")
+    return out.select("date", "company_name", "symbol", round_half("close", 2).alias("closing_price"),
+                      round_half("rsi_14", 2).alias("rsi_14"), round_half("pct_change", 2).alias("daily_pct_change"))
+
+
+@register("stream_upsert", with_bars(
+    "SELECT '1h' AS grain, symbol, count(*) AS n_rows FROM bars_1h GROUP BY symbol", "1h"))
+def q_stream_upsert(spark, sf):
+    import uuid
+    from barspark.session import checkpoint_dir, table_path
+    from barspark.streaming import live
+    bars = P.bars(spark, sf, "1h")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/stream-{uuid.uuid4().hex[:10]}"
+    out = live.stream_upsert(live.file_stream(spark, bars, table_path(bars)).drop("grain"), path)
+    return out.groupBy("grain", "symbol").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -77,4 +77,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    PATHS[id(out)] = path
+    return out
+
+
+PATHS: dict[int, str] = {}
+
+
+def table_path(df: DataFrame) -> str:
+    """Folder of a DataFrame returned by ``materialize``."""
+    return PATHS[id(df)]
