@@ -187,20 +187,49 @@ def fit_trees(split: DataFrame, feats: list[str], symbols: list[str], workers: i
         return {k: m for k, m in ex.map(fit, jobs) if m is not None}
 
 
-def forecast_metrics(fact: DataFrame, grain: str = "1d", with_trees: bool = True) -> DataFrame:
-    """Test MAE/RMSE/R2 and train MAE/R2 per (symbol, model) for eligible symbols."""
+def pooled_trees(split: DataFrame, feats: list[str]):
+    """One forest and one boosted model over all symbols (symbol as a categorical
+    feature), fitted on every symbol's training rows: two distributed fits
+    whatever the number of symbols.  Returns {model name: PipelineModel}."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    n_sym = split.select("symbol").distinct().count()
+    train = split.filter(~F.col("is_test"))
+    models = {}
+    for name, est in _tree_estimators().items():
+        est = est.copy().setMaxBins(max(est.getMaxBins(), n_sym))
+        pipe = Pipeline(stages=[
+            StringIndexer(inputCol="symbol", outputCol="_sym", handleInvalid="keep"),
+            VectorAssembler(inputCols=feats + ["_sym"], outputCol="features"), est])
+        models[name] = pipe.fit(train)
+    return models
+
+
+def forecast_predictions(fact: DataFrame, grain: str = "1d", trees: str = "pooled") -> DataFrame:
+    """(symbol, model, is_test, target_close, prediction) of the three regressors.
+
+    ``trees``: 'pooled' (default), 'per_symbol' (the reference's design, one
+    fit per symbol, for few symbols) or 'none'."""
     feats = feature_names(grain)
     split = training_rows(fact, grain).filter("eligible")
     lin = linear_fit(split.filter(~F.col("is_test")), feats)
-    preds = linear_predict(split, lin, feats).select(
-        "symbol", "is_test", "target_close", "prediction").withColumn("model", F.lit(MODEL_ORDER[0]))
-    if with_trees:
+    cols = ["symbol", "is_test", "target_close", "prediction"]
+    preds = linear_predict(split, lin, feats).select(*cols).withColumn("model", F.lit(MODEL_ORDER[0]))
+    if trees == "pooled":
+        for name, m in pooled_trees(split, feats).items():
+            preds = preds.unionByName(m.transform(split).select(*cols).withColumn("model", F.lit(name)))
+    elif trees == "per_symbol":
         symbols = [r.symbol for r in split.select("symbol").distinct().orderBy("symbol").collect()]
-        models = fit_trees(split, feats, symbols)
-        for (sym, name), m in sorted(models.items()):
-            p = m.transform(split.filter(F.col("symbol") == sym)).select(
-                "symbol", "is_test", "target_close", "prediction").withColumn("model", F.lit(name))
+        for (sym, name), m in sorted(fit_trees(split, feats, symbols).items()):
+            p = m.transform(split.filter(F.col("symbol") == sym)).select(*cols).withColumn("model", F.lit(name))
             preds = preds.unionByName(p)
+    return preds
+
+
+def forecast_metrics(fact: DataFrame, grain: str = "1d", with_trees: bool = True,
+                     trees: str = "pooled") -> DataFrame:
+    """Test MAE/RMSE/R2 and train MAE/R2 per (symbol, model) for eligible symbols."""
+    preds = forecast_predictions(fact, grain, trees if with_trees else "none")
     test = regression_metrics(preds.filter("is_test"), ["symbol", "model"]).withColumnsRenamed(
         {"mae": "test_mae", "rmse": "test_rmse", "r2": "test_r2"})
     train = regression_metrics(preds.filter(~F.col("is_test")), ["symbol", "model"]).select(
@@ -237,26 +266,25 @@ def backtest(fact: DataFrame, grain: str = "1d") -> DataFrame:
 
 
 def feature_importance(fact: DataFrame, grain: str = "1d", top: int = 10) -> DataFrame:
-    """Top feature importances of the forest per symbol (tree models only)."""
+    """Top feature importances of the pooled forest (tree models only)."""
     feats = feature_names(grain)
     split = training_rows(fact, grain).filter("eligible")
-    symbols = [r.symbol for r in split.select("symbol").distinct().orderBy("symbol").collect()]
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+    forest = pooled_trees_forest(split, feats)
+    imp = forest.stages[-1].featureImportances.toArray()
+    names = feats + ["symbol"]
     spark = fact.sparkSession
-    rows = []
-
-    def fit(sym):
-        est = _tree_estimators()["Random_Forest"].copy()
-        m = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"), est]).fit(
-            split.filter((F.col("symbol") == sym) & ~F.col("is_test")))
-        imp = m.stages[-1].featureImportances.toArray()
-        return [(sym, feats[i], float(imp[i])) for i in range(len(feats))]
-
-    with ThreadPoolExecutor(max_workers=4) as ex:
-        for r in ex.map(fit, symbols):
-            rows += r
-    df = spark.createDataFrame(rows, "symbol string, feature string, importance double")
-    from pyspark.sql import Window
-    w = Window.partitionBy("symbol").orderBy(F.col("importance").desc(), F.col("feature"))
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    # one value per feature (28): model metadata, not data
+    df = spark.createDataFrame([(names[i], float(imp[i])) for i in range(len(names))],
+                               "feature string, importance double")
+    return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
+
+
+def pooled_trees_forest(split: DataFrame, feats: list[str]):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    n_sym = split.select("symbol").distinct().count()
+    est = _tree_estimators()["Random_Forest"]
+    est = est.copy().setMaxBins(max(est.getMaxBins(), n_sym))
+    return Pipeline(stages=[StringIndexer(inputCol="symbol", outputCol="_sym", handleInvalid="keep"),
+                            VectorAssembler(inputCols=feats + ["_sym"], outputCol="features"),
+                            est]).fit(split.filter(~F.col("is_test")))

@@ -37,7 +37,8 @@ def bars(spark: SparkSession, sf_dir: str, grain: str = "1d") -> DataFrame:
 def fact(spark: SparkSession, sf_dir: str, grain: str = "1d") -> DataFrame:
     """Materialized FEATURE table plus ``seq``/``n_bars``."""
     def build():
-        f = features(bars(spark, sf_dir, grain), grain, keep_index=True)
+        # bars come out of a groupBy on (symbol, bar start): unique by construction
+        f = features(bars(spark, sf_dir, grain), grain, keep_index=True, dedup=False)
         return materialize(f, f"fact_{grain}")
     return _memo(spark, sf_dir, f"fact_{grain}", build)
 
