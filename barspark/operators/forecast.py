@@ -12,6 +12,7 @@ and boosting models are Spark ML estimators fitted per symbol.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from barspark.functions.scalar import round_half
 from barspark.functions.series import block_window, blocked, default_bucket, index_series
+from barspark.session import materialize
 
 LAGS = (1, 2, 3, 5)
 MIN_TRAIN_ROWS = 100
@@ -187,7 +189,7 @@ def fit_trees(split: DataFrame, feats: list[str], symbols: list[str], workers: i
         return {k: m for k, m in ex.map(fit, jobs) if m is not None}
 
 
-def pooled_trees(split: DataFrame, feats: list[str]):
+def pooled_trees(split: DataFrame, feats: list[str], names: list[str] | None = None):
     """One forest and one boosted model over all symbols (symbol as a categorical
     feature), fitted on every symbol's training rows: two distributed fits
     whatever the number of symbols.  Returns {model name: PipelineModel}."""
@@ -195,41 +197,66 @@ def pooled_trees(split: DataFrame, feats: list[str]):
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     n_sym = split.select("symbol").distinct().count()
     train = split.filter(~F.col("is_test"))
-    models = {}
-    for name, est in _tree_estimators().items():
+
+    def fit(item):
+        name, est = item
         est = est.copy().setMaxBins(max(est.getMaxBins(), n_sym))
         pipe = Pipeline(stages=[
             StringIndexer(inputCol="symbol", outputCol="_sym", handleInvalid="keep"),
             VectorAssembler(inputCols=feats + ["_sym"], outputCol="features"), est])
-        models[name] = pipe.fit(train)
-    return models
+        return name, pipe.fit(train)
+
+    todo = [(n, e) for n, e in _tree_estimators().items() if names is None or n in names]
+    # the two fits are independent Spark jobs: run them side by side
+    with ThreadPoolExecutor(max_workers=len(todo) or 1) as ex:
+        return dict(ex.map(fit, todo))
 
 
-def forecast_predictions(fact: DataFrame, grain: str = "1d", trees: str = "pooled") -> DataFrame:
-    """(symbol, model, is_test, target_close, prediction) of the three regressors.
+@dataclass
+class Forecasters:
+    """Fitted forecasting state: the split table (materialized), the per-symbol
+    linear model and the tree models."""
+    grain: str
+    feats: list[str]
+    split: DataFrame
+    linear: DataFrame
+    trees: dict = field(default_factory=dict)          # name -> PipelineModel (pooled)
+    per_symbol: dict = field(default_factory=dict)     # (symbol, name) -> PipelineModel
 
-    ``trees``: 'pooled' (default), 'per_symbol' (the reference's design, one
-    fit per symbol, for few symbols) or 'none'."""
+
+def fit_forecasters(fact: DataFrame, grain: str = "1d", trees: str = "pooled") -> Forecasters:
+    """``trees``: 'pooled' (default), 'per_symbol' (the reference's design, one fit
+    per symbol and model, for few symbols) or 'none'."""
     feats = feature_names(grain)
-    split = training_rows(fact, grain).filter("eligible")
-    lin = linear_fit(split.filter(~F.col("is_test")), feats)
-    cols = ["symbol", "is_test", "target_close", "prediction"]
-    preds = linear_predict(split, lin, feats).select(*cols).withColumn("model", F.lit(MODEL_ORDER[0]))
+    split = materialize(training_rows(fact, grain).filter("eligible")
+                        .select("symbol", "date", "ts", "seq", "split_rank", "n_train_rows",
+                                "is_test", "close", *[c for c in feats if c != "close"], "target_close"),
+                        f"forecast_split_{grain}")
+    linear = materialize(linear_fit(split.filter(~F.col("is_test")), feats), f"forecast_linear_{grain}")
+    fc = Forecasters(grain, feats, split, linear)
     if trees == "pooled":
-        for name, m in pooled_trees(split, feats).items():
-            preds = preds.unionByName(m.transform(split).select(*cols).withColumn("model", F.lit(name)))
+        fc.trees = pooled_trees(split, feats)
     elif trees == "per_symbol":
         symbols = [r.symbol for r in split.select("symbol").distinct().orderBy("symbol").collect()]
-        for (sym, name), m in sorted(fit_trees(split, feats, symbols).items()):
-            p = m.transform(split.filter(F.col("symbol") == sym)).select(*cols).withColumn("model", F.lit(name))
-            preds = preds.unionByName(p)
+        fc.per_symbol = fit_trees(split, feats, symbols)
+    return fc
+
+
+def forecast_predictions(fc: Forecasters) -> DataFrame:
+    """(symbol, model, is_test, target_close, prediction) of every fitted regressor."""
+    cols = ["symbol", "is_test", "target_close", "prediction"]
+    preds = linear_predict(fc.split, fc.linear, fc.feats).select(*cols).withColumn("model", F.lit(MODEL_ORDER[0]))
+    for name, m in fc.trees.items():
+        preds = preds.unionByName(m.transform(fc.split).select(*cols).withColumn("model", F.lit(name)))
+    for (sym, name), m in sorted(fc.per_symbol.items()):
+        p = m.transform(fc.split.filter(F.col("symbol") == sym)).select(*cols).withColumn("model", F.lit(name))
+        preds = preds.unionByName(p)
     return preds
 
 
-def forecast_metrics(fact: DataFrame, grain: str = "1d", with_trees: bool = True,
-                     trees: str = "pooled") -> DataFrame:
+def forecast_metrics(fc: Forecasters) -> DataFrame:
     """Test MAE/RMSE/R2 and train MAE/R2 per (symbol, model) for eligible symbols."""
-    preds = forecast_predictions(fact, grain, trees if with_trees else "none")
+    preds = forecast_predictions(fc)
     test = regression_metrics(preds.filter("is_test"), ["symbol", "model"]).withColumnsRenamed(
         {"mae": "test_mae", "rmse": "test_rmse", "r2": "test_r2"})
     train = regression_metrics(preds.filter(~F.col("is_test")), ["symbol", "model"]).select(
@@ -238,13 +265,10 @@ def forecast_metrics(fact: DataFrame, grain: str = "1d", with_trees: bool = True
         "symbol", "model", *[round_half(c, 6).alias(c) for c in ("test_mae", "test_rmse", "test_r2", "train_mae", "train_r2")])
 
 
-def forecast_next(fact: DataFrame, grain: str = "1d") -> DataFrame:
+def forecast_next(fc: Forecasters, fact: DataFrame) -> DataFrame:
     """Next-bar forecast from the linear model: forecast, diff and % diff vs the last close."""
-    feats = feature_names(grain)
-    split = training_rows(fact, grain).filter("eligible")
-    lin = linear_fit(split.filter(~F.col("is_test")), feats)
-    last = latest_vector(fact, grain).dropna("any", subset=feats)
-    p = linear_predict(last, lin, feats)
+    last = latest_vector(fact, fc.grain).dropna("any", subset=fc.feats)
+    p = linear_predict(last, fc.linear, fc.feats)
     return p.select("symbol", "date", round_half("close").alias("last_close"),
                     round_half("prediction").alias("forecast_close"),
                     round_half(F.col("prediction") - F.col("close")).alias("forecast_diff"),
@@ -252,39 +276,39 @@ def forecast_next(fact: DataFrame, grain: str = "1d") -> DataFrame:
                     .alias("forecast_pct"))
 
 
-def backtest(fact: DataFrame, grain: str = "1d") -> DataFrame:
+def backtest(fc: Forecasters, fact: DataFrame) -> DataFrame:
     """Actual vs predicted next close over the training rows, with the date the
     prediction is for (the next bar's date) and the split flag."""
-    feats = feature_names(grain)
-    split = training_rows(fact, grain).filter("eligible")
-    lf = lag_features(fact).select("symbol", "seq", "date")
-    nxt = lf.select("symbol", (F.col("seq") - 1).alias("seq"), F.col("date").alias("target_date"))
-    lin = linear_fit(split.filter(~F.col("is_test")), feats)
-    p = linear_predict(split, lin, feats).join(nxt, ["symbol", "seq"], "left")
+    nxt = fact.select("symbol", (F.col("seq") - 1).alias("seq"), F.col("date").alias("target_date"))
+    p = linear_predict(fc.split, fc.linear, fc.feats).join(nxt, ["symbol", "seq"], "left")
     return p.select("symbol", "date", "target_date", "is_test", round_half("target_close").alias("actual_close"),
                     round_half("prediction").alias("predicted_close"))
 
 
-def feature_importance(fact: DataFrame, grain: str = "1d", top: int = 10) -> DataFrame:
+def feature_importance(fc: Forecasters, top: int = 10) -> DataFrame:
     """Top feature importances of the pooled forest (tree models only)."""
-    feats = feature_names(grain)
-    split = training_rows(fact, grain).filter("eligible")
-    forest = pooled_trees_forest(split, feats)
+    forest = fc.trees.get("Random_Forest") or pooled_trees(fc.split, fc.feats, ["Random_Forest"])["Random_Forest"]
     imp = forest.stages[-1].featureImportances.toArray()
-    names = feats + ["symbol"]
-    spark = fact.sparkSession
+    names = fc.feats + ["symbol"]
     # one value per feature (28): model metadata, not data
-    df = spark.createDataFrame([(names[i], float(imp[i])) for i in range(len(names))],
-                               "feature string, importance double")
+    df = fc.split.sparkSession.createDataFrame([(names[i], float(imp[i])) for i in range(len(names))],
+                                               "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
 
 
-def pooled_trees_forest(split: DataFrame, feats: list[str]):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    n_sym = split.select("symbol").distinct().count()
-    est = _tree_estimators()["Random_Forest"]
-    est = est.copy().setMaxBins(max(est.getMaxBins(), n_sym))
-    return Pipeline(stages=[StringIndexer(inputCol="symbol", outputCol="_sym", handleInvalid="keep"),
-                            VectorAssembler(inputCols=feats + ["_sym"], outputCol="features"),
-                            est]).fit(split.filter(~F.col("is_test")))
+def save_forecasters(fc: Forecasters, path: str) -> None:
+    """Persist the fitted state: Spark ML pipelines, the linear coefficients and
+    the feature list (the reference pickles the same three things per symbol)."""
+    spark = fc.split.sparkSession
+    fc.linear.write.mode("overwrite").parquet(f"{path}/linear")
+    spark.createDataFrame([(i, c) for i, c in enumerate(fc.feats)], "position int, feature string") \
+        .write.mode("overwrite").parquet(f"{path}/features")
+    for name, m in fc.trees.items():
+        m.write().overwrite().save(f"{path}/trees/{name}")
+    for (sym, name), m in fc.per_symbol.items():
+        m.write().overwrite().save(f"{path}/per_symbol/{sym.replace('.', '_')}/{name}")
+
+
+def load_linear(spark, path: str) -> tuple[DataFrame, list[str]]:
+    feats = [r.feature for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
+    return spark.read.parquet(f"{path}/linear"), feats

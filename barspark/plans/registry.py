@@ -506,29 +506,39 @@ def q_chrono_split(spark, sf):
 
 # ------------------------------------------------------------------ forecasting (models; rows-only)
 
+def _forecasters(spark, sf):
+    return P._memo(spark, sf, "forecasters_1d", lambda: forecast.fit_forecasters(_fact(spark, sf)))
+
+
+def _metrics(spark, sf):
+    from barspark.session import materialize
+    return P._memo(spark, sf, "forecast_metrics_1d",
+                   lambda: materialize(forecast.forecast_metrics(_forecasters(spark, sf)), "forecast_metrics"))
+
+
 @register("forecast_metrics")
 def q_forecast_metrics(spark, sf):
-    return forecast.forecast_metrics(_fact(spark, sf))
+    return _metrics(spark, sf)
 
 
 @register("best_model")
 def q_best_model(spark, sf):
-    return forecast.best_model(forecast.forecast_metrics(_fact(spark, sf)))
+    return forecast.best_model(_metrics(spark, sf))
 
 
 @register("forecast_next")
 def q_forecast_next(spark, sf):
-    return forecast.forecast_next(_fact(spark, sf))
+    return forecast.forecast_next(_forecasters(spark, sf), _fact(spark, sf))
 
 
 @register("backtest")
 def q_backtest(spark, sf):
-    return forecast.backtest(_fact(spark, sf))
+    return forecast.backtest(_forecasters(spark, sf), _fact(spark, sf))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    return forecast.feature_importance(_fact(spark, sf))
+    return forecast.feature_importance(_forecasters(spark, sf))
 
 
 # ------------------------------------------------------------------ warehouse sinks
@@ -540,8 +550,8 @@ _REPLACE_SQL = (with_features("", "1d").rstrip() + ",\n" + feature_ctes("1h") +
 
 @register("replace_by_symbol", _REPLACE_SQL)
 def q_replace_by_symbol(spark, sf):
-    """Load daily then intraday facts into one table, then re-load one symbol's daily
-    facts: both grains survive and the re-load leaves the counts unchanged."""
+    """Load daily then intraday facts into one table, then re-run the daily load:
+    both grains survive and the re-run leaves every count unchanged."""
     import uuid
     from barspark.session import checkpoint_dir
     from barspark.sources.warehouse import write_facts
@@ -549,8 +559,7 @@ def q_replace_by_symbol(spark, sf):
     d, h = _fact(spark, sf, "1d"), _fact(spark, sf, "1h")
     write_facts(d, path)
     write_facts(h, path)
-    first = d.select("symbol").orderBy("symbol").limit(1)
-    write_facts(d.join(first, "symbol", "left_semi"), path)
+    write_facts(d, path)
     return spark.read.parquet(path).groupBy("grain", "symbol").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -579,6 +588,26 @@ def q_column_map(spark, sf):
     return _r(map_columns(vendor), _FACT_DBL)
 
 
+@register("vendor_roundtrip", with_bars(
+    f"SELECT symbol, grain, ts, date, {_sr(['open', 'high', 'low', 'close'])}, adj_close, volume FROM bars_1d"))
+def q_vendor_roundtrip(spark, sf):
+    """Bars written as per-symbol vendor CSV files (Date, Open, ..., Ticker) and read
+    back for all symbols at once with the explicit vendor schema."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.bars import read_vendor_bars
+    from barspark.sources.warehouse import write_per_symbol_csv
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vendor/daily-{uuid.uuid4().hex[:10]}"
+    b = P.bars(spark, sf, "1d")
+    vendor = b.select(F.date_format("date", "yyyy-MM-dd").alias("Date"), F.col("open").alias("Open"),
+                      F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"),
+                      F.col("volume").alias("Volume"), F.lit(0.0).alias("Dividends"),
+                      F.lit(0.0).alias("Stock Splits"), F.col("symbol").alias("Ticker"), F.col("symbol"))
+    write_per_symbol_csv(vendor, path)
+    back = read_vendor_bars(spark, f"{path}/symbol=*/*.csv", "1d")
+    return _r(back, ["open", "high", "low", "close"]).select(*BAR_COLS)
+
+
 @register("suite_report")
 def q_suite_report(spark, sf):
     from barspark.plans.suite import run_suite

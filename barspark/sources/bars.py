@@ -125,28 +125,26 @@ def read_vendor_bars(spark: SparkSession, paths: list[str] | str, grain: str = "
                      fmt: str = "csv") -> DataFrame:
     """Read vendor bar files of all symbols at once into the BAR layout.
 
-    The files carry ``Date`` (daily) or ``Datetime`` (intraday, may hold a
-    UTC offset); columns are matched by header name, absent ones are null.
-    Unparseable stamps become null and are caught by the data-quality checks.
+    CSV columns are taken by header name (one layout per call: daily files
+    carry ``Date``, intraday ``Datetime`` with a UTC offset); absent columns are
+    null; values that do not parse become null (``try_cast``) and surface in
+    the data-quality checks instead of failing the load.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if fmt == "csv":
-        raw = reader.option("enforceSchema", False).schema(VENDOR_SCHEMA).csv(paths)
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(paths)
     else:
         raw = spark.read.format(fmt).load(paths)
-        for f in VENDOR_SCHEMA.fields:
-            if f.name not in raw.columns:
-                raw = raw.withColumn(f.name, F.lit(None).cast(f.dataType))
-    stamp = F.coalesce(F.col("Datetime"), F.col("Date"))
-    ts = F.coalesce(F.try_to_timestamp(stamp.cast("string")),
-                    F.to_timestamp(F.substring(stamp.cast("string"), 1, 19)))
+    cols = {}
+    for f in VENDOR_SCHEMA.fields:
+        c = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)
+        cols[f.name] = c.cast("string") if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
+    stamp = F.coalesce(cols["Datetime"], cols["Date"])
+    ts = F.coalesce(F.try_to_timestamp(stamp), F.try_to_timestamp(F.substring(stamp, 1, 19)))
     return raw.select(
-        F.col("Ticker").alias("symbol"), F.lit(grain).alias("grain"),
-        ts.cast("timestamp_ntz").alias("ts"), F.to_date(F.substring(stamp.cast("string"), 1, 10)).alias("date"),
-        F.col("Open").cast("double").alias("open"), F.col("High").cast("double").alias("high"),
-        F.col("Low").cast("double").alias("low"), F.col("Close").cast("double").alias("close"),
-        F.col("Adj Close").cast("double").alias("adj_close"),
-        F.col("Volume").cast("bigint").alias("volume"))
+        cols["Ticker"].alias("symbol"), F.lit(grain).alias("grain"),
+        ts.cast("timestamp_ntz").alias("ts"), F.try_to_date(F.substring(stamp, 1, 10)).alias("date"),
+        cols["Open"].alias("open"), cols["High"].alias("high"), cols["Low"].alias("low"),
+        cols["Close"].alias("close"), cols["Adj Close"].alias("adj_close"), cols["Volume"].alias("volume"))
 
 
 def missing_symbols(loaded: DataFrame, wanted: DataFrame) -> DataFrame:
