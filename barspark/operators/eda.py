@@ -1,8 +1,7 @@
 """Exploratory statistics (the numbers behind each reference figure), in long form.
 
-The calendar is (all dates) x (all symbols): distinct dates come from a
-groupBy, the symbol list from another; their product is the output itself
-(every symbol gets a value on every date).  Fills run per symbol on the distributed series index.
+The calendar is (all dates) x (all symbols): every symbol gets a value on
+every trading date, so that grid is the output itself.  Fills run per symbol on the distributed series index.
 """
 
 from __future__ import annotations
@@ -28,12 +27,16 @@ def close_pivot(fact: DataFrame, symbols: list[str] | None = None) -> DataFrame:
 
 
 def calendar_fill(fact: DataFrame) -> DataFrame:
-    """Union calendar x symbols with the close forward-, then back-filled per symbol."""
+    """Union calendar x symbols with the close forward-, then back-filled per symbol.
+
+    Each symbol explodes the day sequence between the data's first and last
+    date (two scalar subqueries); an equi-join with the distinct trading dates
+    keeps the calendar.  The output is the symbols x calendar grid itself."""
+    first, last = fact.select(F.min("date")).scalar(), fact.select(F.max("date")).scalar()
     dates = fact.select("date").distinct()
-    syms = fact.select("symbol").distinct()
-    # The result is defined as symbols x calendar; the calendar (distinct
-    # trading dates, bounded by the span of the data) is the broadcast side.
-    grid = syms.crossJoin(F.broadcast(dates))
+    grid = (fact.select("symbol").distinct()
+            .select("symbol", F.explode(F.sequence(first, last)).alias("date"))
+            .join(dates, "date"))
     cal = grid.join(fact.select("symbol", "date", "close"), ["symbol", "date"], "left")
     filled = index_series(cal, ["symbol"], "date", F.year("date"), dedup=False, fill=["close"])
     return filled.select("symbol", "date", "close", "_idx")
@@ -99,17 +102,16 @@ def return_kde(fact: DataFrame, lo: float = KDE_LO, hi: float = KDE_HI, step: fl
     Bandwidth by Scott's rule, ``h = s * n^(-1/5)`` with the sample std of all
     the symbol's returns; the grid (161 points by default) only limits the
     display range.  Each return meets each grid point once: work = rows x grid,
-    with the fixed-size grid broadcast."""
+    with the fixed-size grid exploded per row (no join)."""
     npts = int(round((hi - lo) / step)) + 1
-    grid = fact.sparkSession.range(npts).select(
-        F.round(F.lit(lo) + F.col("id") * F.lit(step), 6).alias("x"))
     stats = fact.groupBy("symbol").agg(F.count("daily_return").alias("_n"),
                                        F.stddev_samp("daily_return").alias("_s"))
     bw = stats.select("symbol", "_n", (F.col("_s") * F.pow(F.col("_n").cast("double"), -0.2)).alias("_h"))
     pts = fact.select("symbol", "daily_return").filter(F.col("daily_return").isNotNull()).join(bw, "symbol")
+    # every return meets every grid point: explode the fixed-size grid per row
+    pts = pts.select("symbol", "daily_return", "_n", "_h", F.explode(F.sequence(F.lit(0), F.lit(npts - 1))).alias("_i"))
+    pts = pts.withColumn("x", F.round(F.lit(lo) + F.col("_i") * F.lit(step), 6))
     u = (F.col("x") - F.col("daily_return")) / F.col("_h")
-    # the grid has a fixed size (a parameter), so it is broadcast
-    dens = pts.crossJoin(F.broadcast(grid)).groupBy("symbol", "x", "_n", "_h").agg(
-        F.sum(F.exp(-0.5 * u * u)).alias("_k"))
+    dens = pts.groupBy("symbol", "x", "_n", "_h").agg(F.sum(F.exp(-0.5 * u * u)).alias("_k"))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
     return dens.select("symbol", "x", round_half(F.try_divide(F.col("_k"), norm), 6).alias("density"))

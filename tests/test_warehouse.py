@@ -38,3 +38,35 @@ def test_seed_dim_replaces(spark):
     path = f"{checkpoint_dir(spark)}/dim-{uuid.uuid4().hex[:8]}"
     assert seed_dim(spark, path).count() == 5
     assert seed_dim(spark, path).count() == 5
+
+
+def test_missing_symbols_and_local_date(spark):
+    import datetime as dt
+    from barspark.operators.clean import local_date
+    from barspark.sources.bars import missing_symbols
+    loaded = spark.createDataFrame([("A",), ("B",)], "symbol string")
+    wanted = spark.createDataFrame([("A",), ("C",)], "symbol string")
+    assert [r.symbol for r in missing_symbols(loaded, wanted).collect()] == ["C"]
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 2, 0),)], "ts timestamp")
+    # 02:00 UTC is still Dec 31 in New York and already Jan 1 in Kolkata
+    got = df.select(local_date(F.col("ts"), "America/New_York").alias("ny"),
+                    local_date(F.col("ts"), "Asia/Kolkata").alias("in")).collect()[0]
+    assert got.ny == dt.date(2023, 12, 31) and got["in"] == dt.date(2024, 1, 1)
+
+
+def test_forecasters_persist(spark):
+    import datetime as dt
+    from barspark.operators import forecast
+    from barspark.operators.features import features
+    rows = []
+    for i in range(260):
+        ts = dt.datetime(2020, 1, 1) + dt.timedelta(days=i)
+        c = float(100 + 0.3 * i + (i % 4))
+        rows.append(("S", "1d", ts, ts.date(), c, c, c, c, None, 100 + i))
+    bars = spark.createDataFrame(rows, "symbol string, grain string, ts timestamp_ntz, date date, open double, "
+                                       "high double, low double, close double, adj_close double, volume bigint")
+    fc = forecast.fit_forecasters(features(bars, keep_index=True), trees="none")
+    path = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex[:8]}"
+    forecast.save_forecasters(fc, path)
+    lin, feats = forecast.load_linear(spark, path)
+    assert feats == forecast.feature_names("1d") and lin.count() == 1
