@@ -11,6 +11,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barspark.functions.quantiles import exact_quantiles
 from barspark.functions.scalar import round_half
 from barspark.functions.series import index_series
 
@@ -76,11 +77,11 @@ def return_box(fact: DataFrame, clip: float = CLIP) -> DataFrame:
     """Tukey box per symbol over the clipped returns: quartiles, whiskers = the most
     extreme returns inside Q1/Q3 -/+ 1.5 IQR, count outside."""
     r = fact.filter((F.col("daily_return") > -clip) & (F.col("daily_return") < clip))
-    q = r.groupBy("symbol").agg(
-        F.percentile("daily_return", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(F.lit(1)).alias("n"))
-    fences = q.select("symbol", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                      F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(r, ["symbol"], "daily_return", [0.25, 0.5, 0.75])
+    n = r.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    fences = q.join(n, "symbol").select("symbol", "n", F.col("daily_return_q0").alias("q1"),
+                                        F.col("daily_return_q1").alias("median"),
+                                        F.col("daily_return_q2").alias("q3"))
     fences = fences.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                                  "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     x = F.col("daily_return")

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barspark.functions.quantiles import exact_quantiles
 from barspark.functions.scan import (Scan, ewm_term, loc, max_block, scan_blocks,
                                      scan_finish, scan_locals)
 from barspark.functions.series import (block_window, blocked, default_bucket,
@@ -144,17 +145,20 @@ def iqr_bounds(df: DataFrame, columns: list[str], multiplier: float = IQR_MULTIP
                keys: list[str] = KEYS, exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Per key, ``_lo_<c>``/``_hi_<c>`` = Q1 - k*IQR / Q3 + k*IQR of every column.
 
-    Exact linear-interpolation quantiles (pandas' default) unless
-    ``exact=False`` (``percentile_approx``, bounded memory for huge keys)."""
-    aggs, cols = [], []
-    for c in columns:
-        v = F.col(c).cast("double")
-        qs = F.array(F.lit(0.25), F.lit(0.75))
-        aggs.append((F.percentile(v, qs) if exact else F.percentile_approx(v, qs, accuracy)).alias(f"_q_{c}"))
-        q = F.col(f"_q_{c}")
-        cols += [(q[0] - multiplier * (q[1] - q[0])).alias(f"_lo_{c}"),
-                 (q[1] + multiplier * (q[1] - q[0])).alias(f"_hi_{c}")]
-    return df.groupBy(*keys).agg(*aggs).select(*keys, *cols)
+    Exact linear-interpolation quantiles (pandas' default), computed without
+    holding a key in one task (``functions.quantiles``); ``exact=False`` uses
+    ``percentile_approx``."""
+    if exact:
+        q = exact_quantiles(df, keys, columns, [0.25, 0.75])
+        qs = {c: (F.col(f"{c}_q0"), F.col(f"{c}_q1")) for c in columns}
+    else:
+        q = df.groupBy(*keys).agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75)),
+                                                        accuracy).alias(f"_q_{c}") for c in columns])
+        qs = {c: (F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]) for c in columns}
+    cols = []
+    for c, (q1, q3) in qs.items():
+        cols += [(q1 - multiplier * (q3 - q1)).alias(f"_lo_{c}"), (q3 + multiplier * (q3 - q1)).alias(f"_hi_{c}")]
+    return q.select(*keys, *cols)
 
 
 def outlier_flag(c: str) -> Column:

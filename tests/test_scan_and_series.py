@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window
@@ -83,3 +85,17 @@ def test_blocked_windows_equal_plain_windows(spark):
     assert len(m) == 1030
     assert np.allclose(m["s"], m["s_r"])
     assert ((m["ld"] == m["ld_r"]) | (m["ld"].isna() & m["ld_r"].isna())).all()
+
+
+def test_exact_quantiles_match_percentile_with_split_keys(spark):
+    from barspark.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(11)
+    rows = [("HOT", float(x)) for x in rng.normal(0, 1, 5000)] + \
+           [("HOT", 0.5)] * 50 + [("S", float(x)) for x in rng.random(7)] + [("ONE", 3.0), ("S", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = exact_quantiles(df, ["k"], "v", probs, split_rows=100, pieces=16).toPandas().set_index("k")
+    want = df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).toPandas()
+    for _, r in want.iterrows():
+        for i in range(len(probs)):
+            assert got.loc[r.k, f"v_q{i}"] == pytest.approx(r.q[i], rel=1e-12, abs=1e-12), (r.k, i)
