@@ -62,9 +62,12 @@ def price_corr(fact: DataFrame) -> DataFrame:
     b = c.select(F.col("symbol").alias("symbol_b"), "date", F.col("close").alias("y"))
     up = (a.join(b, "date").filter(F.col("symbol_a") <= F.col("symbol_b"))
           .groupBy("symbol_a", "symbol_b").agg(F.corr("x", "y").alias("corr")))
-    low = up.filter(F.col("symbol_a") < F.col("symbol_b")).select(
-        F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), "corr")
-    return up.unionByName(low).select("symbol_a", "symbol_b", round_half("corr").alias("corr"))
+    # mirror the upper triangle without recomputing it
+    pair = F.array(F.struct(F.col("symbol_a").alias("a"), F.col("symbol_b").alias("b")),
+                   F.struct(F.col("symbol_b").alias("a"), F.col("symbol_a").alias("b")))
+    both = up.select(F.explode(F.array_distinct(pair)).alias("p"), "corr")
+    return both.select(F.col("p.a").alias("symbol_a"), F.col("p.b").alias("symbol_b"),
+                       round_half("corr").alias("corr"))
 
 
 def clipped_returns(fact: DataFrame, clip: float = CLIP) -> DataFrame:
