@@ -99,3 +99,24 @@ def test_exact_quantiles_match_percentile_with_split_keys(spark):
     for _, r in want.iterrows():
         for i in range(len(probs)):
             assert got.loc[r.k, f"v_q{i}"] == pytest.approx(r.q[i], rel=1e-12, abs=1e-12), (r.k, i)
+
+
+def test_fill_carries_across_buckets(spark):
+    # nulls from mid-December to mid-January cross the yearly bucket boundary;
+    # the leading nulls of the second symbol take its first value (back fill)
+    from barspark.operators.clean import fill_prices
+    rows = []
+    t0 = dt.datetime(2019, 12, 1)
+    for i in range(60):
+        ts = t0 + dt.timedelta(days=i)
+        c = None if 15 <= i < 50 else float(i)
+        rows.append(("A", "1d", ts, ts.date(), c, c, c, c, None, 1))
+        c2 = None if i < 40 else float(100 + i)
+        rows.append(("B", "1d", ts, ts.date(), c2, c2, c2, c2, None, 1))
+    df = spark.createDataFrame(rows, "symbol string, grain string, ts timestamp_ntz, date date, open double, "
+                                     "high double, low double, close double, adj_close double, volume bigint")
+    got = fill_prices(df).orderBy("symbol", "ts").toPandas()
+    a = got[got.symbol == "A"].close.tolist()
+    b = got[got.symbol == "B"].close.tolist()
+    assert a == [float(i) for i in range(15)] + [14.0] * 35 + [float(i) for i in range(50, 60)]
+    assert b == [140.0] * 40 + [float(100 + i) for i in range(40, 60)]
