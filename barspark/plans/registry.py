@@ -154,7 +154,8 @@ _register_feat("iqr_outliers", ["daily_return_outlier", "volume_outlier"])
 
 
 @register("outlier_counts", with_features(
-    "SELECT symbol, count_if(daily_return_outlier) AS return_outliers, count_if(volume_outlier) AS volume_outliers "
+    "SELECT symbol, CAST(count_if(daily_return_outlier) AS BIGINT) AS return_outliers, "
+    "CAST(count_if(volume_outlier) AS BIGINT) AS volume_outliers "
     "FROM feat_1d GROUP BY symbol"))
 def q_outlier_counts(spark, sf):
     return _fact(spark, sf).groupBy("symbol").agg(
@@ -271,7 +272,7 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)""
 SELECT f.symbol, f.n, {R('f.q1', 6)} AS q1, {R('f.median', 6)} AS median, {R('f.q3', 6)} AS q3,
        {R('min(CASE WHEN r.x >= f.lo AND r.x <= f.hi THEN r.x END)', 6)} AS whisker_low,
        {R('max(CASE WHEN r.x >= f.lo AND r.x <= f.hi THEN r.x END)', 6)} AS whisker_high,
-       count_if(NOT (r.x >= f.lo AND r.x <= f.hi)) AS outliers
+       CAST(count_if(NOT (r.x >= f.lo AND r.x <= f.hi)) AS BIGINT) AS outliers
 FROM r JOIN f USING (symbol) GROUP BY f.symbol, f.n, f.q1, f.median, f.q3"""))
 def q_return_box(spark, sf):
     return eda.return_box(_fact(spark, sf))
@@ -447,7 +448,7 @@ def q_portfolio_risk(spark, sf):
 
 
 @register("portfolio_validation", _feat_plus(_WEIGHTS, """
-SELECT portfolio_id, sum(weight_pct) AS total_weight_pct, count(*) AS n_assets, sum(weight_pct) = 100 AS is_valid
+SELECT portfolio_id, CAST(sum(weight_pct) AS BIGINT) AS total_weight_pct, count(*) AS n_assets, sum(weight_pct) = 100 AS is_valid
 FROM w GROUP BY portfolio_id"""))
 def q_portfolio_validation(spark, sf):
     return portfolio.validate_weights(_weights(spark, sf))
