@@ -53,13 +53,15 @@ def symbol_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     data and is joined by whatever AQE measures at run time.
     """
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    supp = (table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", F.col("n_name").alias("symbol")))
+    supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
                "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    # line items meet supplier first (supplier is broadcast only when its
+    # estimated size allows, otherwise both sides shuffle on the key), then the
+    # fixed-size nation table is broadcast
     return (li.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
-            .select("symbol", F.col("l_shipdate").alias("ts"),
+            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("n_name").alias("symbol"), F.col("l_shipdate").alias("ts"),
                     F.try_divide("l_extendedprice", "l_quantity").alias("price"),
                     "l_quantity", "l_orderkey", "l_linenumber", "l_partkey",
                     "l_suppkey", "l_extendedprice"))
