@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barspark.functions.quantiles import exact_quantiles
@@ -112,9 +112,10 @@ def return_kde(fact: DataFrame, lo: float = KDE_LO, hi: float = KDE_HI, step: fl
                                        F.stddev_samp("daily_return").alias("_s"))
     bw = stats.select("symbol", "_n", (F.col("_s") * F.pow(F.col("_n").cast("double"), -0.2)).alias("_h"))
     pts = fact.select("symbol", "daily_return").filter(F.col("daily_return").isNotNull()).join(bw, "symbol")
-    # every return meets every grid point: explode the fixed-size grid per row
-    pts = pts.select("symbol", "daily_return", "_n", "_h", F.explode(F.sequence(F.lit(0), F.lit(npts - 1))).alias("_i"))
-    pts = pts.withColumn("x", F.round(F.lit(lo) + F.col("_i") * F.lit(step), 6))
+    # every return meets every grid point: explode the fixed-size grid (a literal
+    # array computed once) per row
+    grid = F.array(*[F.lit(round(lo + i * step, 6)) for i in range(npts)])
+    pts = pts.select("symbol", "daily_return", "_n", "_h", F.explode(grid).alias("x"))
     u = (F.col("x") - F.col("daily_return")) / F.col("_h")
     dens = pts.groupBy("symbol", "x", "_n", "_h").agg(F.sum(F.exp(-0.5 * u * u)).alias("_k"))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))

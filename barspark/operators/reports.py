@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.scalar import round_half, rsi_signal
-from barspark.functions.series import block_window, blocked, index_series
+from barspark.functions.series import block_window, blocked
 
 
 def perf_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barspark.functions.scalar import round_half
 from barspark.operators import clean, dashboard, eda, forecast, portfolio, reports
 from barspark.plans import pipeline as P
-from barspark.plans.oracle import DIM, R, feature_ctes, with_bars, with_features
+from barspark.plans.oracle import R, feature_ctes, with_bars, with_features
 from barspark.schemas import FEATURE_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,10 +46,6 @@ def _fact(spark, sf, grain="1d"):
     return P.fact(spark, sf, grain)
 
 
-def _feature_select(cols: list[str]) -> str:
-    return ", ".join(cols)
-
-
 # ------------------------------------------------------------------ bars and cleaning
 
 @register("bars_daily", with_bars(f"SELECT {', '.join(c for c in BAR_COLS if c not in BAR_DOUBLES)}, "
@@ -224,11 +220,6 @@ filled AS (SELECT symbol, date, coalesce(
   FROM cal LEFT JOIN feat_1d USING (symbol, date))"""
 
 
-def _with_filled(select: str) -> str:
-    return with_features(f", {_FILLED}\n{select}".lstrip(", "), "1d").replace(
-        "\n, cal AS", ",\ncal AS")
-
-
 def _feat_plus(extra_ctes: str, select: str, dim: bool = False) -> str:
     base = with_features("", "1d", dim=dim).rstrip()
     return f"{base},\n{extra_ctes}\n{select}"

@@ -19,7 +19,6 @@ exactly where it stopped; nothing is collected into driver memory.
 
 from __future__ import annotations
 
-import math
 import uuid
 
 import numpy as np
