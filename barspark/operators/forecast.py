@@ -162,8 +162,11 @@ def linear_predict(rows: DataFrame, model: DataFrame, feats: list[str]) -> DataF
 def _tree_estimators(seed: int = 42):
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
     return {
+        # 100 trees, every feature at every split (the reference's settings);
+        # depth and histogram bins are Spark's approximation of fully grown,
+        # exact-threshold trees
         "Random_Forest": RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=12,
-                                               maxBins=128, seed=seed, labelCol="target_close"),
+                                               maxBins=32, seed=seed, labelCol="target_close"),
         "Gradient_Boosting": GBTRegressor(maxIter=100, stepSize=0.05, maxDepth=3, seed=seed,
                                           labelCol="target_close"),
     }
