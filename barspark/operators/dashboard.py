@@ -8,10 +8,11 @@ and per-symbol aggregates -- no per-symbol sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barspark.functions.scalar import money, round_half, rsi_signal, shares, signed
+from barspark.functions.series import index_series
 
 TRADING_DAYS_YEAR = 252
 DEFAULT_RANGE_BARS = 365
@@ -131,15 +132,24 @@ def volume_spike(fact: DataFrame, k: float = 2.0) -> DataFrame:
 
 def top_performers(fact: DataFrame) -> DataFrame:
     """Total return last close / first close - 1 per symbol, ranked (our definition
-    of the README's 'top performing stocks')."""
+    of the README's 'top performing stocks').
+
+    RANK semantics (ties share the lowest position, nulls last) computed with the
+    distributed series index ordered by descending return -- no single-partition
+    window over the symbols."""
     ends = fact.filter((F.col("seq") == 0) | (F.col("seq") == F.col("n_bars") - 1)).groupBy("symbol").agg(
         F.max(F.when(F.col("seq") == 0, F.col("close"))).alias("first_close"),
         F.max(F.when(F.col("seq") == F.col("n_bars") - 1, F.col("close"))).alias("last_close"))
-    tr = F.try_divide(F.col("last_close"), F.col("first_close")) - 1
-    return (ends.withColumn("total_return", round_half(tr))
-            .withColumn("performance_rank", F.rank().over(Window.orderBy(F.col("total_return").desc())))
-            .select("symbol", round_half("first_close").alias("first_close"),
-                    round_half("last_close").alias("last_close"), "total_return", "performance_rank"))
+    tr = ends.withColumn("total_return", round_half(F.try_divide(F.col("last_close"), F.col("first_close")) - 1))
+    known = tr.filter(F.col("total_return").isNotNull()).withColumn("_o", -F.col("total_return"))
+    pos = index_series(known, [], "_o", F.floor("_o"), dedup=False)
+    first_pos = pos.groupBy("total_return").agg(F.min("_idx").alias("_first"))
+    ranked = pos.join(first_pos, "total_return").withColumn("performance_rank", F.col("_first") + 1)
+    n_known = known.select(F.count(F.lit(1))).scalar()
+    unknown = tr.filter(F.col("total_return").isNull()).withColumn("performance_rank", n_known + 1)
+    cols = ["symbol", round_half("first_close").alias("first_close"), round_half("last_close").alias("last_close"),
+            "total_return", F.col("performance_rank").cast("long").alias("performance_rank")]
+    return ranked.select(*cols).unionByName(unknown.select(*cols))
 
 
 def profiles(dim: DataFrame, fact: DataFrame) -> DataFrame:

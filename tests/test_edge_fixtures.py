@@ -158,3 +158,11 @@ def test_linear_forecast_on_trend(spark):
     f = features(bars(spark, closes), keep_index=True)
     m = forecast.forecast_metrics(forecast.fit_forecasters(f, trees="none")).collect()
     assert m[0].test_r2 > 0.9
+
+
+def test_top_performers_rank_ties(spark):
+    b = (bars(spark, [1.0, 1.5, 2.0], sym="A").unionByName(bars(spark, [2.0, 3.0, 4.0], sym="B"))
+         .unionByName(bars(spark, [1.0, 1.2, 1.5], sym="C")))
+    f = features(b, keep_index=True)
+    got = {r.symbol: r.performance_rank for r in dashboard.top_performers(f).collect()}
+    assert got == {"A": 1, "B": 1, "C": 3}
