@@ -36,8 +36,13 @@ def shares(volume: Column) -> Column:
     return F.concat(F.format_number(volume.cast("double"), 0), F.lit(" shares"))
 
 
+# The RSI report's alert texts and thresholds (inclusive).
+RSI_OVERBOUGHT, RSI_OVERSOLD = 70, 30
+RSI_TEXTS = ("OVERBOUGHT (SELL ALERT)", "OVERSOLD (BUY OPPORTUNITY)", "NEUTRAL")
+
+
 def rsi_signal(rsi: Column) -> Column:
-    """Alert text of the RSI report; thresholds are inclusive."""
-    return (F.when(rsi >= 70, F.lit("OVERBOUGHT (SELL ALERT)"))
-            .when(rsi <= 30, F.lit("OVERSOLD (BUY OPPORTUNITY)"))
-            .otherwise(F.lit("NEUTRAL")))
+    """Alert text of the RSI report."""
+    return (F.when(rsi >= RSI_OVERBOUGHT, F.lit(RSI_TEXTS[0]))
+            .when(rsi <= RSI_OVERSOLD, F.lit(RSI_TEXTS[1]))
+            .otherwise(F.lit(RSI_TEXTS[2])))

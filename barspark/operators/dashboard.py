@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from barspark.functions.scalar import money, round_half, rsi_signal, shares, signed
 from barspark.functions.series import index_series
 
+# The dashboard's 52-week window (in bars), default range (bars
+# from the end) and state labels.
 TRADING_DAYS_YEAR = 252
 DEFAULT_RANGE_BARS = 365
+VOLUME_STATES = ("ANOMALOUS", "NORMAL")
+SMA_STATES = ("BULLISH", "BEARISH")
 
 
 def latest(fact: DataFrame) -> DataFrame:
@@ -49,7 +53,7 @@ def volume_state(fact: DataFrame) -> DataFrame:
     """'ANOMALOUS' when the last bar's volume is flagged, else 'NORMAL'."""
     return latest(fact).select(
         "symbol", "date", "volume_outlier",
-        F.when(F.col("volume_outlier"), F.lit("ANOMALOUS")).otherwise(F.lit("NORMAL")).alias("volume_state"))
+        F.when(F.col("volume_outlier"), F.lit(VOLUME_STATES[0])).otherwise(F.lit(VOLUME_STATES[1])).alias("volume_state"))
 
 
 def range_filter(fact: DataFrame, start=None, end=None) -> DataFrame:
@@ -80,7 +84,7 @@ def sma_state(fact: DataFrame) -> DataFrame:
     above = F.coalesce(F.col("close") > F.col("sma_20"), F.lit(False))
     return latest(fact).select("symbol", "date", round_half("close").alias("close"),
                                round_half("sma_20").alias("sma_20"),
-                               F.when(above, F.lit("BULLISH")).otherwise(F.lit("BEARISH")).alias("sma_state"))
+                               F.when(above, F.lit(SMA_STATES[0])).otherwise(F.lit(SMA_STATES[1])).alias("sma_state"))
 
 
 def candle_flags(fact: DataFrame) -> DataFrame:

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from barspark.functions.scalar import round_half
 
+# Annualisation days, risk-free rate and Sharpe labels of the reference.
 TRADING_DAYS = 252
 RISK_FREE = 0.04
+SHARPE_LABELS = ("Premium Returns", "Moderate Returns")
 
 
 def region_portfolios(spark, sf_dir: str) -> DataFrame:
@@ -78,7 +80,7 @@ def portfolio_risk(rets: DataFrame) -> DataFrame:
     return exp_r.join(vol, "portfolio_id").select(
         "portfolio_id", round_half("_er", 6).alias("expected_annual_return"),
         round_half("_v", 6).alias("annual_volatility"), round_half(sharpe, 6).alias("sharpe_ratio"),
-        F.when(sharpe > 1, F.lit("Premium Returns")).otherwise(F.lit("Moderate Returns")).alias("sharpe_label"))
+        F.when(sharpe > 1, F.lit(SHARPE_LABELS[0])).otherwise(F.lit(SHARPE_LABELS[1])).alias("sharpe_label"))
 
 
 def portfolio_growth(rets: DataFrame) -> DataFrame:
