@@ -42,6 +42,13 @@ BARS_1H = """bars_1h AS MATERIALIZED (
          CAST(NULL AS DOUBLE) AS adj_close, count(*) AS volume
   FROM events GROUP BY event_type, date_trunc('hour', ts))"""
 
+BARS_1M = """bars_1m AS MATERIALIZED (
+  SELECT event_type AS symbol, '1m' AS grain, date_trunc('minute', ts) AS ts,
+         CAST(date_trunc('minute', ts) AS DATE) AS date,
+         arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+         CAST(NULL AS DOUBLE) AS adj_close, count(*) AS volume
+  FROM events GROUP BY event_type, date_trunc('minute', ts))"""
+
 DIM = """dim AS (
   SELECT n_name AS symbol, n_name AS company_name, r_name AS sector,
          CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS exchange
@@ -128,5 +135,5 @@ def with_features(select: str, grain: str = "1d", dim: bool = False) -> str:
 
 
 def with_bars(select: str, grain: str = "1d", dim: bool = False) -> str:
-    ctes = (BARS_1D if grain == "1d" else BARS_1H) + (",\n" + DIM if dim else "")
+    ctes = {"1d": BARS_1D, "1h": BARS_1H, "1m": BARS_1M}[grain] + (",\n" + DIM if dim else "")
     return f"WITH {ctes}\n{select}"

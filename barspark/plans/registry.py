@@ -60,6 +60,13 @@ def q_bars_hourly(spark, sf):
     return _r(P.bars(spark, sf, "1h"), BAR_DOUBLES).select(*BAR_COLS)
 
 
+@register("bars_minute", with_bars(f"SELECT {', '.join(c for c in BAR_COLS if c not in BAR_DOUBLES)}, "
+                                   f"{_sr(BAR_DOUBLES)} FROM bars_1m", "1m"))
+def q_bars_minute(spark, sf):
+    from barspark.sources.bars import bars_intraday
+    return _r(bars_intraday(spark, sf, "1m"), BAR_DOUBLES).select(*BAR_COLS)
+
+
 @register("dedup_bars", with_bars(
     "SELECT symbol, count(*) AS rows_in, count(DISTINCT ts) AS rows_out, "
     "count(*) - count(DISTINCT ts) AS duplicates_removed FROM bars_1h GROUP BY symbol", "1h"))
@@ -620,6 +627,15 @@ def q_stream_bars(spark, sf):
     return _r(out, ["open", "high", "low", "close"])
 
 
+@register("stream_bars_minute", with_bars(f"""
+SELECT symbol, ts, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low, {R('close')} AS close, volume
+FROM bars_1m WHERE ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - {_DELAY_SQL}""", "1m"))
+def q_stream_bars_minute(spark, sf):
+    from barspark.streaming import live
+    out = live.run_to_parquet(live.stream_bars(live.tick_stream(spark, sf), "1 minute"), "bars_1m")
+    return _r(out, ["open", "high", "low", "close"])
+
+
 @register("stream_dedup", f"SELECT event_type AS symbol, ts, {R('value')} AS price FROM events")
 def q_stream_dedup(spark, sf):
     from barspark.streaming import live
