@@ -70,3 +70,17 @@ def test_forecasters_persist(spark):
     forecast.save_forecasters(fc, path)
     lin, feats = forecast.load_linear(spark, path)
     assert feats == forecast.feature_names("1d") and lin.count() == 1
+
+
+def test_read_vendor_intraday_with_offsets(spark, tmp_path):
+    import datetime as dt
+    from barspark.sources.bars import read_vendor_bars
+    p = tmp_path / "TCS_NS_realtime.csv"
+    p.write_text("Datetime,Open,High,Low,Close,Volume,Dividends,Stock Splits,Ticker\n"
+                 "2024-01-02 09:15:00+05:30,10,11,9,10.5,100,0,0,TCS.NS\n"
+                 "2024-01-02 09:16:00+05:30,10.5,12,10,11,150,0,0,TCS.NS\n"
+                 "not a time,1,1,1,1,x,0,0,TCS.NS\n")
+    got = read_vendor_bars(spark, str(p), "1m").orderBy("ts").collect()
+    assert got[0].ts is None and got[0].volume is None            # quarantined, not failing the load
+    assert got[1].ts == dt.datetime(2024, 1, 2, 3, 45) and got[1].date == dt.date(2024, 1, 2)
+    assert got[2].close == 11.0 and got[2].volume == 150 and got[2].symbol == "TCS.NS"
