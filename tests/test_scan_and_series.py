@@ -21,9 +21,10 @@ def _bars(spark, series: dict[str, list[float]], grain="1d"):
     rows = []
     for sym, closes in series.items():
         t0 = dt.datetime(2020, 1, 1)
-        for i, c in enumerate(float(x) for x in closes):
+        for i, c in enumerate(None if x is None else float(x) for x in closes):
             ts = t0 + (dt.timedelta(days=i) if grain == "1d" else dt.timedelta(hours=i))
-            rows.append((sym, grain, ts, ts.date(), c, c * 1.01, c * 0.99, c, None, 100 + i))
+            rows.append((sym, grain, ts, ts.date(), c, None if c is None else c * 1.01,
+                         None if c is None else c * 0.99, c, None, 100 + i))
     return spark.createDataFrame(
         rows, "symbol string, grain string, ts timestamp_ntz, date date, open double, high double, "
               "low double, close double, adj_close double, volume bigint")
@@ -120,3 +121,17 @@ def test_fill_carries_across_buckets(spark):
     b = got[got.symbol == "B"].close.tolist()
     assert a == [float(i) for i in range(15)] + [14.0] * 35 + [float(i) for i in range(50, 60)]
     assert b == [140.0] * 40 + [float(100 + i) for i in range(40, 60)]
+
+
+def test_features_fill_nulls_like_pandas(spark):
+    rng = np.random.default_rng(9)
+    closes = list(100 + np.cumsum(rng.normal(0, 1, 300)))
+    holes = [None if (i < 3 or 100 <= i < 140 or i % 37 == 0) else c for i, c in enumerate(closes)]
+    got = features(_bars(spark, {"N": holes}), "1d", keep_index=True, block=64).toPandas().sort_values("seq")
+    filled = pd.Series(holes, dtype=float).ffill().bfill()
+    ref = indicators(filled)
+    for c in COLS:
+        a, b = ref[c].to_numpy(float), got[c].to_numpy(float)
+        assert (np.isnan(a) == np.isnan(b)).all(), c
+        m = ~np.isnan(a)
+        assert np.allclose(a[m], b[m], rtol=1e-9, atol=1e-9), c
