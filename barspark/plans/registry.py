@@ -506,13 +506,24 @@ def q_chrono_split(spark, sf):
 # ------------------------------------------------------------------ forecasting (models; rows-only)
 
 def _forecasters(spark, sf):
-    return P._memo(spark, sf, "forecasters_1d", lambda: forecast.fit_forecasters(_fact(spark, sf)))
+    """Split table + per-symbol linear model (cheap; the next-bar forecast and the
+    backtest need nothing else)."""
+    return P._memo(spark, sf, "forecasters_1d", lambda: forecast.fit_forecasters(_fact(spark, sf), trees="none"))
+
+
+def _forecasters_with_trees(spark, sf):
+    import dataclasses
+
+    def build():
+        fc = _forecasters(spark, sf)
+        return dataclasses.replace(fc, trees=forecast.pooled_trees(fc.split, fc.feats))
+    return P._memo(spark, sf, "forecasters_trees_1d", build)
 
 
 def _metrics(spark, sf):
     from barspark.session import materialize
     return P._memo(spark, sf, "forecast_metrics_1d",
-                   lambda: materialize(forecast.forecast_metrics(_forecasters(spark, sf)), "forecast_metrics"))
+                   lambda: materialize(forecast.forecast_metrics(_forecasters_with_trees(spark, sf)), "forecast_metrics"))
 
 
 @register("forecast_metrics")
@@ -537,7 +548,7 @@ def q_backtest(spark, sf):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    return forecast.feature_importance(_forecasters(spark, sf))
+    return forecast.feature_importance(_forecasters_with_trees(spark, sf))
 
 
 # ------------------------------------------------------------------ warehouse sinks
