@@ -84,3 +84,23 @@ def test_read_vendor_intraday_with_offsets(spark, tmp_path):
     assert got[0].ts is None and got[0].volume is None            # quarantined, not failing the load
     assert got[1].ts == dt.datetime(2024, 1, 2, 3, 45) and got[1].date == dt.date(2024, 1, 2)
     assert got[2].close == 11.0 and got[2].volume == 150 and got[2].symbol == "TCS.NS"
+
+
+def test_run_etl_from_vendor_files(spark, tmp_path):
+    from barspark.plans.pipeline import run_etl
+    from barspark.sources.warehouse import write_per_symbol_csv
+    b = P.bars(spark, SF_SMALL, "1d")
+    vendor = b.select(F.date_format("date", "yyyy-MM-dd").alias("Date"), F.col("open").alias("Open"),
+                      F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"),
+                      F.col("volume").alias("Volume"), F.col("symbol").alias("Ticker"), "symbol")
+    land = str(tmp_path / "raw")
+    write_per_symbol_csv(vendor.unionByName(vendor.limit(3)), land)   # with duplicate rows
+    wh = f"{checkpoint_dir(spark)}/etl-{uuid.uuid4().hex[:8]}"
+    fact = run_etl(spark, f"{land}/symbol=*/*.csv", wh, "1d", dim_rows=P.dim(spark, SF_SMALL))
+    want = P.fact(spark, SF_SMALL, "1d")
+    assert fact.count() == want.count()
+    j = fact.select("symbol", "date", F.col("rsi_14").alias("a")).join(
+        want.select("symbol", "date", F.col("rsi_14").alias("b")), ["symbol", "date"])
+    assert j.count() == want.count()
+    assert j.filter(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
+    assert spark.read.parquet(f"{wh}/dim").count() == P.dim(spark, SF_SMALL).count()
