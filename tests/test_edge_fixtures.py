@@ -166,3 +166,14 @@ def test_top_performers_rank_ties(spark):
     f = features(b, keep_index=True)
     got = {r.symbol: r.performance_rank for r in dashboard.top_performers(f).collect()}
     assert got == {"A": 1, "B": 1, "C": 3}
+
+
+def test_best_model_rule(spark):
+    from barspark.operators.forecast import best_model
+    m = spark.createDataFrame([
+        ("A", "Linear_Regression", 0.5), ("A", "Random_Forest", 0.7), ("A", "Gradient_Boosting", 0.6),
+        ("B", "Linear_Regression", 0.4), ("B", "Random_Forest", 0.8), ("B", "Gradient_Boosting", 0.8),
+        ("C", "Linear_Regression", -0.5), ("C", "Random_Forest", -0.1), ("C", "Gradient_Boosting", -0.2),
+    ], "symbol string, model string, test_r2 double")
+    got = {r.symbol: (r.best_model, r.best_test_r2) for r in best_model(m).collect()}
+    assert got == {"A": ("Random_Forest", 0.7), "B": ("Random_Forest", 0.8), "C": ("Linear_Regression", -0.5)}
