@@ -177,3 +177,19 @@ def test_best_model_rule(spark):
     ], "symbol string, model string, test_r2 double")
     got = {r.symbol: (r.best_model, r.best_test_r2) for r in best_model(m).collect()}
     assert got == {"A": ("Random_Forest", 0.7), "B": ("Random_Forest", 0.8), "C": ("Linear_Regression", -0.5)}
+
+
+def test_portfolio_volatility_two_forms_agree(spark):
+    import math
+    from barspark.plans import pipeline as P
+    from conftest import SF_MID
+    f = P.fact(spark, SF_MID)
+    w = portfolio.region_portfolios(spark, SF_MID)
+    rets = portfolio.aligned_returns(f, w)
+    risk = {r.portfolio_id: r.annual_volatility for r in portfolio.portfolio_risk(rets).collect()}
+    cov = portfolio.portfolio_cov(rets).toPandas()
+    wt = {(r.portfolio_id, r.symbol): r.weight_pct / 100 for r in w.collect()}
+    for pid, vol in risk.items():
+        c = cov[cov.portfolio_id == pid]
+        var = sum(wt[(pid, a)] * wt[(pid, b)] * v for a, b, v in zip(c.symbol_a, c.symbol_b, c.annual_cov))
+        assert math.sqrt(var) == pytest.approx(vol, rel=1e-4)
