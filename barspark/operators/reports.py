@@ -44,9 +44,10 @@ def mom_trend(fact: DataFrame) -> DataFrame:
                     .alias("mom_pct_change")))
 
 
-def sma_sql(fact: DataFrame, limit: int = 100) -> DataFrame:
+def sma_sql(fact: DataFrame, limit: int | None = 100) -> DataFrame:
     """SMA 20/50 over *partial* frames (averages whatever is there from bar 1), the
-    last ``limit`` rows by (symbol, date desc).
+    first ``limit`` rows by (symbol, date desc); ``limit=None`` keeps every row
+    (a distributed sort instead of a top-k).
 
     The windows run on halo blocks of the ``seq`` numbering, so no symbol is
     sorted by a single task."""
@@ -58,16 +59,19 @@ def sma_sql(fact: DataFrame, limit: int = 100) -> DataFrame:
         "db_calculated_sma_20": round_half(F.avg("close").over(w.rowsBetween(-19, 0)), 2),
         "db_calculated_sma_50": round_half(F.avg("close").over(w.rowsBetween(-49, 0)), 2)})
         .filter("_own").select("date", "symbol", "close", "db_calculated_sma_20", "db_calculated_sma_50"))
-    return out.orderBy(F.col("symbol"), F.col("date").desc()).limit(limit)
+    out = out.orderBy(F.col("symbol"), F.col("date").desc())
+    return out if limit is None else out.limit(limit)
 
 
-def rsi_alerts(fact: DataFrame, dim: DataFrame, limit: int = 50) -> DataFrame:
+def rsi_alerts(fact: DataFrame, dim: DataFrame, limit: int | None = 50) -> DataFrame:
     """Bars with RSI >= 70 or <= 30, newest first (RSI desc, symbol as the final
     tie-break so the LIMIT is deterministic)."""
     hits = fact.filter((F.col("rsi_14") >= 70) | (F.col("rsi_14") <= 30))
-    return (hits.join(dim.select("symbol", "company_name"), "symbol")
-            .orderBy(F.col("date").desc(), F.col("rsi_14").desc(), F.col("symbol"))
-            .limit(limit)
+    ordered = (hits.join(dim.select("symbol", "company_name"), "symbol")
+               .orderBy(F.col("date").desc(), F.col("rsi_14").desc(), F.col("symbol")))
+    if limit is not None:
+        ordered = ordered.limit(limit)
+    return (ordered
             .select("date", "company_name", "symbol", round_half("close", 2).alias("closing_price"),
                     round_half("rsi_14", 2).alias("rsi_14"), rsi_signal(F.col("rsi_14")).alias("signal_status"),
                     round_half("pct_change", 2).alias("daily_pct_change")))

@@ -193,3 +193,17 @@ def test_portfolio_volatility_two_forms_agree(spark):
         c = cov[cov.portfolio_id == pid]
         var = sum(wt[(pid, a)] * wt[(pid, b)] * v for a, b, v in zip(c.symbol_a, c.symbol_b, c.annual_cov))
         assert math.sqrt(var) == pytest.approx(vol, rel=1e-4)
+
+
+def test_sql_sma_equals_feature_sma_once_full(spark):
+    from barspark.functions.scalar import round_half
+    from barspark.plans import pipeline as P
+    from conftest import SF_SMALL
+    f = P.fact(spark, SF_SMALL)
+    s = reports.sma_sql(f, limit=None)
+    j = s.join(f.select("symbol", "date", "seq", round_half("sma_20", 2).alias("s20"),
+                        round_half("sma_50", 2).alias("s50")), ["symbol", "date"])
+    assert j.count() == f.count()
+    assert j.filter((F.col("seq") >= 19) & (F.col("s20") != F.col("db_calculated_sma_20"))).count() == 0
+    assert j.filter((F.col("seq") >= 49) & (F.col("s50") != F.col("db_calculated_sma_50"))).count() == 0
+    assert j.filter((F.col("seq") < 19) & F.col("s20").isNotNull()).count() == 0
