@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import mixing, quality, winnow
+from barspark.llm import mixing, quality, recompress, winnow
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -40,3 +40,9 @@ def op8_fingerprints(spark, sf_dir):
     return c.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                     winnow.digest(F.col("p")).alias("fingerprint"), winnow.digest(F.col("q")).alias("edited_fingerprint"),
                     "near_edited", "near_next")
+
+
+@register("op9_substrings")
+def op9_substrings(spark, sf_dir):
+    r = recompress.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
+    return r.drop("th")
