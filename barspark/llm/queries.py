@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import mixing, quality, recompress, winnow
+from barspark.llm import mixing, pigeonhole, quality, recompress, winnow
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -46,3 +46,9 @@ def op8_fingerprints(spark, sf_dir):
 def op9_substrings(spark, sf_dir):
     r = recompress.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     return r.drop("th")
+
+
+@register("op10_jaccard")
+def op10_jaccard(spark, sf_dir):
+    n = pigeonhole.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return n.select("doc_id", "n_shingles", "component_id", "n_links")
