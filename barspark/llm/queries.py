@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import licenses, mixing, pigeonhole, quality, recompress, urls, winnow
+from barspark.llm import licenses, lm, mixing, pigeonhole, quality, recompress, urls, winnow
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -72,6 +72,12 @@ def op1_urls(spark, sf_dir):
     return urls.evaluate(pages, entries)
 
 
+@register("op3_lm")
+def op3_lm(spark, sf_dir):
+    s = lm.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return s.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op4_licenses")
 def op4_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
