@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import licenses, lm, mixing, pigeonhole, quality, recompress, urls, winnow
+from barspark.llm import htmltext, licenses, lm, mixing, pigeonhole, quality, recompress, urls, winnow
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -72,6 +72,13 @@ def op1_urls(spark, sf_dir):
     return urls.evaluate(pages, entries)
 
 
+@register("op2_html")
+def op2_html(spark, sf_dir):
+    e = htmltext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    text = F.array_join("blocks", "\n\n")
+    return e.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 @register("op3_lm")
 def op3_lm(spark, sf_dir):
     s = lm.score(table(spark, sf_dir, "documents", "doc_id", "text"))
