@@ -126,3 +126,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     j = j.alias("j").join(sums.select("source", best.alias("shift")).alias("b"), same("j", "b", ["source"]))
     return j.select("doc_id", "j.source", "size", "source_size", "target", "rate", "tie", copies(F.col("shift")).alias("copies"),
                     (copies(F.col("shift")) * F.col("size")).alias("taken"))
+
+
+def apply(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it (not at all, once or more).
+
+    Rows that are equal in id and text share their copies evenly.
+    """
+    m = mix(docs, **settings).where("copies > 0").groupBy("doc_id", "tie").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n"))
+    m = m.withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
+    j = docs.withColumn("_own", F.xxhash64("doc_id", "text")).join(m, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tie")))
+    times = F.greatest(F.lit(1), F.floor(F.col("_copies") / F.col("_n"))).cast("int")
+    return j.withColumn("_time", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

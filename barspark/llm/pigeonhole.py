@@ -378,6 +378,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def keep_first(docs: DataFrame, **settings) -> DataFrame:
+    """One document of each component, with all its columns: the one of the smallest id.
+
+    Of repeated rows one stays.  Documents without words are components of
+    their own and stay.
+    """
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    n = near_duplicates(docs, **settings)
+    stay = n.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("th").alias("_th"))
+    stay = stay.withColumnRenamed("doc_id", "_id")
+    j = docs.withColumn("_own", th).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")))
+    return j.dropDuplicates(["_id", "_th"]).select(*docs.columns)
+
+
 def _pruned(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))

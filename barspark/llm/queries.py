@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import htmltext, licenses, lm, mixing, pigeonhole, quality, recompress, urls, winnow
+from barspark.llm import htmltext, licenses, lm, mixing, pigeonhole, quality, recompress, sentencepieces, urls, winnow
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -90,6 +90,15 @@ def op4_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+#: A public pair model with byte fallback; any model file that the driver can read will do.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@register("op5_sentencepiece")
+def op5_sentencepiece(spark, sf_dir, model: str = MODEL):
+    return sentencepieces.encode(table(spark, sf_dir, "documents", "doc_id", "text"), model, ids=False)
+
+
 @register("op6_quality")
 def op6_quality(spark, sf_dir):
     j = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))

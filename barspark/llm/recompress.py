@@ -235,3 +235,16 @@ def _with_text(rows: DataFrame, s: DataFrame, d: DataFrame, col: str) -> DataFra
     who = s.select("rid", F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
     return (rows.join(who, "rid").join(d, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
             .select("rid", "text", col))
+
+
+def apply(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with the removed words taken out of their texts (and ``n_chars`` made new); all rows and columns stay.
+
+    Texts that lose nothing stand unchanged; others become their kept words joined by one space.
+    """
+    r = remove_repeats(docs, **settings).where("n_removed > 0").groupBy("doc_id", "th").agg(F.first("kept_text").alias("_kept"))
+    r = r.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    j = docs.withColumn("_own", own).join(r, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
+    j = j.withColumn("text", F.coalesce("_kept", "text"))
+    return j.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept"))).select(*docs.columns)

@@ -9,10 +9,10 @@ reads it back, like the callers of ``STAGES``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from barspark.llm import quality
+from barspark.llm import mixing, pigeonhole, quality, recompress, sentencepieces
 from barspark.llm.common import materialize
+from barspark.llm.queries import MODEL
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None  # the later stages (components, rounding, tokenizer) are beyond SQL; see tests/llm
@@ -23,13 +23,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies (similarity 0.75 or more on shingles of five words)."""
+    return pigeonhole.keep_first(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of windows of 35 words that occur again anywhere."""
+    return recompress.apply(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows repeated or left out so that sources come to their target weights."""
+    return mixing.apply(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str = MODEL) -> DataFrame:
+    """One row per document and copy: doc_id, n_tokens, ids, and whether decoding gives the text again."""
+    return sentencepieces.encode(docs, model, verify=False).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", substring_dedup),
+    ("mixing sources", mix_sources),
+    ("SentencePiece encoding", tokenize),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = materialize(docs, "stage_" + name.replace(" ", "_"))
+            docs = materialize(docs, f"stage_{i}")
     return docs
