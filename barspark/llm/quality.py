@@ -3,7 +3,7 @@
 Two histograms describe a document: its characters by class, and its
 common words.  Each language's reference is the mean histogram (each
 document counts alike, however long) of the documents of that language that
-the base rules keep.  A document whose
+the base rules keep and that hold few symbols.  A document whose
 Jensen-Shannon distance (square root of the divergence, base 2, 0 to 1)
 from its reference exceeds a limit is rejected, unless it is too short for
 its histogram to mean anything.  DataFrame functions only.
@@ -103,17 +103,19 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def judge(docs: DataFrame, min_words: int = 50, repeat_pct: int = 50, min_chars: int = 200,
-          max_char_distance: float = 0.25, max_word_distance: float = 0.75, **cols: str) -> DataFrame:
+          max_char_distance: float = 0.33, max_word_distance: float = 0.75, max_symbol_pct: int = 5, **cols: str) -> DataFrame:
     """One row per document: counts, distances from the language's references, and the verdict.
 
     ``min_chars`` characters and ``min_words`` words are the least for which
-    the two distances are judged.  The histograms are stored once (a few
+    the two distances are judged; documents with more than ``max_symbol_pct``
+    symbols in 100 word characters are no reference.  The histograms are stored once (a few
     hundred bytes a document), so the texts are read and cut a single time.
     """
     f = materialize(features(docs, **cols).withColumn("base_failed", base_failed(min_words, repeat_pct)), "quality")
     n = {"chars": len(CLASSES) + 1, "commons": len(COMMON_WORDS) + 1}
     share = lambda c, i: F.avg(F.col(c)[i] / F.aggregate(c, F.lit(0.0), lambda s, x: s + x))
-    ref = f.where(~F.col("base_failed")).groupBy("lang").agg(*[
+    fit = ~F.col("base_failed") & (100 * F.col("n_symbols") <= max_symbol_pct * F.col("word_chars"))
+    ref = f.where(fit).groupBy("lang").agg(*[
         F.array(*[share(c, i) for i in range(k)]).alias(f"ref_{c}") for c, k in n.items()])
     ref = ref.withColumnRenamed("lang", "ref_lang")
     j = f.join(ref, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")

@@ -25,6 +25,7 @@ from barspark.llm.common import let, ordered_index, words
 
 K, W = 4, 8
 POS_BITS = 22
+NO_ID = -(1 << 63)
 
 
 def kgram_hashes(text: Column, k: int = K) -> Column:
@@ -84,19 +85,19 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` -> one row per distinct document with the next one's id, in descending doc_id.
+    """``(key, th, text)`` -> one row per distinct document with the next one's key and hash, in descending key.
 
-    The last is followed by the first.  Documents of one doc_id are ordered
-    by a hash of their text; a null doc_id comes last.  Only ids and hashes
-    are ordered, in ranges, so no task sees all of them.
+    The last is followed by the first.  Documents of one key are ordered by
+    the hash of their text; NO_ID, which stands for a null id, is the
+    smallest key and comes last.  Only keys and hashes are ordered, in ranges, so no
+    task sees all of them.
     """
-    ids = docs.select("doc_id", F.xxhash64("text").alias("th"), F.length("text").alias("n")).distinct()
-    i = ordered_index(ids, F.col("doc_id").desc_nulls_last(), F.col("th"))
-    n = i.agg(F.count(F.lit(1)).alias("rows"))
-    nxt = i.select(((F.col("idx")) - 1).alias("before"), F.col("doc_id").alias("next_id"), F.col("th").alias("next_th"))
-    rows = n.first()["rows"]
+    ids = docs.select("key", "th", F.length("text").alias("n")).distinct()
+    i = ordered_index(ids, F.col("key").desc(), F.col("th"))
+    rows = i.count()
+    nxt = i.select((F.col("idx") - 1).alias("before"), F.col("key").alias("next_key"), F.col("th").alias("next_th"))
     nxt = nxt.withColumn("before", F.when(F.col("before") < 0, F.lit(rows - 1)).otherwise(F.col("before")))
-    return i.join(nxt, F.col("idx") == F.col("before")).select("doc_id", "th", "n", "next_id", "next_th")
+    return i.join(nxt, F.col("idx") == F.col("before")).select("key", "th", "n", "next_key", "next_th")
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, w: int = W) -> DataFrame:
@@ -107,19 +108,19 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     document then sends the one before it only the piece that it needs and
     its own kept hashes.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    d = d.withColumn("th", F.xxhash64("text"))
     near = neighbours(d)
     # by its next document: what that one must send, and to whom
-    asks = near.select(F.col("next_id").alias("a_id"), F.col("next_th").alias("a_th"), F.col("doc_id").alias("to_id"),
+    asks = near.select(F.col("next_key").alias("a_key"), F.col("next_th").alias("a_th"), F.col("key").alias("to_key"),
                        F.col("th").alias("to_th"), F.floor(F.col("n") / 3).cast("int").alias("need"))
-    t = d.withColumn("th", F.xxhash64("text")).repartition(F.col("doc_id"), F.col("th"))
-    hashes = lambda c: F.array_distinct(pick_hashes(picks(c, k, w)))
-    once = t.dropDuplicates(["doc_id", "th"])
-    sent = once.join(asks, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("th") == F.col("a_th"))).select(
-        "to_id", "to_th", F.expr("left(text, need)").alias("piece"), hashes(F.col("text")).alias("next_hashes"))
-    j = t.join(sent, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("th") == F.col("to_th")))
-    n = F.length("text")
-    j = j.select("doc_id", "text", n.cast("long").alias("n_chars"), "next_hashes",
+    t = d.repartition("key", "th")  # both uses below read this one exchange
+    hashes = F.array_distinct(pick_hashes(picks(F.col("text"), k, w)))
+    sent = (t.join(asks, (F.col("key") == F.col("a_key")) & (F.col("th") == F.col("a_th")))
+            .select("to_key", "to_th", F.expr("left(text, need)").alias("piece"), hashes.alias("next_hashes"))
+            .dropDuplicates(["to_key", "to_th"]))
+    j = t.join(sent, (F.col("key") == F.col("to_key")) & (F.col("th") == F.col("to_th")))
+    j = j.select(F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "text", F.length("text").cast("long").alias("n_chars"), "next_hashes",
                  F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 3) as int))"), "piece").alias("edited"))
     return (j.withColumn("p", picks(F.col("text"), k, w)).withColumn("q", picks(F.col("edited"), k, w))
             .withColumns({"h": pick_hashes(F.col("p")), "e": pick_hashes(F.col("q"))})
