@@ -649,24 +649,39 @@ def q_stream_bars_minute(spark, sf):
 
 @register("stream_dedup", f"SELECT event_type AS symbol, ts, {R('value')} AS price FROM events")
 def q_stream_dedup(spark, sf):
+    """Every third tick arrives a second time (by a rule on event_id); the stream drops the repeats."""
     from barspark.streaming import live
-    out = live.run_to_parquet(live.stream_dedup(live.tick_stream(spark, sf)), "dedup")
+    ticks = live.tick_stream(spark, sf)
+    twice = ticks.withColumn("copy", F.explode(F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1)))
+                                               .otherwise(F.array(F.lit(0)))))
+    out = live.run_to_parquet(live.stream_dedup(twice), "dedup")
     return out.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), round_half("price").alias("price"))
 
 
 _STREAM_IND = ["daily_return", "volatility", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist"]
 
 
+def _scattered(spark, bars, name: str, files: int = 16):
+    """Bars stored as shuffled part files, as they would land from many feeds; read back as several micro-batches."""
+    from barspark.session import stored
+    from barspark.streaming import live
+    path = stored(bars.repartition(files, F.xxhash64("symbol", "ts")), name)
+    return live.file_stream(spark, bars, path, files_per_trigger=5)
+
+
 @register("stream_indicators", with_features(
     f"SELECT symbol, ts, {R('close')} AS close, " + ", ".join(f"{R(c, 6)} AS {c}" for c in _STREAM_IND)
     + " FROM feat_1h", "1h"))
 def q_stream_indicators(spark, sf):
-    from barspark.session import table_path
+    """Hourly bars in 16 shuffled files and several micro-batches; the delay covers the disorder."""
+    import uuid
+    from barspark.session import checkpoint_dir
     from barspark.streaming import live
-    bars = P.bars(spark, sf, "1h")
-    src = live.file_stream(spark, bars, table_path(bars))
-    out = live.run_to_parquet(live.stream_indicators(src), "indicators")
-    return (out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    src = _scattered(spark, P.bars(spark, sf, "1h"), "bars_scattered")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/indicators-{uuid.uuid4().hex[:10]}"
+    rows = live.stream_indicators(src, "400 days").withColumn("date", F.to_date("ts"))
+    out = live.upsert_stream(rows, path, ["symbol", "ts"], ["symbol", "date"], mode="update")
+    return (out.drop("date").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
             .withColumns({"close": round_half("close"), **{c: round_half(c, 6) for c in _STREAM_IND}}))
 
 
@@ -675,22 +690,23 @@ SELECT f.date, s.company_name, f.symbol, {R('f.close', 2)} AS closing_price, {R(
        {R('f.pct_change', 2)} AS daily_pct_change
 FROM feat_1d f JOIN dim s ON f.symbol = s.symbol WHERE f.rsi_14 >= 70 OR f.rsi_14 <= 30""", dim=True))
 def q_stream_alerts(spark, sf):
-    from barspark.session import table_path
     from barspark.streaming import live
-    fact = _fact(spark, sf)
-    src = live.file_stream(spark, fact, table_path(fact))
+    src = _scattered(spark, _fact(spark, sf), "fact_scattered")
     out = live.run_to_parquet(live.stream_alerts(src, P.dim(spark, sf)), "alerts")
     return out.select("date", "company_name", "symbol", round_half("close", 2).alias("closing_price"),
                       round_half("rsi_14", 2).alias("rsi_14"), round_half("pct_change", 2).alias("daily_pct_change"))
 
 
 @register("stream_upsert", with_bars(
-    "SELECT '1h' AS grain, symbol, count(*) AS n_rows FROM bars_1h GROUP BY symbol", "1h"))
+    f"SELECT '1h' AS grain, symbol, ts, date, {_sr(['open', 'high', 'low', 'close'])}, volume FROM bars_1h", "1h"))
 def q_stream_upsert(spark, sf):
+    """Hourly bars in 16 shuffled files merged batch by batch, then all of them once more: every row is there once."""
     import uuid
-    from barspark.session import checkpoint_dir, table_path
+    from barspark.session import checkpoint_dir
     from barspark.streaming import live
-    bars = P.bars(spark, sf, "1h")
     path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/stream-{uuid.uuid4().hex[:10]}"
-    out = live.stream_upsert(live.file_stream(spark, bars, table_path(bars)).drop("grain"), path)
-    return out.groupBy("grain", "symbol").agg(F.count(F.lit(1)).alias("n_rows"))
+    bars = P.bars(spark, sf, "1h")
+    cols = ["symbol", "ts", "date", "open", "high", "low", "close", "volume"]
+    for _ in range(2):
+        out = live.stream_upsert(_scattered(spark, bars, "bars_scattered").select(*cols), path)
+    return _r(out, ["open", "high", "low", "close"]).select("grain", *cols)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,38 +54,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="barspark-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+def stored(df: DataFrame, name: str) -> str:
+    """Write ``df`` as a parquet table under the shared checkpoint folder; returns its path.
 
     Used at plan cut points that several branches read (instead of
     recomputing the upstream per branch); unlike an RDD checkpoint the
-    result keeps parquet statistics (for AQE join choices) and column pruning.
-    """
-    import uuid
-
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    result keeps parquet statistics (for AQE join choices) and column pruning."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    PATHS[id(out)] = path
-    return out
-
+    return path
 
-PATHS: dict[int, str] = {}
 
-
-def table_path(df: DataFrame) -> str:
-    """Folder of a DataFrame returned by ``materialize``."""
-    return PATHS[id(df)]
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` and read back."""
+    return df.sparkSession.read.parquet(stored(df, name))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.schemas import DIM, FACT_COLUMNS, FACT_DEFAULTS, VENDOR_COLUMN_MAP
+from barspark.session import materialize
 
 # The reference's five-company seed of the dimension table.
 SEED_DIM_ROWS = [
@@ -50,16 +51,31 @@ def map_columns(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_facts(fact: DataFrame, path: str) -> None:
-    """Replace-by-(grain, symbol) load: only partitions present in ``fact`` change."""
-    spark = fact.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (fact.repartition("grain", "symbol").write.mode("overwrite")
-         .partitionBy("grain", "symbol").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def write_facts(fact: DataFrame, path: str, spread: int | None = None) -> None:
+    """Replace-by-(grain, symbol) load: only partitions present in ``fact`` change.
+
+    Rows of a (grain, symbol) are dealt by year and month of ``ts`` too, so
+    a hot symbol is written by many tasks, one file each."""
+    n = spread or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (fact.repartition(n, "grain", "symbol", F.date_trunc("month", F.col("ts")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("grain", "symbol").parquet(path))
+
+
+def merge_rows(batch: DataFrame, path: str, keys: list[str], partitions: list[str]) -> None:
+    """Merge rows into a partitioned parquet folder: of each key the batch's row stays, else the folder's.
+
+    Only partitions that the batch touches are read and rewritten.  The
+    merged rows are stored before the folder changes, so a failed write can be
+    repeated."""
+    spark = batch.sparkSession
+    spark.createDataFrame([], batch.schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
+    batch = batch.dropDuplicates(keys)
+    have = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
+    touched = batch.select(*partitions).distinct()
+    kept = have.join(touched, partitions, "left_semi").join(batch.select(*keys), keys, "left_anti")
+    merged = materialize(kept.unionByName(batch), "merge")
+    (merged.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
 
 
 def load_symbol(spark: SparkSession, path: str, symbol: str, grain: str = "1d",

@@ -9,12 +9,12 @@ exactly where it stopped; nothing is collected into driver memory.
   tumbling window, append mode: a bar is emitted once the watermark passes
   its end (late ticks beyond the delay are dropped).
 * ``stream_dedup``      duplicate ticks on (symbol, ts) dropped within the watermark.
-* ``stream_indicators`` per-symbol state (last close, EMA 20/12/26, signal,
-  RSI averages, last 5 returns) updated bar by bar with
-  ``applyInPandasWithState``; bars older than the symbol's last one are dropped.
+* ``stream_indicators`` per-symbol state (running values up to the watermark and
+  the bars since) with ``applyInPandasWithState`` in update mode; bars may come in
+  any order within the delay, only bars behind the watermark are dropped.
 * ``stream_alerts``     stream-static join of features with the dimension,
   RSI threshold filter.
-* ``stream_upsert``     ``foreachBatch`` replace-by-(grain, symbol) load.
+* ``stream_upsert``     ``foreachBatch`` merge by (grain, symbol, ts).
 """
 
 from __future__ import annotations
@@ -54,19 +54,22 @@ def run_to_parquet(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
 
 def tick_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """The events table as a tick stream (symbol, ts TIMESTAMP, price)."""
-    raw = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
-           .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir))
+    """The events table as a tick stream (symbol, ts TIMESTAMP, price, event_id).
+
+    The path is a pattern, so the table may be one file or a folder of part files."""
+    raw = (spark.readStream.schema(EVENT_SCHEMA)
+           .option("maxFilesPerTrigger", files_per_trigger).parquet(f"{sf_dir.rstrip('/')}/event[s].parquet"))
     # watermarks need TIMESTAMP (with zone); the session zone is UTC
     return raw.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"),
-                      F.col("value").alias("price"))
+                      F.col("value").alias("price"), "event_id")
 
 
 def stream_bars(ticks: DataFrame, interval: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     w = F.window("ts", interval)
+    key = F.struct("ts", *[c for c in ("event_id",) if c in ticks.columns])  # breaks ties of equal times
     return (ticks.withWatermark("ts", delay).groupBy("symbol", w.alias("w"))
-            .agg(F.min_by("price", "ts").alias("open"), F.max("price").alias("high"),
-                 F.min("price").alias("low"), F.max_by("price", "ts").alias("close"),
+            .agg(F.min_by("price", key).alias("open"), F.max("price").alias("high"),
+                 F.min("price").alias("low"), F.max_by("price", key).alias("close"),
                  F.count(F.lit(1)).alias("volume"))
             .select("symbol", F.col("w.start").cast("timestamp_ntz").alias("ts"),
                     "open", "high", "low", "close", "volume"))
@@ -78,12 +81,14 @@ def stream_dedup(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 # ------------------------------------------------------------------ incremental indicators
 
+# What is known of a symbol after its last settled bar, and the bars since (by time, with their closes).
 _STATE = T.StructType([
-    T.StructField("last_ts", T.TimestampType()), T.StructField("n", T.LongType()),
-    T.StructField("last_close", T.DoubleType()), T.StructField("ema_20", T.DoubleType()),
-    T.StructField("ema_fast", T.DoubleType()), T.StructField("ema_slow", T.DoubleType()),
-    T.StructField("signal", T.DoubleType()), T.StructField("avg_gain", T.DoubleType()),
-    T.StructField("avg_loss", T.DoubleType()), T.StructField("rets", T.ArrayType(T.DoubleType())),
+    T.StructField("last_us", T.LongType()), T.StructField("n", T.LongType()),
+    T.StructField("close", T.DoubleType()), T.StructField("ema_20", T.DoubleType()),
+    T.StructField("fast", T.DoubleType()), T.StructField("slow", T.DoubleType()),
+    T.StructField("signal", T.DoubleType()), T.StructField("gain", T.DoubleType()),
+    T.StructField("loss", T.DoubleType()), T.StructField("rets", T.ArrayType(T.DoubleType())),
+    T.StructField("open_us", T.ArrayType(T.LongType())), T.StructField("open_close", T.ArrayType(T.DoubleType())),
 ])
 
 INDICATOR_SCHEMA = T.StructType([
@@ -97,57 +102,95 @@ INDICATOR_SCHEMA = T.StructType([
 # Fixed indicator parameters (same as the batch features).
 _A20, _A12, _A26, _A9 = 2.0 / 21, 2.0 / 13, 2.0 / 27, 2.0 / 10
 _ARSI, _RSI_N, _VOL_N = 1.0 / 14, 14, 5
+_SEED = (None, 0, None, None, None, None, 0.0, 0.0, 0.0, [], [], [])
+
+
+def _smooth(before: float, values: np.ndarray, alpha: float) -> np.ndarray:
+    """``y = (1 - alpha) * y_before + alpha * value`` along an array."""
+    return pd.Series(np.concatenate([[before], values])).ewm(alpha=alpha, adjust=False).mean().to_numpy()[1:]
+
+
+def _indicators(snapshot: tuple, close: np.ndarray) -> dict[str, np.ndarray]:
+    """All indicator columns of the bars that follow a snapshot, as arrays."""
+    _, n, last, e20, fast, slow, sig, gain, loss, rets = snapshot[:10]
+    k = np.arange(n, n + len(close))
+    prev = np.concatenate([[np.nan if last is None else last], close[:-1]])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ret = np.where(prev == 0, np.nan, close / prev - 1)
+    diff = close - prev
+    up, down = np.maximum(diff, 0.0), np.maximum(-diff, 0.0)
+    out = {"daily_return": np.where(k == 0, 0.0, ret)}
+    if n == 0:
+        e20, fast, slow, sig = close[0], close[0], close[0], 0.0
+        up[0] = down[0] = 0.0
+    out["ema_20"], f, s = _smooth(e20, close, _A20), _smooth(fast, close, _A12), _smooth(slow, close, _A26)
+    line = f - s
+    out["fast"], out["slow"], out["macd_line"], out["macd_signal"] = f, s, line, _smooth(sig, line, _A9)
+    out["macd_hist"] = line - out["macd_signal"]
+    for name, before, x in (("gain", gain, up), ("loss", loss, down)):
+        y = np.zeros(len(x))
+        first = max(0, min(2 - n, len(x)))  # the smoothing starts from the first difference
+        if first and n + first > 1:
+            y[first - 1] = before = x[first - 1]
+        y[first:] = _smooth(before, x[first:], _ARSI)
+        out[name] = y
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out["rsi_14"] = np.where((k >= _RSI_N) & (out["loss"] != 0), 100 - 100 / (1 + out["gain"] / out["loss"]), 50.0)
+    r = pd.Series(np.concatenate([np.asarray([np.nan if x is None else x for x in rets], float), out["daily_return"]]))
+    out["rets"] = r.to_numpy()
+    out["volatility"] = r.rolling(_VOL_N).apply(lambda x: np.std(x, ddof=1), raw=True).fillna(0.0).to_numpy()[len(rets):]
+    return out
 
 
 def _indicator_step(key, pdfs, state):
-    if state.exists:
-        (last_ts, n, last_close, e20, ef, es, sig, ag, al, rets) = state.get
-        rets = list(rets)
-    else:
-        last_ts, n, last_close, e20, ef, es, sig, ag, al, rets = None, 0, None, None, None, None, 0.0, 0.0, 0.0, []
-    out = []
+    """Merge a micro-batch into a symbol's open bars and give every bar from the earliest new one on anew.
+
+    Bars up to the watermark are then settled: they leave the open bars and
+    only their running values stay.  A bar that is not after the last settled
+    one is late and dropped."""
+    old = tuple(state.get) if state.exists else _SEED
+    last_us = old[0]
+    us, close = [np.asarray(old[10], np.int64)], [np.asarray(old[11], float)]
     for pdf in pdfs:
-        out.append(pdf)
-    if not out:
+        us.append(pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64))
+        close.append(pdf["close"].to_numpy(float))
+    had = len(us[0])
+    us, close = np.concatenate(us), np.concatenate(close)
+    us, first = np.unique(us, return_index=True)  # of bars of one time the first to arrive stays
+    close, new = close[first], first >= had
+    if last_us is not None:
+        on_time = us > last_us
+        us, close, new = us[on_time], close[on_time], new[on_time]
+    if not len(us):
         return
-    bars = pd.concat(out).sort_values("ts")
-    rows = []
-    for ts, close in zip(bars["ts"], bars["close"]):
-        ts = pd.Timestamp(ts).to_pydatetime()
-        if last_ts is not None and ts <= last_ts:
-            continue  # behind the symbol's last bar: late, dropped
-        if n == 0:
-            ret, e20, ef, es, sig = 0.0, close, close, close, 0.0
-        else:
-            ret = close / last_close - 1 if last_close not in (0, None) else None
-            e20 = (1 - _A20) * e20 + _A20 * close
-            ef = (1 - _A12) * ef + _A12 * close
-            es = (1 - _A26) * es + _A26 * close
-            sig = (1 - _A9) * sig + _A9 * (ef - es)
-            d = close - last_close
-            g, l_ = max(d, 0.0), max(-d, 0.0)
-            ag = g if n == 1 else (1 - _ARSI) * ag + _ARSI * g
-            al = l_ if n == 1 else (1 - _ARSI) * al + _ARSI * l_
-        rets = (rets + [ret])[-_VOL_N:]
-        vol = 0.0
-        if len(rets) == _VOL_N and all(r is not None for r in rets):
-            vol = float(np.std(np.asarray(rets, dtype=float), ddof=1))
-        rsi = 50.0
-        if n >= _RSI_N and al != 0:
-            rsi = 100 - 100 / (1 + ag / al)
-        rows.append((key[0], ts, close, ret, vol, e20, rsi, ef - es, sig, (ef - es) - sig))
-        n += 1
-        last_close, last_ts = close, ts
-    state.update((last_ts, n, last_close, e20, ef, es, sig, ag, al, rets))
-    if rows:
-        yield pd.DataFrame(rows, columns=[f.name for f in INDICATOR_SCHEMA.fields])
-
-
-def stream_indicators(bars: DataFrame) -> DataFrame:
-    """Live return, 5-bar volatility, EMA 20, RSI 14, MACD per symbol from a bar stream."""
-    return (bars.select("symbol", F.col("ts").cast("timestamp").alias("ts"), "close")
+    cols = _indicators(old, close)
+    if new.any():
+        at = int(np.argmax(new))
+        out = {"symbol": key[0], "ts": us[at:].astype("datetime64[us]"), "close": close[at:]}
+        out.update({c: cols[c][at:] for c in INDICATOR_SCHEMA.names[3:]})
+        yield pd.DataFrame(out)
+    done = int(np.searchsorted(us, state.getCurrentWatermarkMs() * 1000, "right"))
+    if done:
+        i = done - 1
+        n_rets = len(old[9])
+        settled = (int(us[i]), int(old[1] + done), *(float(x) for x in (
+            close[i], cols["ema_20"][i], cols["fast"][i], cols["slow"][i], cols["macd_signal"][i], cols["gain"][i], cols["loss"][i])),
+            [None if np.isnan(x) else float(x) for x in cols["rets"][: n_rets + done][-(_VOL_N - 1):]])
+    else:
+        settled = old[:10]
+    state.update((*settled, us[done:].tolist(), close[done:].tolist()))
+
+
+def stream_indicators(bars: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Live return, 5-bar volatility, EMA 20, RSI 14, MACD per symbol from a bar stream (update mode).
+
+    A bar is given at once; if earlier bars arrive within ``delay``, the
+    later ones are given again with their new values, so the sink keeps the
+    last row per (symbol, ts): see ``upsert_stream``.  State holds a symbol's
+    bars of the last ``delay`` and ten running values."""
+    return (bars.select("symbol", F.col("ts").cast("timestamp").alias("ts"), "close").withWatermark("ts", delay)
             .groupBy("symbol")
-            .applyInPandasWithState(_indicator_step, INDICATOR_SCHEMA, _STATE, "append",
+            .applyInPandasWithState(_indicator_step, INDICATOR_SCHEMA, _STATE, "update",
                                     GroupStateTimeout.NoTimeout))
 
 
@@ -157,19 +200,27 @@ def stream_alerts(features: DataFrame, dim: DataFrame) -> DataFrame:
     return hits.join(dim.select("symbol", "company_name"), "symbol")
 
 
-def stream_upsert(bars: DataFrame, path: str, grain: str = "1h") -> DataFrame:
-    """Replace-by-(grain, symbol) load of every micro-batch into the fact folder."""
-    from barspark.sources.warehouse import write_facts
-    spark = bars.sparkSession
+def upsert_stream(rows: DataFrame, path: str, keys: list[str], partitions: list[str], mode: str = "append") -> DataFrame:
+    """Merge every micro-batch of a stream into a parquet folder: the newest row per key stays.
+
+    ``partitions`` are columns of ``rows`` that the keys determine; a batch rewrites only the
+    partitions that it touches.  A batch that runs again gives the same folder."""
+    from barspark.sources.warehouse import merge_rows
+    spark = rows.sparkSession
     _, ck = _paths(spark, "upsert")
 
     def load(batch: DataFrame, epoch: int) -> None:
-        write_facts(batch.withColumn("grain", F.lit(grain)), path)
+        merge_rows(batch, path, keys, partitions)
 
-    q = (bars.writeStream.foreachBatch(load).option("checkpointLocation", ck)
+    q = (rows.writeStream.foreachBatch(load).outputMode(mode).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stream_upsert(bars: DataFrame, path: str, grain: str = "1h") -> DataFrame:
+    """Bars of a stream merged into the fact folder by (grain, symbol, ts), partitioned by (grain, symbol, date)."""
+    return upsert_stream(bars.withColumn("grain", F.lit(grain)), path, ["grain", "symbol", "ts"], ["grain", "symbol", "date"])
 
 
 def file_stream(spark: SparkSession, like: DataFrame, path: str, files_per_trigger: int = 4) -> DataFrame:

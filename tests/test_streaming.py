@@ -9,27 +9,77 @@ from barspark.session import checkpoint_dir
 from barspark.streaming import live
 
 
-def test_stream_indicators_across_batches_drop_late(spark):
+SCHEMA = "symbol string, ts timestamp_ntz, close double"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def _landing(spark, files, schema):
+    """Files that land one after the other, one micro-batch each."""
     base = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex[:8]}"
-    t0 = dt.datetime(2024, 1, 1)
-    schema = "symbol string, ts timestamp_ntz, close double"
-    first = [("A", t0 + dt.timedelta(hours=i), 10.0 + i) for i in range(10)]
-    second = [("A", t0 + dt.timedelta(hours=i), 10.0 + i * 0.5) for i in range(10, 15)]
-    late = [("A", t0 + dt.timedelta(hours=5), 99.0)]
-    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{base}/f1")
-    spark.createDataFrame(second + late, schema).coalesce(1).write.parquet(f"{base}/f2")
-    like = spark.createDataFrame([], schema)
-    src = (spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1)
-           .option("recursiveFileLookup", True).parquet(base))
-    out = live.run_to_parquet(live.stream_indicators(src), "test_ind").orderBy("ts").toPandas()
-    assert len(out) == 15                      # the late bar is dropped
-    assert 99.0 not in set(out.close)
-    assert out.ema_20.iloc[0] == 10.0 and out.daily_return.iloc[0] == 0.0
-    # EMA continues across the batch boundary exactly as a single pass would
-    ema = 10.0
-    for c in list(out.close)[1:]:
-        ema = (1 - 2 / 21) * ema + (2 / 21) * c
-    assert abs(out.ema_20.iloc[-1] - ema) < 1e-9
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/f{k}")
+    return (spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", True).parquet(base))
+
+
+def _live(spark, files, delay):
+    out = f"{checkpoint_dir(spark)}/ind-{uuid.uuid4().hex[:8]}"
+    rows = live.stream_indicators(_landing(spark, files, SCHEMA), delay).withColumn("date", F.to_date("ts"))
+    return live.upsert_stream(rows, out, ["symbol", "ts"], ["symbol", "date"], mode="update").orderBy("ts").toPandas()
+
+
+def _closes(n):
+    return [10.0 + (i * 7) % 11 + i / 3 for i in range(n)]
+
+
+def _by_hand(closes):
+    """EMA 20 and RSI 14, one bar at a time, from the definitions."""
+    ema, gain, loss, out = closes[0], 0.0, 0.0, []
+    for i, c in enumerate(closes):
+        if i:
+            ema += 2 / 21 * (c - ema)
+            up, down = max(c - closes[i - 1], 0), max(closes[i - 1] - c, 0)
+            gain, loss = (up, down) if i == 1 else (gain + (up - gain) / 14, loss + (down - loss) / 14)
+        out.append((ema, 100 - 100 / (1 + gain / loss) if i >= 14 and loss else 50.0))
+    return out
+
+
+def test_stream_indicators_any_order_within_the_delay(spark):
+    c = _closes(60)
+    rows = [("A", T0 + dt.timedelta(hours=i), c[i]) for i in range(60)]
+    files = [rows[0::7], rows[1::7], rows[30:31], rows[2::7] + rows[3::7], rows[4::7], rows[5::7], rows[6::7]]
+    out = _live(spark, files, "30 days")
+    assert len(out) == 60
+    for (ema, rsi), e, r in zip(_by_hand(c), out.ema_20, out.rsi_14):
+        assert abs(ema - e) < 1e-9 and abs(rsi - r) < 1e-9
+
+
+def test_stream_indicators_settle_and_drop_only_late_bars(spark):
+    c = _closes(40)
+    rows = [("A", T0 + dt.timedelta(hours=i), c[i]) for i in range(40)]
+    late = [("A", T0 + dt.timedelta(hours=5, minutes=30), 99.0)]
+    files = [rows[:10], rows[10:20], rows[21:25], late + rows[20:21] + rows[25:40]]
+    out = _live(spark, files, "5 hours")  # bar 20 is out of order but within the delay
+    assert len(out) == 40 and 99.0 not in set(out.close)
+    for (ema, rsi), e, r in zip(_by_hand(c), out.ema_20, out.rsi_14):
+        assert abs(ema - e) < 1e-9 and abs(rsi - r) < 1e-9
+
+
+def test_stream_upsert_keeps_earlier_batches_and_the_newest_row(spark):
+    schema = "symbol string, ts timestamp_ntz, date date, close double"
+    row = lambda h, c: ("A", T0 + dt.timedelta(hours=h), (T0 + dt.timedelta(hours=h)).date(), c)
+    files = [[row(h, 1.0) for h in range(0, 30)], [row(h, 2.0) for h in range(30, 50)], [row(3, 9.0)]]
+    out = f"{checkpoint_dir(spark)}/up-{uuid.uuid4().hex[:8]}"
+    got = live.stream_upsert(_landing(spark, files, schema), out).orderBy("ts").toPandas()
+    assert list(got.close) == [1.0] * 3 + [9.0] + [1.0] * 26 + [2.0] * 20
+
+
+def test_tick_source_reads_a_folder_of_part_files(spark):
+    base = f"{checkpoint_dir(spark)}/sf-{uuid.uuid4().hex[:8]}"
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4).write.parquet(f"{base}/events.parquet")
+    out = live.run_to_parquet(live.stream_dedup(live.tick_stream(spark, base, 1), "400 days"), "folder")
+    assert out.count() == events.select("event_type", "ts").distinct().count()
 
 
 def test_stream_bars_drop_ticks_behind_watermark(spark):
