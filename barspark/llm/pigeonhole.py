@@ -14,9 +14,11 @@ of the two a band uses follows from the rows that they would cost.
 
 Signatures travel packed, one row per map task's stretch and hash part, and meet in
 numpy.  A group of few members offers all its pairs.  Of a larger group
-each member is offered with the group's first one, links are verified and
-components formed; only members of groups that still fall into several components
-are then paired across components, so the group's own size never squares.
+each member is offered with the group's first one (the one with the smallest
+share of rare shingles, nearest to what the group has in common), links are
+verified and components formed; in groups that still fall into several
+components the sketches are compared across components, and only pairs
+that they allow go on, so no group offers all its pairs.
 Pairs are pruned by size and by a parity sketch (a lower bound on the
 difference), then verified on the shingle hashes (64 bits).
 
@@ -99,6 +101,29 @@ def _sum_by(doc, values, n):
     return out
 
 
+def _sketches(doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity sketches: as many bits as the set has members, rounded up to a power of two of at least SKETCH.
+
+    Each member flips one bit, so two sketches differ in no more bits than
+    the sets differ in members.  Halves of a sketch may be folded onto each other.
+    """
+    bits = np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    first = np.cumsum(bits) - bits
+    at = first[doc] + (mix(s ^ _U(77)) % bits[doc].astype(_U)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8))
+    return [packed[f // 8:(f + b) // 8].tobytes() for f, b in zip(first, bits)]
+
+
+def _difference(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the shorter one's length."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2:]
+    return int.from_bytes((a ^ b).tobytes(), "little").bit_count()
+
+
 def _lower(batch) -> list[list[bytes]]:
     return [split(t.encode().lower().decode()) if t else [] for t in batch.column("text").to_pylist()]
 
@@ -111,8 +136,6 @@ def _summaries(k: int):
             for a, b in groups(lists, PIECE):
                 doc, s, n = shingle_sets(lists[a:b], k)
                 m = b - a
-                bits = np.bincount(doc * SKETCH + (mix(s ^ _U(77)) % _U(SKETCH)).astype(np.int64), minlength=m * SKETCH) & 1
-                sketch = np.packbits(bits.astype(np.uint8).reshape(m, SKETCH), axis=1)
                 u, c = np.unique(s, return_counts=True)
                 u, c = u[c >= 3], c[c >= 3]
                 heavy = [[] for _ in range(m)]
@@ -120,7 +143,7 @@ def _summaries(k: int):
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, m), batch.column("th").slice(a, m), pa.array(n, pa.int64()),
                     pa.array(_sum_by(doc, mix(s), m).view(np.int64)), pa.array(_sum_by(doc, mix(s ^ _U(0x1234567)), m).view(np.int64)),
-                    pa.array([x.tobytes() for x in sketch], pa.binary()),
+                    pa.array(_sketches(doc, s, n), pa.binary()),
                     pa.array(heavy, pa.list_(pa.struct([("s", pa.int64()), ("c", pa.int64())]))),
                 ], ["doc_id", "th", "n", "s1", "s2", "sketch", "heavy"])
     return run
@@ -190,20 +213,22 @@ def _from_planes(b: bytes) -> np.ndarray:
 
 def _index(k: int, parts: int, frequent: np.ndarray):
     def run(it):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         n = 0
 
         def send():
-            sig = np.concatenate([x for x, _ in held])
-            ids = np.concatenate([x for _, x in held])
+            sig = np.concatenate([x for x, _, _ in held])
+            ids = np.concatenate([x for _, x, _ in held])
+            rank = np.concatenate([x for _, _, x in held])
             part = (sig >> _U(40)) % _U(parts)
             order = np.lexsort((sig, part))
-            sig, ids, part = sig[order], ids[order], part[order]
+            sig, ids, rank, part = sig[order], ids[order], rank[order], part[order]
             at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             ends = np.append(at[1:], len(part))
             yield pa.RecordBatch.from_arrays([
-                pa.array(part[at].astype(np.int32)), pa.array([_planes(sig[i:j])for i, j in zip(at, ends)], pa.binary()),
-                pa.array([_planes(ids[i:j]) for i, j in zip(at, ends)], pa.binary())], ["part", "sigs", "ids"])
+                pa.array(part[at].astype(np.int32)), pa.array([_planes(sig[i:j]) for i, j in zip(at, ends)], pa.binary()),
+                pa.array([_planes(ids[i:j]) for i, j in zip(at, ends)], pa.binary()),
+                pa.array([rank[i:j].tobytes() for i, j in zip(at, ends)], pa.binary())], ["part", "sigs", "ids", "ranks"])
 
         for batch in it:
             lists = _lower(batch)
@@ -215,8 +240,11 @@ def _index(k: int, parts: int, frequent: np.ndarray):
                 _, one = np.unique(whole, return_index=True)
                 size = np.where(np.isin(np.arange(b - a), one), size, 0)
                 keep = size[doc] > 0
-                doc, sig = signatures(doc[keep], s[keep], size, frequent)
-                held.append((sig, ids[a:b][doc]))
+                own, hashes = doc[keep], s[keep]
+                doc, sig = signatures(own, hashes, size, frequent)
+                rare = np.bincount(own, weights=~np.isin(hashes, frequent), minlength=b - a)
+                rank = (255 * rare / np.maximum(size, 1)).astype(np.uint8)
+                held.append((sig, ids[a:b][doc], rank[doc]))
                 n += len(sig)
                 if n >= HELD:
                     yield from send()
@@ -231,14 +259,13 @@ def _meet(small: int):
     def run(it):
         by: dict[int, list] = {}
         for batch in it:
-            for p, s, i in zip(*(batch.column(c).to_pylist() for c in ("part", "sigs", "ids"))):
-                sig, ids = _from_planes(s), _from_planes(i).view(np.int64)
-                by.setdefault(p, []).append((sig, ids))
+            for p, s, i, r in zip(*(batch.column(c).to_pylist() for c in ("part", "sigs", "ids", "ranks"))):
+                by.setdefault(p, []).append((_from_planes(s), _from_planes(i).view(np.int64), np.frombuffer(r, np.uint8)))
         for p in list(by):
             chunks = by.pop(p)
-            sig, ids = np.concatenate([x for x, _ in chunks]), np.concatenate([x for _, x in chunks])
+            sig, ids, rank = (np.concatenate([x[c] for x in chunks]) for c in range(3))
             del chunks
-            order = np.lexsort((ids, sig))
+            order = np.lexsort((ids, rank, sig))
             sig, ids = sig[order], ids[order]
             new = np.ones(len(sig), bool)
             new[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
@@ -267,15 +294,35 @@ def _meet(small: int):
 
 def _prune(it):
     """Pairs whose sizes and sketches allow the similarity."""
-    ones = np.array([bin(x).count("1") for x in range(256)], np.uint8)
     for batch in it:
         n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
-        x = np.frombuffer(b"".join(batch.column("ka").to_pylist()), np.uint8).reshape(-1, SKETCH // 8)
-        y = np.frombuffer(b"".join(batch.column("kb").to_pylist()), np.uint8).reshape(-1, SKETCH // 8)
-        fine = (ones[x ^ y].sum(1) <= allowed(n, m)) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
+        fine = 4 * np.minimum(n, m) >= 3 * np.maximum(n, m)
+        x, y, most = batch.column("ka"), batch.column("kb"), allowed(n, m)
+        for i in np.flatnonzero(fine):
+            fine[i] = _difference(x[i].as_py(), y[i].as_py()) <= most[i]
         yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[fine]) for c in ("a", "b")], ["a", "b"])
 
 
+def _cross(table: pa.Table) -> pa.Table:
+    """Pairs of one group that lie in different components and whose sizes and sketches allow the similarity."""
+    node, comp, n = (table.column(c).to_numpy() for c in ("node", "comp", "n"))
+    raw = [np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()]
+    size = min(map(len, raw))
+    for i, x in enumerate(raw):
+        while len(x) > size:
+            x = x[: len(x) // 2] ^ x[len(x) // 2:]
+        raw[i] = x
+    sketch = np.stack(raw).view(_U)
+    a, b = [], []
+    for i in range(len(node)):
+        j = np.flatnonzero((comp != comp[i]) & (node > node[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i])))
+        if len(j):
+            j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1) <= allowed(n[j], n[i])]
+            a.append(np.full(len(j), node[i]))
+            b.append(node[j])
+    return pa.table({"a": np.concatenate(a) if a else np.empty(0, np.int64), "b": np.concatenate(b) if b else np.empty(0, np.int64)})
+
+
 def _sets(k: int):
     def run(it):
         for batch in it:
@@ -332,7 +379,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = materialize(s.drop("sketch", "n").join(nodes.select("s1", "s2", "node", "n"), ["s1", "s2"], "left"), "members")
 
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = d.mapInArrow(_index(k, parts, frequent), "part int, sigs binary, ids binary")
+    index = d.mapInArrow(_index(k, parts, frequent), "part int, sigs binary, ids binary, ranks binary")
     met = materialize(index.repartition(parts // 4, "part").mapInArrow(_meet(small), "kind byte, sig long, a long, b long"), "met")
     of = member.where("node is not null").select("doc_id", "node").distinct()  # an id may have several sets
     pairs = met.where("a <> b").groupBy("a", "b").agg(F.lit(1).alias("one"))
@@ -343,28 +390,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
          .join(of.select(F.col("doc_id").alias("b"), F.col("node").alias("y")), "b")
          .where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     p = materialize(_pruned(p, nodes), "pairs")
-    big = (met.where("kind = 1").select("sig", F.col("b").alias("doc_id")).join(of, "doc_id").select("sig", "node").distinct())
+    center = of.select(F.col("doc_id").alias("a"), F.col("node").alias("center"))
+    big = materialize(met.where("kind = 1").join(center, "a").join(of, F.col("b") == F.col("doc_id")).select("sig", "center", "node"), "large_groups")
 
     who = p.select(F.col("a").alias("node")).union(p.select(F.col("b").alias("node"))).union(big.select("node")).distinct()
     text = (nodes.select("node", "rep.doc_id", "rep.th").join(who, "node").join(d, ["doc_id", "th"])
-            .dropDuplicates(["node"]).select("node", "text"))
+            .dropDuplicates(["doc_id", "th"]).select("node", "text"))
     sets = materialize(text.mapInArrow(_sets(k), "node long, shingles binary"), "shingles")
 
-    # each node with its smallest partner first: most pairs are then settled by components
-    first = p.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # first each member with its group's first one, and each node with its smallest partner: most other pairs are
+    # then settled by components
+    first = (big.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).where("a < b").distinct()
+             .join(p, ["a", "b"], "left_semi").union(p.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct())
     links = _verified(first, sets)
     comp = materialize(components(links.where("linked")), "comps")
-    rest = _across(p.join(first, ["a", "b"], "left_anti"), comp)
+    rest = _across(p.join(links.select("a", "b"), ["a", "b"], "left_anti"), comp)
     links = materialize(links.union(_verified(rest, sets)), "links2")
     comp = materialize(components(links.where("linked")), "comps")
     # groups that offered only their first member: members still in different components
-    g = big.join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    g = big.select("sig", "node").distinct().join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     open_ = g.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-    g = materialize(g.join(open_, "sig"), "open_groups")
-    cross = (g.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca")).join(
-        g.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb")), "sig")
-        .where("a < b and ca <> cb").select("a", "b").distinct())
-    links = links.union(_verified(_pruned(cross, nodes).join(links.select("a", "b"), ["a", "b"], "left_anti"), sets))
+    g = g.join(open_, "sig").join(nodes.select("node", "n", "sketch"), "node")
+    cross = g.groupBy("sig").applyInArrow(_cross, "a long, b long").distinct()
+    links = links.union(_verified(cross.join(links.select("a", "b"), ["a", "b"], "left_anti"), sets))
     links = materialize(links.where("linked").select("a", "b"), "links3")
     comp = components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
