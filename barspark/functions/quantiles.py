@@ -1,74 +1,57 @@
 """Exact per-key quantiles (linear interpolation) without one task per key.
 
-Spark's exact ``percentile`` merges a value->count map of the whole key in
-one task; a key with billions of distinct values would not fit.  Keys up to
-``split_rows`` rows still use it (the map is bounded by that size).  Larger
-keys are ranked with ``series.index_series`` ordered by value, cut into value
-buckets at ``percentile_approx`` points (a bounded sketch per key) so the
-ranking runs in many tasks; the rows at the two ranks around each requested
-position are fetched with an equi-join and interpolated exactly like
-``percentile``: ``(hi - pos) * v[lo] + (pos - lo) * v[hi]``, ``pos = (n - 1) p``.
+Values are counted per (key, value) first, with map-side partial counts, so
+a value that fills a third of a key is one row.  The counted values of a
+key are cut into pieces at ``percentile_approx`` points (a sketch of
+bounded size per key); running counts per piece and piece offsets give every
+value the ranks that it holds, and the rows at the two ranks around each requested
+position are interpolated like ``percentile``:
+``(hi - pos) * v[lo] + (pos - lo) * v[hi]``, ``pos = (n - 1) p``.  The same
+plan serves keys of all sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspark.functions.series import index_series
-
-SPLIT_ROWS = 4_000_000
-PIECES = 1024
+PIECES = 64
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], columns: list[str] | str, probs: list[float],
-                    split_rows: int = SPLIT_ROWS, pieces: int = PIECES) -> DataFrame:
+                    pieces: int = PIECES) -> DataFrame:
     """(keys..., ``<column>_q<i>`` for every column and probability) over non-null values.
 
-    Keys with at most ``split_rows`` rows use one ``percentile`` aggregation (the
-    per-key map is bounded by ``split_rows``); larger keys are ranked in
-    value buckets across many tasks.  Both paths interpolate identically."""
+    ``pieces`` is the number of tasks that a key's ranking may spread over."""
     columns = [columns] if isinstance(columns, str) else list(columns)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > split_rows).select(*keys)
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-
-    def small(part: DataFrame) -> DataFrame:
-        agg = part.groupBy(*keys).agg(*[F.percentile(F.col(c).cast("double"), parr).alias(f"_q_{c}") for c in columns])
-        return agg.select(*keys, *[F.col(f"_q_{c}")[i].alias(f"{c}_q{i}")
-                                   for c in columns for i in range(len(probs))])
-
-    if hot.isEmpty():          # small probe on the per-key counts
-        return small(df)
-    big = df.join(hot, keys, "left_semi")
-    out = small(df.join(hot, keys, "left_anti"))
-    ranked = None
-    for c in columns:
-        q = _ranked_quantiles(big, keys, c, probs, pieces)
-        ranked = q if ranked is None else ranked.join(q, keys, "full")
-    return out.unionByName(ranked)
-
-
-def _ranked_quantiles(df: DataFrame, keys: list[str], column: str, probs: list[float],
-                      pieces: int) -> DataFrame:
-    v = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    n = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cut_probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", cut_probs, 10 * pieces).alias("_cuts"))
-    bucket = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v"))), F.lit(0))
-    ranked = index_series(v.join(cuts, keys, "left").withColumn("_b", bucket).drop("_cuts"),
-                          keys, "_v", F.col("_b"), dedup=False)
-    # two (rank, weight) targets per probability
-    tgt = []
+    v = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns])).alias("_s"))
+    v = v.select(*keys, "_s.*").filter(F.col("_v").isNotNull())
+    q = _ranked_quantiles(v, [*keys, "_c"], probs, pieces)
+    names = [f"{c}_q{i}" for c in columns for i in range(len(probs))]
+    wide = q.groupBy(*keys).agg(*[F.max(F.when(F.col("_c") == c, F.col(f"_q{i}"))).alias(f"{c}_q{i}")
+                                  for c in columns for i in range(len(probs))])
+    return df.select(*keys).distinct().join(wide, keys, "left").select(*keys, *names)
+
+
+def _ranked_quantiles(v: DataFrame, keys: list[str], probs: list[float], pieces: int) -> DataFrame:
+    """``v``: keys and ``_v``; one row per key with ``_q0``, ``_q1``, ..."""
+    n = v.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", F.array(*[F.lit(i / pieces) for i in range(1, pieces)]), 4 * pieces).alias("_cuts"))
+    counted = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m")).join(n, keys)
+    counted = counted.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    sizes = counted.groupBy(*keys, "_b").agg(F.sum("_m").alias("_bm"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most `pieces` rows a key
+    offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_bm").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = counted.join(offsets, [*keys, "_b"]).withColumn("_end", F.col("_off") + F.sum("_m").over(within))
+    has = lambda rank: (rank >= F.col("_end") - F.col("_m")) & (rank < F.col("_end"))
+    out = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        tgt.append(F.struct(F.lit(i).alias("_p"), lo.alias("_idx"),
-                            F.when(lo == hi, F.lit(1.0)).otherwise(hi - pos).alias("_w")))
-        tgt.append(F.struct(F.lit(i).alias("_p"), hi.alias("_idx"),
-                            F.when(lo == hi, F.lit(0.0)).otherwise(pos - lo).alias("_w")))
-    targets = (n.select(*keys, F.explode(F.array(*tgt)).alias("_t")).select(*keys, "_t.*")
-               .filter(F.col("_w") != 0))
-    picked = ranked.select(*keys, "_idx", "_v").join(targets, [*keys, "_idx"])
-    q = picked.groupBy(*keys).pivot("_p", list(range(len(probs)))).agg(F.sum(F.col("_w") * F.col("_v")))
-    return q.select(*keys, *[F.col(str(i)).alias(f"{column}_q{i}") for i in range(len(probs))])
+        low, high = F.max(F.when(has(lo), F.col("_v"))), F.max(F.when(has(hi), F.col("_v")))
+        weight = F.max(hi - pos)
+        out.append(F.when(weight == F.lit(0.0), low).otherwise(weight * low + (1.0 - weight) * high).alias(f"_q{i}"))
+    return r.groupBy(*keys).agg(*out)

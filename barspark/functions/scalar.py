@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 
 def round_half(c: Column | str, digits: int = 4) -> Column:
-    """Round half up as ``floor(x * 10^d + 0.5) / 10^d`` -- written the same way in
-    the SQL twins, so both engines round identical doubles identically
-    (Spark's ``round`` works on the decimal expansion, others on the binary value)."""
-    x = F.col(c) if isinstance(c, str) else c
+    """Round to ``digits`` decimals, ties away from zero like SQL ``ROUND``.
+
+    ``trunc(x * 10^d + sign(x) / 2) / 10^d``, in double arithmetic throughout
+    (``v - v % 1`` truncates without a 64-bit integer, so large values stay
+    what they are), and written the same way in the SQL twins, so both engines
+    round identical doubles identically."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
     scale = float(10 ** digits)
-    return F.floor(x * scale + 0.5) / scale
+    v = x * scale + F.signum(x) * 0.5
+    return (v - v % 1.0) / scale + 0.0
 
 
 def currency_sign(symbol: Column) -> Column:

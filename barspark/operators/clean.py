@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barspark.functions.series import default_bucket, index_series
 
-PRICE_COLUMNS = ["open", "high", "low", "close", "volume"]
+PRICE_COLUMNS = ["open", "high", "low", "close", "adj_close", "volume"]
 
 
 def dedup_report(bars: DataFrame) -> DataFrame:
@@ -44,10 +44,6 @@ def fill_prices(bars: DataFrame, grain: str = "1d", columns: list[str] = PRICE_C
     return d.drop("_idx", "_len")
 
 
-def drop_incomplete(df: DataFrame, subset: list[str]) -> DataFrame:
-    return df.dropna("any", subset=subset)
-
-
 def local_date(ts_utc, tz: str):
     """Exchange-local calendar date of a UTC instant."""
     return F.to_date(F.from_utc_timestamp(ts_utc, tz))

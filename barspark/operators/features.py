@@ -54,28 +54,13 @@ def _ratios() -> list[float]:
     return [1 - span_alpha(s) for s in (EMA_SPAN, MACD_FAST, MACD_SLOW, MACD_SIGNAL)] + [1 - 1 / RSI_WINDOW]
 
 
-def has_nulls(bars: DataFrame, columns: list[str]) -> bool:
-    """Cheap probe: does any price cell hold a null?  (Stops at the first hit.)"""
-    cond = None
-    for c in columns:
-        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-    return not bars.select(*columns).filter(cond).isEmpty()
+FILL_COLUMNS = ["open", "high", "low", "close", "adj_close", "volume"]
 
 
-FILL_COLUMNS = ["open", "high", "low", "close", "volume"]
-
-
-def indexed(bars: DataFrame, grain: str, fill: bool | str = "auto", dedup: bool = True) -> DataFrame:
-    """Dedup (keep first by OHLCV) + fills + series index, one shuffle.
-
-    ``fill='auto'`` runs the fill only when the null probe finds a null;
-    ``dedup=False`` is for bars unique by construction (built by a groupBy
-    on (symbol, ts))."""
-    if fill == "auto":
-        fill = has_nulls(bars, FILL_COLUMNS)
+def indexed(bars: DataFrame, grain: str) -> DataFrame:
+    """Dedup (keep first by OHLCV) + fills + series index, one shuffle."""
     return index_series(bars, KEYS, "ts", default_bucket(grain),
-                        tiebreak=["open", "high", "low", "close", "volume"],
-                        dedup=dedup, fill=FILL_COLUMNS if fill else None)
+                        tiebreak=["open", "high", "low", "close", "volume"], fill=FILL_COLUMNS)
 
 
 def base_columns(d: DataFrame, grain: str) -> DataFrame:
@@ -174,9 +159,8 @@ def flag_outliers(df: DataFrame, columns: dict[str, str], multiplier: float = IQ
     return out.drop(*[f"_{p}_{c}" for c in columns for p in ("lo", "hi")])
 
 
-def features(bars: DataFrame, grain: str = "1d", fill: bool | str = "auto",
-             outliers: bool = True, exact_quantiles: bool = True,
-             keep_index: bool = False, dedup: bool = True, block: int | None = None) -> DataFrame:
+def features(bars: DataFrame, grain: str = "1d", outliers: bool = True, exact_quantiles: bool = True,
+             keep_index: bool = False, block: int | None = None) -> DataFrame:
     """BAR -> FEATURE for every symbol at once (one grain per call).
 
     Plan: index (one shuffle by symbol x time bucket) -> halo blocks (one
@@ -188,7 +172,7 @@ def features(bars: DataFrame, grain: str = "1d", fill: bool | str = "auto",
     block = block or max_block([s.r for s in scans])
     if block < HALO:
         raise ValueError("block must hold the 50-bar halo")
-    d = blocked(indexed(bars, grain, fill, dedup), KEYS, back=HALO, block=block)
+    d = blocked(indexed(bars, grain), KEYS, back=HALO, block=block)
     d = scan_locals(base_columns(d, grain), KEYS, scans, block)
     m = materialize(d.filter("_own"), f"features_{grain}_stage")
     blocks = scan_blocks(m, KEYS, scans, block)

@@ -45,6 +45,12 @@ def validate_weights(weights: DataFrame) -> DataFrame:
     ).withColumn("is_valid", F.col("total_weight_pct") == 100)
 
 
+def valid_portfolios(weights: DataFrame) -> DataFrame:
+    """Weights of the portfolios that total exactly 100%; the others are not scored."""
+    good = validate_weights(weights).filter("is_valid").select("portfolio_id")
+    return weights.join(good, "portfolio_id", "left_semi")
+
+
 def aligned_returns(fact: DataFrame, weights: DataFrame) -> DataFrame:
     """(portfolio_id, symbol, date, weight, ret): returns between consecutive dates
     common to all members; the first common date has no return and is dropped."""

@@ -24,7 +24,8 @@ def perf_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
             .select("symbol", "company_name", "sector", "total_trading_days",
                     round_half("_min", 2).alias("min_price"), round_half("_max", 2).alias("max_price"),
                     round_half("_avg", 2).alias("avg_close_price"),
-                    round_half("_vol", 0).alias("avg_daily_volume")))
+                    round_half("_vol", 0).alias("avg_daily_volume"))
+            .orderBy("symbol"))
 
 
 def mom_trend(fact: DataFrame) -> DataFrame:
@@ -41,7 +42,8 @@ def mom_trend(fact: DataFrame) -> DataFrame:
                     round_half("avg_close", 2).alias("current_month_avg_close"),
                     round_half("_prev", 2).alias("previous_month_avg_close"),
                     round_half(F.try_divide(F.col("avg_close") - F.col("_prev"), F.col("_prev")) * 100, 2)
-                    .alias("mom_pct_change")))
+                    .alias("mom_pct_change"))
+            .orderBy("symbol", F.desc("year_month")))
 
 
 def sma_sql(fact: DataFrame, limit: int | None = 100) -> DataFrame:
@@ -85,4 +87,5 @@ def top_volume_days(fact: DataFrame, top: int = 5) -> DataFrame:
             .withColumn("volume_rank", F.dense_rank().over(w))
             .filter(F.col("volume_rank") <= top)
             .select("trading_year", "date", "symbol", "volume",
-                    round_half("close", 2).alias("closing_price"), "volume_rank"))
+                    round_half("close", 2).alias("closing_price"), "volume_rank")
+            .orderBy(F.desc("trading_year"), "symbol", "volume_rank", "date"))

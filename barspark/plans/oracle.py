@@ -11,8 +11,8 @@ EMA_SPAN, MACD_FAST, MACD_SLOW, MACD_SIGNAL, RSI_WINDOW = 20, 12, 26, 9, 14
 
 
 def R(x: str, d: int = 4) -> str:
-    """Round half up exactly like ``functions.scalar.round_half``."""
-    return f"(floor(({x}) * 1e{d} + 0.5) / 1e{d})"
+    """Round ties away from zero exactly like ``functions.scalar.round_half``."""
+    return f"(trunc(({x})::DOUBLE * 1e{d} + sign(({x})::DOUBLE) * 0.5::DOUBLE) / 1e{d} + 0.0::DOUBLE)"
 
 
 def _a(span: int) -> str:

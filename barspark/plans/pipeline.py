@@ -37,8 +37,7 @@ def bars(spark: SparkSession, sf_dir: str, grain: str = "1d") -> DataFrame:
 def fact(spark: SparkSession, sf_dir: str, grain: str = "1d") -> DataFrame:
     """Materialized FEATURE table plus ``seq``/``n_bars``."""
     def build():
-        # bars come out of a groupBy on (symbol, bar start): unique by construction
-        f = features(bars(spark, sf_dir, grain), grain, keep_index=True, dedup=False)
+        f = features(bars(spark, sf_dir, grain), grain, keep_index=True)
         return materialize(f, f"fact_{grain}")
     return _memo(spark, sf_dir, f"fact_{grain}", build)
 
@@ -62,7 +61,7 @@ def run_etl(spark: SparkSession, paths: list[str] | str, warehouse: str, grain:
     from barspark.sources.warehouse import require_rows, seed_dim, write_facts
     raw = require_rows(read_vendor_bars(spark, paths, grain), "bar files")
     bars = _mat(raw.filter(F.col("ts").isNotNull() & F.col("symbol").isNotNull()), f"etl_bars_{grain}")
-    fact_df = features(bars, grain, fill="auto", dedup=True, keep_index=True)
+    fact_df = features(bars, grain, keep_index=True)
     write_facts(fact_df, f"{warehouse.rstrip('/')}/fact")
     if dim_rows is not None:
         seed_dim(spark, f"{warehouse.rstrip('/')}/dim", dim_rows)

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.scalar import round_half
 from barspark.operators import clean, dashboard, eda, forecast, portfolio, reports
 from barspark.plans import pipeline as P
 from barspark.plans.oracle import R, feature_ctes, with_bars, with_features
-from barspark.schemas import FEATURE_COLUMNS
+from barspark.schemas import FEATURE_COLUMNS, VENDOR_COLUMN_MAP
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -67,56 +67,95 @@ def q_bars_minute(spark, sf):
     return _r(bars_intraday(spark, sf, "1m"), BAR_DOUBLES).select(*BAR_COLS)
 
 
+# Bars with planted faults, by a rule on the bar's number of hours or days since 1970: missing prices and volumes,
+# lows above highs, unknown symbols, and every fifth bar twice (the second time with a higher close).
+def _faulty_sql(grain: str) -> str:
+    unit, of = ("hour", "ts") if grain == "1h" else ("day", "date")
+    start = "TIMESTAMP '1970-01-01'" if grain == "1h" else "DATE '1970-01-01'"
+    return f"""(SELECT CASE WHEN d % 17 = 4 THEN 'NOWHERE' ELSE symbol END AS symbol, grain, ts, date,
+  CASE WHEN d % 13 = 2 THEN NULL ELSE open END AS open, high, CASE WHEN d % 19 = 6 THEN high + 1 ELSE low END AS low,
+  CASE WHEN d % 7 = 3 THEN NULL ELSE close + c END AS close, adj_close, CASE WHEN d % 11 = 5 THEN NULL ELSE volume END AS volume
+  FROM (SELECT *, date_diff('{unit}', {start}, {of}) AS d FROM bars_{grain}) JOIN (SELECT unnest([0, 1]) AS c) ON c = 0 OR d % 5 = 0)"""
+
+
+def _faulty(spark, sf, grain: str = "1h"):
+    b = P.bars(spark, sf, grain)
+    d = (F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ '1970-01-01', ts)") if grain == "1h"
+         else F.datediff("date", F.lit("1970-01-01").cast("date")))
+    b = b.withColumn("d", d.cast("long"))
+    b = b.withColumn("c", F.explode(F.when(F.col("d") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    hole = lambda n, r, v: F.when(F.col("d") % n != r, v)
+    return b.select(
+        F.when(F.col("d") % 17 == 4, F.lit("NOWHERE")).otherwise(F.col("symbol")).alias("symbol"), "grain", "ts", "date",
+        hole(13, 2, F.col("open")).alias("open"), "high",
+        F.when(F.col("d") % 19 == 6, F.col("high") + 1).otherwise(F.col("low")).alias("low"),
+        hole(7, 3, F.col("close") + F.col("c")).alias("close"), "adj_close", hole(11, 5, F.col("volume")).alias("volume"))
+
+
+_KEPT = ("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY open NULLS FIRST, high NULLS FIRST, "
+         "low NULLS FIRST, close NULLS FIRST, volume NULLS FIRST) AS n FROM {}) WHERE n = 1")
+
+
 @register("dedup_bars", with_bars(
-    "SELECT symbol, count(*) AS rows_in, count(DISTINCT ts) AS rows_out, "
-    "count(*) - count(DISTINCT ts) AS duplicates_removed FROM bars_1h GROUP BY symbol", "1h"))
+    f"SELECT symbol, ts, {_sr(['open', 'high', 'low', 'close'])}, volume FROM ({_KEPT.format(_faulty_sql('1h'))})", "1h"))
 def q_dedup_bars(spark, sf):
-    return clean.dedup_report(P.bars(spark, sf, "1h")).select(
+    d = clean.dedup_bars(_faulty(spark, sf), "1h")
+    return _r(d, ["open", "high", "low", "close"]).select("symbol", "ts", "open", "high", "low", "close", "volume")
+
+
+@register("dedup_report", with_bars(
+    "SELECT symbol, count(*) AS rows_in, count(DISTINCT ts) AS rows_out, "
+    f"count(*) - count(DISTINCT ts) AS duplicates_removed FROM {_faulty_sql('1h')} GROUP BY symbol", "1h"))
+def q_dedup_report(spark, sf):
+    return clean.dedup_report(_faulty(spark, sf)).select(
         "symbol", F.col("rows_in").cast("long"), "rows_out", F.col("duplicates_removed").cast("long"))
 
 
 @register("null_census", with_bars(
-    "SELECT symbol, " + ", ".join(f"CAST(sum(CASE WHEN {c} IS NULL OR isnan({c}::DOUBLE) THEN 1 ELSE 0 END) AS BIGINT) AS null_{c}"
-                                  for c in clean.PRICE_COLUMNS)
-    + ", CAST(sum(" + " + ".join(f"CASE WHEN {c} IS NULL OR isnan({c}::DOUBLE) THEN 1 ELSE 0 END" for c in clean.PRICE_COLUMNS)
-    + ") AS BIGINT) AS null_total FROM bars_1d GROUP BY symbol"))
+    "SELECT symbol, " + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in clean.PRICE_COLUMNS)
+    + ", CAST(" + " + ".join(f"count_if({c} IS NULL)" for c in clean.PRICE_COLUMNS)
+    + f" AS BIGINT) AS null_total FROM {_faulty_sql('1d')} GROUP BY symbol"))
 def q_null_census(spark, sf):
-    df = clean.null_census(P.bars(spark, sf, "1d"))
+    df = clean.null_census(_faulty(spark, sf, "1d"))
     return df.select("symbol", *[F.col(c).cast("long") for c in df.columns if c != "symbol"])
 
 
+def _filled_sql(c: str) -> str:
+    w = "OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    x = f"coalesce(last_value({c} IGNORE NULLS) {w} CURRENT ROW), first_value({c} IGNORE NULLS) {w} UNBOUNDED FOLLOWING))"
+    return f"{x if c == 'volume' else R(x)} AS {c}"
+
+
 @register("fill_prices", with_bars(
-    "SELECT symbol, ts, " + ", ".join(
-        (f"{R(f'coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))')} AS {c}"
-         if c != "volume" else
-         f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS {c}")
-        for c in clean.PRICE_COLUMNS) + " FROM bars_1h", "1h"))
+    f"SELECT symbol, ts, {', '.join(map(_filled_sql, clean.PRICE_COLUMNS))} FROM ({_KEPT.format(_faulty_sql('1h'))})", "1h"))
 def q_fill_prices(spark, sf):
-    d = clean.fill_prices(P.bars(spark, sf, "1h"), "1h")
-    return _r(d, ["open", "high", "low", "close"]).select("symbol", "ts", *clean.PRICE_COLUMNS)
+    d = clean.fill_prices(clean.dedup_bars(_faulty(spark, sf), "1h"), "1h")
+    return _r(d, ["open", "high", "low", "close", "adj_close"]).select("symbol", "ts", *clean.PRICE_COLUMNS)
 
 
-@register("dq_checks", with_features("""
+@register("dq_checks", with_bars(f""", faulty AS {_faulty_sql('1d')},
+dim2 AS (SELECT symbol FROM dim UNION ALL SELECT symbol FROM dim WHERE symbol < 'C')
 SELECT 'not_null_' || c AS check_name, v AS violations FROM (
-  SELECT 'date' AS c, CAST(count_if(date IS NULL) AS BIGINT) AS v FROM feat_1d UNION ALL
-  SELECT 'symbol', CAST(count_if(symbol IS NULL) AS BIGINT) FROM feat_1d UNION ALL
-  SELECT 'open', CAST(count_if(open IS NULL) AS BIGINT) FROM feat_1d UNION ALL
-  SELECT 'high', CAST(count_if(high IS NULL) AS BIGINT) FROM feat_1d UNION ALL
-  SELECT 'low', CAST(count_if(low IS NULL) AS BIGINT) FROM feat_1d UNION ALL
-  SELECT 'close', CAST(count_if(close IS NULL) AS BIGINT) FROM feat_1d UNION ALL
-  SELECT 'volume', CAST(count_if(volume IS NULL) AS BIGINT) FROM feat_1d)
+  SELECT 'date' AS c, CAST(count_if(date IS NULL) AS BIGINT) AS v FROM faulty UNION ALL
+  SELECT 'symbol', CAST(count_if(symbol IS NULL) AS BIGINT) FROM faulty UNION ALL
+  SELECT 'open', CAST(count_if(open IS NULL) AS BIGINT) FROM faulty UNION ALL
+  SELECT 'high', CAST(count_if(high IS NULL) AS BIGINT) FROM faulty UNION ALL
+  SELECT 'low', CAST(count_if(low IS NULL) AS BIGINT) FROM faulty UNION ALL
+  SELECT 'close', CAST(count_if(close IS NULL) AS BIGINT) FROM faulty UNION ALL
+  SELECT 'volume', CAST(count_if(volume IS NULL) AS BIGINT) FROM faulty)
 UNION ALL
 SELECT 'unique_date_symbol', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM
-  (SELECT count(*) AS c FROM feat_1d GROUP BY grain, symbol, date HAVING count(*) > 1)
+  (SELECT count(*) AS c FROM faulty GROUP BY grain, symbol, date HAVING count(*) > 1)
 UNION ALL
-SELECT 'fk_symbol', count(*) FROM feat_1d f WHERE NOT EXISTS (SELECT 1 FROM dim d WHERE d.symbol = f.symbol)
+SELECT 'fk_symbol', count(*) FROM faulty f WHERE NOT EXISTS (SELECT 1 FROM dim2 d WHERE d.symbol = f.symbol)
 UNION ALL
-SELECT 'pk_dim_symbol', count(*) FROM (SELECT symbol FROM dim GROUP BY symbol HAVING count(*) > 1)
+SELECT 'pk_dim_symbol', count(*) FROM (SELECT symbol FROM dim2 GROUP BY symbol HAVING count(*) > 1)
 UNION ALL
-SELECT 'low_le_open_close_le_high', CAST(count_if(low > least(open, close) OR high < greatest(open, close)) AS BIGINT) FROM feat_1d
+SELECT 'low_le_open_close_le_high', CAST(count_if(low > least(open, close) OR high < greatest(open, close)) AS BIGINT) FROM faulty
 """, dim=True))
 def q_dq_checks(spark, sf):
-    return clean.dq_checks(_fact(spark, sf), P.dim(spark, sf))
+    d = P.dim(spark, sf)
+    return clean.dq_checks(_faulty(spark, sf, "1d"), d.unionByName(d.filter("symbol < 'C'")))
 
 
 # ------------------------------------------------------------------ features
@@ -232,10 +271,16 @@ def _feat_plus(extra_ctes: str, select: str, dim: bool = False) -> str:
     return f"{base},\n{extra_ctes}\n{select}"
 
 
-@register("close_pivot", with_features(
-    f"PIVOT (SELECT date, symbol, {R('close')} AS c FROM feat_1d) ON symbol USING max(c) GROUP BY date"))
+# The 25 nations of the given tables, the symbols of the daily bars.
+SYMBOLS = ["ALGERIA", "ARGENTINA", "BRAZIL", "CANADA", "CHINA", "EGYPT", "ETHIOPIA", "FRANCE", "GERMANY", "INDIA", "INDONESIA",
+           "IRAN", "IRAQ", "JAPAN", "JORDAN", "KENYA", "MOROCCO", "MOZAMBIQUE", "PERU", "ROMANIA", "RUSSIA", "SAUDI ARABIA",
+           "UNITED KINGDOM", "UNITED STATES", "VIETNAM"]
+
+
+@register("close_pivot", with_features("SELECT date, " + ", ".join(
+    f"max(CASE WHEN symbol = '{x}' THEN {R('close')} END) AS \"{x}\"" for x in SYMBOLS) + " FROM feat_1d GROUP BY date"))
 def q_close_pivot(spark, sf):
-    return eda.close_pivot(_fact(spark, sf))
+    return eda.close_pivot(_fact(spark, sf), SYMBOLS)
 
 
 @register("calendar_fill", _feat_plus(_FILLED, f"SELECT symbol, date, {R('close')} AS close FROM filled"))
@@ -442,14 +487,26 @@ SELECT portfolio_id, {R('er', 6)} AS expected_annual_return, {R('v', 6)} AS annu
        CASE WHEN (er - 0.04::DOUBLE) / nullif(v, 0) > 1 THEN 'Premium Returns' ELSE 'Moderate Returns' END AS sharpe_label
 FROM er JOIN pv USING (portfolio_id)"""))
 def q_portfolio_risk(spark, sf):
-    return portfolio.portfolio_risk(_rets(spark, sf))
+    """Of the offered portfolios only those that total 100% are scored."""
+    good = portfolio.valid_portfolios(_offered(spark, sf))
+    return portfolio.portfolio_risk(portfolio.aligned_returns(_fact(spark, sf), good))
+
+
+def _offered(spark, sf):
+    """The region portfolios and, of each, a second one whose first member weighs 5% more (so it totals 105)."""
+    w = _weights(spark, sf)
+    off = w.withColumn("weight_pct", F.when(F.col("symbol") == F.min("symbol").over(Window.partitionBy("portfolio_id")),
+                                            F.col("weight_pct") + 5).otherwise(F.col("weight_pct")))
+    return w.unionByName(off.withColumn("portfolio_id", F.concat("portfolio_id", F.lit(" +5"))))
 
 
 @register("portfolio_validation", _feat_plus(_WEIGHTS, """
 SELECT portfolio_id, CAST(sum(weight_pct) AS BIGINT) AS total_weight_pct, count(*) AS n_assets, sum(weight_pct) = 100 AS is_valid
-FROM w GROUP BY portfolio_id"""))
+FROM w GROUP BY portfolio_id
+UNION ALL
+SELECT portfolio_id || ' +5', CAST(sum(weight_pct) + 5 AS BIGINT), count(*), sum(weight_pct) + 5 = 100 FROM w GROUP BY portfolio_id"""))
 def q_portfolio_validation(spark, sf):
-    return portfolio.validate_weights(_weights(spark, sf))
+    return portfolio.validate_weights(_offered(spark, sf))
 
 
 @register("portfolio_growth", _feat_plus(_WEIGHTS + """,
@@ -554,14 +611,15 @@ def q_feature_importance(spark, sf):
 # ------------------------------------------------------------------ warehouse sinks
 
 _REPLACE_SQL = (with_features("", "1d").rstrip() + ",\n" + feature_ctes("1h") +
-                "\nSELECT grain, symbol, count(*) AS n_rows FROM (SELECT grain, symbol FROM feat_1d "
-                "UNION ALL SELECT grain, symbol FROM feat_1h) GROUP BY grain, symbol")
+                f"\nSELECT grain, symbol, count(*) AS n_rows, {R('sum(close)', 2)} AS sum_close, CAST(sum(volume) AS BIGINT) AS sum_volume, "
+                "min(ts) AS first_ts, max(ts) AS last_ts FROM (SELECT grain, symbol, ts, close, volume FROM feat_1d "
+                "UNION ALL SELECT grain, symbol, ts, close, volume FROM feat_1h) GROUP BY grain, symbol")
 
 
 @register("replace_by_symbol", _REPLACE_SQL)
 def q_replace_by_symbol(spark, sf):
     """Load daily then intraday facts into one table, then re-run the daily load:
-    both grains survive and the re-run leaves every count unchanged."""
+    both grains survive and the re-run leaves counts and sums unchanged."""
     import uuid
     from barspark.session import checkpoint_dir
     from barspark.sources.warehouse import write_facts
@@ -570,17 +628,19 @@ def q_replace_by_symbol(spark, sf):
     write_facts(d, path)
     write_facts(h, path)
     write_facts(d, path)
-    return spark.read.parquet(path).groupBy("grain", "symbol").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-_VENDOR_NAMES = {"date": "Date", "symbol": "Ticker", "open": "Open", "high": "High", "low": "Low",
-                 "close": "Close", "volume": "Volume", "daily_return": "Daily_Return",
-                 "pct_change": "Pct_Change", "volatility": "Volatility_20d",
-                 "close_rolling_mean_20": "Close_Rolling_Mean_20", "sma_20": "SMA_20", "sma_50": "SMA_50",
-                 "ema_20": "EMA_20", "rsi_14": "RSI_14", "macd_line": "MACD_Line", "macd_signal": "MACD_Signal",
-                 "macd_hist": "MACD_Hist", "bb_upper": "BB_Upper", "bb_middle": "BB_Middle",
-                 "bb_lower": "BB_Lower", "bb_bandwidth": "BB_Bandwidth",
-                 "daily_return_outlier": "Daily_Return_Outlier", "volume_outlier": "Volume_Outlier"}
+    return spark.read.parquet(path).groupBy("grain", "symbol").agg(
+        F.count(F.lit(1)).alias("n_rows"), round_half(F.sum("close"), 2).alias("sum_close"), F.sum("volume").alias("sum_volume"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+# Feature columns by the vendor name that the column map knows them under (the first of two names of one column).
+_VENDOR_NAMES = {}
+for _name, _col in VENDOR_COLUMN_MAP.items():
+    _feature = {"volatility_20d": "volatility", "Daily_Return_Outlier": "daily_return_outlier",
+                "Volume_Outlier": "volume_outlier"}.get(_col, _col)
+    if _feature != "adj_close":
+        _VENDOR_NAMES.setdefault(_feature, _name)
+_VENDOR_NAMES["close_rolling_mean_20"] = "Close_Rolling_Mean_20"  # not in the map: must be dropped by it
 _FACT_DBL = ["open", "high", "low", "close", "adj_close", "daily_return", "pct_change", "volatility_20d",
              "sma_20", "sma_50", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist",
              "bb_upper", "bb_middle", "bb_lower", "bb_bandwidth"]
@@ -618,6 +678,27 @@ def q_vendor_roundtrip(spark, sf):
     return _r(back, ["open", "high", "low", "close"]).select(*BAR_COLS)
 
 
+@register("vendor_mixed_headers", with_bars(f"""
+SELECT symbol, date, {_sr(['open', 'high', 'low'])}, CASE WHEN volume % 10 <> 3 THEN {R('close')} END AS close,
+       CASE WHEN symbol < 'J' THEN {R('close')} END AS adj_close, volume FROM bars_1d"""))
+def q_vendor_mixed_headers(spark, sf):
+    """Files of two header layouts (one with Adj Close, columns in another order), NaN closes and a missing path."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.bars import read_vendor_bars
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vendor/mixed-{uuid.uuid4().hex[:10]}"
+    v = P.bars(spark, sf, "1d").select(
+        F.date_format("date", "yyyy-MM-dd").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
+        F.col("low").alias("Low"), F.when(F.col("volume") % 10 == 3, F.lit("NaN")).otherwise(F.col("close").cast("string")).alias("Close"),
+        F.col("close").alias("Adj Close"), F.col("volume").alias("Volume"), F.col("symbol").alias("Ticker"))
+    early = v.filter("Ticker < 'J'").select("Ticker", "Adj Close", "Date", "Open", "High", "Low", "Close", "Volume")
+    early.write.option("header", True).csv(f"{path}/a")
+    v.filter("Ticker >= 'J'").drop("Adj Close").write.option("header", True).csv(f"{path}/b")
+    back = read_vendor_bars(spark, [f"{path}/a/*.csv", f"{path}/none/*.csv", f"{path}/b/*.csv"], "1d")
+    return _r(back, ["open", "high", "low", "close", "adj_close"]).select(
+        "symbol", "date", "open", "high", "low", "close", "adj_close", "volume")
+
+
 @register("suite_report")
 def q_suite_report(spark, sf):
     from barspark.plans.suite import run_suite

@@ -15,5 +15,5 @@ def run_suite(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
             n = REGISTRY[name][0](spark, sf_dir).count()
             rows.append((name, "ok", int(n), None))
         except Exception as e:  # recorded, not raised
-            rows.append((name, "failed", None, str(e)[:200]))
+            rows.append((name, "failed", None, str(e)))
     return spark.createDataFrame(rows, "query_name string, status string, n_rows long, error string")

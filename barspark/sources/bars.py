@@ -33,7 +33,7 @@ def bars_from_ticks(ticks: DataFrame, interval: str, symbol: str = "symbol",
     open/close are the price at the first/last tick by (ts, *tiebreak);
     volume is the summed ``size`` (tick count when ``size`` is None).
     """
-    order = F.struct(F.col(ts), *[F.col(c) for c in (tiebreak or [])])
+    order = F.struct(F.col(ts), *[F.col(c) for c in tiebreak]) if tiebreak else F.col(ts)
     vol = F.count(F.lit(1)) if size is None else F.sum(size).cast("bigint")
     start = bucket_start(F.col(ts), interval)
     return (ticks
@@ -123,23 +123,61 @@ VENDOR_SCHEMA = T.StructType([
 ])
 
 
+def existing_paths(spark: SparkSession, paths: list[str] | str) -> tuple[list[str], list[str]]:
+    """Paths (or patterns) that match something, and those that do not."""
+    found, missing = [], []
+    for p in [paths] if isinstance(paths, str) else list(paths):
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        hits = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        (found if hits is not None and len(hits) else missing).append(p)
+    return found, missing
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV files of any mix of headers as one table of texts, columns taken by name.
+
+    A file's header is its line that names the vendor columns; files are
+    told apart by header, of which there are few (only the distinct headers reach the driver)."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
+    names = F.array(*[F.lit(f.name) for f in VENDOR_SCHEMA.fields])
+    cells = F.transform(F.split("value", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    is_header = F.size(F.array_intersect(cells, names)) >= 3
+    lines = lines.withColumn("_is_header", is_header).filter(F.length("value") > 0)
+    headers = lines.filter("_is_header").groupBy("_file").agg(F.first("value").alias("_header"))
+    body = lines.filter(~F.col("_is_header")).join(headers, "_file")
+    out = None
+    for row in headers.select("_header").distinct().collect():
+        cols = [c.strip().strip('"') for c in row["_header"].split(",")]
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(cols))])
+        part = body.filter(F.col("_header") == row["_header"]).select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")).alias("r"))
+        known = {f.name: i for i, f in reversed(list(enumerate(VENDOR_SCHEMA.fields)))}
+        part = part.select(*[F.col(f"r.c{cols.index(n)}").alias(n) if n in cols else F.lit(None).cast("string").alias(n) for n in known])
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], T.StructType([T.StructField(f.name, T.StringType()) for f in VENDOR_SCHEMA.fields]))
+
+
 def read_vendor_bars(spark: SparkSession, paths: list[str] | str, grain: str = "1d",
                      fmt: str = "csv") -> DataFrame:
     """Read vendor bar files of all symbols at once into the BAR layout.
 
-    CSV columns are taken by header name (one layout per call: daily files
-    carry ``Date``, intraday ``Datetime`` with a UTC offset); absent columns are
-    null; values that do not parse become null (``try_cast``) and surface in
-    the data-quality checks instead of failing the load.
-    """
-    if fmt == "csv":
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(paths)
-    else:
-        raw = spark.read.format(fmt).load(paths)
+    Paths that match nothing are skipped (``existing_paths`` names them); none at all is an
+    error.  CSV columns are taken by each file's own header, so files with
+    different columns or orders mix (daily files carry ``Date``, intraday ones
+    ``Datetime`` with a UTC offset); absent columns are null.  Values that do not parse,
+    NaN and infinities become null and surface in the data-quality checks."""
+    found, missing = existing_paths(spark, paths)
+    if not found:
+        raise FileNotFoundError(f"no bar files at {missing}")
+    raw = _by_header(spark, found) if fmt == "csv" else spark.read.format(fmt).load(found)
     cols = {}
     for f in VENDOR_SCHEMA.fields:
         c = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)
-        cols[f.name] = c.cast("string") if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
+        if isinstance(f.dataType, T.StringType):
+            cols[f.name] = c.cast("string")
+        else:
+            n = c.cast("string").try_cast("double")
+            n = F.when(~F.isnan(n) & (F.abs(n) != float("inf")), n)
+            cols[f.name] = F.round(n).try_cast("bigint") if isinstance(f.dataType, T.LongType) else n
     stamp = F.coalesce(cols["Datetime"], cols["Date"])
     ts = F.coalesce(F.try_to_timestamp(stamp), F.try_to_timestamp(F.substring(stamp, 1, 19)))
     return raw.select(

@@ -63,7 +63,7 @@ def main() -> None:
                 runs.append(time.perf_counter() - t)
             times[name] = round(statistics.median(runs), 3)
         except Exception as e:  # keep benchmarking the rest
-            failed[name] = str(e)[:200]
+            failed[name] = str(e)
     fit = times.get("etl_forecasters_1d", 0.0)
     analytics = round(sum(times.values()) - fit, 3)
     out = {"metric": "etl_plus_query_seconds", "value": analytics, "unit": "sec",

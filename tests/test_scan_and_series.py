@@ -95,7 +95,7 @@ def test_exact_quantiles_match_percentile_with_split_keys(spark):
            [("HOT", 0.5)] * 50 + [("S", float(x)) for x in rng.random(7)] + [("ONE", 3.0), ("S", None)]
     df = spark.createDataFrame(rows, "k string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = exact_quantiles(df, ["k"], "v", probs, split_rows=100, pieces=16).toPandas().set_index("k")
+    got = exact_quantiles(df, ["k"], "v", probs, pieces=16).toPandas().set_index("k")
     want = df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).toPandas()
     for _, r in want.iterrows():
         for i in range(len(probs)):
