@@ -42,7 +42,7 @@ from barspark.llm.tokens import Ranges, groups, hash_words, mix, split
 
 _U = np.uint64
 #: Words handled at a time; signatures gathered in a task before they are sent on.
-PIECE, HELD = 400_000, 3_000_000
+PIECE, HELD = 200_000, 1_000_000
 #: Groups up to this size offer all their pairs.
 SMALL = 12
 SKETCH = 512
