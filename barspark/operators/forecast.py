@@ -6,7 +6,9 @@ distributed series index).  The linear model is solved from per-symbol
 normal equations: the cross-product sums of standardised features are one
 ``groupBy`` aggregation over all symbols, and only the small per-symbol
 matrices are solved (``applyInPandas`` on one row per symbol).  The forest
-and boosting models are Spark ML estimators fitted per symbol.
+and boosting models are Spark ML estimators fitted over all symbols at once on
+rows standardised per symbol (or per symbol, for a short list).  The best model
+of each symbol by test R2 makes its forecast and its backtest.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barspark.functions.scalar import round_half
 from barspark.functions.series import block_window, blocked, default_bucket, index_series
+from barspark.operators.dashboard import range_filter
 from barspark.session import materialize
 
 LAGS = (1, 2, 3, 5)
@@ -53,6 +56,7 @@ def lag_features(fact: DataFrame) -> DataFrame:
         cols[f"volume_lag_{n}"] = F.lag("volume", n).over(w).cast("double")
         cols[f"return_lag_{n}"] = F.lag("daily_return", n).over(w)
     cols["target_close"] = F.lead("close", 1).over(w)
+    cols["target_date"] = F.lead("date", 1).over(w)
     out = d.withColumns(cols).filter("_own")
     return out.withColumnsRenamed({"_idx": "seq", "_len": "n_bars"}).drop("_blk", "_own", "_pos")
 
@@ -79,14 +83,20 @@ def latest_vector(fact: DataFrame, grain: str = "1d") -> DataFrame:
 
 # ------------------------------------------------------------------ metrics
 
-def regression_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
-    """MAE, RMSE, R2 per key from (target_close, prediction) rows."""
-    e = F.col("target_close") - F.col("prediction")
-    agg = pred.groupBy(*keys).agg(
-        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.sum(e * e).alias("_sse"), F.var_pop("target_close").alias("_var"), F.count(F.lit(1)).alias("_n"))
-    r2 = 1 - F.try_divide(F.col("_sse"), F.col("_var") * F.col("_n"))
-    return agg.select(*keys, "mae", "rmse", r2.alias("r2"))
+def regression_metrics(where: Column | None = None, prefix: str = "") -> list[Column]:
+    """Aggregates mae, rmse, r2 of (target_close, prediction) rows, of those that ``where`` holds for."""
+    keep = (lambda c: c) if where is None else (lambda c: F.when(where, c))
+    e, y = keep(F.col("target_close") - F.col("prediction")), keep(F.col("target_close"))
+    r2 = 1 - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))
+    return [F.avg(F.abs(e)).alias(f"{prefix}mae"), F.sqrt(F.avg(e * e)).alias(f"{prefix}rmse"), r2.alias(f"{prefix}r2")]
+
+
+def metrics_by_split(preds: DataFrame) -> DataFrame:
+    """Test MAE/RMSE/R2 and train MAE/R2 per (symbol, model): one pass over the predictions."""
+    test = regression_metrics(F.col("is_test"), "test_")
+    train = regression_metrics(~F.col("is_test"), "train_")
+    m = preds.groupBy("symbol", "model").agg(*test, *train)
+    return m.select("symbol", "model", *[round_half(c, 6).alias(c) for c in ("test_mae", "test_rmse", "test_r2", "train_mae", "train_r2")])
 
 
 def best_model(metrics: DataFrame) -> DataFrame:
@@ -159,59 +169,64 @@ def linear_predict(rows: DataFrame, model: DataFrame, feats: list[str]) -> DataF
 
 # ------------------------------------------------------------------ tree models
 
-def _tree_estimators(seed: int = 42):
+#: Settings of the tree models: the reference's counts and rate, with Spark's histogram trees (depth and bins bounded).
+TREES, FOREST_DEPTH, BINS, BOOST_ROUNDS, BOOST_RATE, BOOST_DEPTH = 100, 10, 128, 100, 0.05, 3
+
+
+def _tree_estimators(seed: int = 42, trees: int = TREES, depth: int = FOREST_DEPTH, bins: int = BINS, rounds: int = BOOST_ROUNDS):
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
     return {
-        # 100 trees, every feature at every split (the reference's settings);
-        # depth and histogram bins are Spark's approximation of fully grown,
-        # exact-threshold trees
-        "Random_Forest": RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=12,
-                                               maxBins=32, seed=seed, labelCol="target_close"),
-        "Gradient_Boosting": GBTRegressor(maxIter=100, stepSize=0.05, maxDepth=3, seed=seed,
-                                          labelCol="target_close"),
+        # every feature at every split, as the reference's forest does
+        "Random_Forest": RandomForestRegressor(numTrees=trees, featureSubsetStrategy="all", maxDepth=depth, maxBins=bins,
+                                               maxMemoryInMB=1024, seed=seed, labelCol="_y"),
+        "Gradient_Boosting": GBTRegressor(maxIter=rounds, stepSize=BOOST_RATE, maxDepth=BOOST_DEPTH, maxBins=bins,
+                                          maxMemoryInMB=1024, seed=seed, labelCol="_y"),
     }
 
 
-def fit_trees(split: DataFrame, feats: list[str], symbols: list[str], workers: int = 4):
-    """Spark ML forest/boosting per symbol (train rows only), fitted concurrently;
-    returns {(symbol, model): fitted PipelineModel}.  A failing symbol is skipped."""
+def standardised(rows: DataFrame, linear: DataFrame, feats: list[str]) -> DataFrame:
+    """Features as z-scores of their symbol's training rows (``_z0``...), the target on the close's scale (``_y``)."""
+    z = lambda c, i: F.coalesce(F.try_divide(F.col(c) - F.col("mu")[i], F.col("sd")[i]), F.lit(0.0))
+    i = feats.index("close")
+    d = rows.join(linear.select("symbol", "mu", "sd"), "symbol")
+    d = d.withColumns({f"_z{k}": z(c, k) for k, c in enumerate(feats)})
+    d = d.withColumns({"_mid": F.col("mu")[i], "_scale": F.coalesce(F.nullif(F.col("sd")[i], F.lit(0.0)), F.lit(1.0))})
+    if "target_close" in rows.columns:
+        d = d.withColumn("_y", (F.col("target_close") - F.col("_mid")) / F.col("_scale"))
+    return d.drop("mu", "sd")
+
+
+def _pipeline(est, n: int):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
+    return Pipeline(stages=[VectorAssembler(inputCols=[f"_z{k}" for k in range(n)], outputCol="features"), est])
+
+
+def pooled_trees(split: DataFrame, linear: DataFrame, feats: list[str], names: list[str] | None = None, **settings):
+    """One forest and one boosted model over all symbols on standardised rows: two distributed
+    fits whatever the number of symbols.  Returns {model name: PipelineModel}."""
+    train = standardised(split.filter(~F.col("is_test")), linear, feats).select("_y", *[f"_z{k}" for k in range(len(feats))])
+    todo = [(n, e) for n, e in _tree_estimators(**settings).items() if names is None or n in names]
+    # one after the other: each fit already uses every core, side by side they contend
+    return {name: _pipeline(est, len(feats)).fit(train) for name, est in todo}
+
+
+def fit_trees(split: DataFrame, linear: DataFrame, feats: list[str], symbols: list[str], workers: int = 4, **settings):
+    """Forest and boosting per symbol (the reference's design, for short lists of symbols), fitted
+    concurrently: ({(symbol, model): PipelineModel}, [(symbol, model, error)])."""
+    rows = standardised(split, linear, feats)
 
     def fit(args):
         sym, name, est = args
         try:
-            pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"), est])
-            train = split.filter((F.col("symbol") == sym) & ~F.col("is_test"))
-            return (sym, name), pipe.fit(train)
-        except Exception:  # fault isolation per symbol, as in the reference
-            return (sym, name), None
+            return (sym, name), _pipeline(est, len(feats)).fit(rows.filter((F.col("symbol") == sym) & ~F.col("is_test"))), None
+        except Exception as e:  # recorded: one symbol's failure does not stop the others
+            return (sym, name), None, str(e)
 
-    jobs = [(s, n, e.copy()) for s in symbols for n, e in _tree_estimators().items()]
+    jobs = [(s, n, e.copy()) for s in symbols for n, e in _tree_estimators(**settings).items()]
     with ThreadPoolExecutor(max_workers=workers) as ex:
-        return {k: m for k, m in ex.map(fit, jobs) if m is not None}
-
-
-def pooled_trees(split: DataFrame, feats: list[str], names: list[str] | None = None):
-    """One forest and one boosted model over all symbols (symbol as a categorical
-    feature), fitted on every symbol's training rows: two distributed fits
-    whatever the number of symbols.  Returns {model name: PipelineModel}."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    n_sym = split.select("symbol").distinct().count()
-    train = split.filter(~F.col("is_test"))
-
-    def fit(item):
-        name, est = item
-        est = est.copy().setMaxBins(max(est.getMaxBins(), n_sym))
-        pipe = Pipeline(stages=[
-            StringIndexer(inputCol="symbol", outputCol="_sym", handleInvalid="keep"),
-            VectorAssembler(inputCols=feats + ["_sym"], outputCol="features"), est])
-        return name, pipe.fit(train)
-
-    todo = [(n, e) for n, e in _tree_estimators().items() if names is None or n in names]
-    # one after the other: each fit already uses every core, side by side they contend
-    return dict(fit(item) for item in todo)
+        done = list(ex.map(fit, jobs))
+    return {k: m for k, m, _ in done if m is not None}, [(*k, e) for k, m, e in done if m is None]
 
 
 @dataclass
@@ -224,93 +239,125 @@ class Forecasters:
     linear: DataFrame
     trees: dict = field(default_factory=dict)          # name -> PipelineModel (pooled)
     per_symbol: dict = field(default_factory=dict)     # (symbol, name) -> PipelineModel
+    failures: list = field(default_factory=list)       # (symbol, model, error)
 
 
-def fit_forecasters(fact: DataFrame, grain: str = "1d", trees: str = "pooled") -> Forecasters:
-    """``trees``: 'pooled' (default), 'per_symbol' (the reference's design, one fit
-    per symbol and model, for few symbols) or 'none'."""
+def fit_forecasters(fact: DataFrame, grain: str = "1d", trees: str = "pooled", symbols: list[str] | None = None,
+                    **settings) -> Forecasters:
+    """``trees``: 'pooled' (default), 'per_symbol' (one fit per listed symbol and model) or 'none'."""
     feats = feature_names(grain)
     split = materialize(training_rows(fact, grain).filter("eligible")
-                        .select("symbol", "date", "ts", "seq", "split_rank", "n_train_rows",
+                        .select("symbol", "date", "ts", "seq", "n_bars", "split_rank", "n_train_rows", "target_date",
                                 "is_test", "close", *[c for c in feats if c != "close"], "target_close"),
                         f"forecast_split_{grain}")
     linear = materialize(linear_fit(split.filter(~F.col("is_test")), feats), f"forecast_linear_{grain}")
     fc = Forecasters(grain, feats, split, linear)
     if trees == "pooled":
-        fc.trees = pooled_trees(split, feats)
+        fc.trees = pooled_trees(split, linear, feats, **settings)
     elif trees == "per_symbol":
-        symbols = [r.symbol for r in split.select("symbol").distinct().orderBy("symbol").collect()]
-        fc.per_symbol = fit_trees(split, feats, symbols)
+        if not symbols:
+            raise ValueError("per-symbol fits need the list of symbols")
+        fc.per_symbol, fc.failures = fit_trees(split, linear, feats, symbols, **settings)
     return fc
 
 
-def forecast_predictions(fc: Forecasters) -> DataFrame:
-    """(symbol, model, is_test, target_close, prediction) of every fitted regressor."""
-    cols = ["symbol", "is_test", "target_close", "prediction"]
-    preds = linear_predict(fc.split, fc.linear, fc.feats).select(*cols).withColumn("model", F.lit(MODEL_ORDER[0]))
+def predict_all(fc: Forecasters, rows: DataFrame) -> DataFrame:
+    """``rows`` once per fitted model, with ``model`` and ``prediction``."""
+    out = linear_predict(rows, fc.linear, fc.feats).withColumn("model", F.lit(MODEL_ORDER[0]))
+    keep = [*rows.columns, "model", "prediction"]
+    out = out.select(*keep)
+    z = standardised(rows, fc.linear, fc.feats)
+    back = (F.col("prediction") * F.col("_scale") + F.col("_mid")).alias("prediction")
+
+    def add(out, model, part, name):
+        return out.unionByName(model.transform(part).select(*rows.columns, F.lit(name).alias("model"), back))
+
     for name, m in fc.trees.items():
-        preds = preds.unionByName(m.transform(fc.split).select(*cols).withColumn("model", F.lit(name)))
+        out = add(out, m, z, name)
     for (sym, name), m in sorted(fc.per_symbol.items()):
-        p = m.transform(fc.split.filter(F.col("symbol") == sym)).select(*cols).withColumn("model", F.lit(name))
-        preds = preds.unionByName(p)
-    return preds
+        out = add(out, m, z.filter(F.col("symbol") == sym), name)
+    return out
+
+
+def forecast_predictions(fc: Forecasters) -> DataFrame:
+    """(symbol, model, is_test, target_close, prediction) of every fitted regressor."""
+    return predict_all(fc, fc.split).select("symbol", "model", "is_test", "target_close", "prediction")
 
 
 def forecast_metrics(fc: Forecasters) -> DataFrame:
     """Test MAE/RMSE/R2 and train MAE/R2 per (symbol, model) for eligible symbols."""
-    preds = forecast_predictions(fc)
-    test = regression_metrics(preds.filter("is_test"), ["symbol", "model"]).withColumnsRenamed(
-        {"mae": "test_mae", "rmse": "test_rmse", "r2": "test_r2"})
-    train = regression_metrics(preds.filter(~F.col("is_test")), ["symbol", "model"]).select(
-        "symbol", "model", F.col("mae").alias("train_mae"), F.col("r2").alias("train_r2"))
-    return test.join(train, ["symbol", "model"]).select(
-        "symbol", "model", *[round_half(c, 6).alias(c) for c in ("test_mae", "test_rmse", "test_r2", "train_mae", "train_r2")])
+    return metrics_by_split(forecast_predictions(fc))
+
+
+def training_summary(fact: DataFrame, grain: str = "1d", failures: list | None = None) -> DataFrame:
+    """One row per symbol: usable rows, and whether it is trained, skipped (too few rows) or failed."""
+    rows = training_rows(fact, grain).groupBy("symbol").agg(F.max("n_train_rows").alias("n_train_rows"))
+    out = fact.select("symbol").distinct().join(rows, "symbol", "left").withColumn("n_train_rows", F.coalesce("n_train_rows", F.lit(0)).cast("long"))
+    failed = fact.sparkSession.createDataFrame([(f[0], f"{f[1]}: {f[2]}") for f in failures or []], "symbol string, error string")
+    failed = failed.groupBy("symbol").agg(F.array_join(F.sort_array(F.collect_list("error")), "; ").alias("error"))
+    return out.join(failed, "symbol", "left").select(
+        "symbol", "n_train_rows", F.when(F.col("n_train_rows") < MIN_TRAIN_ROWS, "skipped").when(F.col("error").isNotNull(), "failed")
+        .otherwise("trained").alias("status"), "error")
 
 
-def forecast_next(fc: Forecasters, fact: DataFrame) -> DataFrame:
-    """Next-bar forecast from the linear model: forecast, diff and % diff vs the last close."""
+def forecast_next(fc: Forecasters, fact: DataFrame, best: DataFrame) -> DataFrame:
+    """Next-bar forecast from each symbol's best model: forecast, diff and % diff vs the last close."""
     last = latest_vector(fact, fc.grain).dropna("any", subset=fc.feats)
-    p = linear_predict(last, fc.linear, fc.feats)
-    return p.select("symbol", "date", round_half("close").alias("last_close"),
+    p = predict_all(fc, last).join(best.select("symbol", F.col("best_model").alias("model")), ["symbol", "model"])
+    return p.select("symbol", "date", "model", round_half("close").alias("last_close"),
                     round_half("prediction").alias("forecast_close"),
                     round_half(F.col("prediction") - F.col("close")).alias("forecast_diff"),
                     round_half(F.try_divide(F.col("prediction") - F.col("close"), F.col("close")) * 100)
                     .alias("forecast_pct"))
 
 
-def backtest(fc: Forecasters, fact: DataFrame) -> DataFrame:
-    """Actual vs predicted next close over the training rows, with the date the
-    prediction is for (the next bar's date) and the split flag."""
-    nxt = fact.select("symbol", (F.col("seq") - 1).alias("seq"), F.col("date").alias("target_date"))
-    p = linear_predict(fc.split, fc.linear, fc.feats).join(nxt, ["symbol", "seq"], "left")
-    return p.select("symbol", "date", "target_date", "is_test", round_half("target_close").alias("actual_close"),
+def backtest(fc: Forecasters, best: DataFrame, start=None, end=None) -> DataFrame:
+    """Actual vs predicted next close of each symbol's best model over the chosen range of dates (by default
+    the dashboard's: the last 365 bars), with the date the prediction is for and the split flag."""
+    rows = range_filter(fc.split, start, end)
+    p = predict_all(fc, rows).join(best.select("symbol", F.col("best_model").alias("model")), ["symbol", "model"])
+    return p.select("symbol", "date", "target_date", "model", "is_test", round_half("target_close").alias("actual_close"),
                     round_half("prediction").alias("predicted_close"))
 
 
-def feature_importance(fc: Forecasters, top: int = 10) -> DataFrame:
-    """Top feature importances of the pooled forest (tree models only)."""
-    forest = fc.trees.get("Random_Forest") or pooled_trees(fc.split, fc.feats, ["Random_Forest"])["Random_Forest"]
-    imp = forest.stages[-1].featureImportances.toArray()
-    names = fc.feats + ["symbol"]
-    # one value per feature (28): model metadata, not data
-    df = fc.split.sparkSession.createDataFrame([(names[i], float(imp[i])) for i in range(len(names))],
-                                               "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
-
-
-def save_forecasters(fc: Forecasters, path: str) -> None:
-    """Persist the fitted state: Spark ML pipelines, the linear coefficients and
-    the feature list (the reference pickles the same three things per symbol)."""
+def feature_importance(fc: Forecasters, best: DataFrame, top: int = 10) -> DataFrame:
+    """Top feature importances of each symbol's best model where that is a tree model."""
+    spark = fc.split.sparkSession
+    rows = [(name, None, f, float(v)) for name, m in fc.trees.items() for f, v in zip(fc.feats, m.stages[-1].featureImportances.toArray())]
+    rows += [(name, sym, f, float(v)) for (sym, name), m in fc.per_symbol.items() for f, v in zip(fc.feats, m.stages[-1].featureImportances.toArray())]
+    # one value per model and feature: model metadata, not data
+    imp = spark.createDataFrame(rows, "model string, of string, feature string, importance double")
+    b = best.select("symbol", F.col("best_model").alias("model"))
+    w = Window.partitionBy("symbol").orderBy(F.desc("importance"), "feature")
+    j = b.join(imp, "model").filter(F.col("of").isNull() | (F.col("of") == F.col("symbol")))
+    return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("symbol", "model", "rank", "feature", "importance")
+
+
+def save_forecasters(fc: Forecasters, path: str, fact: DataFrame, best: DataFrame) -> None:
+    """Persist the fitted state: Spark ML pipelines, the linear coefficients, the feature list, the latest
+    vectors and the best model per symbol."""
     spark = fc.split.sparkSession
     fc.linear.write.mode("overwrite").parquet(f"{path}/linear")
-    spark.createDataFrame([(i, c) for i, c in enumerate(fc.feats)], "position int, feature string") \
+    latest_vector(fact, fc.grain).write.mode("overwrite").parquet(f"{path}/latest")
+    best.write.mode("overwrite").parquet(f"{path}/best")
+    spark.createDataFrame([(i, c, fc.grain) for i, c in enumerate(fc.feats)], "position int, feature string, grain string") \
         .write.mode("overwrite").parquet(f"{path}/features")
+    saved = [("", n) for n in fc.trees] + list(fc.per_symbol)
+    spark.createDataFrame(saved, "symbol string, model string").write.mode("overwrite").parquet(f"{path}/models")
     for name, m in fc.trees.items():
         m.write().overwrite().save(f"{path}/trees/{name}")
     for (sym, name), m in fc.per_symbol.items():
         m.write().overwrite().save(f"{path}/per_symbol/{sym.replace('.', '_')}/{name}")
 
 
-def load_linear(spark, path: str) -> tuple[DataFrame, list[str]]:
-    feats = [r.feature for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
-    return spark.read.parquet(f"{path}/linear"), feats
+def load_forecasters(spark, path: str) -> tuple[Forecasters, DataFrame, DataFrame]:
+    """What ``save_forecasters`` stored: the models (without the split table), the latest vectors and the best models."""
+    from pyspark.ml import PipelineModel
+    feats = [(r.feature, r.grain) for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
+    fc = Forecasters(feats[0][1], [f for f, _ in feats], None, spark.read.parquet(f"{path}/linear"))
+    for r in spark.read.parquet(f"{path}/models").collect():
+        if r.symbol:
+            fc.per_symbol[r.symbol, r.model] = PipelineModel.load(f"{path}/per_symbol/{r.symbol.replace('.', '_')}/{r.model}")
+        else:
+            fc.trees[r.model] = PipelineModel.load(f"{path}/trees/{r.model}")
+    return fc, spark.read.parquet(f"{path}/latest"), spark.read.parquet(f"{path}/best")

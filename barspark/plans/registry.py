@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.scalar import round_half
-from barspark.operators import clean, dashboard, eda, forecast, portfolio, reports
+from barspark.operators import clean, dashboard, eda, forecast, indicators, portfolio, reports
 from barspark.plans import pipeline as P
 from barspark.plans.oracle import R, feature_ctes, with_bars, with_features
 from barspark.schemas import FEATURE_COLUMNS, VENDOR_COLUMN_MAP
@@ -560,27 +560,62 @@ def q_chrono_split(spark, sf):
     return forecast.training_rows(_fact(spark, sf)).select("symbol", "date", "split_rank", "is_test")
 
 
-# ------------------------------------------------------------------ forecasting (models; rows-only)
+# Three predictors that SQL can state, judged by the same metrics and the same choice of the best model.
+_NAIVE = {"Linear_Regression": "close", "Random_Forest": "(close + close_lag_1) / 2", "Gradient_Boosting": "sma_20"}
+_NAIVE_CTES = _LAGGED + """,
+pred AS (""" + " UNION ALL ".join(
+    f"SELECT symbol, '{m}' AS model, {k} AS place, split_rank >= floor(n_train_rows * 0.8::DOUBLE) AS is_test, target_close AS y, {x} AS p "
+    "FROM train WHERE n_train_rows >= 100" for k, (m, x) in enumerate(_NAIVE.items())) + f"""),
+met AS (SELECT symbol, model, place, {R("avg(abs(y - p)) FILTER (is_test)", 6)} AS test_mae,
+  {R("sqrt(avg((y - p) * (y - p)) FILTER (is_test))", 6)} AS test_rmse,
+  {R("1 - sum((y - p) * (y - p)) FILTER (is_test) / nullif(var_pop(y) FILTER (is_test) * count(*) FILTER (is_test), 0)", 6)} AS test_r2,
+  {R("avg(abs(y - p)) FILTER (NOT is_test)", 6)} AS train_mae,
+  {R("1 - sum((y - p) * (y - p)) FILTER (NOT is_test) / nullif(var_pop(y) FILTER (NOT is_test) * count(*) FILTER (NOT is_test), 0)", 6)} AS train_r2
+  FROM pred GROUP BY symbol, model, place)"""
 
-def _forecasters(spark, sf):
-    """Split table + per-symbol linear model (cheap; the next-bar forecast and the
-    backtest need nothing else)."""
-    return P._memo(spark, sf, "forecasters_1d", lambda: forecast.fit_forecasters(_fact(spark, sf), trees="none"))
+
+def _naive_metrics(spark, sf):
+    t = forecast.training_rows(_fact(spark, sf)).filter("eligible")
+    preds = [t.select("symbol", F.lit(m).alias("model"), "is_test", "target_close", F.expr(x).alias("prediction")) for m, x in _NAIVE.items()]
+    return forecast.metrics_by_split(preds[0].unionByName(preds[1]).unionByName(preds[2]))
+
+
+@register("metrics_naive", _feat_plus(_NAIVE_CTES, "SELECT symbol, model, test_mae, test_rmse, test_r2, train_mae, train_r2 FROM met"))
+def q_metrics_naive(spark, sf):
+    return _naive_metrics(spark, sf)
+
+
+@register("best_model_naive", _feat_plus(_NAIVE_CTES, """
+SELECT symbol, CASE WHEN top < 0 THEN 'Linear_Regression' ELSE model END AS best_model,
+       CASE WHEN top < 0 THEN linear ELSE top END AS best_test_r2
+FROM (SELECT symbol, model, test_r2 AS top, max(CASE WHEN place = 0 THEN test_r2 END) OVER (PARTITION BY symbol) AS linear,
+             row_number() OVER (PARTITION BY symbol ORDER BY test_r2 DESC, place) AS n FROM met) WHERE n = 1"""))
+def q_best_model_naive(spark, sf):
+    return forecast.best_model(_naive_metrics(spark, sf))
 
 
-def _forecasters_with_trees(spark, sf):
-    import dataclasses
+@register("training_summary", _feat_plus(_LAGGED, """
+SELECT f.symbol, count(t.symbol) AS n_train_rows, CASE WHEN count(t.symbol) < 100 THEN 'skipped' ELSE 'trained' END AS status,
+       CAST(NULL AS VARCHAR) AS error
+FROM (SELECT DISTINCT symbol FROM feat_1d) f LEFT JOIN train t ON t.symbol = f.symbol GROUP BY f.symbol"""))
+def q_training_summary(spark, sf):
+    return forecast.training_summary(_fact(spark, sf))
 
-    def build():
-        fc = _forecasters(spark, sf)
-        return dataclasses.replace(fc, trees=forecast.pooled_trees(fc.split, fc.feats))
-    return P._memo(spark, sf, "forecasters_trees_1d", build)
+
+# ------------------------------------------------------------------ forecasting (models; rows-only)
+
+def _forecasters(spark, sf):
+    return P._memo(spark, sf, "forecasters_1d", lambda: forecast.fit_forecasters(_fact(spark, sf)))
 
 
 def _metrics(spark, sf):
     from barspark.session import materialize
     return P._memo(spark, sf, "forecast_metrics_1d",
-                   lambda: materialize(forecast.forecast_metrics(_forecasters_with_trees(spark, sf)), "forecast_metrics"))
+                   lambda: materialize(forecast.forecast_metrics(_forecasters(spark, sf)), "forecast_metrics"))
+
+
+def _best(spark, sf):
+    return forecast.best_model(_metrics(spark, sf))
 
 
 @register("forecast_metrics")
@@ -590,22 +625,109 @@ def q_forecast_metrics(spark, sf):
 
 @register("best_model")
 def q_best_model(spark, sf):
-    return forecast.best_model(_metrics(spark, sf))
+    return _best(spark, sf)
 
 
 @register("forecast_next")
 def q_forecast_next(spark, sf):
-    return forecast.forecast_next(_forecasters(spark, sf), _fact(spark, sf))
+    n = forecast.forecast_next(_forecasters(spark, sf), _fact(spark, sf), _best(spark, sf))
+    # the dashboard's date texts: of the forecast's day and of the chart's ticks
+    return n.withColumns({"date_text": F.date_format("date", "EEEE, MMM dd, yyyy"), "tick_text": F.date_format("date", "MM/dd")})
 
 
 @register("backtest")
 def q_backtest(spark, sf):
-    return forecast.backtest(_forecasters(spark, sf), _fact(spark, sf))
+    return forecast.backtest(_forecasters(spark, sf), _best(spark, sf))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    return forecast.feature_importance(_forecasters_with_trees(spark, sf))
+    return forecast.feature_importance(_forecasters(spark, sf), _best(spark, sf))
+
+
+# ------------------------------------------------------------------ indicators with other windows, on another column
+
+def _windows_sql(x: str, sma: int, ema: int, rsi: int, macd: tuple, bb: tuple) -> str:
+    a = lambda n: f"(2.0::DOUBLE / {n + 1})"
+    step = lambda prev, v, n: f"((1 - {a(n)}) * {prev} + {a(n)} * {v})"
+    half = lambda prev, v: f"CASE WHEN b.seq = 1 THEN {v} ELSE (1 - 1.0::DOUBLE / {rsi}) * {prev} + (1.0::DOUBLE / {rsi}) * {v} END"
+    over = lambda n: f"OVER (PARTITION BY b.symbol ORDER BY b.seq ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    full = lambda f, n: f"CASE WHEN count(b.x) {over(n)} = {n} THEN {f}(b.x) {over(n)} END"
+    fast, slow = step("r.fast", "b.x", macd[0]), step("r.slow", "b.x", macd[1])
+    mid, sd = full("avg", bb[0]), full("stddev_samp", bb[0])
+    up, low = f"{mid} + {bb[1]}::DOUBLE * {sd}", f"{mid} - {bb[1]}::DOUBLE * {sd}"
+    return with_bars(f""", xs AS MATERIALIZED (
+  SELECT symbol, ts, date, {x} AS x, row_number() OVER s - 1 AS seq, lag({x}) OVER s AS before, count(*) OVER (PARTITION BY symbol) AS n
+  FROM bars_1d WINDOW s AS (PARTITION BY symbol ORDER BY ts)),
+rec AS (
+  SELECT symbol, seq, x AS ema, x AS fast, x AS slow, 0.0::DOUBLE AS signal, 0.0::DOUBLE AS gain, 0.0::DOUBLE AS loss FROM xs WHERE seq = 0
+  UNION ALL
+  SELECT b.symbol, b.seq, {step('r.ema', 'b.x', ema)}, {fast}, {slow}, {step('r.signal', f'({fast} - {slow})', macd[2])},
+         {half('r.gain', 'greatest(b.x - b.before, 0)')}, {half('r.loss', 'greatest(b.before - b.x, 0)')}
+  FROM rec r JOIN xs b ON b.symbol = r.symbol AND b.seq = r.seq + 1)
+SELECT b.symbol, b.date, {R(full('avg', sma))} AS sma_{sma}, {R('r.ema')} AS ema_{ema},
+  {R(f"CASE WHEN n < {rsi} THEN NULL WHEN b.seq >= {rsi} AND loss <> 0 THEN 100 - 100 / (1 + gain / loss) ELSE 50.0 END")} AS rsi_{rsi},
+  {R('fast - slow')} AS macd_line, {R('signal')} AS macd_signal, {R('fast - slow - signal')} AS macd_hist,
+  {R(mid)} AS bb_middle, {R(up)} AS bb_upper, {R(low)} AS bb_lower, {R(f'(({up}) - ({low})) / nullif({mid}, 0)')} AS bb_bandwidth
+FROM xs b JOIN rec r USING (symbol, seq)""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("indicators_other_windows", _windows_sql("high", 10, 9, 7, (5, 13, 4), (15, 1.5)))
+def q_indicators_other_windows(spark, sf):
+    e = indicators.enrich(P.bars(spark, sf, "1d"), "1d", "high", indicators.Windows((10,), (9,), 7, (5, 13, 4), (15, 1.5)))
+    cols = ["sma_10", "ema_9", "rsi_7", "macd_line", "macd_signal", "macd_hist", "bb_middle", "bb_upper", "bb_lower", "bb_bandwidth"]
+    return _r(e, cols).select("symbol", "date", *cols)
+
+
+# ------------------------------------------------------------------ loads, exports, file names
+
+@register("load_symbol", with_features(f"SELECT ts, {R('close')} AS close, volume FROM feat_1d WHERE symbol = 'CHINA'"))
+def q_load_symbol(spark, sf):
+    """One symbol out of the partitioned fact table."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.warehouse import load_symbol, write_facts
+    path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/fact-{uuid.uuid4().hex[:10]}"
+    write_facts(_fact(spark, sf), path)
+    return load_symbol(spark, path, "CHINA", columns=["ts", "close", "volume"]).withColumn("close", round_half("close"))
+
+
+@register("missing_symbols", with_bars("SELECT symbol FROM dim WHERE symbol NOT IN (SELECT symbol FROM bars_1d WHERE volume % 2 = 0 "
+                                       "GROUP BY symbol HAVING count(*) > 600)", dim=True))
+def q_missing_symbols(spark, sf):
+    from barspark.sources.bars import missing_symbols
+    busy = P.bars(spark, sf, "1d").filter("volume % 2 = 0").groupBy("symbol").count().filter("count > 600")
+    return missing_symbols(busy, P.dim(spark, sf))
+
+
+@register("file_stems", with_bars("SELECT symbol, replace(symbol, '.', '_') || '_historical' AS stem, '/' || symbol AS folder, "
+                                  "count(*) AS n_rows FROM (SELECT replace(symbol, ' ', '.') AS symbol FROM bars_1d) GROUP BY symbol"))
+def q_file_stems(spark, sf):
+    """Per-symbol CSV files: the stem of each symbol and its rows as read back from its folder."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.bars import file_stem
+    from barspark.sources.warehouse import write_per_symbol_csv
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vendor/stems-{uuid.uuid4().hex[:10]}"
+    b = P.bars(spark, sf, "1d").select(F.translate("symbol", " ", ".").alias("symbol"), "date", "close")
+    write_per_symbol_csv(b, path)
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "symbol", file_stem(F.col("symbol"), "historical").alias("stem"), F.concat(F.lit("/"), "symbol").alias("folder"), "n_rows")
+
+
+@register("export_report", with_features(f"""
+SELECT 'Performance_output.csv' AS file, symbol, CAST(count(*) AS VARCHAR) AS total_trading_days FROM feat_1d GROUP BY symbol"""))
+def q_export_report(spark, sf):
+    """A report exported as CSV with its header and read back as texts."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.warehouse import export_csv, export_name
+    file = export_name("Performance summary")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/exports/{uuid.uuid4().hex[:10]}/{file}"
+    export_csv(reports.perf_summary(_fact(spark, sf), P.dim(spark, sf)), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select(F.lit(file).alias("file"), "symbol", "total_trading_days")
 
 
 # ------------------------------------------------------------------ warehouse sinks
@@ -702,7 +824,8 @@ def q_vendor_mixed_headers(spark, sf):
 @register("suite_report")
 def q_suite_report(spark, sf):
     from barspark.plans.suite import run_suite
-    return run_suite(spark, sf, ["perf_summary", "mom_trend", "sma_sql", "rsi_alerts", "top_volume_days"])
+    return run_suite(spark, sf, ["perf_summary", "mom_trend", "sma_sql", "rsi_alerts", "top_volume_days", "close_pivot",
+                                  "rebased_growth", "price_corr", "clipped_returns", "return_box", "avg_volume_millions", "return_kde"])
 
 
 # ------------------------------------------------------------------ streaming

@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
 SQL_QUERIES = sorted(n for n, (_, sql) in REGISTRY.items() if sql is not None)
-ROWS_ONLY_FAST = ["forecast_next", "backtest", "suite_report"]
+ROWS_ONLY_FAST = ["suite_report"]
 
 
 @pytest.fixture(scope="module")
