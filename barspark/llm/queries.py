@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import htmltext, licenses, lm, mixing, pigeonhole, quality, recompress, sentencepieces, urls, winnow
+from barspark.llm import htmltext, licenses, lm, mixing, oracle, pigeonhole, quality, recompress, sentencepieces, urls, winnow
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -25,38 +25,7 @@ def _hex(col, n: int = 6):
     return F.conv(F.substring(F.md5(col), 1, n), 16, 10).cast("long")
 
 
-# The list of the query is dated by rule from the hosts, parent domains and first path segments that the
-# pages have: two thirds of these patterns are listed, lifted later, and half of them listed again.
-OP1_SQL = r"""
-WITH c AS (
-  SELECT page_id, url, CAST(CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 6) AS BIGINT) % 365 AS BIGINT) AS fetch_day,
-         nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '') AS host,
-         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS parts
-  FROM pages),
-asked AS (
-  SELECT page_id, url, fetch_day, host, 1000 + i AS rank, array_to_string(string_split(host, '.')[i:], '.') AS pattern
-  FROM c, unnest(range(1, 20)) AS t(i) WHERE host IS NOT NULL AND i <= len(string_split(host, '.'))
-  UNION ALL
-  SELECT page_id, url, fetch_day, host, 1000 - i, host || '/' || array_to_string(parts[:i], '/')
-  FROM c, unnest([1, 2]) AS t(i) WHERE host IS NOT NULL AND i <= len(parts)),
-names AS (
-  SELECT DISTINCT pattern, CAST('0x' || substr(md5(pattern), 1, 6) AS BIGINT) AS x FROM asked
-  WHERE rank = 999 OR pattern = host OR len(string_split(pattern, '.')) = 3 AND rank > 1000),
-entries AS (
-  SELECT pattern, x % 300 AS day, CASE WHEN (x // 7) % 4 = 0 THEN 'allow' ELSE 'block' END AS action FROM names WHERE x % 3 <> 0
-  UNION ALL SELECT pattern, x % 300 + 20 + x % 50, 'lift' FROM names WHERE x % 3 <> 0
-  UNION ALL SELECT pattern, x % 300 + 50 + x % 50, 'block' FROM names WHERE x % 3 <> 0 AND x % 2 = 0),
-held AS (SELECT pattern, day AS from_day, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS to_day, action FROM entries),
-hit AS (
-  SELECT a.page_id, a.url, row_number() OVER (PARTITION BY a.page_id, a.url ORDER BY rank) AS n, a.pattern, from_day, action
-  FROM asked a JOIN held h ON a.pattern = h.pattern AND a.fetch_day >= from_day AND (to_day IS NULL OR a.fetch_day < to_day)
-  WHERE action <> 'lift')
-SELECT c.page_id, c.url, c.fetch_day, coalesce(h.action, 'none') AS verdict, h.pattern, CAST(h.from_day AS BIGINT) AS listed_since
-FROM c LEFT JOIN hit h ON c.page_id = h.page_id AND c.url = h.url AND h.n = 1
-"""
-
-
-@register("op1_urls", OP1_SQL)
+@register("op1_urls", oracle.OP1)
 def op1_urls(spark, sf_dir):
     pages = table(spark, sf_dir, "pages", "page_id", "url").withColumn("fetch_day", _hex(F.col("page_id").cast("string")) % 365)
     p = pages.select(urls.host(F.col("url")).alias("host"), F.explode(urls.patterns(F.col("url"), 1)).alias("p"))
@@ -85,7 +54,7 @@ def op3_lm(spark, sf_dir):
     return s.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-@register("op4_licenses")
+@register("op4_licenses", oracle.OP4)
 def op4_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -99,7 +68,7 @@ def op5_sentencepiece(spark, sf_dir, model: str = MODEL):
     return sentencepieces.encode(table(spark, sf_dir, "documents", "doc_id", "text"), model, ids=False)
 
 
-@register("op6_quality")
+@register("op6_quality", oracle.OP6)
 def op6_quality(spark, sf_dir):
     j = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -121,13 +90,13 @@ def op8_fingerprints(spark, sf_dir):
                     "near_edited", "near_next")
 
 
-@register("op9_substrings")
+@register("op9_substrings", oracle.OP9)
 def op9_substrings(spark, sf_dir):
     r = recompress.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     return r.drop("th")
 
 
-@register("op10_jaccard")
+@register("op10_jaccard", oracle.OP10)
 def op10_jaccard(spark, sf_dir):
     n = pigeonhole.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return n.select("doc_id", "n_shingles", "component_id", "n_links")
+    return n.select("doc_id", "n_shingles", "component_id")
