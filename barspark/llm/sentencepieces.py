@@ -135,7 +135,7 @@ def load(path: str) -> bytes:
     return data
 
 
-def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 4_000_000):
+def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 400_000):
     def run(it):
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -153,7 +153,7 @@ def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars:
                     n += len(texts[end])
                     end += 1
                 part = texts[first:end]
-                ids = [e.ids for e in t.encode_batch(part, add_special_tokens=False)]
+                ids = [e.ids for e in t.encode_batch_fast(part, add_special_tokens=False)]
                 back = t.decode_batch(ids, skip_special_tokens=False)
                 cols = [batch.column("doc_id").slice(first, end - first), pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([hashlib.sha256(np.asarray(x, "<i4").tobytes()).hexdigest() for x in ids]),
