@@ -54,12 +54,13 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
              day_col: str = "fetch_day", depth: int = 2) -> DataFrame:
     """One row per capture: id, url, fetch_day, verdict (block, allow or none), pattern, listed_since."""
     c = captures.select(F.col(id_col).alias(id_col), F.col(url_col).alias("url"), F.col(day_col).alias("fetch_day"))
-    c = c.withColumn("_row", F.xxhash64(id_col, "url", "fetch_day"))
-    asked = c.select("_row", "url", "fetch_day").select("_row", "fetch_day", F.explode(patterns(F.col("url"), depth)).alias("p")) \
-        .select("_row", "fetch_day", F.col("p.rank").alias("rank"), F.col("p.pattern").alias("pattern"))
-    i = intervals(entries).where("action <> 'lift'")
-    hit = asked.join(i, "pattern").where("fetch_day >= from_day and (to_day is null or fetch_day < to_day)")
-    best = hit.groupBy("_row").agg(F.min(F.struct("rank", "pattern", "from_day", "action")).alias("b"))
-    return c.join(best, "_row", "left").select(
+    asked = c.withColumn("_row", F.monotonically_increasing_id()).select(
+        "*", F.explode_outer(patterns(F.col("url"), depth)).alias("_p"))
+    i = intervals(entries).where("action <> 'lift'").withColumnRenamed("pattern", "_pattern")
+    day = F.col("fetch_day")
+    held = (F.col("_p.pattern") == F.col("_pattern")) & (day >= F.col("from_day")) & (F.col("to_day").isNull() | (day < F.col("to_day")))
+    best = F.min(F.when(F.col("_pattern").isNotNull(), F.struct("_p.rank", "_pattern", "from_day", "action")))
+    out = asked.join(i, held, "left").groupBy("_row", id_col, "url", "fetch_day").agg(best.alias("b"))
+    return out.select(
         id_col, "url", "fetch_day", F.coalesce("b.action", F.lit("none")).alias("verdict"),
-        F.col("b.pattern").alias("pattern"), F.col("b.from_day").alias("listed_since"))
+        F.col("b._pattern").alias("pattern"), F.col("b.from_day").alias("listed_since"))
