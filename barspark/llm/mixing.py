@@ -19,9 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from barspark.llm.common import materialize, ordered_index, word_count
+from barspark.llm.common import let, materialize, ordered_index, word_count
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
@@ -75,57 +74,62 @@ def tilts(classes: DataFrame, cap: float = 2.0, steps: int = 60) -> DataFrame:
     return per.select("source", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step).alias("tilt"))
 
 
+def _round(due: Column, size: Column, rows: Column, cap: float) -> Column:
+    """Whole copies nearest to the words that are due, within the cap, of ``rows`` equal documents."""
+    c = F.greatest(F.lit(0.0), F.least(F.floor(F.lit(cap)) * rows, F.floor(due / F.greatest(size, F.lit(1)) + 0.5)))
+    return F.when(size > 0, c).otherwise(F.lit(0)).cast("long")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0,
         prior: str | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        group_rows: int = 50_000, starts: int = 32) -> DataFrame:
+        group_rows: int = 2_000) -> DataFrame:
     """One row per document: size, source_size, target, rate, copies and taken (copies * size).
 
     ``prior`` names a column with a document's prior log-odds (null: 0, kept
     within -4 and 4, rounded to sixteenths); without it all documents of a
-    source get one rate.  Rounding takes documents of one source, prior and
-    size class (powers of two) in order of size, then id, and gives each the
-    whole part of the running sum of rates that falls to it, so that a class
-    misses its share by less than one document.  Classes above
-    ``group_rows`` documents are cut into parts by hash, each rounded alone:
-    a hot source spreads over tasks.  Of ``starts`` starting points of the
-    running sums, each source takes the one that brings it nearest its target.
+    source get one rate.  Rounding goes through a source's documents from the
+    largest to the smallest: each gets the whole copies nearest to what its
+    rate and the remainder of those before it make due, so what a source
+    misses is less than its smallest documents.  Sources above ``group_rows``
+    documents are cut into parts by hash, each rounded alone, so that a hot
+    source spreads over tasks and a part's documents fit one row.
     """
     p = F.lit(0.0) if prior is None else F.round(F.greatest(F.lit(-4.0), F.least(F.lit(4.0), F.coalesce(
         F.col(prior).cast("double"), F.lit(0.0)))) * 16) / 16
-    d = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                                word_count(F.col(text_col)).alias("size"), p.alias("prior"),
-                                F.xxhash64(F.col(id_col), F.col(text_col)).alias("tie")), "sizes")
-    d = d.withColumn("bin", F.when(F.col("size") > 0, F.floor(F.log2("size"))).otherwise(F.lit(-1)))
-    groups = materialize(d.groupBy("source", "prior", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "classes")
-    goal = source_targets(groups.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
-    masses = groups.groupBy("source", "prior").agg(F.sum("words").cast("double").alias("mass"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+                    p.alias("prior"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("tie"))
+    # rows that are equal in all of these are one entry with a count
+    d = materialize(d.groupBy("doc_id", "source", "size", "prior", "tie").agg(F.count(F.lit(1)).alias("rows")), "sizes")
+    words = F.col("size") * F.col("rows")
+    masses = materialize(d.groupBy("source", "prior").agg(F.sum(words).alias("words"), F.count(F.lit(1)).alias("n")), "classes")
+    goal = source_targets(masses.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n")), weights, share, cap)
     same = lambda a, b, cols: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
-    classes = masses.alias("m").join(goal.alias("g"), same("m", "g", ["source"])).select("m.source", "prior", "mass", "target")
-    goal = goal.alias("g").join(tilts(classes, cap).alias("t"), same("g", "t", ["source"])) \
-        .select("g.source", "source_size", "target", "tilt")
-    plan = materialize(groups.alias("c").join(goal.alias("g"), same("c", "g", ["source"])).select(
-        "c.source", "prior", "bin", "source_size", "target",
-        F.ceil(F.col("n") / group_rows).alias("parts"),
-        (F.lit(cap) / (1.0 + F.exp(-F.col("tilt") - F.col("prior")))).alias("rate")), "rates")
-    j = d.alias("d").join(plan.alias("p"), same("d", "p", ["source", "prior", "bin"])).select(
-        "doc_id", "d.source", "size", "source_size", "target", "rate", "tie", "d.bin", "d.prior",
-        F.pmod("tie", "parts").alias("part"))
-    key = ["source", "prior", "bin", "part"]
-    j = j.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("size"), F.col("doc_id"), F.col("tie"))))
-    j = materialize(j.withColumn("start", F.pmod(F.xxhash64(*key), F.lit(997)) / 997.0).drop("bin", "prior", "part"), "placed")
-
-    def copies(shift: Column) -> Column:
-        u = F.pmod(F.col("start") + shift, F.lit(1.0))
-        n = F.floor(F.col("place") * F.col("rate") + u) - F.floor((F.col("place") - 1) * F.col("rate") + u)
-        return F.when(F.col("size") > 0, F.least(F.floor(F.lit(cap)), n)).otherwise(F.lit(0)).cast("long")
-
-    shifts = [F.lit(c / starts) for c in range(starts)]
-    sums = j.groupBy("source", "target").agg(*[F.sum(copies(s) * F.col("size")).alias(f"s{c}") for c, s in enumerate(shifts)])
-    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"s{c}") - F.col("target")).alias("miss"), s.alias("shift"))
-                                 for c, s in enumerate(shifts)]))["shift"]
-    j = j.alias("j").join(sums.select("source", best.alias("shift")).alias("b"), same("j", "b", ["source"]))
-    return j.select("doc_id", "j.source", "size", "source_size", "target", "rate", "tie", copies(F.col("shift")).alias("copies"),
-                    (copies(F.col("shift")) * F.col("size")).alias("taken"))
+    classes = masses.alias("m").join(goal.alias("g"), same("m", "g", ["source"])).select(
+        "m.source", "prior", F.col("words").cast("double").alias("mass"), "target")
+    plan = materialize(goal.alias("g").join(tilts(classes, cap).alias("t"), same("g", "t", ["source"])).select(
+        "g.source", "source_size", "target", "tilt", F.ceil(F.col("n") / group_rows).alias("parts")), "tilts")
+    rate = F.lit(cap) / (1.0 + F.exp(-F.col("tilt") - F.col("prior")))
+    j = d.alias("d").join(plan.alias("p"), same("d", "p", ["source"])).select(
+        "d.source", "source_size", "target", F.pmod("tie", "parts").alias("part"),
+        F.struct((-F.col("size")).alias("order"), "doc_id", "tie", "size", "rows", rate.alias("rate")).alias("x"))
+    g = j.groupBy("source", "source_size", "target", "part").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+
+    def step(s: Column, x: Column) -> Column:
+        def after(due: Column) -> Column:
+            return let(_round(due, x["size"], x["rows"], cap), lambda c: F.struct(
+                (due - c * x["size"]).alias("due"), F.concat(s["copies"], F.array(c)).alias("copies")))
+
+        return let(s["due"] + x["rate"] * x["size"] * x["rows"], after)
+
+    start = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<bigint>").alias("copies"))
+    g = g.withColumn("copies", F.aggregate("xs", start, step, lambda s: s["copies"]))
+    out = g.select("source", "source_size", "target", F.explode(F.arrays_zip("xs", "copies")).alias("z")).select(
+        "source", "source_size", "target", "z.xs.*", F.col("z.copies").alias("total"))
+    # equal rows share their copies: each gets the whole part, the first ones what is left
+    out = out.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    copies = F.floor(F.col("total") / F.col("rows")) + F.when(F.col("i") <= F.col("total") % F.col("rows"), 1).otherwise(0)
+    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "tie", copies.alias("copies"),
+                      (copies * F.col("size")).alias("taken"))
 
 
 def apply(docs: DataFrame, **settings) -> DataFrame:
