@@ -304,23 +304,38 @@ def _prune(it):
 
 
 def _cross(table: pa.Table) -> pa.Table:
-    """Pairs of one group that lie in different components and whose sizes and sketches allow the similarity."""
-    node, comp, n = (table.column(c).to_numpy() for c in ("node", "comp", "n"))
-    raw = [np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()]
+    """Pairs that share a group, lie in different components, and whose sizes and sketches allow the similarity.
+
+    ``table`` holds the groups of one first member, which mostly have their
+    members in common: a pair is given once, however many groups it shares."""
+    table = table.sort_by("sig")
+    sig, node, comp, n = (table.column(c).to_numpy() for c in ("sig", "node", "comp", "n"))
+    members, at = np.unique(node, return_index=True)
+    raw = [np.frombuffer(x, np.uint8) for x in table.column("sketch").take(at).to_pylist()]
     size = min(map(len, raw))
     for i, x in enumerate(raw):
         while len(x) > size:
             x = x[: len(x) // 2] ^ x[len(x) // 2:]
         raw[i] = x
-    sketch = np.stack(raw).view(_U)
-    a, b = [], []
-    for i in range(len(node)):
-        j = np.flatnonzero((comp != comp[i]) & (node > node[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i])))
+    sketch, comp, n = np.stack(raw).view(_U), comp[at], n[at]
+    place = np.searchsorted(members, node)
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    groups_of = list(zip(first, np.append(first[1:], len(sig))))
+    by_member: list[list[int]] = [[] for _ in members]
+    for k, (a, b) in enumerate(groups_of):
+        for x in place[a:b]:
+            by_member[x].append(k)
+    out_a, out_b = [], []
+    for i in range(len(members)):
+        near = np.unique(np.concatenate([place[slice(*groups_of[k])] for k in by_member[i]]))
+        j = near[near > i]
+        j = j[(comp[j] != comp[i]) & (4 * np.minimum(n[j], n[i]) >= 3 * np.maximum(n[j], n[i]))]
         if len(j):
             j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1) <= allowed(n[j], n[i])]
-            a.append(np.full(len(j), node[i]))
-            b.append(node[j])
-    return pa.table({"a": np.concatenate(a) if a else np.empty(0, np.int64), "b": np.concatenate(b) if b else np.empty(0, np.int64)})
+            out_a.append(np.full(len(j), members[i]))
+            out_b.append(members[j])
+    none = [np.empty(0, np.int64)]
+    return pa.table({"a": np.concatenate(out_a or none), "b": np.concatenate(out_b or none)})
 
 
 def _sets(k: int):
@@ -398,9 +413,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .dropDuplicates(["doc_id", "th"]).select("node", "text"))
     sets = materialize(text.mapInArrow(_sets(k), "node long, shingles binary"), "shingles")
 
-    # first each member with its group's first one, and each node with its smallest partner: most other pairs are
-    # then settled by components
-    first = (big.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).where("a < b").distinct()
+    # first each node with the first member that most of its groups have, and with its smallest partner: most other
+    # pairs are then settled by components
+    often = big.groupBy("node", "center").agg(F.count(F.lit(1)).alias("c")).groupBy("node").agg(
+        F.max_by("center", F.struct("c", -F.col("center"))).alias("center"))
+    first = (often.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).where("a < b").distinct()
              .join(p, ["a", "b"], "left_semi").union(p.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct())
     links = _verified(first, sets)
     comp = materialize(components(links.where("linked")), "comps")
@@ -408,10 +425,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(links.union(_verified(rest, sets)), "links2")
     comp = materialize(components(links.where("linked")), "comps")
     # groups that offered only their first member: members still in different components
-    g = big.select("sig", "node").distinct().join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    g = big.distinct().join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     open_ = g.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
     g = g.join(open_, "sig").join(nodes.select("node", "n", "sketch"), "node")
-    cross = g.groupBy("sig").applyInArrow(_cross, "a long, b long").distinct()
+    cross = g.groupBy("center").applyInArrow(_cross, "a long, b long").distinct()
     links = links.union(_verified(cross.join(links.select("a", "b"), ["a", "b"], "left_anti"), sets))
     links = materialize(links.where("linked").select("a", "b"), "links3")
     comp = components(links)
