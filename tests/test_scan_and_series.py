@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barspark.functions.series import blocked, block_window, index_series
 from barspark.operators.features import features
-from reference_pandas import indicators
+from bar_by_bar import indicators
 
 COLS = ["volatility", "daily_return", "sma_20", "sma_50", "ema_20", "rsi_14", "macd_line",
         "macd_signal", "macd_hist", "bb_upper", "bb_middle", "bb_lower", "bb_bandwidth"]
