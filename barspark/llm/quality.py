@@ -6,19 +6,23 @@ document counts alike, however long) of the documents of that language that
 the base rules keep and that hold few symbols.  A document whose
 Jensen-Shannon distance (square root of the divergence, base 2, 0 to 1)
 from its reference exceeds a limit is rejected, unless it is too short for
-its histogram to mean anything.  DataFrame functions only.
+its histogram to mean anything.  The limits are each language's own: a
+multiple of the distance that nine in ten of its reference documents keep to,
+so junk among the references (up to a tenth of them) does not widen them.
+DataFrame functions only.
 
 Edge cases: a null or empty text has no words and fails the base length
 rule.  A null language is a language of its own.  Repeated rows are judged
 one by one and count twice in the reference.  If no document of a language
 passes the base rules there is no reference and the distances are null:
-the method then rejects nothing.  Columns other than the three read are
+the method then rejects nothing.  A language of few long reference documents
+takes the fixed limits, which are the widest ones for all.  Columns other than the three read are
 dropped by ``judge`` and kept by ``keep``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barspark.llm.common import SPACE, let, lower_ascii, materialize, words
@@ -102,13 +106,40 @@ def distance(p: Column, q: Column) -> Column:
     return F.when((total(p) > 0) & (total(q) > 0), js(norm(p), norm(q)))
 
 
+def language_limits(distances: DataFrame, max_char_distance: float, max_word_distance: float, least_char_distance: float = 0.1,
+                    least_word_distance: float = 0.2, tail: float = 0.9, char_factor: float = 4.0, word_factor: float = 1.6,
+                    least_references: int = 10) -> DataFrame:
+    """``(lang, char_distance, word_distance)`` of reference documents -> limit_lang, char_limit, word_limit per language.
+
+    A limit is ``factor`` times the smallest distance (in steps of 1/10,000)
+    that a share ``tail`` of the documents does not exceed, held between
+    ``least`` and ``max``.  The counts per step are exact and add up over
+    tasks; a language has 10,001 steps at most.
+    """
+    step = lambda c: F.ceil(F.col(c) * 10000).cast("long")
+    bins = distances.select("lang", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), step(f"{k}_distance").alias("step")) for k in ("char", "word")])).alias("b"))
+    counts = bins.select("lang", "b.k", "b.step").groupBy("lang", "k", "step").agg(F.count(F.lit(1)).alias("n"))
+    key = Window.partitionBy("lang", "k")
+    counts = counts.withColumns({"upto": F.sum("n").over(key.orderBy("step")), "all": F.sum("n").over(key)})
+    at = counts.where((F.col("all") >= least_references) & (F.col("upto") >= tail * F.col("all"))).groupBy("lang").agg(*[
+        (F.min(F.when(F.col("k") == k, F.col("step"))) / 10000).alias(k) for k in ("char", "word")])
+    held = lambda d, low, high: F.least(F.lit(high), F.greatest(F.lit(low), d))
+    return at.select(F.col("lang").alias("limit_lang"),
+                     held(char_factor * F.col("char"), least_char_distance, max_char_distance).alias("char_limit"),
+                     held(word_factor * F.col("word"), least_word_distance, max_word_distance).alias("word_limit"))
+
+
 def judge(docs: DataFrame, min_words: int = 50, repeat_pct: int = 50, min_chars: int = 200,
-          max_char_distance: float = 0.33, max_word_distance: float = 0.75, max_symbol_pct: int = 5, **cols: str) -> DataFrame:
-    """One row per document: counts, distances from the language's references, and the verdict.
+          max_char_distance: float = 0.33, max_word_distance: float = 0.75, max_symbol_pct: int = 5,
+          own_limits: bool = True, **cols: str) -> DataFrame:
+    """One row per document: counts, distances from the language's references, the limits, and the verdict.
 
     ``min_chars`` characters and ``min_words`` words are the least for which
     the two distances are judged; documents with more than ``max_symbol_pct``
-    symbols in 100 word characters are no reference.  The histograms are stored once (a few
+    symbols in 100 word characters are no reference.  With ``own_limits``
+    every language has limits of its own, the two ``max`` at most; without,
+    the two ``max`` hold for all.  The histograms are stored once (a few
     hundred bytes a document), so the texts are read and cut a single time.
     """
     f = materialize(features(docs, **cols).withColumn("base_failed", base_failed(min_words, repeat_pct)), "quality")
@@ -122,10 +153,19 @@ def judge(docs: DataFrame, min_words: int = 50, repeat_pct: int = 50, min_chars:
     j = j.withColumns({"char_distance": distance(F.col("chars"), F.col("ref_chars")),
                        "word_distance": distance(F.col("commons"), F.col("ref_commons"))})
     long_enough = F.aggregate("chars", F.lit(0.0), lambda s, x: s + x) >= min_chars
-    off = long_enough & ((F.coalesce("char_distance", F.lit(0.0)) > max_char_distance)
-                         | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance))
+    j = j.withColumns({"long_enough": long_enough, "fit": fit}).drop("chars", "commons", "ref_chars", "ref_commons", "ref_lang")
+    widest = {"char_limit": F.lit(max_char_distance), "word_limit": F.lit(max_word_distance)}
+    if own_limits:
+        j = materialize(j, "distances")
+        limits = language_limits(j.where("fit and long_enough"), max_char_distance, max_word_distance)
+        j = j.join(limits, F.col("lang").eqNullSafe(F.col("limit_lang")), "left")
+        widest = {c: F.coalesce(c, x) for c, x in widest.items()}
+    j = j.withColumns(widest)
+    off = F.col("long_enough") & ((F.coalesce("char_distance", F.lit(0.0)) > F.col("char_limit"))
+                                  | (F.coalesce("word_distance", F.lit(0.0)) > F.col("word_limit")))
     return j.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "base_failed", "char_distance", "word_distance", (~F.col("base_failed") & ~off).alias("kept"))
+                    "base_failed", "char_distance", "word_distance", "char_limit", "word_limit",
+                    (~F.col("base_failed") & ~off).alias("kept"))
 
 
 def keep(docs: DataFrame, **settings) -> DataFrame:

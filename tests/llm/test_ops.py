@@ -63,6 +63,25 @@ def test_quality_rejects_symbol_noise_and_keeps_clean_text(docs_of):
     assert got.pop(99) is False and all(got.values())
 
 
+def test_quality_rejects_menu_lines_and_a_wrong_language(docs_of):
+    import random
+    g = random.Random(5)
+    common = {"en": quality.COMMON_WORDS[:8], "fr": quality.COMMON_WORDS[16:24]}
+    # every 5th word a common one, all of them as often, as in the given texts (8 to 16 of 100)
+    prose = lambda lang, n=200: " ".join(common[lang][i // 5 % 8] if i % 5 == 0 else
+                                         "".join(g.choice("abcdefghilmnoprstu") for _ in range(g.randint(3, 9)))
+                                         + ("." if i % 12 == 11 else "") for i in range(n))
+    r = [(i, prose(lang, g.randint(120, 400)), lang, "s") for i, lang in enumerate(["en", "fr"] * 40)]
+    menu = "\n".join(" | ".join(words(prose("en"))[k:k + 6]) for k in range(0, 180, 6))
+    r += [(100, menu, "en", "s"), (101, prose("fr"), "en", "s"), (102, prose("en"), "fr", "s")]
+    got = {x.doc_id: x for x in quality.judge(docs_of(r)).collect()}
+    assert not any(got[i].base_failed for i in (100, 101, 102))
+    assert [i for i, x in sorted(got.items()) if not x.kept] == [100, 101, 102]
+    assert got[100].char_distance > got[100].char_limit
+    assert all(got[i].char_distance <= got[i].char_limit and got[i].word_distance > got[i].word_limit for i in (101, 102))
+    assert sorted(x.doc_id for x in quality.keep(docs_of(r)).collect()) == list(range(80))
+
+
 def test_quality_keep_judges_rows_of_one_id_by_their_text(docs_of):
     good = " ".join(f"word{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(80))
     kept = quality.keep(docs_of([(1, good), (1, "short"), (None, good), (None, None)])).select("doc_id", "text").collect()
