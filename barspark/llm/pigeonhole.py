@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.common import materialize
+from barspark.llm.common import SPACE, materialize
 from barspark.llm.components import components
 from barspark.llm.tokens import Ranges, groups, hash_words, mix, split
 
@@ -373,13 +373,20 @@ def frequent_shingles(summaries: DataFrame, least: int = 24, most: int = 50_000)
     return np.sort(np.array([r["s"] for r in top.select("s").collect()], np.int64)).view(_U)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """One row per document: doc_id, th (the text's hash), n_shingles, component_id, n_links.
 
     ``n_links`` counts the verified links of the document's set with other
     sets; links between sets that components made needless to verify are not in it.
     """
+    return grouped(docs, **settings).drop("comp")
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, small: int = SMALL) -> DataFrame:
+    """The rows of ``near_duplicates`` and ``comp``, their component's own key (null for documents without words).
+
+    ``component_id`` names no component if ids are null or repeated; ``comp`` does.
+    """
     spark = docs.sparkSession
     none = -(1 << 63)  # stands for a null id
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(none)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -440,21 +447,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return full.join(ids, "comp", "left").select(
         own.alias("doc_id"), "th", F.coalesce("n", F.lit(0)).alias("n_shingles"),
         F.when(F.col("comp").isNull(), own).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "comp")
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each component, with all its columns: the one of the smallest id.
+    """One document of each component, with all its columns: the one of the smallest id, null ids last.
 
-    Of repeated rows one stays.  Documents without words are components of
-    their own and stay.
+    Of repeated rows (one id, one text) one stays.  Documents without words
+    are components of their own and stay; without an id none of them is
+    taken for a repetition.
     """
-    th = F.xxhash64(F.coalesce("text", F.lit("")))
-    n = near_duplicates(docs, **settings)
-    stay = n.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("th").alias("_th"))
-    stay = stay.withColumnRenamed("doc_id", "_id")
-    j = docs.withColumn("_own", th).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")))
-    return j.dropDuplicates(["_id", "_th"]).select(*docs.columns)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.withColumn("_own", F.xxhash64(text))
+    worded = text.rlike(f"[^{SPACE}]")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th"))
+    stay = grouped(docs.where(worded), **settings).where("comp is not null").groupBy("comp").agg(first.alias("x")).select(
+        F.col("x.doc_id").alias("_id"), F.col("x.th").alias("_th"))
+    one = rows.where(worded).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left_semi")
+    empty = rows.where(~worded)
+    return (one.union(empty.where("doc_id is not null")).dropDuplicates(["doc_id", "_own"])
+            .union(empty.where("doc_id is null")).select(*docs.columns))
 
 
 def _pruned(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

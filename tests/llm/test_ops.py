@@ -284,6 +284,18 @@ def test_jaccard_keeps_one_of_each_component(docs_of):
     assert sorted(x.doc_id for x in out.collect()) == sorted(want)
 
 
+def test_jaccard_keeps_one_of_each_component_without_ids_or_with_repeated_ids(docs_of):
+    text = lambda x: " ".join(f"{x}{j}" for j in range(60))
+    r = [(None, text("a")), (None, text("b")), (None, text("b") + " tail"), (None, text("c")), (None, text("c")),
+         (7, text("d")), (7, text("e")), (7, text("e")), (8, text("f")), (None, text("f")), (9, text("f") + " tail"),
+         (None, None), (None, ""), (5, " "), (5, ""), (5, "")]
+    got = sorted(((x.doc_id or 0, x.text or "") for x in pigeonhole.keep_first(docs_of(r)).collect()))
+    b = [x for x in got if x[1].startswith("b0")]
+    assert len(b) == 1 and b[0][0] == 0
+    want = [(0, text("a")), (0, text("c")), (7, text("d")), (7, text("e")), (8, text("f")), (0, ""), (0, ""), (5, " "), (5, "")]
+    assert sorted(set(got) - set(b)) == sorted(set(want)) and len(got) == len(want) + 1
+
+
 def test_components_of_long_paths(spark):
     e = [(i, i + 1) for i in range(70)] + [(900, 800), (800, 950), (5, 5)]
     got = dict(components(spark.createDataFrame(e, "a long, b long")).collect())
