@@ -453,6 +453,28 @@ def test_html_unmarked_boilerplate(spark, shard_pages):
     assert got[60] == got[61] == [" ".join(f"p0w{j}" for j in range(30))]
 
 
+@pytest.mark.parametrize("shard_pages", [1000, 2])
+def test_html_copies_and_quotations_on_undeclared_pages_stay(spark, shard_pages):
+    site = "Welcome to our little site where all pages start alike"
+    own = lambda i: " ".join(f"p{i}w{j}" for j in range(30))
+    quote = " ".join(f"q{j}" for j in range(12))
+    page = lambda body, top="": f"<html><body><div>{top}</div><p>{body}</p></body></html>"
+    r = [(i, "http://copy.example/x", page(own(0))) for i in range(6)]  # repeated rows and copies only
+    r += [(10 + i, f"http://quote.example/{i}", page(own(i) + " " + quote * (i < 2), site)) for i in range(8)]
+    r += [(20 + i, f"http://quote.example/again{i}", page(own(0) + " " + quote, site)) for i in range(8)]
+    r += [(30, "http://two.example/a", page(own(1) + " " + quote)), (31, "http://two.example/b", page(own(2) + " " + quote))]
+    r += [(40 + i, "http://article.example/x", f"<article><p>{own(3)}</p></article>") for i in range(12)]
+    got = {x.page_id: " ".join(x.blocks) for x in htmltext.extract(
+        spark.createDataFrame(r, "page_id long, url string, html string"), shard_pages=shard_pages).collect()}
+    for i in range(6):
+        assert got[i] == own(0)
+    for i in range(8):
+        assert got[10 + i].split() == (own(i) + " " + quote * (i < 2)).split()
+        assert got[20 + i].split() == (own(0) + " " + quote).split()
+    assert got[30] == own(1) + " " + quote and got[31] == own(2) + " " + quote
+    assert all(got[40 + i] == own(3) for i in range(12))
+
+
 # ---------------------------------------------------------------- 5 SentencePiece
 
 TEXTS = ["", " ", "  a  b ", "\n\nx", "▁x", "<s> hi </s>", "日本語 😀 \u0001 z", "\t\tfoo   bar\r\n", "<0x41>", "é ﬁ", "<unk>x", "go " * 400]
