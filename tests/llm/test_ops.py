@@ -387,6 +387,23 @@ def test_licenses(docs_of):
     assert got == sorted(want, key=str)
 
 
+def test_licenses_wrapped_over_lines(docs_of):
+    notices = [("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and"),
+               ("bsd", "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided"),
+               ("mpl", "# This Source Code Form is subject to the terms of the Mozilla Public\r\n# License, v. 2.0. If a copy"),
+               ("cc-by", "This work is licensed under a Creative\nCommons Attribution 4.0\nInternational License."),
+               ("proprietary", "All rights reserved. No part of this publication\n\nmay be reproduced without permission")]
+    long = "\n".join(" ".join(f"x{i}y{j}" for j in range(9)) for i in range(30))
+    r = [(i, before + t + after) for i, (_, t) in enumerate(notices) for before, after in (("", ""), (long + "\n", "\n" + long))]
+    r += [(i, "\n".join(words(t))) for i, (_, t) in enumerate(notices)]  # one word a line
+    scattered = licenses.TEMPLATES[6][1].split()
+    r += [(90, "\n".join(f"{w} {long}" for w in scattered)), (91, None), (92, "\n"), (93, "redistribution\nand use"),
+          (94, notices[1][1].replace("binary forms", "other shapes"))]
+    label = dict(enumerate(x for x, _ in notices))
+    for x in licenses.scan(docs_of(r)).collect():
+        assert (x.labels, x.score >= 0.9) == (label.get(x.doc_id, ""), x.doc_id in label), x
+
+
 # ---------------------------------------------------------------- 1 URL lists
 
 def test_url_lists_as_of_fetch_time(spark):
