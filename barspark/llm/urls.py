@@ -51,8 +51,13 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
-             day_col: str = "fetch_day", depth: int = 2) -> DataFrame:
-    """One row per capture: id, url, fetch_day, verdict (block, allow or none), pattern, listed_since."""
+             day_col: str = "fetch_day") -> DataFrame:
+    """One row per capture: id, url, fetch_day, verdict (block, allow or none), pattern, listed_since.
+
+    A capture asks for as many path segments as the list's deepest entry has (one number reaches the driver).
+    """
+    deepest = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1).alias("n")).first()["n"]
+    depth = max(1, deepest or 0)
     c = captures.select(F.col(id_col).alias(id_col), F.col(url_col).alias("url"), F.col(day_col).alias("fetch_day"))
     asked = c.withColumn("_row", F.monotonically_increasing_id()).select(
         "*", F.explode_outer(patterns(F.col("url"), depth)).alias("_p"))

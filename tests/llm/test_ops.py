@@ -420,6 +420,16 @@ def test_url_lists_as_of_fetch_time(spark):
     assert urls.evaluate(c, e.limit(0)).where("verdict <> 'none'").count() == 0
 
 
+def test_url_lists_with_deep_paths(spark):
+    e = spark.createDataFrame([("h.example", 1, 0, "allow"), ("h.example/a/b/c", 1, 0, "block"), ("h.example/a/b/c/d/e.html", 1, 0, "allow"),
+                               (None, 1, 0, "block")], "pattern string, day long, seq int, action string")
+    c = spark.createDataFrame([(1, "http://h.example/a/b/c", 5), (2, "http://h.example/a/b", 5), (3, "http://h.example/a/b/c/x/y/z", 5),
+                               (4, "http://h.example/a/b/c/d/e.html?q", 5), (5, "http://other.example/a/b/c", 5)],
+                              "page_id long, url string, fetch_day long")
+    got = sorted((x.page_id, x.verdict) for x in urls.evaluate(c, e).collect())
+    assert got == [(1, "block"), (2, "allow"), (3, "block"), (4, "allow"), (5, "none")]
+
+
 # ---------------------------------------------------------------- 2 HTML
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var x="<p>no</p>";</script></head><body class="has-sidebar">
