@@ -353,6 +353,28 @@ def test_lm_probabilities_sum_to_one(docs_of):
     assert 10 ** got[probe[-1][0]] == pytest.approx(start * prob[None])
 
 
+def test_lm_order_three_against_brute_force(docs_of):
+    r = [(i, "a b c a b d") for i in range(20)] + [(100 + i, "a c b a") for i in range(9)] + [(200, "zz a b"), (201, ""), (202, "b")]
+    c, starts = Counter(), 0
+    padded = {i: ["<s>", "<s>", *words(t), None] for i, t in r}
+    for i, w in padded.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            starts += 1
+            c.update(tuple(w[j - k:j + 1]) for j in range(2, len(w)) for k in range(3))
+    n, v = sum(x for g, x in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+    got = {x.doc_id: x.score for x in lm.score(docs_of(r), order=3).collect()}
+    for i, w in padded.items():
+        score = 0.0
+        for j in range(2, len(w)):
+            p = (c[w[j],] + 1) / (n + v + 1)
+            for k in (1, 2):
+                history = tuple(w[j - k:j])
+                p = (c[tuple(w[j - k:j + 1])] + lm.KAPPA * p) / ((starts if history[-1] == "<s>" else c[history]) + lm.KAPPA)
+            assert 0 < p <= 1
+            score += math.log10(p)
+        assert got[i] == pytest.approx(score)
+
+
 def test_lm_higher_order_helps_on_seen_text(docs_of):
     r = [(i, "alpha beta gamma delta epsilon " * 6) for i in range(30)]
     two, three = (lm.score(docs_of(r), order=o).agg(F.sum("score")).first()[0] for o in (2, 3))
