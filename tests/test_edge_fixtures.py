@@ -182,7 +182,7 @@ def test_best_model_rule(spark):
 def test_portfolio_volatility_two_forms_agree(spark):
     import math
     from barspark.plans import pipeline as P
-    from conftest import SF_MID
+    from paths import SF_MID
     f = P.fact(spark, SF_MID)
     w = portfolio.region_portfolios(spark, SF_MID)
     rets = portfolio.aligned_returns(f, w)
@@ -198,7 +198,7 @@ def test_portfolio_volatility_two_forms_agree(spark):
 def test_sql_sma_equals_feature_sma_once_full(spark):
     from barspark.functions.scalar import round_half
     from barspark.plans import pipeline as P
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     f = P.fact(spark, SF_SMALL)
     s = reports.sma_sql(f, limit=None)
     j = s.join(f.select("symbol", "date", "seq", round_half("sma_20", 2).alias("s20"),

@@ -4,7 +4,7 @@
 import pytest
 
 from barspark.plans.registry import REGISTRY
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle_harness import compare, duck
 
 SQL_QUERIES = sorted(n for n, (_, sql) in REGISTRY.items() if sql is not None)

@@ -4,7 +4,7 @@ from barspark.operators import reports
 from barspark.operators.features import features
 from barspark.plans import pipeline as P
 from barspark.sources.bars import bars_daily
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def plan(df):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barspark.plans import pipeline as P
 from barspark.session import checkpoint_dir
 from barspark.sources.warehouse import load_symbol, map_columns, seed_dim, write_facts
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_replace_by_symbol_is_idempotent_and_keeps_other_grain(spark):
