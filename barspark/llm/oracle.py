@@ -126,3 +126,25 @@ both_ways AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link
 reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
 FROM d LEFT JOIN n USING (r) JOIN (SELECT reach.a AS r, min(x.doc_id) AS component_id FROM reach JOIN d x ON x.r = reach.b GROUP BY reach.a) m USING (r)"""
+
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_lower()}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+own AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+every AS (SELECT lang, source, term, CAST(coalesce(own.n, 0) AS HUGEINT) AS c, kept.n AS l
+          FROM g JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
+p AS (SELECT *, 1 + 1000000000 * (c + 1) // (sum(c) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS p,
+             1 + 1000000000 * (l + 1) // (sum(l) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS q FROM every),
+two AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(two.value, 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN two ON two.lang = a.lang AND two.source = a.source AND two.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term) QUALIFY part = 'pair' OR rank <= 200"""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barspark.llm import htmltext, licenses, lm, mixing, oracle, pigeonhole, quality, recompress, sentencepieces, urls, winnow
+from barspark.llm import (divergence, htmltext, licenses, lm, mixing, oracle, pigeonhole, quality, recompress, sentencepieces,
+                          toxicity, urls, whitening, winnow)
 from barspark.llm.common import table
 
 QUERIES: dict = {}
@@ -107,3 +108,19 @@ def op9_substrings(spark, sf_dir):
 def op10_jaccard(spark, sf_dir):
     n = pigeonhole.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return n.select("doc_id", "n_shingles", "component_id")
+
+
+@register("op11_divergence", oracle.OP11)
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+@register("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@register("op13_toxicity")
+def op13_toxicity(spark, sf_dir):
+    s = toxicity.score(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"), matches=False)
+    return s.select("doc_id", "held_out", "score", "predicted", "n_words", "n_matched")
