@@ -245,9 +245,12 @@ def fit_curve(cells: list[tuple[int, int, int]], ridge: float = 0.01) -> tuple[f
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with their label: (text, toxic); ``labels`` has doc_id and toxic."""
+    """Texts with their label: (text, toxic); ``labels`` has doc_id and toxic.
+
+    The labels grow with the documents, so both sides are sorted and merged at every size.
+    """
     y = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.join(y, "doc_id").select("text", "toxic")
+    return docs.join(y.hint("merge"), "doc_id").select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, prior: float = 4.0, least: float = 2.0, min_toxic: int = 3,
