@@ -38,7 +38,7 @@ from barspark.llm.common import materialize
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 SCALE = 1_000_000_000
 #: Entries that a task counts before it hands them on, and counts (terms times sources) in a bucket of the comparison.
-PIECE, BUCKET = 300_000, 2_000_000
+PIECE, BUCKET = 300_000, 100_000
 
 
 def _count(it):
@@ -149,9 +149,11 @@ def pair_ranks(kept: DataFrame, groups: DataFrame, bucket: int = BUCKET) -> Data
     """Every other source of the language for every group: lang, source, item, value, rank.
 
     Rows are as many as pairs of sources asked for; terms never leave their
-    bucket, which adds up what its terms contribute to each pair.
+    bucket, which adds up what its terms contribute to each pair.  A bucket
+    holds ``bucket`` counts, or four for each pair it gives where sources are many.
     """
-    parts = groups.groupBy("lang").agg(F.greatest(F.lit(1.0), F.ceil(F.max("terms") * F.count(F.lit(1)) / bucket)).cast("long").alias("parts"))
+    n = F.count(F.lit(1))
+    parts = groups.groupBy("lang").agg(F.greatest(F.lit(1.0), F.ceil(F.max("terms") * n / F.greatest(F.lit(bucket), 4 * n * n))).cast("long").alias("parts"))
     sources = groups.join(parts, "lang").select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("bucket"),
                                                 "source", "total", "terms")
     dealt = kept.join(parts, "lang").select("lang", F.pmod(F.xxhash64("term"), "parts").alias("bucket"), "source", "term", "n")
