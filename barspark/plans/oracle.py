@@ -38,14 +38,14 @@ BARS_1D = f"""bars_1d AS MATERIALIZED (
 BARS_1H = """bars_1h AS MATERIALIZED (
   SELECT event_type AS symbol, '1h' AS grain, date_trunc('hour', ts) AS ts,
          CAST(date_trunc('hour', ts) AS DATE) AS date,
-         arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+         arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, row(ts, event_id)) AS close,
          CAST(NULL AS DOUBLE) AS adj_close, count(*) AS volume
   FROM events GROUP BY event_type, date_trunc('hour', ts))"""
 
 BARS_1M = """bars_1m AS MATERIALIZED (
   SELECT event_type AS symbol, '1m' AS grain, date_trunc('minute', ts) AS ts,
          CAST(date_trunc('minute', ts) AS DATE) AS date,
-         arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+         arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, row(ts, event_id)) AS close,
          CAST(NULL AS DOUBLE) AS adj_close, count(*) AS volume
   FROM events GROUP BY event_type, date_trunc('minute', ts))"""
 

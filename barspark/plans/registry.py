@@ -134,7 +134,7 @@ def q_fill_prices(spark, sf):
 
 
 @register("dq_checks", with_bars(f""", faulty AS {_faulty_sql('1d')},
-dim2 AS (SELECT symbol FROM dim UNION ALL SELECT symbol FROM dim WHERE symbol < 'C')
+dim2 AS (SELECT symbol FROM dim UNION ALL SELECT symbol FROM dim WHERE symbol < 'NATION_2')
 SELECT 'not_null_' || c AS check_name, v AS violations FROM (
   SELECT 'date' AS c, CAST(count_if(date IS NULL) AS BIGINT) AS v FROM faulty UNION ALL
   SELECT 'symbol', CAST(count_if(symbol IS NULL) AS BIGINT) FROM faulty UNION ALL
@@ -155,7 +155,7 @@ SELECT 'low_le_open_close_le_high', CAST(count_if(low > least(open, close) OR hi
 """, dim=True))
 def q_dq_checks(spark, sf):
     d = P.dim(spark, sf)
-    return clean.dq_checks(_faulty(spark, sf, "1d"), d.unionByName(d.filter("symbol < 'C'")))
+    return clean.dq_checks(_faulty(spark, sf, "1d"), d.unionByName(d.filter("symbol < 'NATION_2'")))
 
 
 # ------------------------------------------------------------------ features
@@ -271,10 +271,8 @@ def _feat_plus(extra_ctes: str, select: str, dim: bool = False) -> str:
     return f"{base},\n{extra_ctes}\n{select}"
 
 
-# The 25 nations of the given tables, the symbols of the daily bars.
-SYMBOLS = ["ALGERIA", "ARGENTINA", "BRAZIL", "CANADA", "CHINA", "EGYPT", "ETHIOPIA", "FRANCE", "GERMANY", "INDIA", "INDONESIA",
-           "IRAN", "IRAQ", "JAPAN", "JORDAN", "KENYA", "MOROCCO", "MOZAMBIQUE", "PERU", "ROMANIA", "RUSSIA", "SAUDI ARABIA",
-           "UNITED KINGDOM", "UNITED STATES", "VIETNAM"]
+# The symbols of the daily bars: the given tables number their nations.
+SYMBOLS = [f"NATION_{i}" for i in range(25)]
 
 
 @register("close_pivot", with_features("SELECT date, " + ", ".join(
@@ -399,16 +397,20 @@ def q_candle_flags(spark, sf):
     return dashboard.candle_flags(_fact(spark, sf))
 
 
+# Every second symbol carries the suffix of an Indian listing, by a rule in both engines.
+_LISTED_SQL = "CASE WHEN ascii(right(symbol, 1)) % 2 = 0 THEN symbol || '.NS' ELSE symbol END"
+
+
 @register("price_label", with_features(f"""
 SELECT symbol,
        (CASE WHEN contains(symbol, 'NS') THEN '₹' ELSE '$' END) || printf('%.2f', {R('c', 2)}) AS price_text,
        printf('%+.2f', {R('c - p', 2)}) || ' (' || printf('%+.2f', {R('pc', 2)}) || '%)' AS delta_text,
        format('{{:,}}', v) || ' shares' AS volume_text
-FROM (SELECT symbol, max(CASE WHEN {_LAST} THEN close END) AS c, max(CASE WHEN NOT ({_LAST}) THEN close END) AS p,
+FROM (SELECT {_LISTED_SQL} AS symbol, max(CASE WHEN {_LAST} THEN close END) AS c, max(CASE WHEN NOT ({_LAST}) THEN close END) AS p,
              max(CASE WHEN {_LAST} THEN pct_change END) AS pc, max(CASE WHEN {_LAST} THEN volume END) AS v
-      FROM feat_1d WHERE seq >= n_bars - 2 GROUP BY symbol)"""))
+      FROM feat_1d WHERE seq >= n_bars - 2 GROUP BY 1)"""))
 def q_price_label(spark, sf):
-    return dashboard.price_label(_fact(spark, sf))
+    return dashboard.price_label(_fact(spark, sf).withColumn("symbol", F.expr(_LISTED_SQL)))
 
 
 @register("chart_series", with_features(
@@ -681,7 +683,7 @@ def q_indicators_other_windows(spark, sf):
 
 # ------------------------------------------------------------------ loads, exports, file names
 
-@register("load_symbol", with_features(f"SELECT ts, {R('close')} AS close, volume FROM feat_1d WHERE symbol = 'CHINA'"))
+@register("load_symbol", with_features(f"SELECT ts, {R('close')} AS close, volume FROM feat_1d WHERE symbol = 'NATION_12'"))
 def q_load_symbol(spark, sf):
     """One symbol out of the partitioned fact table."""
     import uuid
@@ -689,7 +691,7 @@ def q_load_symbol(spark, sf):
     from barspark.sources.warehouse import load_symbol, write_facts
     path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/fact-{uuid.uuid4().hex[:10]}"
     write_facts(_fact(spark, sf), path)
-    return load_symbol(spark, path, "CHINA", columns=["ts", "close", "volume"]).withColumn("close", round_half("close"))
+    return load_symbol(spark, path, "NATION_12", columns=["ts", "close", "volume"]).withColumn("close", round_half("close"))
 
 
 @register("missing_symbols", with_bars("SELECT symbol FROM dim WHERE symbol NOT IN (SELECT symbol FROM bars_1d WHERE volume % 2 = 0 "
@@ -700,20 +702,20 @@ def q_missing_symbols(spark, sf):
     return missing_symbols(busy, P.dim(spark, sf))
 
 
-@register("file_stems", with_bars("SELECT symbol, replace(symbol, '.', '_') || '_historical' AS stem, '/' || symbol AS folder, "
-                                  "count(*) AS n_rows FROM (SELECT replace(symbol, ' ', '.') AS symbol FROM bars_1d) GROUP BY symbol"))
+@register("file_stems", with_bars("SELECT symbol, replace(symbol, '.', '_') || '_historical' AS stem, count(*) AS n_rows, "
+                                  f"{R('sum(close)', 2)} AS sum_close FROM (SELECT replace(symbol, '_', '.') AS symbol, close FROM bars_1d) "
+                                  "GROUP BY symbol"))
 def q_file_stems(spark, sf):
-    """Per-symbol CSV files: the stem of each symbol and its rows as read back from its folder."""
+    """One CSV per symbol, named by its stem: each file's stem as found on disk and its rows as read back."""
     import uuid
     from barspark.session import checkpoint_dir
-    from barspark.sources.bars import file_stem
-    from barspark.sources.warehouse import write_per_symbol_csv
+    from barspark.sources.warehouse import write_vendor_files
     path = f"{checkpoint_dir(spark).rstrip('/')}/vendor/stems-{uuid.uuid4().hex[:10]}"
-    b = P.bars(spark, sf, "1d").select(F.translate("symbol", " ", ".").alias("symbol"), "date", "close")
-    write_per_symbol_csv(b, path)
-    back = spark.read.option("header", True).csv(path)
-    return back.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "symbol", file_stem(F.col("symbol"), "historical").alias("stem"), F.concat(F.lit("/"), "symbol").alias("folder"), "n_rows")
+    b = P.bars(spark, sf, "1d").select(F.translate("symbol", "_", ".").alias("symbol"), "date", "close")
+    write_vendor_files(b, path, "historical")
+    back = spark.read.option("header", True).schema("symbol string, date date, close double").csv(f"{path}/*.csv")
+    stem = F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv/[^/]*$", 1)
+    return back.groupBy("symbol", stem.alias("stem")).agg(F.count(F.lit(1)).alias("n_rows"), round_half(F.sum("close"), 2).alias("sum_close"))
 
 
 @register("export_report", with_features(f"""
@@ -802,7 +804,7 @@ def q_vendor_roundtrip(spark, sf):
 
 @register("vendor_mixed_headers", with_bars(f"""
 SELECT symbol, date, {_sr(['open', 'high', 'low'])}, CASE WHEN volume % 10 <> 3 THEN {R('close')} END AS close,
-       CASE WHEN symbol < 'J' THEN {R('close')} END AS adj_close, volume FROM bars_1d"""))
+       CASE WHEN symbol < 'NATION_2' THEN {R('close')} END AS adj_close, volume FROM bars_1d"""))
 def q_vendor_mixed_headers(spark, sf):
     """Files of two header layouts (one with Adj Close, columns in another order), NaN closes and a missing path."""
     import uuid
@@ -813,9 +815,9 @@ def q_vendor_mixed_headers(spark, sf):
         F.date_format("date", "yyyy-MM-dd").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
         F.col("low").alias("Low"), F.when(F.col("volume") % 10 == 3, F.lit("NaN")).otherwise(F.col("close").cast("string")).alias("Close"),
         F.col("close").alias("Adj Close"), F.col("volume").alias("Volume"), F.col("symbol").alias("Ticker"))
-    early = v.filter("Ticker < 'J'").select("Ticker", "Adj Close", "Date", "Open", "High", "Low", "Close", "Volume")
+    early = v.filter("Ticker < 'NATION_2'").select("Ticker", "Adj Close", "Date", "Open", "High", "Low", "Close", "Volume")
     early.write.option("header", True).csv(f"{path}/a")
-    v.filter("Ticker >= 'J'").drop("Adj Close").write.option("header", True).csv(f"{path}/b")
+    v.filter("Ticker >= 'NATION_2'").drop("Adj Close").write.option("header", True).csv(f"{path}/b")
     back = read_vendor_bars(spark, [f"{path}/a/*.csv", f"{path}/none/*.csv", f"{path}/b/*.csv"], "1d")
     return _r(back, ["open", "high", "low", "close", "adj_close"]).select(
         "symbol", "date", "open", "high", "low", "close", "adj_close", "volume")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barspark.schemas import DIM, FACT_COLUMNS, FACT_DEFAULTS, VENDOR_COLUMN_MAP
 from barspark.session import materialize
+from barspark.sources.bars import file_stem
 
 # The reference's five-company seed of the dimension table.
 SEED_DIM_ROWS = [
@@ -102,6 +103,21 @@ def write_per_symbol_csv(bars: DataFrame, path: str) -> None:
     bars.write.mode("overwrite").option("header", True).partitionBy("symbol").csv(path)
 
 
+def write_vendor_files(bars: DataFrame, path: str, suffix: str) -> None:
+    """One CSV per symbol, named ``<stem>_<suffix>.csv`` (a folder of part files, as Spark writes a file).
+
+    All symbols are written by one job, a symbol by as many tasks as it has
+    months; the driver then renames one folder per symbol."""
+    spark = bars.sparkSession
+    bars.withColumn("_stem", file_stem(F.col("symbol"), suffix)).write.mode("overwrite").option("header", True).partitionBy("_stem").csv(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("_stem="):
+            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, f"{name[6:]}.csv"))
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Stop the job when an input is empty (a cheap ``isEmpty`` probe)."""
     if df.isEmpty():

@@ -207,3 +207,17 @@ def test_sql_sma_equals_feature_sma_once_full(spark):
     assert j.filter((F.col("seq") >= 19) & (F.col("s20") != F.col("db_calculated_sma_20"))).count() == 0
     assert j.filter((F.col("seq") >= 49) & (F.col("s50") != F.col("db_calculated_sma_50"))).count() == 0
     assert j.filter((F.col("seq") < 19) & F.col("s20").isNotNull()).count() == 0
+
+
+def test_ticks_of_one_time_do_not_depend_on_row_order(spark):
+    import datetime as dt
+    from barspark.sources.bars import bars_from_ticks
+    t = [dt.datetime(2024, 1, 2, 9, 30, s) for s in (0, 0, 20, 40, 40)]
+    rows = list(zip(["A"] * 5, t, [5.0, 6.0, 9.0, 2.0, 3.0], [11, 7, 1, -4, 2]))
+    schema = "symbol string, ts timestamp_ntz, price double, event_id long"
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[2])):
+        b = bars_from_ticks(spark.createDataFrame(order, schema).coalesce(1), "1m", tiebreak=["event_id"])
+        (r,) = b.collect()
+        assert (r.open, r.close, r.high, r.low, r.volume) == (6.0, 3.0, 9.0, 2.0, 5)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
