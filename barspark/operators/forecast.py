@@ -5,16 +5,15 @@ Features and the split are pure DataFrame plans (halo-block windows, the
 distributed series index).  The linear model is solved from per-symbol
 normal equations: the cross-product sums of standardised features are one
 ``groupBy`` aggregation over all symbols, and only the small per-symbol
-matrices are solved (``applyInPandas`` on one row per symbol).  The forest
-and boosting models are Spark ML estimators fitted over all symbols at once on
-rows standardised per symbol (or per symbol, for a short list).  The best model
-of each symbol by test R2 makes its forecast and its backtest.
+matrices are solved (``applyInPandas`` on one row per symbol).  Every symbol
+has a forest and a boosted model of its own, all grown in one job
+(``operators/trees.py``).  The best model of each symbol by test R2 makes its
+forecast and its backtest.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,6 +24,7 @@ from pyspark.sql import types as T
 from barspark.functions.scalar import round_half
 from barspark.functions.series import block_window, blocked, default_bucket, index_series
 from barspark.operators.dashboard import range_filter
+from barspark.operators.trees import fit_symbol_trees, importances, predict
 from barspark.session import materialize
 
 LAGS = (1, 2, 3, 5)
@@ -167,116 +167,52 @@ def linear_predict(rows: DataFrame, model: DataFrame, feats: list[str]) -> DataF
     return d.withColumn("prediction", pred).drop("mu", "sd", "coef")
 
 
-# ------------------------------------------------------------------ tree models
-
-#: Settings of the tree models: the reference's counts and rate, with Spark's histogram trees (depth and bins bounded).
-TREES, FOREST_DEPTH, BINS, BOOST_ROUNDS, BOOST_RATE, BOOST_DEPTH = 100, 10, 128, 100, 0.05, 3
-
-
-def _tree_estimators(seed: int = 42, trees: int = TREES, depth: int = FOREST_DEPTH, bins: int = BINS, rounds: int = BOOST_ROUNDS):
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-    return {
-        # every feature at every split, as the reference's forest does
-        "Random_Forest": RandomForestRegressor(numTrees=trees, featureSubsetStrategy="all", maxDepth=depth, maxBins=bins,
-                                               maxMemoryInMB=1024, seed=seed, labelCol="_y"),
-        "Gradient_Boosting": GBTRegressor(maxIter=rounds, stepSize=BOOST_RATE, maxDepth=BOOST_DEPTH, maxBins=bins,
-                                          maxMemoryInMB=1024, seed=seed, labelCol="_y"),
-    }
-
-
-def standardised(rows: DataFrame, linear: DataFrame, feats: list[str]) -> DataFrame:
-    """Features as z-scores of their symbol's training rows (``_z0``...), the target on the close's scale (``_y``)."""
-    z = lambda c, i: F.coalesce(F.try_divide(F.col(c) - F.col("mu")[i], F.col("sd")[i]), F.lit(0.0))
-    i = feats.index("close")
-    d = rows.join(linear.select("symbol", "mu", "sd"), "symbol")
-    d = d.withColumns({f"_z{k}": z(c, k) for k, c in enumerate(feats)})
-    d = d.withColumns({"_mid": F.col("mu")[i], "_scale": F.coalesce(F.nullif(F.col("sd")[i], F.lit(0.0)), F.lit(1.0))})
-    if "target_close" in rows.columns:
-        d = d.withColumn("_y", (F.col("target_close") - F.col("_mid")) / F.col("_scale"))
-    return d.drop("mu", "sd")
-
-
-def _pipeline(est, n: int):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    return Pipeline(stages=[VectorAssembler(inputCols=[f"_z{k}" for k in range(n)], outputCol="features"), est])
-
-
-def pooled_trees(split: DataFrame, linear: DataFrame, feats: list[str], names: list[str] | None = None, **settings):
-    """One forest and one boosted model over all symbols on standardised rows: two distributed
-    fits whatever the number of symbols.  Returns {model name: PipelineModel}."""
-    train = standardised(split.filter(~F.col("is_test")), linear, feats).select("_y", *[f"_z{k}" for k in range(len(feats))])
-    todo = [(n, e) for n, e in _tree_estimators(**settings).items() if names is None or n in names]
-    # one after the other: each fit already uses every core, side by side they contend
-    return {name: _pipeline(est, len(feats)).fit(train) for name, est in todo}
-
-
-def fit_trees(split: DataFrame, linear: DataFrame, feats: list[str], symbols: list[str], workers: int = 4, **settings):
-    """Forest and boosting per symbol (the reference's design, for short lists of symbols), fitted
-    concurrently: ({(symbol, model): PipelineModel}, [(symbol, model, error)])."""
-    rows = standardised(split, linear, feats)
-
-    def fit(args):
-        sym, name, est = args
-        try:
-            return (sym, name), _pipeline(est, len(feats)).fit(rows.filter((F.col("symbol") == sym) & ~F.col("is_test"))), None
-        except Exception as e:  # recorded: one symbol's failure does not stop the others
-            return (sym, name), None, str(e)
-
-    jobs = [(s, n, e.copy()) for s in symbols for n, e in _tree_estimators(**settings).items()]
-    with ThreadPoolExecutor(max_workers=workers) as ex:
-        done = list(ex.map(fit, jobs))
-    return {k: m for k, m, _ in done if m is not None}, [(*k, e) for k, m, e in done if m is None]
-
+# ------------------------------------------------------------------ models of all symbols
 
 @dataclass
 class Forecasters:
-    """Fitted forecasting state: the split table (materialized), the per-symbol
-    linear model and the tree models."""
+    """Fitted forecasting state: the split table, the linear models and the trees, all materialized, one model per symbol."""
     grain: str
     feats: list[str]
-    split: DataFrame
+    split: DataFrame | None
     linear: DataFrame
-    trees: dict = field(default_factory=dict)          # name -> PipelineModel (pooled)
-    per_symbol: dict = field(default_factory=dict)     # (symbol, name) -> PipelineModel
-    failures: list = field(default_factory=list)       # (symbol, model, error)
+    trees: DataFrame | None = None          # trees.MODEL_SCHEMA
+
+    @property
+    def failures(self) -> DataFrame | None:
+        """(symbol, model, error) of fits that failed."""
+        return None if self.trees is None else self.trees.where("error IS NOT NULL").select("symbol", "model", "error").distinct()
 
 
-def fit_forecasters(fact: DataFrame, grain: str = "1d", trees: str = "pooled", symbols: list[str] | None = None,
-                    **settings) -> Forecasters:
-    """``trees``: 'pooled' (default), 'per_symbol' (one fit per listed symbol and model) or 'none'."""
+def fit_forecasters(fact: DataFrame, grain: str = "1d", trees: bool = True, **settings) -> Forecasters:
+    """The linear model, the forest and the boosted model of every eligible symbol (``trees=False``: the linear ones only).
+
+    ``settings`` go to ``trees.fit_symbol_trees``: number and depth of trees, rounds, rate, rows a model is fitted on at most."""
     feats = feature_names(grain)
     split = materialize(training_rows(fact, grain).filter("eligible")
                         .select("symbol", "date", "ts", "seq", "n_bars", "split_rank", "n_train_rows", "target_date",
                                 "is_test", "close", *[c for c in feats if c != "close"], "target_close"),
                         f"forecast_split_{grain}")
-    linear = materialize(linear_fit(split.filter(~F.col("is_test")), feats), f"forecast_linear_{grain}")
+    train = split.filter(~F.col("is_test"))
+    linear = materialize(linear_fit(train, feats), f"forecast_linear_{grain}")
     fc = Forecasters(grain, feats, split, linear)
-    if trees == "pooled":
-        fc.trees = pooled_trees(split, linear, feats, **settings)
-    elif trees == "per_symbol":
-        if not symbols:
-            raise ValueError("per-symbol fits need the list of symbols")
-        fc.per_symbol, fc.failures = fit_trees(split, linear, feats, symbols, **settings)
+    if trees:
+        train = train.withColumn("n_fit", F.floor(F.col("n_train_rows") * TRAIN_SHARE))
+        fc.trees = materialize(fit_symbol_trees(train, feats, **settings), f"forecast_trees_{grain}")
     return fc
 
 
-def predict_all(fc: Forecasters, rows: DataFrame) -> DataFrame:
-    """``rows`` once per fitted model, with ``model`` and ``prediction``."""
-    out = linear_predict(rows, fc.linear, fc.feats).withColumn("model", F.lit(MODEL_ORDER[0]))
-    keep = [*rows.columns, "model", "prediction"]
-    out = out.select(*keep)
-    z = standardised(rows, fc.linear, fc.feats)
-    back = (F.col("prediction") * F.col("_scale") + F.col("_mid")).alias("prediction")
-
-    def add(out, model, part, name):
-        return out.unionByName(model.transform(part).select(*rows.columns, F.lit(name).alias("model"), back))
-
-    for name, m in fc.trees.items():
-        out = add(out, m, z, name)
-    for (sym, name), m in sorted(fc.per_symbol.items()):
-        out = add(out, m, z.filter(F.col("symbol") == sym), name)
-    return out
+def predict_all(fc: Forecasters, rows: DataFrame, best: DataFrame | None = None) -> DataFrame:
+    """``rows`` once per fitted model of their symbol, with ``model`` and ``prediction``; with ``best``
+    (symbol, best_model) only of the named model of each symbol."""
+    linear, grown = fc.linear, fc.trees
+    if best is not None:
+        linear = linear.join(best.where(F.col("best_model") == MODEL_ORDER[0]), "symbol", "left_semi")
+        named = best.select("symbol", F.col("best_model").alias("model"))
+        grown = None if grown is None else grown.join(named, ["symbol", "model"], "left_semi")
+    out = linear_predict(rows, linear, fc.feats).withColumn("model", F.lit(MODEL_ORDER[0]))
+    out = out.select(*rows.columns, "model", "prediction")
+    return out if grown is None else out.unionByName(predict(rows, grown, fc.feats))
 
 
 def forecast_predictions(fc: Forecasters) -> DataFrame:
@@ -289,12 +225,14 @@ def forecast_metrics(fc: Forecasters) -> DataFrame:
     return metrics_by_split(forecast_predictions(fc))
 
 
-def training_summary(fact: DataFrame, grain: str = "1d", failures: list | None = None) -> DataFrame:
+def training_summary(fact: DataFrame, grain: str = "1d", failures: DataFrame | None = None) -> DataFrame:
     """One row per symbol: usable rows, and whether it is trained, skipped (too few rows) or failed."""
     rows = training_rows(fact, grain).groupBy("symbol").agg(F.max("n_train_rows").alias("n_train_rows"))
     out = fact.select("symbol").distinct().join(rows, "symbol", "left").withColumn("n_train_rows", F.coalesce("n_train_rows", F.lit(0)).cast("long"))
-    failed = fact.sparkSession.createDataFrame([(f[0], f"{f[1]}: {f[2]}") for f in failures or []], "symbol string, error string")
-    failed = failed.groupBy("symbol").agg(F.array_join(F.sort_array(F.collect_list("error")), "; ").alias("error"))
+    if failures is None:
+        failures = fact.sparkSession.createDataFrame([], "symbol string, model string, error string")
+    failed = failures.groupBy("symbol").agg(F.array_join(F.sort_array(F.collect_set(  # two models a symbol at most
+        F.concat("model", F.lit(": "), "error"))), "; ").alias("error"))
     return out.join(failed, "symbol", "left").select(
         "symbol", "n_train_rows", F.when(F.col("n_train_rows") < MIN_TRAIN_ROWS, "skipped").when(F.col("error").isNotNull(), "failed")
         .otherwise("trained").alias("status"), "error")
@@ -303,7 +241,7 @@ def training_summary(fact: DataFrame, grain: str = "1d", failures: list | None =
 def forecast_next(fc: Forecasters, fact: DataFrame, best: DataFrame) -> DataFrame:
     """Next-bar forecast from each symbol's best model: forecast, diff and % diff vs the last close."""
     last = latest_vector(fact, fc.grain).dropna("any", subset=fc.feats)
-    p = predict_all(fc, last).join(best.select("symbol", F.col("best_model").alias("model")), ["symbol", "model"])
+    p = predict_all(fc, last, best)
     return p.select("symbol", "date", "model", round_half("close").alias("last_close"),
                     round_half("prediction").alias("forecast_close"),
                     round_half(F.col("prediction") - F.col("close")).alias("forecast_diff"),
@@ -315,49 +253,39 @@ def backtest(fc: Forecasters, best: DataFrame, start=None, end=None) -> DataFram
     """Actual vs predicted next close of each symbol's best model over the chosen range of dates (by default
     the dashboard's: the last 365 bars), with the date the prediction is for and the split flag."""
     rows = range_filter(fc.split, start, end)
-    p = predict_all(fc, rows).join(best.select("symbol", F.col("best_model").alias("model")), ["symbol", "model"])
+    p = predict_all(fc, rows, best)
     return p.select("symbol", "date", "target_date", "model", "is_test", round_half("target_close").alias("actual_close"),
                     round_half("prediction").alias("predicted_close"))
 
 
 def feature_importance(fc: Forecasters, best: DataFrame, top: int = 10) -> DataFrame:
-    """Top feature importances of each symbol's best model where that is a tree model."""
-    spark = fc.split.sparkSession
-    rows = [(name, None, f, float(v)) for name, m in fc.trees.items() for f, v in zip(fc.feats, m.stages[-1].featureImportances.toArray())]
-    rows += [(name, sym, f, float(v)) for (sym, name), m in fc.per_symbol.items() for f, v in zip(fc.feats, m.stages[-1].featureImportances.toArray())]
-    # one value per model and feature: model metadata, not data
-    imp = spark.createDataFrame(rows, "model string, of string, feature string, importance double")
-    b = best.select("symbol", F.col("best_model").alias("model"))
+    """Top feature importances of each symbol's best model where that is a tree model: of that symbol's own trees."""
+    return top_features(importances(fc.trees, fc.feats), best, top)
+
+
+def top_features(imp: DataFrame, best: DataFrame, top: int = 10) -> DataFrame:
+    """The ``top`` rows of (symbol, model, feature, importance) for every symbol's best model."""
     w = Window.partitionBy("symbol").orderBy(F.desc("importance"), "feature")
-    j = b.join(imp, "model").filter(F.col("of").isNull() | (F.col("of") == F.col("symbol")))
+    j = imp.join(best.select("symbol", F.col("best_model").alias("model")), ["symbol", "model"])
     return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("symbol", "model", "rank", "feature", "importance")
 
 
 def save_forecasters(fc: Forecasters, path: str, fact: DataFrame, best: DataFrame) -> None:
-    """Persist the fitted state: Spark ML pipelines, the linear coefficients, the feature list, the latest
+    """Persist the fitted state as tables: the linear coefficients, the trees, the feature list, the latest
     vectors and the best model per symbol."""
-    spark = fc.split.sparkSession
+    spark = fc.linear.sparkSession
     fc.linear.write.mode("overwrite").parquet(f"{path}/linear")
+    if fc.trees is not None:
+        fc.trees.write.mode("overwrite").parquet(f"{path}/trees")
     latest_vector(fact, fc.grain).write.mode("overwrite").parquet(f"{path}/latest")
     best.write.mode("overwrite").parquet(f"{path}/best")
-    spark.createDataFrame([(i, c, fc.grain) for i, c in enumerate(fc.feats)], "position int, feature string, grain string") \
-        .write.mode("overwrite").parquet(f"{path}/features")
-    saved = [("", n) for n in fc.trees] + list(fc.per_symbol)
-    spark.createDataFrame(saved, "symbol string, model string").write.mode("overwrite").parquet(f"{path}/models")
-    for name, m in fc.trees.items():
-        m.write().overwrite().save(f"{path}/trees/{name}")
-    for (sym, name), m in fc.per_symbol.items():
-        m.write().overwrite().save(f"{path}/per_symbol/{sym.replace('.', '_')}/{name}")
+    spark.createDataFrame([(i, c, fc.grain, fc.trees is not None) for i, c in enumerate(fc.feats)],
+                          "position int, feature string, grain string, has_trees boolean").write.mode("overwrite").parquet(f"{path}/features")
 
 
 def load_forecasters(spark, path: str) -> tuple[Forecasters, DataFrame, DataFrame]:
     """What ``save_forecasters`` stored: the models (without the split table), the latest vectors and the best models."""
-    from pyspark.ml import PipelineModel
-    feats = [(r.feature, r.grain) for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
-    fc = Forecasters(feats[0][1], [f for f, _ in feats], None, spark.read.parquet(f"{path}/linear"))
-    for r in spark.read.parquet(f"{path}/models").collect():
-        if r.symbol:
-            fc.per_symbol[r.symbol, r.model] = PipelineModel.load(f"{path}/per_symbol/{r.symbol.replace('.', '_')}/{r.model}")
-        else:
-            fc.trees[r.model] = PipelineModel.load(f"{path}/trees/{r.model}")
+    feats = spark.read.parquet(f"{path}/features").orderBy("position").collect()
+    trees = spark.read.parquet(f"{path}/trees") if feats[0].has_trees else None
+    fc = Forecasters(feats[0].grain, [r.feature for r in feats], None, spark.read.parquet(f"{path}/linear"), trees)
     return fc, spark.read.parquet(f"{path}/latest"), spark.read.parquet(f"{path}/best")

@@ -156,7 +156,7 @@ def test_linear_forecast_on_trend(spark):
     from barspark.operators import forecast
     closes = [100 + 0.5 * i + (i % 5) * 0.2 for i in range(400)]
     f = features(bars(spark, closes), keep_index=True)
-    m = forecast.forecast_metrics(forecast.fit_forecasters(f, trees="none")).collect()
+    m = forecast.forecast_metrics(forecast.fit_forecasters(f, trees=False)).collect()
     assert m[0].test_r2 > 0.9
 
 

@@ -66,19 +66,19 @@ def test_forecasters_persist(spark):
     bars = spark.createDataFrame(rows, "symbol string, grain string, ts timestamp_ntz, date date, open double, "
                                        "high double, low double, close double, adj_close double, volume bigint")
     f = features(bars, keep_index=True)
-    fc = forecast.fit_forecasters(f, depth=3, bins=16, rounds=3)
+    fc = forecast.fit_forecasters(f, depth=3, rounds=3)
     best = spark.createDataFrame([("S", "Gradient_Boosting")], "symbol string, best_model string")
     path = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex[:8]}"
     forecast.save_forecasters(fc, path, f, best)
     again, latest, best2 = forecast.load_forecasters(spark, path)
-    assert again.feats == forecast.feature_names("1d") and set(again.trees) == {"Random_Forest", "Gradient_Boosting"}
+    assert again.feats == forecast.feature_names("1d") and {r.model for r in again.trees.collect()} == {"Random_Forest", "Gradient_Boosting"}
     a = forecast.forecast_next(fc, f, best).collect()
     b = forecast.predict_all(again, latest).join(best2.withColumnRenamed("best_model", "model"), ["symbol", "model"]).collect()
     assert a[0].model == "Gradient_Boosting" and abs(a[0].forecast_close - b[0].prediction) < 1e-3
 
 
 def test_tree_models_of_many_symbols(spark):
-    """More symbols than histogram bins: pooled fits do not depend on the number of symbols."""
+    """Forty symbols: each has models of its own, symbols with few rows are skipped, failures are listed."""
     import datetime as dt
     from barspark.operators import forecast
     from barspark.operators.features import features
@@ -91,14 +91,15 @@ def test_tree_models_of_many_symbols(spark):
     rows += [(f"T{i}", "1d", dt.datetime(2020, 1, 1 + i), dt.date(2020, 1, 1 + i), 1.0, 1.0, 1.0, 1.0, None, 1) for i in range(3)]
     f = features(spark.createDataFrame(rows, "symbol string, grain string, ts timestamp_ntz, date date, open double, high double, "
                                              "low double, close double, adj_close double, volume bigint"), keep_index=True)
-    fc = forecast.fit_forecasters(f, depth=4, bins=16, rounds=5)
+    fc = forecast.fit_forecasters(f, depth=4, rounds=10, rate=0.3)
     m = forecast.forecast_metrics(fc).collect()
     assert len(m) == 3 * 40
     assert sum(x.train_r2 > 0.5 for x in m if x.model != "Linear_Regression") >= 70
     best = forecast.best_model(spark.createDataFrame(m))
     assert forecast.forecast_next(fc, f, best).count() == 40
     assert forecast.backtest(fc, best, end=dt.date(2020, 5, 1)).count() > 0
-    got = {x.symbol: x.status for x in forecast.training_summary(f, failures=[("S01", "Random_Forest", "boom")]).collect()}
+    failed = spark.createDataFrame([("S01", "Random_Forest", "boom")], "symbol string, model string, error string")
+    got = {x.symbol: x.status for x in forecast.training_summary(f, failures=failed).collect()}
     assert got["S00"] == "trained" and got["S01"] == "failed" and got["T0"] == "skipped"
 
 
