@@ -22,6 +22,10 @@ _DEFAULTS = {
 }
 
 
+#: Spark's setting that removes the shuffle files of an execution at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "barspark") -> SparkSession:
     """Return the active session, or build a local one for tests/bench."""
@@ -66,12 +70,27 @@ def stored(df: DataFrame, name: str) -> str:
 
     Used at plan cut points that several branches read (instead of
     recomputing the upstream per branch); unlike an RDD checkpoint the
-    result keeps parquet statistics (for AQE join choices) and column pruning."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
+    result keeps parquet statistics (for AQE join choices) and column pruning.
+    The write's own shuffle files are removed when it has ended: nothing
+    reads them again, and a lost executor does not touch the table."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return path
 
 
+def drop_stored(spark: SparkSession, *paths: str) -> None:
+    """Remove tables written by ``stored`` that no later plan reads."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``stored`` and read back."""
     return df.sparkSession.read.parquet(stored(df, name))
