@@ -4,8 +4,9 @@ The model file's protobuf is read field by field; from it come the
 normaliser (character map, extra white space, dummy prefix), the marker for
 spaces, the pieces with their scores (unigram models as they are, pair
 models as merges ranked by score), and byte fallback.  Batches are
-encoded by the library's threads.  Encoded and decoded results can be
-verified against the sentencepiece library, text by text.
+encoded by the library's threads, each distinct word once where the model
+allows it (``Units``).  Encoded results can be verified against the
+sentencepiece library, which encodes every whole text.
 
 The model's bytes are read once on the driver and travel with the tasks (a
 model is bounded: files above ``MOST_BYTES`` are refused).
@@ -21,9 +22,11 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,36 +138,128 @@ def load(path: str) -> bytes:
     return data
 
 
-def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 400_000):
+class Units:
+    """Encoding and decoding by the units that the tokenizer cuts a text into (a word with the marker before it).
+
+    No piece reaches across units, so a text's ids are those of its units one
+    after the other and decoding goes unit by unit.  Distinct new units are joined
+    to texts and encoded together; where a unit's ids begin is seen by their
+    markers.  Ids are kept in one growing array (up to ``most`` units, then afresh).
+    Texts that are not plain words between single spaces, and models whose
+    pieces may hold a marker inside, are encoded whole.
+    """
+
+    def __init__(self, tokenizer, most: int = 600_000, joined: int = 2_000):
+        self.tokenizer, self.most, self.joined = tokenizer, most, joined
+        vocab = tokenizer.get_vocab(with_added_tokens=False)
+        self.begins = np.zeros(max(vocab.values()) + 1, bool)
+        self.begins[[i for p, i in vocab.items() if p.startswith(MARK)]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.changed: dict[int, str] = {}  # units that decoding does not give again, by number
+
+    def whole(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(x, np.int32) for x in ids], self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+
+    def _learn(self, new: list[str]) -> None:
+        parts = [new[i:i + self.joined] for i in range(0, len(new), self.joined)]
+        ids, back = self.whole([" ".join(p) for p in parts])
+        found = [self.ids]
+        ends = [self.ends]
+        base, n = int(self.ends[-1]), len(self.place)
+        for part, x, text in zip(parts, ids, back):
+            first, again = np.flatnonzero(self.begins[x]), text.split(" ")
+            if len(first) != len(part) or len(again) != len(part) or first[0]:
+                one, again = self.whole(part)  # a unit at a time
+                x = np.concatenate(one)
+                end = np.cumsum([len(y) for y in one])
+            else:
+                end = np.append(first[1:], len(x))
+            if again != part:
+                self.changed.update((n + i, b) for i, (a, b) in enumerate(zip(part, again)) if a != b)
+            self.place.update(zip(part, range(n, n + len(part))))
+            found.append(x)
+            ends.append(base + end)
+            base, n = base + len(x), n + len(part)
+        self.ids, self.ends = np.concatenate(found), np.concatenate(ends)
+
+    def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[str]]:
+        """Ids and decoded text of every text."""
+        if self.tokenizer.pre_tokenizer is None:
+            return self.whole(texts.to_pylist())
+        odd = pc.equal(pc.binary_length(texts), 0)
+        for test, pattern in ((pc.match_substring, MARK), (pc.match_substring, "  "), (pc.starts_with, " "), (pc.ends_with, " ")):
+            odd = pc.or_(odd, test(texts, pattern))
+        rest = iter(zip(*self.whole(texts.filter(odd).to_pylist())) if odd.true_count else ())
+        words = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        first = words.offsets.to_numpy()
+        words = words.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
+        first = first - first[0]
+        distinct = words.dictionary.to_pylist()
+        if len(self.place) > self.most:
+            self.clear()
+        new = [w for w in distinct if w not in self.place]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        size = self.ends[at + 1] - self.ends[at]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(self.ends[at] - upto[:-1], size) + np.arange(upto[-1])]
+        altered = np.isin(at, list(self.changed)) if self.changed else np.zeros(len(at), bool)
+        out_ids, out_back, k = [], [], 0
+        for text, whole in zip(texts.to_pylist(), odd.to_pylist()):
+            if whole:
+                one, text = next(rest)
+            else:
+                here = slice(first[k], first[k + 1])
+                one, k = ids[upto[here.start]:upto[here.stop]], k + 1
+                if altered[here].any():
+                    text = " ".join(self.changed.get(i, w) for i, w in zip(at[here].tolist(), text.split(" ")))
+            out_ids.append(one)
+            out_back.append(text)
+        return out_ids, out_back
+
+
+@lru_cache(maxsize=2)
+def _tools(data: bytes, verify: bool):
+    """A model's units and, to verify, the reference library's processor: built once per worker, kept for its later tasks."""
+    sp = None
+    if verify:
+        import sentencepiece
+        sp = sentencepiece.SentencePieceProcessor(model_proto=data)
+    return Units(build(read_model(data))), sp
+
+
+def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 2_000_000):
     def run(it):
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
-        t = build(read_model(data))
-        sp = None
-        if verify:
-            import sentencepiece
-            sp = sentencepiece.SentencePieceProcessor(model_proto=data)
+        units, sp = _tools(data, verify)
         for batch in it:
-            texts = batch.column("text").to_pylist()
-            first = 0
-            while first < len(texts):
+            column, first = batch.column("text"), 0
+            lengths = pc.binary_length(column).to_numpy(zero_copy_only=False)
+            while first < len(lengths):
                 end, n = first, 0
-                while end < len(texts) and (end == first or n + len(texts[end]) <= batch_chars):
-                    n += len(texts[end])
+                while end < len(lengths) and (end == first or n + lengths[end] <= batch_chars):
+                    n += lengths[end]
                     end += 1
-                part = texts[first:end]
-                ids = [e.ids for e in t.encode_batch_fast(part, add_special_tokens=False)]
-                back = t.decode_batch(ids, skip_special_tokens=False)
+                ids, back = units.encode(column.slice(first, end - first))
+                part = column.slice(first, end - first).to_pylist()
                 cols = [batch.column("doc_id").slice(first, end - first), pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(np.asarray(x, "<i4").tobytes()).hexdigest() for x in ids]),
+                        pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]),
                         pa.array([a == b for a, b in zip(back, part)], pa.bool_())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "round_trip"]
                 if sp:
-                    same = [a == b for a, b in zip(ids, sp.encode(part, num_threads=threads))]
+                    same = [a.tolist() == b for a, b in zip(ids, sp.encode(part, num_threads=threads))]
                     cols.append(pa.array(same, pa.bool_()))
                     names.append("parity")
                 if ids_out:
-                    cols += [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())]
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                    cols += [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32())), pa.array(back, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
                 first = end

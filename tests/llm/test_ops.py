@@ -619,3 +619,19 @@ def test_pipeline_stages(spark, docs_of, tmp_path):
         assert hashlib.sha256(" ".join(words(x.text)).encode()).hexdigest() == want[x.doc_id][2]
     assert {x.doc_id for x in mixed.collect()} <= set(texts)
     assert tokens.count() == mixed.count() and tokens.where("not round_trip").count() == 0
+
+
+def test_units_equal_whole_texts():
+    """Encoding by distinct units against encoding every text whole, with odd spaces, markers, bytes and a small store."""
+    import numpy as np
+    import pyarrow as pa
+    t = sentencepieces.build(sentencepieces.read_model(sentencepieces.load(MODEL)))
+    texts = [t for _, t, *_ in rows() if t] + ["", " ", "a", " a", "a ", "a  b", "▁", "x ▁y", "naïve 漢字 \U0001f600 x", "tab\tline\nend", "<s> </s> <unk>",
+                                             "a b c", "\x00 nul", "A" * 3000 + " b"] * 2
+    units = sentencepieces.Units(t, most=50, joined=7)
+    for i in range(0, len(texts), 9):
+        part = texts[i:i + 9]
+        ids, back = units.encode(pa.array(part, pa.string()))
+        want, text = units.whole(part)
+        assert all(np.array_equal(a, b) for a, b in zip(ids, want)) and len(ids) == len(part)
+        assert back == text
