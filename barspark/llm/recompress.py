@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from barspark.llm.common import materialize
 from barspark.llm.tokens import Ranges, groups, hash_words, mix, split
+from barspark.session import drop_stored, stored
 
 _U = np.uint64
 WINDOW, ROUNDS = 35, 3
@@ -212,11 +213,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     k = s.select("rid", "keys").join(same.select("rid"), "rid").select("rid", F.explode("keys").alias("key"))
     shared = k.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     hits = k.join(shared, "key").groupBy("rid").agg(F.collect_set("key").alias("shared"))
-    w = materialize(_with_text(hits, s, d, "shared").mapInArrow(
+    spark = docs.sparkSession
+    windows = stored(_with_text(hits, s, d, "shared").mapInArrow(
         _windows(window, rounds), "h1 long, h2 int, rid long, pos int"), "recompress_windows")
+    w = spark.read.parquet(windows)
     again = w.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
-    at = w.join(again, ["h1", "h2"]).groupBy("rid").agg(F.collect_list("pos").alias("at"))
-    at = at.join(same.where("copies = 1").select("rid"), "rid")
+    at = w.join(again, ["h1", "h2"]).groupBy("rid").agg(F.collect_list("pos").alias("at"))  # a document's windows at most
+    at = materialize(at.join(same.where("copies = 1").select("rid"), "rid"), "recompress_places")
+    drop_stored(spark, windows)  # the places are all that is read from here on
     cut = _with_text(at, s, d, "at").mapInArrow(
         _cut(window), "rid long, n_removed long, kept_sha256 string, kept_text string")
     copies = same.where("copies > 1").select("s1", "s2", "copies")
