@@ -30,6 +30,7 @@ from barspark.llm.common import let, lower_ascii
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 
 # Phrases whose words must stand side by side, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -51,6 +52,11 @@ TEMPLATES = [
 ]
 
 
+def may_hold(lowered: Column, some: list[str]) -> Column:
+    """Whether a word begins like one of ``some``: a cheap test before words are cut; only places after a separator are tried."""
+    return F.concat(F.lit(" "), lowered).rlike(f"{BETWEEN}(?:{'|'.join(some)})")
+
+
 def block_words(lowered: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
@@ -100,7 +106,7 @@ def match_blocks(docs: DataFrame, templates=TEMPLATES, containment: float = 0.9)
     index = spark.createDataFrame(index, "w string, template int, label string, j int, size int, needed int, tokens array<string>, length int")
     ranks = F.create_map(*[x for w, r in rank.items() for x in (F.lit(w), F.lit(r))])
     b = docs.select("doc_id", "th", F.posexplode(F.split(lower_ascii(F.col("text")), "\n", -1)).alias("block", "line"))
-    b = b.where(F.col("line").rlike("|".join(prefix)))
+    b = b.where(may_hold(F.col("line"), prefix))
     b = b.withColumn("all", F.array_distinct(block_words(F.col("line")))).drop("line")
     known = F.array_sort(F.transform(F.filter("all", lambda x: x.isin(vocabulary)), lambda x: F.struct(ranks[x].alias("r"), x.alias("w"))))
     b = b.select("doc_id", "th", "block", F.size("all").alias("n"), known.alias("known"))
@@ -122,7 +128,7 @@ def _runs(docs: DataFrame, index: DataFrame, prefix: list[str], longest: int) ->
     before the runs among them are compared.
     """
     low = lower_ascii(F.col("text"))
-    w = docs.where(F.col("text").contains("\n")).select("doc_id", "th", low.alias("low")).where(F.col("low").rlike("|".join(prefix)))
+    w = docs.where(F.col("text").contains("\n")).select("doc_id", "th", low.alias("low")).where(may_hold(F.col("low"), prefix))
     w = w.select("doc_id", "th", block_words(F.col("low")).alias("words"))
     near = let(F.col("words"), lambda x: F.filter(F.transform(x, lambda y, i: F.when(y.isin(prefix), F.struct(
         i.alias("at"), y.alias("w"), F.least(i, F.lit(longest - 1)).alias("here"),
