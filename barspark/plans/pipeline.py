@@ -58,11 +58,11 @@ def run_etl(spark: SparkSession, paths: list[str] | str, warehouse: str, grain:
     ``warehouse``/dim when given.  Returns the loaded fact table."""
     from barspark.session import materialize as _mat
     from barspark.sources.bars import read_vendor_bars
-    from barspark.sources.warehouse import require_rows, seed_dim, write_facts
+    from barspark.sources.warehouse import fact_table, require_rows, seed_dim, write_facts
     raw = require_rows(read_vendor_bars(spark, paths, grain), "bar files")
     bars = _mat(raw.filter(F.col("ts").isNotNull() & F.col("symbol").isNotNull()), f"etl_bars_{grain}")
     fact_df = features(bars, grain, keep_index=True)
     write_facts(fact_df, f"{warehouse.rstrip('/')}/fact")
     if dim_rows is not None:
         seed_dim(spark, f"{warehouse.rstrip('/')}/dim", dim_rows)
-    return spark.read.parquet(f"{warehouse.rstrip('/')}/fact")
+    return fact_table(spark, f"{warehouse.rstrip('/')}/fact").read()

@@ -746,13 +746,13 @@ def q_replace_by_symbol(spark, sf):
     both grains survive and the re-run leaves counts and sums unchanged."""
     import uuid
     from barspark.session import checkpoint_dir
-    from barspark.sources.warehouse import write_facts
+    from barspark.sources.warehouse import fact_table, write_facts
     path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/fact-{uuid.uuid4().hex[:10]}"
     d, h = _fact(spark, sf, "1d"), _fact(spark, sf, "1h")
     write_facts(d, path)
     write_facts(h, path)
     write_facts(d, path)
-    return spark.read.parquet(path).groupBy("grain", "symbol").agg(
+    return fact_table(spark, path).read().groupBy("grain", "symbol").agg(
         F.count(F.lit(1)).alias("n_rows"), round_half(F.sum("close"), 2).alias("sum_close"), F.sum("volume").alias("sum_volume"),
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
@@ -867,6 +867,20 @@ def q_stream_dedup(spark, sf):
 _STREAM_IND = ["daily_return", "volatility", "ema_20", "rsi_14", "macd_line", "macd_signal", "macd_hist"]
 
 
+def _landed(spark, bars, name: str, files: int = 16):
+    """Bars as they land: file after file in the order of time, each bar up to 23 hours late by a rule on its key."""
+    from barspark.session import stored
+    from barspark.streaming import live
+    late = F.expr("make_dt_interval(0, pmod(xxhash64(symbol, ts), 24))")
+    path = stored(bars.withColumn("_at", F.col("ts") + late).repartitionByRange(files, "_at").drop("_at"), name)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    for i, p in enumerate(parts):  # the file source takes files by their time of change
+        fs.setTimes(p, 1_700_000_000_000 + 60_000 * i, -1)
+    return live.file_stream(spark, bars, path, files_per_trigger=5)
+
+
 def _scattered(spark, bars, name: str, files: int = 16):
     """Bars stored as shuffled part files, as they would land from many feeds; read back as several micro-batches."""
     from barspark.session import stored
@@ -879,15 +893,16 @@ def _scattered(spark, bars, name: str, files: int = 16):
     f"SELECT symbol, ts, {R('close')} AS close, " + ", ".join(f"{R(c, 6)} AS {c}" for c in _STREAM_IND)
     + " FROM feat_1h", "1h"))
 def q_stream_indicators(spark, sf):
-    """Hourly bars in 16 shuffled files and several micro-batches; the delay covers the disorder."""
+    """Hourly bars landing in 16 files, each bar up to a day out of order, over several micro-batches: most bars settle on the way."""
     import uuid
     from barspark.session import checkpoint_dir
+    from barspark.sources.versions import month_of
     from barspark.streaming import live
-    src = _scattered(spark, P.bars(spark, sf, "1h"), "bars_scattered")
+    src = _landed(spark, P.bars(spark, sf, "1h"), "bars_landed")
     path = f"{checkpoint_dir(spark).rstrip('/')}/warehouse/indicators-{uuid.uuid4().hex[:10]}"
-    rows = live.stream_indicators(src, "400 days").withColumn("date", F.to_date("ts"))
-    out = live.upsert_stream(rows, path, ["symbol", "ts"], ["symbol", "date"], mode="update")
-    return (out.drop("date").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    rows = live.stream_indicators(src, "2 days").withColumn("month", month_of(F.col("ts")))
+    out = live.upsert_stream(rows, path, ["symbol", "ts"], ["month"], mode="update")
+    return (out.drop("month").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
             .withColumns({"close": round_half("close"), **{c: round_half(c, 6) for c in _STREAM_IND}}))
 
 

@@ -1,10 +1,11 @@
 """The warehouse: dimension seed, fact load with replace-by-symbol, scans, exports.
 
 The fact table is parquet partitioned by (grain, symbol).  Loading a batch
-overwrites exactly the (grain, symbol) partitions present in the batch
-(dynamic partition overwrite) -- the reference's "delete the symbol's rows,
-then insert" -- so a re-run is idempotent and a daily load never erases the
-intraday history of the same symbol or the other way round.
+replaces exactly the (grain, symbol) partitions present in the batch, in one
+transaction (``versions.py``) -- the reference's "delete the symbol's rows,
+then insert" -- so a re-run is idempotent, a load that fails changes nothing, and
+a daily load never erases the intraday history of the same symbol or the
+other way round.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.schemas import DIM, FACT_COLUMNS, FACT_DEFAULTS, VENDOR_COLUMN_MAP
-from barspark.session import materialize
 from barspark.sources.bars import file_stem
+from barspark.sources.versions import VersionedTable
 
 # The reference's five-company seed of the dimension table.
 SEED_DIM_ROWS = [
@@ -52,37 +53,26 @@ def map_columns(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+FACT_PARTITIONS = ["grain", "symbol"]
+
+
+def fact_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, FACT_PARTITIONS)
+
+
 def write_facts(fact: DataFrame, path: str, spread: int | None = None) -> None:
-    """Replace-by-(grain, symbol) load: only partitions present in ``fact`` change.
+    """Replace-by-(grain, symbol) load in one transaction: only partitions present in ``fact`` change, all at once.
 
     Rows of a (grain, symbol) are dealt by year and month of ``ts`` too, so
     a hot symbol is written by many tasks, one file each."""
     n = spread or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (fact.repartition(n, "grain", "symbol", F.date_trunc("month", F.col("ts")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("grain", "symbol").parquet(path))
-
-
-def merge_rows(batch: DataFrame, path: str, keys: list[str], partitions: list[str]) -> None:
-    """Merge rows into a partitioned parquet folder: of each key the batch's row stays, else the folder's.
-
-    Only partitions that the batch touches are read and rewritten.  The
-    merged rows are stored before the folder changes, so a failed write can be
-    repeated."""
-    spark = batch.sparkSession
-    spark.createDataFrame([], batch.schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
-    batch = batch.dropDuplicates(keys)
-    have = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
-    touched = batch.select(*partitions).distinct()
-    kept = have.join(touched, partitions, "left_semi").join(batch.select(*keys), keys, "left_anti")
-    merged = materialize(kept.unionByName(batch), "merge")
-    (merged.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions).parquet(path))
+    fact_table(fact.sparkSession, path).replace(fact.repartition(n, *FACT_PARTITIONS, F.date_trunc("month", F.col("ts"))))
 
 
 def load_symbol(spark: SparkSession, path: str, symbol: str, grain: str = "1d",
                 columns: list[str] | None = None) -> DataFrame:
-    """One symbol's facts in time order; the filters prune partitions."""
-    df = spark.read.parquet(path).filter((F.col("grain") == grain) & (F.col("symbol") == symbol))
+    """One symbol's facts in time order; only its own folder is listed and read."""
+    df = fact_table(spark, path).read(grain=grain, symbol=symbol)
     if columns:
         df = df.select(*columns)
     return df.orderBy("ts")

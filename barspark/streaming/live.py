@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from barspark.session import checkpoint_dir
+from barspark.sources.versions import month_of
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -136,9 +137,11 @@ def _indicators(snapshot: tuple, close: np.ndarray) -> dict[str, np.ndarray]:
         out[name] = y
     with np.errstate(divide="ignore", invalid="ignore"):
         out["rsi_14"] = np.where((k >= _RSI_N) & (out["loss"] != 0), 100 - 100 / (1 + out["gain"] / out["loss"]), 50.0)
-    r = pd.Series(np.concatenate([np.asarray([np.nan if x is None else x for x in rets], float), out["daily_return"]]))
-    out["rets"] = r.to_numpy()
-    out["volatility"] = r.rolling(_VOL_N).apply(lambda x: np.std(x, ddof=1), raw=True).fillna(0.0).to_numpy()[len(rets):]
+    out["rets"] = np.concatenate([np.asarray([np.nan if x is None else x for x in rets], float), out["daily_return"]])
+    volatility = np.zeros(len(out["rets"]))
+    if len(volatility) >= _VOL_N:
+        volatility[_VOL_N - 1:] = np.nan_to_num(np.lib.stride_tricks.sliding_window_view(out["rets"], _VOL_N).std(axis=1, ddof=1))
+    out["volatility"] = volatility[len(rets):]
     return out
 
 
@@ -146,8 +149,9 @@ def _indicator_step(key, pdfs, state):
     """Merge a micro-batch into a symbol's open bars and give every bar from the earliest new one on anew.
 
     Bars up to the watermark are then settled: they leave the open bars and
-    only their running values stay.  A bar that is not after the last settled
-    one is late and dropped."""
+    only their running values stay.  A timer at the last open bar settles them
+    also when no further bar of the symbol comes.  A bar that is not after the
+    last settled one is late and dropped."""
     old = tuple(state.get) if state.exists else _SEED
     last_us = old[0]
     us, close = [np.asarray(old[10], np.int64)], [np.asarray(old[11], float)]
@@ -162,7 +166,7 @@ def _indicator_step(key, pdfs, state):
         on_time = us > last_us
         us, close, new = us[on_time], close[on_time], new[on_time]
     if not len(us):
-        return
+        return  # only late bars: the timer stands as it was
     cols = _indicators(old, close)
     if new.any():
         at = int(np.argmax(new))
@@ -179,6 +183,8 @@ def _indicator_step(key, pdfs, state):
     else:
         settled = old[:10]
     state.update((*settled, us[done:].tolist(), close[done:].tolist()))
+    if done < len(us):
+        state.setTimeoutTimestamp(int(us[-1]) // 1000 + 1)
 
 
 def stream_indicators(bars: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -187,11 +193,11 @@ def stream_indicators(bars: DataFrame, delay: str = "10 minutes") -> DataFrame:
     A bar is given at once; if earlier bars arrive within ``delay``, the
     later ones are given again with their new values, so the sink keeps the
     last row per (symbol, ts): see ``upsert_stream``.  State holds a symbol's
-    bars of the last ``delay`` and ten running values."""
+    bars that the watermark has not passed and ten running values."""
     return (bars.select("symbol", F.col("ts").cast("timestamp").alias("ts"), "close").withWatermark("ts", delay)
             .groupBy("symbol")
             .applyInPandasWithState(_indicator_step, INDICATOR_SCHEMA, _STATE, "update",
-                                    GroupStateTimeout.NoTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))
 
 
 def stream_alerts(features: DataFrame, dim: DataFrame) -> DataFrame:
@@ -200,27 +206,36 @@ def stream_alerts(features: DataFrame, dim: DataFrame) -> DataFrame:
     return hits.join(dim.select("symbol", "company_name"), "symbol")
 
 
-def upsert_stream(rows: DataFrame, path: str, keys: list[str], partitions: list[str], mode: str = "append") -> DataFrame:
-    """Merge every micro-batch of a stream into a parquet folder: the newest row per key stays.
+def upsert_stream(rows: DataFrame, path: str, keys: list[str], partitions: list[str], mode: str = "append",
+                  order: list[str] | None = None) -> DataFrame:
+    """Merge every micro-batch of a stream into a versioned folder, one transaction each: of each key the newest batch's
+    row stays, within a batch the one with the largest ``order`` columns.
 
     ``partitions`` are columns of ``rows`` that the keys determine; a batch rewrites only the
-    partitions that it touches.  A batch that runs again gives the same folder."""
-    from barspark.sources.warehouse import merge_rows
+    partitions that it touches.  The folder knows the stream's last epoch, so a batch that runs again is left out."""
+    from barspark.sources.versions import VersionedTable
     spark = rows.sparkSession
-    _, ck = _paths(spark, "upsert")
+    out, ck = _paths(spark, "upsert")
+    target = VersionedTable(spark, path, partitions)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        merge_rows(batch, path, keys, partitions)
+        batch = batch.persist()  # read for its partitions, its keys and its rows
+        try:
+            if not batch.isEmpty():
+                VersionedTable(batch.sparkSession, path, partitions).merge(batch, keys, order, (out, epoch))
+        finally:
+            batch.unpersist()
 
     q = (rows.writeStream.foreachBatch(load).outputMode(mode).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(path)
+    return target.read()
 
 
-def stream_upsert(bars: DataFrame, path: str, grain: str = "1h") -> DataFrame:
-    """Bars of a stream merged into the fact folder by (grain, symbol, ts), partitioned by (grain, symbol, date)."""
-    return upsert_stream(bars.withColumn("grain", F.lit(grain)), path, ["grain", "symbol", "ts"], ["grain", "symbol", "date"])
+def stream_upsert(bars: DataFrame, path: str, grain: str = "1h", order: list[str] | None = None) -> DataFrame:
+    """Bars of a stream merged into the fact folder by (grain, symbol, ts), partitioned by (grain, month)."""
+    rows = bars.withColumns({"grain": F.lit(grain), "month": month_of(F.col("ts"))})
+    return upsert_stream(rows, path, ["grain", "symbol", "ts"], ["grain", "month"], order=order).drop("month")
 
 
 def file_stream(spark: SparkSession, like: DataFrame, path: str, files_per_trigger: int = 4) -> DataFrame:

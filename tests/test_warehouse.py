@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barspark.plans import pipeline as P
 from barspark.session import checkpoint_dir
-from barspark.sources.warehouse import load_symbol, map_columns, seed_dim, write_facts
+from barspark.sources.warehouse import fact_table, load_symbol, map_columns, seed_dim, write_facts
 from paths import SF_SMALL
 
 
@@ -14,10 +14,10 @@ def test_replace_by_symbol_is_idempotent_and_keeps_other_grain(spark):
     path = f"{checkpoint_dir(spark)}/wh-{uuid.uuid4().hex[:8]}"
     d, h = P.fact(spark, SF_SMALL, "1d"), P.fact(spark, SF_SMALL, "1h")
     write_facts(d, path)
-    n1 = spark.read.parquet(path).count()
+    n1 = fact_table(spark, path).read().count()
     write_facts(h, path)
     write_facts(d, path)          # re-run of the daily load
-    t = spark.read.parquet(path)
+    t = fact_table(spark, path).read()
     assert t.filter("grain = '1d'").count() == n1
     assert t.filter("grain = '1h'").count() == h.count()
     sym = d.select("symbol").first()[0]
