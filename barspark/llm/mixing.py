@@ -17,7 +17,7 @@ doc_id) are separate documents that carry equal source, size and target.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barspark.llm.common import let, materialize, ordered_index, word_count
@@ -135,10 +135,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 def apply(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (not at all, once or more).
 
-    Rows that are equal in id and text share their copies evenly.
+    Rows that are equal in id, source and text share the copies that the mix gives them: each the whole part, and
+    the remainder one copy each to the first of them, numbered within their key only.
     """
-    m = mix(docs, **settings).where("copies > 0").groupBy("doc_id", "tie").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n"))
-    m = m.withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
-    j = docs.withColumn("_own", F.xxhash64("doc_id", "text")).join(m, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tie")))
-    times = F.greatest(F.lit(1), F.floor(F.col("_copies") / F.col("_n"))).cast("int")
-    return j.withColumn("_time", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    m = mix(docs, **settings).groupBy("doc_id", "source", "tie").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n"))
+    m = materialize(m.where("_copies > 0").withColumnsRenamed({"doc_id": "_id", "source": "_source", "tie": "_tie"}), "copies")
+    own = docs.withColumn("_own", F.xxhash64("doc_id", "text"))
+    meet = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("source").eqNullSafe(F.col("_source")), F.col("_own") == F.col("_tie")]
+    one = own.join(m.where("_n = 1"), meet).withColumn("_times", F.col("_copies"))
+    w = Window.partitionBy("_id", "_source", "_tie").orderBy("_tie")
+    many = own.join(m.where("_n > 1"), meet).withColumn("_times", F.floor(F.col("_copies") / F.col("_n"))
+                                                        + F.when(F.row_number().over(w) <= F.col("_copies") % F.col("_n"), 1).otherwise(0))
+    j = one.unionByName(many).where("_times > 0")
+    return j.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)

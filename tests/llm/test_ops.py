@@ -635,3 +635,15 @@ def test_units_equal_whole_texts():
         want, text = units.whole(part)
         assert all(np.array_equal(a, b) for a, b in zip(ids, want)) and len(ids) == len(part)
         assert back == text
+
+
+def test_mix_applied_to_equal_rows_writes_what_the_mix_takes(docs_of):
+    """Rows equal in id, source and text: as many rows are written as copies are taken; rows that differ elsewhere keep their columns."""
+    r = [(1, "one two three", "en", "a")] * 2 + [(2, "x y", "en", "b")] * 5 + [(None, "p q r", "de", "c")] * 3 + [(3, "solo", "fr", "a"), (3, "solo", "en", None)]
+    d = docs_of(r)
+    want = Counter()
+    for x in mixing.mix(d).collect():
+        want[x.doc_id, x.source] += x.copies
+    got = Counter((x.doc_id, x.source) for x in mixing.apply(d).collect())
+    assert got == +want and mixing.apply(d).columns == d.columns
+    assert mixing.apply(docs_of([])).count() == 0
