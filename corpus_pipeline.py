@@ -2,6 +2,9 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the
 stage before it kept; all but the last return the columns of ``documents``.
+Null and empty texts fail the quality rules; a null id, language or source is
+a value like others; repeated rows go through together and the near-duplicate
+stage keeps one of them; an empty table gives no rows in every stage.
 ``run`` writes each stage as Parquet into the shared checkpoint folder and
 reads it back, like the callers of ``STAGES``.
 """
@@ -39,8 +42,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str = MODEL) -> DataFrame:
-    """One row per document and copy: doc_id, n_tokens, ids, and whether decoding gives the text again."""
-    return sentencepieces.encode(docs, model, verify=False).select("doc_id", "n_tokens", "ids", "round_trip")
+    """One row per document and copy: doc_id, n_tokens, ids, whether decoding gives the text again, and whether the
+    reference library encodes the text alike."""
+    return sentencepieces.encode(docs, model).select("doc_id", "n_tokens", "ids", "round_trip", "parity")
 
 
 STAGES = [
