@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -471,6 +472,34 @@ def test_html_blocks():
     assert htmltext.blocks('<p>a<p class="ad">b<p>c<script>x')[1] == ["a", "c"]
 
 
+@pytest.mark.parametrize("body, want", [
+    ("<main><h1>T</h1><p>The long story body.</p></main><article><h3>Another teaser</h3></article>", ["T", "The long story body."]),
+    ('<main><p>A long story body goes on.</p><article><a href="x">Another teaser</a></article></main>', ["A long story body goes on."]),
+    ("<main><p>Intro</p><article>First of the texts</article><article>Second of the texts</article></main>",
+     ["First of the texts", "Second of the texts"]),
+    ('<article><p>Story.</p><section class="related-work">Others did.</section><div id="social-theory">Theory</div><p class="hidden-gem">'
+     'Gem</p><div id="promotion-of-health">Health</div><math><mi>x</mi></math></article>', ["Story.", "Others did.", "Theory", "Gem", "Health", "x"]),
+    ('<article><p>Story of words.</p><div class="related-posts">More of it</div><div class="share-buttons">Share it</div>'
+     '<div class="related-reads"><a href="r">Read</a></div></article>', ["Story of words."]),
+    ('<article><div class="related">All of the article is in here, every word of it.</div><p>By me</p></article>',
+     ["All of the article is in here, every word of it.", "By me"]),
+    ("<article>a <noscript>no</noscript>b<svg><title>t</title><text>no</text></svg> &#0000000065; &#99999999999; c</article>",
+     ["a b A \ufffd c"]),
+    ('<article><p title="a > b">S<a href="x>text</a> <p class="y">T</article>', ["ST"]),
+    ("<article>cut here <a hre", ["cut here"]),
+])
+def test_html_main_text_by_words_links_and_marks(body, want):
+    assert htmltext.blocks(f"<body><nav>menu</nav>{body}")[1] == want
+
+
+@pytest.mark.parametrize("unit, last", [("<svg ", ""), ("<a x='", ""), ("<a '>' ", '"'), ("<a x='>' y=>", '<a x="'), ("<!--", ""), ("<a x=", ""),
+                                        ("</script", ""), ("<script>", ""), ("<div>", "</b>" * 10**5), ("<", ""), ("&#9", "9" * 10**6)])
+def test_html_hostile_pages_take_linear_time(unit, last):
+    start = time.process_time()
+    htmltext.blocks(unit * (10**6 // len(unit)) + last)
+    assert time.process_time() - start < 8  # quadratic ones took minutes
+
+
 def test_html_suffix_array_counts_pages():
     import numpy as np
     g = np.random.default_rng(3)
