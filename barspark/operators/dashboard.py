@@ -2,8 +2,9 @@
 chart series, plus the README-only volume-spike and top-performer reports.
 
 "Latest", "previous", "last 252 bars" and "the 365th bar from the end" are
-addressed through the fact table's ``seq``/``n_bars``, i.e. plain filters
-and per-symbol aggregates -- no per-symbol sort.
+addressed through the fact table's ``from_end`` (by which its files are sorted, so
+that the filter reaches the scan), i.e. plain filters and per-symbol
+aggregates -- no per-symbol sort.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barspark.functions.scalar import money, round_half, rsi_signal, shares, signed
-from barspark.functions.series import index_series
+from barspark.functions.ranking import ranks
 
 # The dashboard's 52-week window (in bars), default range (bars
 # from the end) and state labels.
@@ -22,14 +23,21 @@ VOLUME_STATES = ("ANOMALOUS", "NORMAL")
 SMA_STATES = ("BULLISH", "BEARISH")
 
 
+def last_bars(fact: DataFrame, k: int) -> DataFrame:
+    """The last ``k`` bars of every symbol; facts without ``from_end`` are asked for ``seq`` and ``n_bars``."""
+    if "from_end" in fact.columns:
+        return fact.filter(F.col("from_end") < k)
+    return fact.filter(F.col("seq") >= F.col("n_bars") - k)
+
+
 def latest(fact: DataFrame) -> DataFrame:
     """The last bar of every symbol."""
-    return fact.filter(F.col("seq") == F.col("n_bars") - 1)
+    return last_bars(fact, 1)
 
 
 def latest_kpis(fact: DataFrame) -> DataFrame:
     """Close, change vs the previous bar, pct change, volume -- of the last bar."""
-    two = fact.filter(F.col("seq") >= F.col("n_bars") - 2)
+    two = last_bars(fact, 2)
     last = F.col("seq") == F.col("n_bars") - 1
     k = two.groupBy("symbol").agg(
         F.max(F.when(last, F.col("date"))).alias("date"),
@@ -45,7 +53,7 @@ def latest_kpis(fact: DataFrame) -> DataFrame:
 
 def high_low_52w(fact: DataFrame, bars: int = TRADING_DAYS_YEAR) -> DataFrame:
     """Max high / min low over the last ``bars`` rows (rows, not calendar days)."""
-    return (fact.filter(F.col("seq") >= F.col("n_bars") - bars).groupBy("symbol")
+    return (last_bars(fact, bars).groupBy("symbol")
             .agg(round_half(F.max("high")).alias("high_52w"), round_half(F.min("low")).alias("low_52w")))
 
 
@@ -66,8 +74,7 @@ def range_filter(fact: DataFrame, start=None, end=None) -> DataFrame:
         if end is not None:
             out = out.filter(F.col("date") <= F.lit(end))
         return out
-    first_in = F.greatest(F.col("n_bars") - DEFAULT_RANGE_BARS, F.lit(0))
-    return fact.filter(F.col("seq") >= first_in)
+    return last_bars(fact, DEFAULT_RANGE_BARS)
 
 
 def rsi_regime(fact: DataFrame) -> DataFrame:
@@ -95,7 +102,7 @@ def candle_flags(fact: DataFrame) -> DataFrame:
 
 def price_label(fact: DataFrame) -> DataFrame:
     """KPI texts of the last bar: price with currency sign, signed change, volume."""
-    two = fact.filter(F.col("seq") >= F.col("n_bars") - 2)
+    two = last_bars(fact, 2)
     last = F.col("seq") == F.col("n_bars") - 1
     k = two.groupBy("symbol").agg(
         F.max(F.when(last, F.col("close"))).alias("close"),
@@ -138,22 +145,16 @@ def top_performers(fact: DataFrame) -> DataFrame:
     """Total return last close / first close - 1 per symbol, ranked (our definition
     of the README's 'top performing stocks').
 
-    RANK semantics (ties share the lowest position, nulls last) computed with the
-    distributed series index ordered by descending return -- no single-partition
-    window over the symbols."""
+    RANK semantics (ties share the lowest position, nulls last) from a range partitioning by
+    descending return -- no single-partition window over the symbols."""
     ends = fact.filter((F.col("seq") == 0) | (F.col("seq") == F.col("n_bars") - 1)).groupBy("symbol").agg(
         F.max(F.when(F.col("seq") == 0, F.col("close"))).alias("first_close"),
         F.max(F.when(F.col("seq") == F.col("n_bars") - 1, F.col("close"))).alias("last_close"))
     tr = ends.withColumn("total_return", round_half(F.try_divide(F.col("last_close"), F.col("first_close")) - 1))
-    known = tr.filter(F.col("total_return").isNotNull()).withColumn("_o", -F.col("total_return"))
-    pos = index_series(known, [], "_o", F.floor("_o"), dedup=False)
-    first_pos = pos.groupBy("total_return").agg(F.min("_idx").alias("_first"))
-    ranked = pos.join(first_pos, "total_return").withColumn("performance_rank", F.col("_first") + 1)
-    n_known = known.select(F.count(F.lit(1))).scalar()
-    unknown = tr.filter(F.col("total_return").isNull()).withColumn("performance_rank", n_known + 1)
+    ranked = ranks(tr, F.col("total_return").desc_nulls_last(), ["total_return"], "performance_rank")
     cols = ["symbol", round_half("first_close").alias("first_close"), round_half("last_close").alias("last_close"),
             "total_return", F.col("performance_rank").cast("long").alias("performance_rank")]
-    return ranked.select(*cols).unionByName(unknown.select(*cols))
+    return ranked.select(*cols)
 
 
 def profiles(dim: DataFrame, fact: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from barspark.functions.quantiles import exact_quantiles
 from barspark.functions.scalar import round_half
 from barspark.functions.series import index_series
+from barspark.session import materialize
 
 CLIP = 0.1                       # returns kept strictly inside (-0.1, 0.1) for the box plot
 KDE_LO, KDE_HI, KDE_STEP = -0.08, 0.08, 0.001
+KDE_REACH = 9.2                  # bandwidths
 
 
 def close_pivot(fact: DataFrame, symbols: list[str] | None = None) -> DataFrame:
@@ -43,21 +45,22 @@ def calendar_fill(fact: DataFrame) -> DataFrame:
     return filled.select("symbol", "date", "close", "_idx")
 
 
-def rebased_growth(fact: DataFrame) -> DataFrame:
-    """Filled close divided by the symbol's first filled close, times 100."""
-    c = calendar_fill(fact)
+def rebased_growth(fact: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """Filled close divided by the symbol's first filled close, times 100 (``calendar``: a stored ``calendar_fill``)."""
+    c = calendar if calendar is not None else materialize(calendar_fill(fact), "calendar")
     first = c.filter(F.col("_idx") == 0).select("symbol", F.col("close").alias("_c0"))
     return (c.join(first, "symbol")
             .select("symbol", "date", round_half(F.try_divide(F.col("close"), F.col("_c0")) * 100)
                     .alias("rebased_close")))
 
 
-def price_corr(fact: DataFrame) -> DataFrame:
+def price_corr(fact: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Pearson correlation of filled closes (price levels) for every symbol pair.
 
     Pairs are formed per date on the upper triangle only and mirrored; the
     pair set is the output itself (a symbols x symbols matrix)."""
-    c = calendar_fill(fact).select("symbol", "date", "close")
+    c = calendar if calendar is not None else materialize(calendar_fill(fact), "calendar")
+    c = c.select("symbol", "date", "close")
     a = c.select(F.col("symbol").alias("symbol_a"), "date", F.col("close").alias("x"))
     b = c.select(F.col("symbol").alias("symbol_b"), "date", F.col("close").alias("y"))
     up = (a.join(b, "date").filter(F.col("symbol_a") <= F.col("symbol_b"))
@@ -105,18 +108,22 @@ def return_kde(fact: DataFrame, lo: float = KDE_LO, hi: float = KDE_HI, step: fl
 
     Bandwidth by Scott's rule, ``h = s * n^(-1/5)`` with the sample std of all
     the symbol's returns; the grid (161 points by default) only limits the
-    display range.  Each return meets each grid point once: work = rows x grid,
-    with the fixed-size grid exploded per row (no join)."""
+    display range.  A return is carried to the grid points within ``KDE_REACH`` bandwidths only
+    (beyond them a kernel is below 1e-18 of its height); points that no return reaches have density 0."""
     npts = int(round((hi - lo) / step)) + 1
     stats = fact.groupBy("symbol").agg(F.count("daily_return").alias("_n"),
                                        F.stddev_samp("daily_return").alias("_s"))
-    bw = stats.select("symbol", "_n", (F.col("_s") * F.pow(F.col("_n").cast("double"), -0.2)).alias("_h"))
-    pts = fact.select("symbol", "daily_return").filter(F.col("daily_return").isNotNull()).join(bw, "symbol")
-    # every return meets every grid point: explode the fixed-size grid (a literal
-    # array computed once) per row
-    grid = F.array(*[F.lit(round(lo + i * step, 6)) for i in range(npts)])
-    pts = pts.select("symbol", "daily_return", "_n", "_h", F.explode(grid).alias("x"))
-    u = (F.col("x") - F.col("daily_return")) / F.col("_h")
-    dens = pts.groupBy("symbol", "x", "_n", "_h").agg(F.sum(F.exp(-0.5 * u * u)).alias("_k"))
+    bw = stats.select("symbol", "_n", (F.col("_s") * F.pow(F.col("_n").cast("double"), -0.2)).alias("_h")).filter("_n > 0")
+    at = lambda i: F.lit(lo) + i * F.lit(step)
+    pts = fact.select("symbol", "daily_return").filter(F.col("daily_return").isNotNull()).join(bw.select("symbol", "_h"), "symbol")
+    reach, place = KDE_REACH * F.col("_h"), lambda v: (v - lo) / step
+    pts = pts.withColumns({
+        "_from": F.ceil(F.least(F.greatest(place(F.col("daily_return") - reach), F.lit(0.0)), F.lit(float(npts)))).cast("int"),
+        "_to": F.floor(F.greatest(F.least(place(F.col("daily_return") + reach), F.lit(npts - 1.0)), F.lit(-1.0))).cast("int")})
+    pts = pts.filter("_h > 0 AND _from <= _to").select("symbol", "daily_return", "_h", F.explode(F.sequence("_from", "_to")).alias("_i"))
+    u = (at(F.col("_i")) - F.col("daily_return")) / F.col("_h")
+    dens = pts.groupBy("symbol", "_i").agg(F.sum(F.exp(-0.5 * u * u)).alias("_k"))
+    grid = bw.select("symbol", "_n", "_h", F.explode(F.sequence(F.lit(0), F.lit(npts - 1))).alias("_i")).join(dens, ["symbol", "_i"], "left")
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
-    return dens.select("symbol", "x", round_half(F.try_divide(F.col("_k"), norm), 6).alias("density"))
+    return grid.select("symbol", F.round(at(F.col("_i")), 6).alias("x"),
+                       round_half(F.try_divide(F.coalesce("_k", F.lit(0.0)), norm), 6).alias("density"))

@@ -187,5 +187,6 @@ def features(bars: DataFrame, grain: str = "1d", outliers: bool = True, exact_qu
     if "volume_outlier" not in flags.values():
         out = out.withColumn("volume_outlier", F.lit(False))
     if keep_index:
-        return out.select(*FEATURE_COLUMNS, F.col("_idx").alias("seq"), F.col("_len").alias("n_bars"))
+        return out.select(*FEATURE_COLUMNS, F.col("_idx").alias("seq"), F.col("_len").alias("n_bars"),
+                          (F.col("_len") - 1 - F.col("_idx")).alias("from_end"))
     return out.select(*FEATURE_COLUMNS)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from barspark.functions.scalar import round_half
 from barspark.functions.series import block_window, blocked, default_bucket, index_series
-from barspark.operators.dashboard import range_filter
+from barspark.operators.dashboard import last_bars, range_filter
 from barspark.operators.trees import fit_symbol_trees, importances, predict
 from barspark.session import materialize
 
@@ -77,8 +77,8 @@ def training_rows(fact: DataFrame, grain: str = "1d") -> DataFrame:
 
 def latest_vector(fact: DataFrame, grain: str = "1d") -> DataFrame:
     """The last bar's feature vector per symbol (may hold nulls on short series)."""
-    lf = lag_features(fact)
-    return lf.filter(F.col("seq") == F.col("n_bars") - 1).select("symbol", "date", "ts", *feature_names(grain))
+    lf = lag_features(last_bars(fact, max(LAGS) + 1))
+    return last_bars(lf, 1).select("symbol", "date", "ts", *feature_names(grain))
 
 
 # ------------------------------------------------------------------ metrics

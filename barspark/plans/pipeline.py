@@ -2,9 +2,10 @@
 
 Like the reference's fact table, the feature table is built once and every
 report reads it; here it is a parquet table under the shared checkpoint
-folder.  ``fact`` adds ``seq`` (bar number in its symbol, from 0) and
-``n_bars`` so reports can address "the last bar", "the last 252 bars" etc.
-without a per-symbol sort.
+folder.  ``fact`` adds ``seq`` (bar number in its symbol, from 0), ``n_bars``
+and ``from_end`` (0 at the last bar) so reports can address "the last bar", "the last 252
+bars" etc. without a per-symbol sort.  Its files are sorted by ``from_end``: a
+filter on it leaves all row groups and pages of older bars unread.
 """
 
 from __future__ import annotations
@@ -35,13 +36,19 @@ def bars(spark: SparkSession, sf_dir: str, grain: str = "1d") -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, grain: str = "1d") -> DataFrame:
-    """Materialized FEATURE table plus ``seq``/``n_bars``."""
+    """Materialized FEATURE table plus ``seq``/``n_bars``/``from_end``, newest bars first in every file."""
     def build():
         f = features(bars(spark, sf_dir, grain), grain, keep_index=True)
-        return materialize(f, f"fact_{grain}")
+        return materialize(f.sortWithinPartitions("from_end"), f"fact_{grain}")
     return _memo(spark, sf_dir, f"fact_{grain}", build)
 
 
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Materialized closes of every symbol on every trading date (``eda.calendar_fill``)."""
+    from barspark.operators.eda import calendar_fill
+    return _memo(spark, sf_dir, "calendar", lambda: materialize(calendar_fill(fact(spark, sf_dir)), "calendar"))
+
+
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_from_nation(spark, sf_dir)
 

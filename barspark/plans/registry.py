@@ -283,21 +283,21 @@ def q_close_pivot(spark, sf):
 
 @register("calendar_fill", _feat_plus(_FILLED, f"SELECT symbol, date, {R('close')} AS close FROM filled"))
 def q_calendar_fill(spark, sf):
-    return eda.calendar_fill(_fact(spark, sf)).select("symbol", "date", round_half("close").alias("close"))
+    return P.calendar(spark, sf).select("symbol", "date", round_half("close").alias("close"))
 
 
 @register("rebased_growth", _feat_plus(_FILLED, f"""
 SELECT symbol, date, {R("close / nullif(first_value(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) * 100")} AS rebased_close
 FROM filled"""))
 def q_rebased_growth(spark, sf):
-    return eda.rebased_growth(_fact(spark, sf))
+    return eda.rebased_growth(_fact(spark, sf), P.calendar(spark, sf))
 
 
 @register("price_corr", _feat_plus(_FILLED, f"""
 SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {R('corr(a.close, b.close)')} AS corr
 FROM filled a JOIN filled b ON a.date = b.date GROUP BY a.symbol, b.symbol"""))
 def q_price_corr(spark, sf):
-    return eda.price_corr(_fact(spark, sf))
+    return eda.price_corr(_fact(spark, sf), P.calendar(spark, sf))
 
 
 @register("clipped_returns", with_features(
@@ -823,11 +823,17 @@ def q_vendor_mixed_headers(spark, sf):
         "symbol", "date", "open", "high", "low", "close", "adj_close", "volume")
 
 
-@register("suite_report")
+# The suite's reports, and one name that no report has, whose failure must not stop the others.
+_SUITE = ["perf_summary", "mom_trend", "sma_sql", "rsi_alerts", "top_volume_days", "close_pivot", "rebased_growth", "price_corr",
+          "clipped_returns", "return_box", "avg_volume_millions", "return_kde", "no_such_report"]
+
+
+@register("suite_report", " UNION ALL ".join(
+    f"SELECT '{n}' AS query_name, 'ok' AS status, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM ({REGISTRY[n][1]}) AS t"
+    if n in REGISTRY else f"SELECT '{n}', 'failed', NULL, '''{n}'''" for n in _SUITE))
 def q_suite_report(spark, sf):
     from barspark.plans.suite import run_suite
-    return run_suite(spark, sf, ["perf_summary", "mom_trend", "sma_sql", "rsi_alerts", "top_volume_days", "close_pivot",
-                                  "rebased_growth", "price_corr", "clipped_returns", "return_box", "avg_volume_millions", "return_kde"])
+    return run_suite(spark, sf, _SUITE).select("query_name", "status", "n_rows", "error")
 
 
 # ------------------------------------------------------------------ streaming

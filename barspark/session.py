@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_CLEANING = threading.Lock()
+_cleaners: dict[str, list] = {}  # session settings before the first of the writes under way, and how many there are
+
+
+@contextmanager
+def _shuffle_cleanup(spark: SparkSession):
+    """Spark's shuffle cleanup on while writes run; several threads may write at once."""
+    key = spark.sparkContext.applicationId
+    with _CLEANING:
+        state = _cleaners.setdefault(key, [None, 0])
+        if state[1] == 0:
+            state[0] = spark.conf.get(SHUFFLE_CLEANUP, None)
+            spark.conf.set(SHUFFLE_CLEANUP, "true")
+        state[1] += 1
+    try:
+        yield
+    finally:
+        with _CLEANING:
+            state[1] -= 1
+            if state[1] == 0:
+                spark.conf.unset(SHUFFLE_CLEANUP) if state[0] is None else spark.conf.set(SHUFFLE_CLEANUP, state[0])
+
+
 def stored(df: DataFrame, name: str) -> str:
     """Write ``df`` as a parquet table under the shared checkpoint folder; returns its path.
 
@@ -75,12 +100,8 @@ def stored(df: DataFrame, name: str) -> str:
     reads them again, and a lost executor does not touch the table."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with _shuffle_cleanup(spark):
         df.write.mode("overwrite").parquet(path)
-    finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return path
 
 

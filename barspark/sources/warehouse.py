@@ -64,9 +64,12 @@ def write_facts(fact: DataFrame, path: str, spread: int | None = None) -> None:
     """Replace-by-(grain, symbol) load in one transaction: only partitions present in ``fact`` change, all at once.
 
     Rows of a (grain, symbol) are dealt by year and month of ``ts`` too, so
-    a hot symbol is written by many tasks, one file each."""
+    a hot symbol is written by many tasks, one file each.  With ``from_end`` the newest bars come first in a file."""
     n = spread or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fact_table(fact.sparkSession, path).replace(fact.repartition(n, *FACT_PARTITIONS, F.date_trunc("month", F.col("ts"))))
+    rows = fact.repartition(n, *FACT_PARTITIONS, F.date_trunc("month", F.col("ts")))
+    if "from_end" in fact.columns:
+        rows = rows.sortWithinPartitions(*FACT_PARTITIONS, "from_end")
+    fact_table(fact.sparkSession, path).replace(rows)
 
 
 def load_symbol(spark: SparkSession, path: str, symbol: str, grain: str = "1d",
