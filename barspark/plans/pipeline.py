@@ -11,7 +11,6 @@ filter on it leaves all row groups and pages of older bars unread.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from barspark.operators.features import features
 from barspark.session import materialize
@@ -62,13 +61,12 @@ def run_etl(spark: SparkSession, paths: list[str] | str, warehouse: str, grain:
     """The reference's ETL as one job graph: vendor bar files of all symbols ->
     dedup, fills, features, outlier flags -> fact table replaced by (grain,
     symbol) under ``warehouse``/fact; the dimension is written to
-    ``warehouse``/dim when given.  Returns the loaded fact table."""
-    from barspark.session import materialize as _mat
-    from barspark.sources.bars import read_vendor_bars
+    ``warehouse``/dim when given.  Rows that cannot be read stand with their reasons in
+    ``warehouse``/landed_<grain> (``rejected=true``), replaced by each run.  Returns the loaded fact table."""
+    from barspark.sources.bars import split_vendor_bars
     from barspark.sources.warehouse import fact_table, require_rows, seed_dim, write_facts
-    raw = require_rows(read_vendor_bars(spark, paths, grain), "bar files")
-    bars = _mat(raw.filter(F.col("ts").isNotNull() & F.col("symbol").isNotNull()), f"etl_bars_{grain}")
-    fact_df = features(bars, grain, keep_index=True)
+    bars, _ = split_vendor_bars(spark, paths, f"{warehouse.rstrip('/')}/landed_{grain}", grain)
+    fact_df = features(require_rows(bars, "bar files"), grain, keep_index=True)
     write_facts(fact_df, f"{warehouse.rstrip('/')}/fact")
     if dim_rows is not None:
         seed_dim(spark, f"{warehouse.rstrip('/')}/dim", dim_rows)

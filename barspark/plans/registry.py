@@ -823,6 +823,37 @@ def q_vendor_mixed_headers(spark, sf):
         "symbol", "date", "open", "high", "low", "close", "adj_close", "volume")
 
 
+# Vendor rows with planted faults, by a rule on the day since 1970: unreadable dates, prices that are no numbers, no symbol.
+_PLANTED = ("(SELECT *, date_diff('day', DATE '1970-01-01', date) AS d FROM bars_1d)")
+
+
+@register("rejected_rows", with_bars(f"""
+SELECT reason, count(*) AS n_rows, count(DISTINCT d) AS n_days FROM (
+  SELECT d, unnest([CASE WHEN d % 7 = 3 THEN 'bad_stamp' END, CASE WHEN d % 11 = 5 THEN 'bad_close' END,
+    CASE WHEN d % 11 = 6 THEN 'bad_volume' END, CASE WHEN d % 13 = 2 THEN 'no_symbol' END,
+    CASE WHEN NOT (d % 7 = 3 OR d % 11 IN (5, 6) OR d % 13 = 2) THEN 'accepted' END]) AS reason
+  FROM {_PLANTED}) WHERE reason IS NOT NULL GROUP BY reason"""))
+def q_rejected_rows(spark, sf):
+    """Vendor files with unreadable rows: accepted bars and rejected rows by reason, each with its days."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.sources.bars import split_vendor_bars
+    base = f"{checkpoint_dir(spark).rstrip('/')}/vendor/faulty-{uuid.uuid4().hex[:10]}"
+    d = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    v = P.bars(spark, sf, "1d").withColumn("d", d).select(
+        F.when(F.col("d") % 7 == 3, F.concat(F.lit("day "), F.col("d").cast("string"))).otherwise(F.col("date").cast("string")).alias("Date"),
+        F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
+        F.when(F.col("d") % 11 == 5, F.lit("1.2.3")).when(F.col("d") % 11 == 7, F.lit("NaN")).otherwise(F.col("close").cast("string")).alias("Close"),
+        F.when(F.col("d") % 11 == 6, F.lit("many")).otherwise(F.col("volume").cast("string")).alias("Volume"),
+        F.when(F.col("d") % 13 != 2, F.col("symbol")).alias("Ticker"), F.col("d").alias("Dividends"))
+    v.write.option("header", True).csv(f"{base}/in")
+    bars, rejected = split_vendor_bars(spark, f"{base}/in/*.csv", f"{base}/split")
+    day = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    bad = rejected.select(F.explode("reasons").alias("reason"), F.element_at(F.split("line", ","), -1).cast("int").alias("day"))
+    return (bars.select(F.lit("accepted").alias("reason"), day.alias("day")).unionByName(bad)
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("day").alias("n_days")))
+
+
 # The suite's reports, and one name that no report has, whose failure must not stop the others.
 _SUITE = ["perf_summary", "mom_trend", "sma_sql", "rsi_alerts", "top_volume_days", "close_pivot", "rebased_growth", "price_corr",
           "clipped_returns", "return_box", "avg_volume_millions", "return_kde", "no_such_report"]
@@ -937,3 +968,26 @@ def q_stream_upsert(spark, sf):
     for _ in range(2):
         out = live.stream_upsert(_scattered(spark, bars, "bars_scattered").select(*cols), path)
     return _r(out, ["open", "high", "low", "close"]).select("grain", *cols)
+
+
+@register("stream_vendor_files", with_bars(
+    f"SELECT '1h' AS grain, symbol, ts, date, {_sr(['open', 'high', 'low'])}, CASE WHEN volume % 10 <> 3 THEN {R('close')} END AS close, "
+    f"CASE WHEN hour(ts) % 2 = 0 THEN {R('close')} END AS adj_close, volume FROM bars_1h", "1h"))
+def q_stream_vendor_files(spark, sf):
+    """Hourly vendor CSV files of two header layouts landing over several batches, and a file of unreadable rows."""
+    import uuid
+    from barspark.session import checkpoint_dir
+    from barspark.streaming import live
+    base = f"{checkpoint_dir(spark).rstrip('/')}/vendor/landing-{uuid.uuid4().hex[:10]}"
+    v = P.bars(spark, sf, "1h").select(
+        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00")).alias("Datetime"), F.col("open").alias("Open"),
+        F.col("high").alias("High"), F.col("low").alias("Low"),
+        F.when(F.col("volume") % 10 == 3, F.lit("NaN")).otherwise(F.col("close").cast("string")).alias("Close"),
+        F.col("close").alias("Adj Close"), F.col("volume").alias("Volume"), F.col("symbol").alias("Ticker"), F.hour("ts").alias("h"))
+    even = v.filter("h % 2 = 0").select("Ticker", "Adj Close", "Datetime", "Open", "High", "Low", "Close", "Volume")
+    even.repartition(8).write.option("header", True).csv(f"{base}/in/a")
+    v.filter("h % 2 = 1").drop("Adj Close", "h").repartition(8).write.option("header", True).csv(f"{base}/in/b")
+    v.filter("h = 0").select(F.lit("?").alias("Datetime"), "Open", "High", "Ticker").coalesce(1).write.option("header", True).csv(f"{base}/in/c")
+    out, _ = live.stream_vendor_files(spark, f"{base}/in/*", f"{base}/out", "1h")
+    return _r(out, ["open", "high", "low", "close", "adj_close"]).select(
+        "grain", "symbol", "ts", "date", "open", "high", "low", "close", "adj_close", "volume")

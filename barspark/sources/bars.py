@@ -147,58 +147,117 @@ def existing_paths(spark: SparkSession, paths: list[str] | str) -> tuple[list[st
     return found, missing
 
 
-def _by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """CSV files of any mix of headers as one table of texts, columns taken by name.
+def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of text files with the file each comes from."""
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
+
+
+def _by_header(lines: DataFrame) -> DataFrame:
+    """Lines of CSV files of any mix of headers as one table of texts, columns taken by name, with ``_file`` and ``_line``.
 
     A file's header is its line that names the vendor columns; files are
-    told apart by header, of which there are few (only the distinct headers reach the driver)."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
+    told apart by header, of which there are few (only the distinct headers reach the driver).
+    Lines of a file without a header have no columns."""
     names = F.array(*[F.lit(f.name) for f in VENDOR_SCHEMA.fields])
     cells = F.transform(F.split("value", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
     is_header = F.size(F.array_intersect(cells, names)) >= 3
     lines = lines.withColumn("_is_header", is_header).filter(F.length("value") > 0)
     headers = lines.filter("_is_header").groupBy("_file").agg(F.first("value").alias("_header"))
-    body = lines.filter(~F.col("_is_header")).join(headers, "_file")
-    out = None
+    body = lines.filter(~F.col("_is_header")).join(headers, "_file", "left")
+    known = {f.name: i for i, f in reversed(list(enumerate(VENDOR_SCHEMA.fields)))}
+    out = body.filter(F.col("_header").isNull()).select(
+        "_file", F.col("value").alias("_line"), F.lit(False).alias("_has_header"), *[F.lit(None).cast("string").alias(n) for n in known])
     for row in headers.select("_header").distinct().collect():
         cols = [c.strip().strip('"') for c in row["_header"].split(",")]
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(cols))])
-        part = body.filter(F.col("_header") == row["_header"]).select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")).alias("r"))
-        known = {f.name: i for i, f in reversed(list(enumerate(VENDOR_SCHEMA.fields)))}
-        part = part.select(*[F.col(f"r.c{cols.index(n)}").alias(n) if n in cols else F.lit(None).cast("string").alias(n) for n in known])
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], T.StructType([T.StructField(f.name, T.StringType()) for f in VENDOR_SCHEMA.fields]))
+        schema = ", ".join(f"c{i} string" for i in range(len(cols)))
+        part = body.filter(F.col("_header") == row["_header"]).select("_file", F.col("value").alias("_line"), F.from_csv("value", schema).alias("r"))
+        part = part.select("_file", "_line", F.lit(True).alias("_has_header"), *[
+            F.col(f"r.c{cols.index(n)}").alias(n) if n in cols else F.lit(None).cast("string").alias(n) for n in known])
+        out = out.unionByName(part)
+    return out
 
 
-def read_vendor_bars(spark: SparkSession, paths: list[str] | str, grain: str = "1d",
-                     fmt: str = "csv") -> DataFrame:
-    """Read vendor bar files of all symbols at once into the BAR layout.
+# Texts that stand for a missing number.
+MISSING = ("", "nan", "null", "none", "na", "n/a", "-nan")
 
-    Paths that match nothing are skipped (``existing_paths`` names them); none at all is an
-    error.  CSV columns are taken by each file's own header, so files with
-    different columns or orders mix (daily files carry ``Date``, intraday ones
-    ``Datetime`` with a UTC offset); absent columns are null.  Values that do not parse,
-    NaN and infinities become null and surface in the data-quality checks."""
-    found, missing = existing_paths(spark, paths)
-    if not found:
-        raise FileNotFoundError(f"no bar files at {missing}")
-    raw = _by_header(spark, found) if fmt == "csv" else spark.read.format(fmt).load(found)
-    cols = {}
+
+def parse_vendor(raw: DataFrame, grain: str) -> DataFrame:
+    """Vendor rows as BAR columns, with ``reasons``: why a row cannot be used (empty: it can).
+
+    ``no_header``: the file never names its columns; ``no_symbol``, ``bad_stamp``: missing or unreadable;
+    ``bad_<column>``: a price or volume whose text is no number.  Missing numbers and infinities are null and no reason."""
+    cols, bad = {}, []
     for f in VENDOR_SCHEMA.fields:
         c = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)
         if isinstance(f.dataType, T.StringType):
             cols[f.name] = c.cast("string")
-        else:
-            n = c.cast("string").try_cast("double")
-            n = F.when(~F.isnan(n) & (F.abs(n) != float("inf")), n)
-            cols[f.name] = F.round(n).try_cast("bigint") if isinstance(f.dataType, T.LongType) else n
+            continue
+        text = F.trim(c.cast("string"))
+        n = text.try_cast("double")
+        bad.append((f"bad_{f.name.lower().replace(' ', '_')}", n.isNull() & ~F.coalesce(F.lower(text), F.lit("")).isin(*MISSING)))
+        n = F.when(~F.isnan(n) & (F.abs(n) != float("inf")), n)
+        cols[f.name] = F.round(n).try_cast("bigint") if isinstance(f.dataType, T.LongType) else n
     stamp = F.coalesce(cols["Datetime"], cols["Date"])
     ts = F.coalesce(F.try_to_timestamp(stamp), F.try_to_timestamp(F.substring(stamp, 1, 19)))
+    headless = ~F.col("_has_header") if "_has_header" in raw.columns else F.lit(False)
+    bad = [("no_symbol", F.coalesce(F.trim(cols["Ticker"]), F.lit("")) == ""), ("bad_stamp", ts.isNull()), *bad]
+    reasons = F.when(headless, F.array(F.lit("no_header"))).otherwise(F.filter(
+        F.array(*[F.when(is_bad, F.lit(name)) for name, is_bad in bad]), lambda r: r.isNotNull()))
+    own = [c for c in ("_file", "_line") if c in raw.columns]
     return raw.select(
         cols["Ticker"].alias("symbol"), F.lit(grain).alias("grain"),
         ts.cast("timestamp_ntz").alias("ts"), F.try_to_date(F.substring(stamp, 1, 10)).alias("date"),
         cols["Open"].alias("open"), cols["High"].alias("high"), cols["Low"].alias("low"),
-        cols["Close"].alias("close"), cols["Adj Close"].alias("adj_close"), cols["Volume"].alias("volume"))
+        cols["Close"].alias("close"), cols["Adj Close"].alias("adj_close"), cols["Volume"].alias("volume"),
+        reasons.alias("reasons"), *own)
+
+
+def _raw_vendor(spark: SparkSession, paths: list[str] | str, fmt: str) -> DataFrame:
+    found, missing = existing_paths(spark, paths)
+    if not found:
+        raise FileNotFoundError(f"no bar files at {missing}")
+    if fmt == "csv":
+        return _by_header(text_lines(spark, found))
+    raw = spark.read.format(fmt).load(found)
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns])).alias("_line"))
+
+
+def read_vendor_bars(spark: SparkSession, paths: list[str] | str, grain: str = "1d",
+                     fmt: str = "csv") -> DataFrame:
+    """Read vendor bar files of all symbols at once into the BAR layout.
+
+    Paths that match nothing are skipped (``existing_paths`` names them); none at all is an
+    error.  CSV columns are taken by each file's own header, so files with
+    different columns or orders mix (daily files carry ``Date``, intraday ones
+    ``Datetime`` with a UTC offset); absent columns are null.  Values that do not parse,
+    NaN and infinities become null and surface in the data-quality checks (``split_vendor_bars`` sets
+    such rows aside instead)."""
+    parsed = parse_vendor(_raw_vendor(spark, paths, fmt), grain)
+    return parsed.filter(~F.array_contains("reasons", "no_header")).drop("reasons", "_file", "_line")
+
+
+def split_rows(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted bars and rejected rows of ``parse_vendor``, parted by one write under ``path``.
+
+    Both are folders of one table (``rejected=false`` and ``rejected=true``), so reading one never opens the other.
+    A rejected row keeps its file, its line as it stood, what could be read of it and its reasons."""
+    spark = parsed.sparkSession
+    rejected = F.size("reasons") > 0
+    rows = parsed.withColumns({"_line": F.when(rejected, F.col("_line")), "_file": F.when(rejected, F.col("_file")), "rejected": rejected})
+    rows.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    back = spark.read.schema(T.StructType([f for f in rows.schema.fields])).parquet(path)
+    bars = back.filter("NOT rejected").drop("reasons", "_file", "_line", "rejected")
+    return bars, back.filter("rejected").select(F.col("_file").alias("file"), F.col("_line").alias("line"), "reasons", "symbol", "grain", "ts")
+
+
+def split_vendor_bars(spark: SparkSession, paths: list[str] | str, path: str, grain: str = "1d", fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """``read_vendor_bars`` with quarantine: accepted bars, and the rejected rows with their reasons, both stored under ``path``."""
+    return split_rows(parse_vendor(_raw_vendor(spark, paths, fmt), grain), path)
+
+
+def reject_counts(rejected: DataFrame) -> DataFrame:
+    """Rejected rows by reason (a row with two reasons counts for both)."""
+    return rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def missing_symbols(loaded: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -207,19 +207,20 @@ def stream_alerts(features: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def upsert_stream(rows: DataFrame, path: str, keys: list[str], partitions: list[str], mode: str = "append",
-                  order: list[str] | None = None) -> DataFrame:
+                  order: list[str] | None = None, prepare=None) -> DataFrame:
     """Merge every micro-batch of a stream into a versioned folder, one transaction each: of each key the newest batch's
     row stays, within a batch the one with the largest ``order`` columns.
 
     ``partitions`` are columns of ``rows`` that the keys determine; a batch rewrites only the
-    partitions that it touches.  The folder knows the stream's last epoch, so a batch that runs again is left out."""
+    partitions that it touches.  The folder knows the stream's last epoch, so a batch that runs again is left out.
+    ``prepare(batch, epoch)`` makes a batch's rows where a plan over one batch is needed."""
     from barspark.sources.versions import VersionedTable
     spark = rows.sparkSession
     out, ck = _paths(spark, "upsert")
     target = VersionedTable(spark, path, partitions)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()  # read for its partitions, its keys and its rows
+        batch = (prepare(batch, epoch) if prepare else batch).persist()  # read for its partitions, its keys and its rows
         try:
             if not batch.isEmpty():
                 VersionedTable(batch.sparkSession, path, partitions).merge(batch, keys, order, (out, epoch))
@@ -241,3 +242,22 @@ def stream_upsert(bars: DataFrame, path: str, grain: str = "1h", order: list[str
 def file_stream(spark: SparkSession, like: DataFrame, path: str, files_per_trigger: int = 4) -> DataFrame:
     """A parquet folder (e.g. a materialized table) read as a stream."""
     return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+
+
+def stream_vendor_files(spark: SparkSession, files: str, path: str, grain: str = "1m", files_per_trigger: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Vendor CSV files as they land, merged into the fact folder ``path``/bars; also the rejected rows.
+
+    A micro-batch holds whole files, each read by its own header as ``read_vendor_bars`` does; of a bar that
+    lands again the newest batch's row stays.  Rejected rows go to ``path``/landed, one folder per epoch, which
+    a batch that runs again writes anew."""
+    from barspark.sources.bars import _by_header, parse_vendor, split_rows
+    lines = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(files)
+             .select("value", F.col("_metadata.file_path").alias("_file")))
+    base = path.rstrip("/")
+
+    def prepare(batch: DataFrame, epoch: int) -> DataFrame:
+        bars, _ = split_rows(parse_vendor(_by_header(batch), grain), f"{base}/landed/epoch={epoch}")
+        return bars.withColumn("month", month_of(F.col("ts")))
+    out = upsert_stream(lines, f"{base}/bars", ["grain", "symbol", "ts"], ["grain", "month"], prepare=prepare)
+    landed = spark.read.parquet(f"{base}/landed").filter(F.col("rejected").cast("string") == "true")
+    return out.drop("month"), landed.select(F.col("_file").alias("file"), F.col("_line").alias("line"), "reasons", "symbol", "ts")

@@ -135,3 +135,41 @@ def test_run_etl_from_vendor_files(spark, tmp_path):
     assert j.count() == want.count()
     assert j.filter(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
     assert spark.read.parquet(f"{wh}/dim").count() == P.dim(spark, SF_SMALL).count()
+
+
+def test_quarantine_names_every_reason(spark, tmp_path):
+    from barspark.sources.bars import read_vendor_bars, reject_counts, split_vendor_bars
+    a = ["Date,Open,High,Low,Close,Volume,Ticker", "2024-01-02,1,2,0.5,1.5,10,AAA", "2024-01-03,nan,2,,inf,10,AAA", "soon,1,2,0.5,1.5,10,AAA",
+         "2024-01-04,1,2,0.5,1.5.2,lots,AAA", "2024-01-05,1,2,0.5,1.5,10,", ",1,2,0.5,x,10, "]
+    (tmp_path / "a.csv").write_text("\n".join(a) + "\n")
+    (tmp_path / "b.csv").write_text("2024-01-02,1,2,0.5,1.5,10,BBB\n")
+    bars, rejected = split_vendor_bars(spark, str(tmp_path / "*.csv"), str(tmp_path / "out"))
+    got = {(r.symbol, str(r.date)): (r.open, r.low, r.close) for r in bars.collect()}
+    assert got == {("AAA", "2024-01-02"): (1.0, 0.5, 1.5), ("AAA", "2024-01-03"): (None, None, None)}
+    assert {r.line: (r.reasons, r.file.rsplit("/", 1)[1]) for r in rejected.collect()} == {
+        a[3]: (["bad_stamp"], "a.csv"), a[4]: (["bad_close", "bad_volume"], "a.csv"), a[5]: (["no_symbol"], "a.csv"),
+        a[6]: (["no_symbol", "bad_stamp", "bad_close"], "a.csv"), "2024-01-02,1,2,0.5,1.5,10,BBB": (["no_header"], "b.csv")}
+    assert {r.reason: r.n_rows for r in reject_counts(rejected).collect()} == {
+        "bad_stamp": 2, "bad_close": 2, "bad_volume": 1, "no_symbol": 2, "no_header": 1}
+    assert read_vendor_bars(spark, str(tmp_path / "*.csv")).count() == 6  # all rows of files that name their columns
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "c.csv").write_text(a[0] + "\n" + a[1] + "\n")
+    bars, rejected = split_vendor_bars(spark, str(tmp_path / "c" / "*.csv"), str(tmp_path / "clean"))
+    assert (bars.count(), rejected.count(), reject_counts(rejected).count()) == (1, 0, 0)
+
+
+def test_landing_files_over_batches_give_the_batch_result(spark, tmp_path):
+    from barspark.sources.bars import read_vendor_bars
+    from barspark.streaming.live import stream_vendor_files
+    land = tmp_path / "land"
+    land.mkdir()
+    for i in range(5):
+        head = "Datetime,Open,Close,Ticker" if i % 2 else "Ticker,Close,Datetime,Volume"
+        line = (lambda m, i=i: f"2024-01-0{i + 1} 10:{m:02d}:00+00:00,1,{m},S" if i % 2 else f"S,{m},2024-01-0{i + 1} 10:{m:02d}:00+00:00,{m}")
+        (land / f"{i}.csv").write_text("\n".join([head, *[line(m) for m in range(20)]]) + "\n")
+    (land / "bad.csv").write_text("Ticker,Close,Datetime\nS,1,whenever\n")
+    out, rejected = stream_vendor_files(spark, f"{land}/*.csv", str(tmp_path / "out"), "1m", files_per_trigger=2)
+    cols = ["symbol", "ts", "open", "close", "volume"]
+    want = read_vendor_bars(spark, f"{land}/*.csv", "1m").filter("ts IS NOT NULL").select(*cols)
+    assert sorted(map(tuple, out.select(*cols).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert out.count() == 100 and [(r.line, r.reasons) for r in rejected.collect()] == [("S,1,whenever", ["bad_stamp"])]
