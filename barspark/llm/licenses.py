@@ -1,14 +1,15 @@
 """License scans: known phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text, or a run of its words across line breaks, a
-quarter longer than the template (so a wrapped notice is found however its
-lines are cut, a few words of comment marks included).  It matches a template
+A block is a run of a text's words, a quarter longer than the template (so a
+notice is found however its lines are cut, a few words of comment marks
+included, and words scattered over a long line are none).  It matches a template
 if it contains at least ``containment`` of the template's distinct words.  Words are ordered by
 their frequency in the corpus, rarest first; a block that meets the
 threshold must hold one of the template's first ``|T| - needed + 1`` words
-(prefix filter), must have enough words (length filter) and, at the word
-that brought the two together, enough words must remain in both orders
-(positional filter).  What is left is verified by intersection.
+(prefix filter), must have enough words (length filter) and, as it is found
+by the rarest word that it shares with the template, enough of the words
+behind that one in the order (positional filter).  What is left is verified
+by intersection.
 Everything is DataFrame functions; templates and their words are a bounded
 list of parameters.
 
@@ -87,9 +88,10 @@ def word_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
 
 
 def match_blocks(docs: DataFrame, templates=TEMPLATES, containment: float = 0.9) -> DataFrame:
-    """``(doc_id, th, text)`` -> one row per block and template that match: doc_id, th, block, template, label, containment.
+    """``(doc_id, th, text)`` -> doc_id, th, block, template, label, containment of the blocks that match.
 
-    ``block`` is the line's number, or for a run of words (-1 less) the place of the template word that it was found by.
+    ``block`` is the place of the template word that the run was found by;
+    the containment is that of the best run around it.
     """
     sets = [sorted(set(t.split())) for _, t in templates]
     vocabulary = sorted(set().union(*map(set, sets)))
@@ -100,47 +102,24 @@ def match_blocks(docs: DataFrame, templates=TEMPLATES, containment: float = 0.9)
         order = sorted(sets[i], key=rank.get)
         needed = -(-len(order) * round(containment * 1000) // 1000)
         for j, w in enumerate(order[: len(order) - needed + 1]):
-            index.append((w, i, label, j, len(order), needed, order, lengths[i]))
-    prefix = sorted({r[0] for r in index})
-    spark = docs.sparkSession
-    index = spark.createDataFrame(index, "w string, template int, label string, j int, size int, needed int, tokens array<string>, length int")
-    ranks = F.create_map(*[x for w, r in rank.items() for x in (F.lit(w), F.lit(r))])
-    b = docs.select("doc_id", "th", F.posexplode(F.split(lower_ascii(F.col("text")), "\n", -1)).alias("block", "line"))
-    b = b.where(may_hold(F.col("line"), prefix))
-    b = b.withColumn("all", F.array_distinct(block_words(F.col("line")))).drop("line")
-    known = F.array_sort(F.transform(F.filter("all", lambda x: x.isin(vocabulary)), lambda x: F.struct(ranks[x].alias("r"), x.alias("w"))))
-    b = b.select("doc_id", "th", "block", F.size("all").alias("n"), known.alias("known"))
-    b = b.where(F.exists("known", lambda x: x["w"].isin(prefix)))
-    c = b.select("*", F.posexplode("known").alias("i", "x")).withColumn("w", F.col("x.w")).where(F.col("w").isin(prefix))
-    c = c.join(index, "w").where((F.col("n") >= F.col("needed"))
-                                 & (F.least(F.size("known") - F.col("i"), F.col("size") - F.col("j")) >= F.col("needed")))
-    both = F.size(F.array_intersect(F.transform("known", lambda x: x["w"]), "tokens"))
-    c = c.withColumn("both", both).where("both >= needed")
-    c = c.unionByName(_runs(docs, index, prefix, max(lengths, default=1)), allowMissingColumns=True)
-    return c.select("doc_id", "th", "block", "template", "label", (F.col("both") / F.col("size")).alias("containment")).distinct()
-
-
-def _runs(docs: DataFrame, index: DataFrame, prefix: list[str], longest: int) -> DataFrame:
-    """Runs of words across line breaks that match: around each prefix word, the best run of the template's length.
-
-    A run that meets the threshold holds one of the template's prefix words,
-    as a line does; the words around it must hold enough of the template
-    before the runs among them are compared.
-    """
-    low = lower_ascii(F.col("text"))
-    w = docs.where(F.col("text").contains("\n")).select("doc_id", "th", low.alias("low")).where(may_hold(F.col("low"), prefix))
+            index.append((w, i, label, len(order), needed, order[j:], order, lengths[i]))
+    prefix, longest = sorted({r[0] for r in index}), max(lengths, default=1)
+    index = docs.sparkSession.createDataFrame(index, "w string, template int, label string, size int, needed int, "
+                                                     "rest array<string>, tokens array<string>, length int")
+    w = docs.select("doc_id", "th", lower_ascii(F.col("text")).alias("low")).where(may_hold(F.col("low"), prefix))
     w = w.select("doc_id", "th", block_words(F.col("low")).alias("words"))
     near = let(F.col("words"), lambda x: F.filter(F.transform(x, lambda y, i: F.when(y.isin(prefix), F.struct(
         i.alias("at"), y.alias("w"), F.least(i, F.lit(longest - 1)).alias("here"),
         F.slice(x, F.greatest(F.lit(1), i - longest + 2), F.lit(2 * longest - 1)
                 - F.greatest(F.lit(0), F.lit(longest - 1) - i)).alias("around")))), lambda y: y.isNotNull()))
     r = w.select("doc_id", "th", F.explode(near).alias("x")).select("doc_id", "th", "x.*").join(index, "w")
-    r = r.where(F.size(F.array_intersect("around", "tokens")) >= F.col("needed"))
+    r = r.where(F.size("around") >= F.col("needed"))
+    r = r.where(F.size(F.array_intersect("around", "rest")) >= F.col("needed"))
     first = F.greatest(F.lit(0), F.col("here") - F.col("length") + 1)
     best = F.array_max(F.transform(F.sequence(first, F.col("here")), lambda s: F.size(
         F.array_intersect(F.slice("around", s + 1, F.col("length")), "tokens"))))
     r = r.withColumn("both", best).where("both >= needed")
-    return r.select("doc_id", "th", (-1 - F.col("at")).alias("block"), "template", "label", "size", "both")
+    return r.select("doc_id", "th", F.col("at").alias("block"), "template", "label", (F.col("both") / F.col("size")).alias("containment"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,

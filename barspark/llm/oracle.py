@@ -68,9 +68,11 @@ phrase AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {_PHRASES}) AS v
 place AS (SELECT r, label, i - 1 AS pos FROM w, unnest(range(1, len(w) + 1)) AS u(i), phrase
           WHERE contains(t, 'license') AND w[i] = p[1] AND w[i:i + len(p) - 1] = p),
 base AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word FROM place GROUP BY r),
-tem AS (SELECT label, list_distinct(string_split(s, ' ')) AS s FROM (VALUES {_TEMPLATES}) AS v(label, s)),
-line AS (SELECT r, list_distinct(regexp_extract_all(x, {_WORD})) AS b FROM d, unnest(string_split(t, chr(10))) AS u(x)),
-hit AS (SELECT r, label, len(list_intersect(b, s)) / len(s) AS c FROM line, tem WHERE 10 * len(list_intersect(b, s)) >= 9 * len(s)),
+tem AS (SELECT label, list_distinct(string_split(s, ' ')) AS s, len(string_split(s, ' ')) * 5 // 4 AS n FROM (VALUES {_TEMPLATES}) AS v(label, s)),
+may AS (SELECT r, w, label, s, n FROM w, tem WHERE 10 * len(list_intersect(list_distinct(w), s)) >= 9 * len(s)),
+run AS (SELECT r, label, len(list_intersect(list_distinct(w[i:i + n - 1]), s)) AS n_both, len(s) AS size
+        FROM may, unnest(range(1, len(w) + 1)) AS u(i) WHERE list_contains(s, w[i])),
+hit AS (SELECT r, label, n_both / size AS c FROM run WHERE 10 * n_both >= 9 * size),
 own AS (SELECT r, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT r, label FROM place) GROUP BY r),
 every AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM place UNION SELECT r, label FROM hit) GROUP BY r),
 best AS (SELECT r, max(c) AS score FROM hit GROUP BY r)
@@ -98,10 +100,19 @@ ref AS (SELECT lang, list(chars) AS cs, list(commons) AS ws FROM f WHERE NOT bas
 mean AS (SELECT lang,
     list_transform(range(1, {len(CLASSES) + 2}), lambda i: list_avg(list_transform(cs, lambda c: c[i] / list_sum(c)))) AS rc,
     list_transform(range(1, {len(COMMON_WORDS) + 2}), lambda i: list_avg(list_transform(ws, lambda c: c[i] / list_sum(c)))) AS rw FROM ref),
-j AS (SELECT f.*, {_distance('chars', 'rc')} AS cd, {_distance('commons', 'rw')} AS wd FROM f LEFT JOIN mean ON f.lang IS NOT DISTINCT FROM mean.lang)
+j AS (SELECT f.*, {_distance('chars', 'rc')} AS cd, {_distance('commons', 'rw')} AS wd FROM f LEFT JOIN mean ON f.lang IS NOT DISTINCT FROM mean.lang),
+own AS (SELECT lang, cd, wd FROM j WHERE NOT base_failed AND 100 * n_symbols <= 5 * word_chars AND n >= 200),
+near AS (SELECT lang, k, CAST(ceil(d * 10000) AS BIGINT) AS step, row_number() OVER (PARTITION BY lang, k ORDER BY d) AS place,
+                count(*) OVER (PARTITION BY lang, k) AS n
+         FROM (SELECT lang, 'c' AS k, cd AS d FROM own UNION ALL SELECT lang, 'w', wd FROM own)),
+lim AS (SELECT lang, CAST(min(step) FILTER (k = 'c') AS DOUBLE) / 10000 AS c, CAST(min(step) FILTER (k = 'w') AS DOUBLE) / 10000 AS w
+        FROM near WHERE 100 * place >= 90 * (n + 1) GROUP BY lang),
+held AS (SELECT j.*, coalesce(least(0.33::DOUBLE, greatest(0.1::DOUBLE, 4.0::DOUBLE * lim.c)), 0.33::DOUBLE) AS cl,
+                coalesce(least(0.75::DOUBLE, greatest(0.2::DOUBLE, 1.6::DOUBLE * lim.w)), 0.75::DOUBLE) AS wl
+         FROM j LEFT JOIN lim ON j.lang IS NOT DISTINCT FROM lim.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (n >= 200 AND (coalesce(cd, 0) > 0.33 OR coalesce(wd, 0) > 0.75)) AS kept,
-       round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM j"""
+       NOT base_failed AND NOT (n >= 200 AND (coalesce(cd, 0) > cl OR coalesce(wd, 0) > wl)) AS kept,
+       round(cd, 6) AS char_distance, round(wd, 6) AS word_distance, round(cl, 6) AS char_limit, round(wl, 6) AS word_limit FROM held"""
 
 OP9 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -15,8 +15,9 @@ Edge cases: a null or empty text has no words and fails the base length
 rule.  A null language is a language of its own.  Repeated rows are judged
 one by one and count twice in the reference.  If no document of a language
 passes the base rules there is no reference and the distances are null:
-the method then rejects nothing.  A language of few long reference documents
-takes the fixed limits, which are the widest ones for all.  Columns other than the three read are
+the method then rejects nothing.  The widest limits stand behind the last
+reference document as one more, so a language of few long reference documents
+has them by the same rule as all.  Columns other than the three read are
 dropped by ``judge`` and kept by ``keep``.
 """
 
@@ -107,13 +108,14 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def language_limits(distances: DataFrame, max_char_distance: float, max_word_distance: float, least_char_distance: float = 0.1,
-                    least_word_distance: float = 0.2, tail: float = 0.9, char_factor: float = 4.0, word_factor: float = 1.6,
-                    least_references: int = 10) -> DataFrame:
+                    least_word_distance: float = 0.2, tail_pct: int = 90, char_factor: float = 4.0,
+                    word_factor: float = 1.6) -> DataFrame:
     """``(lang, char_distance, word_distance)`` of reference documents -> limit_lang, char_limit, word_limit per language.
 
     A limit is ``factor`` times the smallest distance (in steps of 1/10,000)
-    that a share ``tail`` of the documents does not exceed, held between
-    ``least`` and ``max``.  The counts per step are exact and add up over
+    that ``tail_pct`` in 100 of the documents and one more, which lies beyond
+    all, do not exceed, held between ``least`` and ``max`` (``max`` if only
+    that one more is left).  The counts per step are exact and add up over
     tasks; a language has 10,001 steps at most.
     """
     step = lambda c: F.ceil(F.col(c) * 10000).cast("long")
@@ -122,7 +124,7 @@ def language_limits(distances: DataFrame, max_char_distance: float, max_word_dis
     counts = bins.select("lang", "b.k", "b.step").groupBy("lang", "k", "step").agg(F.count(F.lit(1)).alias("n"))
     key = Window.partitionBy("lang", "k")
     counts = counts.withColumns({"upto": F.sum("n").over(key.orderBy("step")), "all": F.sum("n").over(key)})
-    at = counts.where((F.col("all") >= least_references) & (F.col("upto") >= tail * F.col("all"))).groupBy("lang").agg(*[
+    at = counts.where(100 * F.col("upto") >= tail_pct * (F.col("all") + 1)).groupBy("lang").agg(*[
         (F.min(F.when(F.col("k") == k, F.col("step"))) / 10000).alias(k) for k in ("char", "word")])
     held = lambda d, low, high: F.least(F.lit(high), F.greatest(F.lit(low), d))
     return at.select(F.col("lang").alias("limit_lang"),

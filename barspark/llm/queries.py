@@ -71,17 +71,9 @@ def op5_sentencepiece(spark, sf_dir, model: str = MODEL):
 
 @register("op6_quality", oracle.OP6)
 def op6_quality(spark, sf_dir):
-    j = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), own_limits=False)  # as its SQL twin states them
-    return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                    "kept", F.round("char_distance", 6).alias("char_distance"),
-                    F.round("word_distance", 6).alias("word_distance"))
-
-
-@register("op6_quality_own_limits")
-def op6_quality_own_limits(spark, sf_dir):
     j = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
-    return j.select("doc_id", "lang", "n_words", "base_failed", "kept", *[
-        F.round(c, 6).alias(c) for c in ("char_distance", "char_limit", "word_distance", "word_limit")])
+    return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *[
+        F.round(c, 6).alias(c) for c in ("char_distance", "word_distance", "char_limit", "word_limit")])
 
 
 @register("op7_mixing")
