@@ -9,14 +9,16 @@ and weighs ``log10 (kappa / (c(v) + kappa))``.  Weights come from counts::
     p(w | v)  = (c(v w) + kappa * p(w | v')) / (c(v) + kappa)
 
 with v' the context less its first word, so that probabilities of all
-words sum to one in every state.  A text is read once from left to right;
-the first word's context is the start of text, the last token is the end.
+words sum to one in every state.  A text is read once from left to right:
+the state is carried from word to word, failure arcs are followed until the
+state has an arc for the word, and the weights on the way add up.
+The first word's context is the start of text, the last token is the end.
 
 No task holds the model.  Documents are dealt into chunks; a chunk lists the
 n-grams that it needs (once each, with its own training counts), the lists
 meet the other chunks' lists by hash, and the summed counts return to
-the chunk in the list's own order, which carries the part of the automaton
-that its texts can reach.  Lists travel as blocks of sorted 64-bit hashes.
+the chunk in the list's own order.  From them the chunk builds the part of
+the automaton that its texts can reach, for a stretch of texts at a time.  Lists travel as blocks of sorted 64-bit hashes.
 
 Edge cases: a null or empty text is the end token alone; a null doc_id is a
 training document; with no training documents N and V are 0 and every
@@ -37,7 +39,7 @@ from barspark.llm.tokens import hash_words, mix, split
 _U = np.uint64
 ORDER, KAPPA = 2, 50.0
 CHUNK_WORDS = 1_500_000
-PIECE = 400_000
+STRETCH = 200_000
 END = 0x5EED00E4D0000001
 START = 0x5EED005A870000FF
 
@@ -178,6 +180,82 @@ def _answer(table: pa.Table) -> pa.Table:
                      "sums": pa.array([_planes(back[b - len(x): b]) for b, x in zip(ends, lists)], pa.binary())})
 
 
+class Automaton:
+    """States, arcs and failure arcs of the n-grams that a stretch of texts can reach.
+
+    ``place`` names the n-gram that ends at each token, one row per order;
+    ``count`` gives an n-gram's training count; ``begin`` marks the first
+    token of a text.  State 0 is the empty context, 1 to ``order - 1`` are
+    as many starts of text, the others are n-grams seen in training.
+    """
+
+    def __init__(self, place: np.ndarray, count: np.ndarray, begin: np.ndarray, docs_trained: float, kappa: float,
+                 n_train: int, v: int):
+        order = len(place)
+        self.start = order - 1
+        fail, weight = [np.arange(-1, order - 1)], [np.full(order, math.log10(kappa / (docs_trained + kappa)))]
+        sources, words, targets, weights = [], [], [], []
+        n_states, shorter_p, shorter_state = order, None, None
+        for k in range(order):  # n-grams of k + 1 words, each once
+            gram, at, every = np.unique(place[k], return_index=True, return_inverse=True)
+            c = count[gram]
+            if k == 0:
+                word, self.words = every, len(gram)
+                p = (c + 1) / (n_train + v + 1)
+                source = fall = np.zeros(len(gram), np.int64)
+            else:
+                first = begin[at]
+                context = np.where(first, docs_trained, count[place[k - 1][at - 1]])
+                p = (c + kappa * shorter_p[at]) / (context + kappa)
+                source, fall = np.where(first, k, shorter_state[at - 1]), shorter_state[at]
+            seen = c > 0
+            target = fall
+            if k < order - 1:  # a context of the next order: a state of its own
+                target = fall.copy()
+                target[seen] = n_states + np.arange(seen.sum())
+                n_states += int(seen.sum())
+                fail.append(fall[seen])
+                weight.append(np.log10(kappa / (c[seen] + kappa)))
+            sources.append(source[seen])
+            words.append(word[at][seen])
+            targets.append(target[seen])
+            weights.append(np.log10(p[seen]))
+            shorter_p, shorter_state = p[every], target[every]
+        self.word = word
+        self.fail, self.fail_weight = np.concatenate(fail).tolist(), np.concatenate(weight).tolist()
+        keys = np.concatenate(sources) * self.words + np.concatenate(words)
+        self.arcs = dict(zip(keys.tolist(), zip(np.concatenate(weights).tolist(), np.concatenate(targets).tolist())))
+        self.unknown = math.log10(1 / (n_train + v + 1))  # the empty context reads every word
+
+    def read(self, first: int, end: int) -> float:
+        """Log-probability of the text that holds the tokens ``first`` to ``end``."""
+        arcs, fail, fail_weight, n = self.arcs, self.fail, self.fail_weight, self.words
+        state, total = self.start, 0.0
+        for w in self.word[first:end].tolist():
+            arc = arcs.get(state * n + w)
+            while arc is None and state:
+                total += fail_weight[state]
+                state = fail[state]
+                arc = arcs.get(state * n + w)
+            if arc is None:
+                total += self.unknown
+            else:
+                total += arc[0]
+                state = arc[1]
+        return total
+
+
+def _stretches(n: np.ndarray, most: int):
+    """Cut texts of ``n`` tokens into stretches of about ``most`` tokens: (first, end) texts."""
+    first, size = 0, 0
+    for i, x in enumerate(n.tolist()):
+        if size and size + x > most:
+            yield first, i
+            first, size = i, 0
+        size += x
+    yield first, len(n)
+
+
 def _traverse(order: int, parts: int, kappa: float, n_train: int, v: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -189,18 +267,21 @@ def _traverse(order: int, parts: int, kappa: float, n_train: int, v: int):
         by = {p: _from_planes(b) for p, b in zip(replies.column("part").to_pylist(), replies.column("sums").to_pylist())}
         for p, a, b in _blocks(u[o], parts):
             c[o[a:b]] = by[int(p)]
-        count = c[place]  # per order, of the n-gram that ends at each token
+        del u, o, by
         starts = np.cumsum(n) - n
         docs_trained = c[place[0][starts[0] + n[0] - 1]]  # the end token occurs once a training document
-        uni = (count[0] + 1) / (n_train + v + 1)
-        base, p = np.log10(uni), uni
-        for k in range(1, order):
-            context = np.concatenate([[0.0], count[k - 1][:-1]])
-            context[starts] = docs_trained  # a history of starts only, at any order
-            p = (count[k] + kappa * p) / (context + kappa)
+        count = c[place[0]]
+        base = np.log10((count + 1) / (n_train + v + 1))
+        begin = np.zeros(len(count), bool)
+        begin[starts] = True
+        scores = []
+        for i, j in _stretches(n, STRETCH):
+            a, b = starts[i], starts[j - 1] + n[j - 1]
+            m = Automaton(place[:, a:b], c, begin[a:b], docs_trained, kappa, n_train, v)
+            scores += [m.read(x - a, x - a + y) for x, y in zip(starts[i:j].tolist(), n[i:j].tolist())]
         return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n),
-                         "n_known": pa.array(np.add.reduceat((count[0] > 0).astype(np.int64), starts)),
-                         "base_score": pa.array(np.add.reduceat(base, starts)), "score": pa.array(np.add.reduceat(np.log10(p), starts))})
+                         "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
+                         "base_score": pa.array(np.add.reduceat(base, starts)), "score": pa.array(scores, pa.float64())})
     return run
 
 

@@ -7,6 +7,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,22 @@ def test_quality_rejects_menu_lines_and_a_wrong_language(docs_of):
     assert sorted(x.doc_id for x in quality.keep(docs_of(r)).collect()) == list(range(80))
 
 
+def test_quality_limits_against_sorted_distances(spark):
+    import random
+    g = random.Random(2)
+    d = {lang: [(g.random() * 0.3, g.random() * 0.6) for _ in range(n)] for lang, n in (("en", 200), ("de", 9), ("fr", 8), (None, 1))}
+    df = spark.createDataFrame([(lang, *x) for lang, xs in d.items() for x in xs], "lang string, char_distance double, word_distance double")
+    got = {x.limit_lang: (x.char_limit, x.word_limit) for x in quality.language_limits(df, 0.33, 0.75).collect()}
+
+    def limit(xs, factor, low, high):
+        at = -(-90 * (len(xs) + 1) // 100)  # the place of the tail among the documents and one beyond all
+        return min(high, max(low, factor * math.ceil(sorted(xs)[at - 1] * 10000) / 10000)) if at <= len(xs) else high
+
+    for lang, xs in d.items():
+        c, w = limit([x for x, _ in xs], 4.0, 0.1, 0.33), limit([x for _, x in xs], 1.6, 0.2, 0.75)
+        assert got.get(lang, (0.33, 0.75)) == pytest.approx((c, w)), lang
+
+
 def test_quality_keep_judges_rows_of_one_id_by_their_text(docs_of):
     good = " ".join(f"word{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(80))
     kept = quality.keep(docs_of([(1, good), (1, "short"), (None, good), (None, None)])).select("doc_id", "text").collect()
@@ -382,6 +399,52 @@ def test_lm_higher_order_helps_on_seen_text(docs_of):
     assert three > two
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_states_and_failure_arcs(spark, docs_of, order):
+    """The automaton's own arcs: each state's arc weights and its failure weight come to one over all words."""
+    texts = ["a b a c a b", "b a", "c c b a", "a b a c", "zz a b zz"]
+    tok, n = lm._tokens(texts)
+    u, place = np.unique(np.concatenate(lm.grams(tok, n, order)), return_inverse=True)
+    place = place.reshape(order, -1)
+    trained = np.repeat(np.arange(len(texts)) < 4, n)
+    count = np.bincount(place[:, trained].ravel(), minlength=len(u)).astype(float)
+    begin = np.zeros(len(tok), bool)
+    begin[np.cumsum(n) - n] = True
+    total, words = int(trained.sum()), len(np.unique(place[0][trained]))
+    m = lm.Automaton(place, count, begin, 4.0, 5.0, total, words)
+    assert all(m.fail[s] < s for s in range(1, len(m.fail)))  # shorter contexts come first, so the way down ends
+
+    def prob(state, w):
+        arc = m.arcs.get(state * m.words + w)
+        if arc is not None:
+            return 10 ** arc[0]
+        return 10 ** m.fail_weight[state] * prob(m.fail[state], w) if state else 10 ** m.unknown
+
+    assert sum(w in m.arcs for w in range(m.words)) == words  # the root has an arc for every trained word, "zz" has none
+    ended = {state for key, (_, state) in m.arcs.items() if key % m.words == m.word[-1]} - {0}  # nothing follows the end
+    for state in set(range(len(m.fail))) - ended:
+        assert sum(prob(state, w) for w in range(m.words)) == pytest.approx(1.0), state
+
+
+def test_lm_without_training_documents_nulls_and_repeated_rows(docs_of):
+    held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2][:3]
+    none = lm.score(docs_of([(i, t) for i, t in zip(held, ["a b", None, ""])])).collect()
+    assert sorted((x.n_tokens, x.n_known, x.train_tokens, x.score) for x in none) == [(1, 0, 0, 0.0), (1, 0, 0, 0.0), (3, 0, 0, 0.0)]
+    r = [(None, "a b"), (None, "a b"), (held[0], "a b"), (held[0], "a b")]
+    got = lm.score(docs_of(r)).collect()
+    want = brute_lm(r)
+    assert sorted((x.held_out, x.n_known, x.train_tokens, round(x.score, 9)) for x in got) == sorted(
+        (h, k, n, round(s, 9)) for _, h, _, k, n, _, s in want)
+
+
+def test_lm_stretches_do_not_change_scores(docs_of):
+    r = rows()
+    whole = {x.doc_id: x.score for x in lm.score(docs_of(r)).collect()}
+    assert list(lm._stretches(np.array([5, 3, 9, 1]), 6)) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    cut = {x.doc_id: x.score for x in lm.score(docs_of(r), chunk_words=50).collect()}
+    assert cut.keys() == whole.keys() and all(cut[i] == pytest.approx(x) for i, x in whole.items())
+
+
 # ---------------------------------------------------------------- 4 licenses
 
 def test_licenses(docs_of):
@@ -399,12 +462,12 @@ def test_licenses(docs_of):
         w = pat.findall(t)
         at = sorted((j, lab) for p, lab in licenses.PHRASES.items() for j in range(len(w)) if w[j:j + len(p.split())] == p.split())
         own, more, best = {lab for _, lab in at}, set(), 0.0
-        for line in t.split("\n"):
-            for lab, text in licenses.TEMPLATES:
-                c = len(set(pat.findall(line)) & set(text.split())) / len(set(text.split()))
-                if c >= 0.9:
-                    more.add(lab)
-                    best = max(best, c)
+        for lab, text in licenses.TEMPLATES:
+            tokens, n = set(text.split()), len(text.split()) * 5 // 4
+            c = max((len(set(w[j:j + n]) & tokens) / len(tokens) for j in range(len(w))), default=0)
+            if c >= 0.9:
+                more.add(lab)
+                best = max(best, c)
         want.append((i, len(w), len(at), at[0][0] if at else None, at[-1][0] if at else None, ",".join(sorted(own)),
                      ",".join(sorted(own | more)), round(best, 9)))
     assert got == sorted(want, key=str)
@@ -427,6 +490,13 @@ def test_licenses_wrapped_over_lines(docs_of):
         assert (x.labels, x.score >= 0.9) == (label.get(x.doc_id, ""), x.doc_id in label), x
 
 
+def test_licenses_scattered_over_one_long_line(docs_of):
+    apart = " ".join(" ".join(["x"] * 300) + " " + w for w in licenses.TEMPLATES[3][1].split())
+    close = "x " * 5000 + licenses.TEMPLATES[3][1] + " y" * 5000
+    got = {x.doc_id: (x.labels, x.score) for x in licenses.scan(docs_of([(1, apart), (2, close)])).collect()}
+    assert got == {1: ("", 0.0), 2: ("apache", 1.0)}
+
+
 # ---------------------------------------------------------------- 1 URL lists
 
 def test_url_lists_as_of_fetch_time(spark):
