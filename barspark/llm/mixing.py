@@ -23,6 +23,12 @@ from pyspark.sql import functions as F
 from barspark.llm.common import let, materialize, ordered_index, word_count
 
 
+def symbol_prior(text: Column, weight: float = 40.0) -> Column:
+    """Prior log-odds of a document: ``weight`` times the share of symbols among its characters, below 0; null or empty: 0."""
+    t = F.coalesce(text, F.lit(""))
+    return -F.lit(weight) * (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))) / F.greatest(F.length(t), F.lit(1))
+
+
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
                    cap: float = 2.0) -> DataFrame:
     """``(source, source_size)`` -> the same rows with ``target``.
@@ -81,11 +87,11 @@ def _round(due: Column, size: Column, rows: Column, cap: float) -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0,
-        prior: str | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        prior: Column | str | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         group_rows: int = 2_000) -> DataFrame:
     """One row per document: size, source_size, target, rate, copies and taken (copies * size).
 
-    ``prior`` names a column with a document's prior log-odds (null: 0, kept
+    ``prior`` is a column (or the name of one) with a document's prior log-odds (null: 0, kept
     within -4 and 4, rounded to sixteenths); without it all documents of a
     source get one rate.  Rounding goes through a source's documents from the
     largest to the smallest: each gets the whole copies nearest to what its
@@ -95,7 +101,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     source spreads over tasks and a part's documents fit one row.
     """
     p = F.lit(0.0) if prior is None else F.round(F.greatest(F.lit(-4.0), F.least(F.lit(4.0), F.coalesce(
-        F.col(prior).cast("double"), F.lit(0.0)))) * 16) / 16
+        (F.col(prior) if isinstance(prior, str) else prior).cast("double"), F.lit(0.0)))) * 16) / 16
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
                     p.alias("prior"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("tie"))
     # rows that are equal in all of these are one entry with a count

@@ -78,8 +78,8 @@ def op6_quality(spark, sf_dir):
 
 @register("op7_mixing")
 def op7_mixing(spark, sf_dir):
-    m = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
-    return m.select("doc_id", "size", "source_size", "target", "taken")
+    m = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"), prior=mixing.symbol_prior(F.col("text")))
+    return m.select("doc_id", "size", "source_size", "target", "taken", F.round("rate", 9).alias("rate"))
 
 
 @register("op8_fingerprints")

@@ -1,18 +1,23 @@
 """Document fingerprints by winnowing.
 
-A text's words are hashed, runs of ``k`` words give k-gram hashes, and from
+A text's tokens are hashed, runs of ``k`` tokens give k-gram hashes, and from
 every window of ``w`` consecutive k-grams the smallest hash is kept, the
 rightmost one on ties; a pick shared by neighbouring windows is kept once.
-Any two texts that share ``k + w - 1`` consecutive words therefore share a
-kept hash, and texts of fewer words than that have one window.  A pick packs
-41 bits of hash above 22 bits of inverted position, so that one
-minimum decides value and tie at once.  DataFrame functions only.
-
-Edge cases: a null text counts as empty; a text of fewer than ``k`` words is
-a single k-gram of all its words; a text without words is hashed whole (as
+Any two texts that share ``k + w - 1`` consecutive tokens therefore share a
+kept hash, and texts of fewer tokens than that have one window.  A token is a
+word (the first 16 code points, the next 16, and so on, of a longer one) or, in
+scripts that write no spaces, a single code point.
+
+The k-gram hash is a rolling one: a polynomial in the tokens' hashes modulo a
+prime of 31 bits.  Its values are put together from those of half as many
+tokens, as array functions carry nothing from element to element.  A pick
+packs the 31 bits above 32 bits of inverted position, so that one minimum
+decides value and tie at once.  DataFrame functions only.
+
+Edge cases: a null text counts as empty; a text of fewer than ``k`` tokens is
+a single k-gram of all of them; a text without tokens is hashed whole (as
 one k-gram), so the empty text and white-space texts have fingerprints
-too.  Positions count from 0 and stay exact up to 4,194,303 k-grams; beyond
-that, picks of one value in a window keep the smallest position class.
+too.  Positions count tokens from 0 and are exact for texts of any length.
 Equal texts have equal fingerprints; repeated rows get equal results.
 """
 
@@ -21,22 +26,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.common import let, ordered_index, words
+from barspark.llm.common import SPACE, let, ordered_index
 
 K, W = 4, 8
-POS_BITS = 22
+POS_BITS = 32
+PRIME, BASE = (1 << 31) - 1, 1_000_003
+# Code points of scripts that are written without spaces: Thai and Lao, Myanmar, Khmer, kana and Han with their extensions.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+TOKEN = f"[^{SPACE}{UNSPACED}]{{1,16}}|[{UNSPACED}]"
 NO_ID = -(1 << 63)
 
 
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
+def _runs(h: Column, k: int) -> Column:
+    """The polynomial of every run of ``k`` hashes (of at least ``k``), by halves."""
+    def joined(a: Column, b: Column, m: int, n: int) -> Column:  # runs of m, followed by runs of n
+        return F.zip_with(F.slice(a, 1, F.size(b) - m), F.slice(b, m + 1, F.size(b)),
+                          lambda x, y: (x * F.lit(pow(BASE, n, PRIME)) + y) % F.lit(PRIME))
+
+    if k == 1:
+        return h
+    even = let(_runs(h, k // 2), lambda x: joined(x, x, k // 2, k // 2))
+    return even if k % 2 == 0 else joined(even, h, k - 1, 1)
+
+
 def kgram_hashes(text: Column, k: int = K) -> Column:
-    """Hashes of the runs of ``k`` words, in order."""
+    """Rolling hashes of the runs of ``k`` tokens, in order: 0 to 2**31 - 2."""
+    small = lambda x: F.pmod(x, F.lit(PRIME))
+
     def grams(h: Column) -> Column:
-        one = F.array(F.when(F.size(h) == 0, F.xxhash64(text)).otherwise(F.xxhash64(h)))
-        many = F.transform(F.slice(h, 1, F.size(h) - (k - 1)),
-                           lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, k)]))
-        return F.when(F.size(h) < k, one).otherwise(many)
+        one = F.array(small(F.when(F.size(h) == 0, F.xxhash64(text)).otherwise(F.xxhash64(h))))
+        return F.when(F.size(h) < k, one).otherwise(_runs(h, k))
 
-    return let(F.transform(words(text), lambda x: F.xxhash64(x)), grams)
+    return let(F.transform(tokens(text), lambda x: small(F.xxhash64(x))), grams)
 
 
 def _window_min(a: Column, w: int) -> Column:
@@ -54,8 +79,7 @@ def _window_min(a: Column, w: int) -> Column:
 def picks(text: Column, k: int = K, w: int = W) -> Column:
     """Kept k-grams of a text as packed (hash, position) numbers, in order of position."""
     top = (1 << POS_BITS) - 1
-    packed = F.transform(kgram_hashes(text, k), lambda h, i: F.shiftleft(
-        F.shiftrightunsigned(h, POS_BITS + 1), POS_BITS).bitwiseOR(F.lit(top) - F.least(i, F.lit(top))))
+    packed = F.transform(kgram_hashes(text, k), lambda h, i: F.shiftleft(h, POS_BITS).bitwiseOR(F.lit(top) - i))
     return F.array_distinct(_window_min(packed, w))
 
 

@@ -150,6 +150,31 @@ def test_mixing_newton_solves_the_dual_with_priors(spark):
     assert rate(tilt[None]) == pytest.approx(2.0)
 
 
+def test_mixing_tilts_rates_within_a_source(docs_of):
+    """Rates are those of the entropy's dual, found here by bisection per source; the symbols' prior sets them apart."""
+    r = [(i, " ".join((["word"] * (20 + i % 9)) + ["#|*"] * (i % 4 * 3)), "en", "abc"[i % 3]) for i in range(600)] + [(900, None), (901, "")]
+    got = mixing.mix(docs_of(r), prior=mixing.symbol_prior(F.col("text"))).collect()
+    text = {i: t or "" for i, t, *_ in r}
+    prior = {i: round(max(-4.0, -40.0 * sum(c in "#*$%&|<>" for c in t) / max(1, len(t))) * 16) / 16 for i, t in text.items()}
+    assert len(set(prior.values())) > 3
+    by = defaultdict(list)
+    for x in got:
+        by[x.source].append(x)
+    for xs in by.values():
+        low, high = -40.0, 40.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            if sum(x.size * 2 / (1 + math.exp(-mid - prior[x.doc_id])) for x in xs) < xs[0].target:
+                low = mid
+            else:
+                high = mid
+        for x in xs:
+            if xs[0].target < 2 * xs[0].source_size:
+                assert x.rate == pytest.approx(2 / (1 + math.exp(-low - prior[x.doc_id])), abs=2e-3)
+        assert abs(sum(x.taken for x in xs) - xs[0].target) <= 0.02 * xs[0].target + 40
+        assert all(0 <= x.taken <= 2 * x.size for x in xs)
+
+
 def test_mixing_spreads_a_hot_source(docs_of):
     r = [(i, "w " * (1 + i % 7), "en", "hot" if i % 3 else "cold") for i in range(900)]
     got = mixing.mix(docs_of(r), group_rows=50).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).collect()
@@ -164,7 +189,7 @@ def test_winnowing_picks_rightmost_minima(spark):
         "i", winnow.kgram_hashes(F.col("t")).alias("g"), winnow.picks(F.col("t")).alias("p"),
         winnow.pick_positions(winnow.picks(F.col("t"))).alias("pos")).collect()}
     for i, x in got.items():
-        g = [(h % (1 << 64)) >> (winnow.POS_BITS + 1) for h in x.g]
+        g = list(x.g)
         n, w = len(g), winnow.W
         picks = []
         for a in range(max(1, n - w + 1)):
@@ -175,6 +200,65 @@ def test_winnowing_picks_rightmost_minima(spark):
         assert list(x.pos) == picks
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 7])
+def test_winnowing_hash_rolls_over_tokens(spark, k):
+    """The values are those of the recurrence that drops a token and takes the next one."""
+    texts = ["a b c d e f g h a b c d", "日本語の文は空白なしに書かれる。次の文", "x" * 100 + " y", "ภาษาไทย and words", "one two"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for x in df.select("t", winnow.tokens(F.col("t")).alias("w"), F.transform(winnow.tokens(F.col("t")), lambda y: F.pmod(
+            F.xxhash64(y), F.lit(winnow.PRIME))).alias("h"), winnow.kgram_hashes(F.col("t"), k).alias("g")).collect():
+        assert "".join(x.w) == re.sub(r"[ \t-\r]", "", x.t) and max(map(len, x.w)) <= 16
+        if len(x.h) < k:
+            assert len(x.g) == 1
+            continue
+        v, want = 0, []
+        for i, h in enumerate(x.h):
+            v = (v * winnow.BASE + h) % winnow.PRIME
+            if i >= k:
+                v = (v - x.h[i - k] * pow(winnow.BASE, k, winnow.PRIME)) % winnow.PRIME
+            if i >= k - 1:
+                want.append(v)
+        assert list(x.g) == want
+
+
+def test_winnowing_likeness_of_texts_without_blanks(docs_of):
+    import random
+    g = random.Random(3)
+    kana = ["".join(chr(g.randrange(0x3041, 0x3090)) for _ in range(480)) for _ in range(2)]
+    code = ["".join(g.choice("abcdef0123456789") for _ in range(1500)) for _ in range(2)]
+    for texts in (kana, code):
+        got = winnow.compare_edited(docs_of(list(enumerate(texts)))).collect()
+        assert len(got) == 2 and all(x.near_edited > 0.35 and x.near_next == 0 for x in got)
+
+
+def test_winnowing_query_against_brute_force(docs_of):
+    """Likeness, digests and the edited text's checksum of the whole comparison, from the k-grams of each text alone."""
+    r = [x for x in rows() if x[0] < 300] + [(7, None), (8, "文" * 50)]
+    got = {x.doc_id: x for x in winnow.compare_edited(docs_of(r)).select(
+        "doc_id", "edited", "near_edited", "near_next", winnow.digest(F.col("p")).alias("a"), winnow.digest(F.col("q")).alias("b")).collect()}
+    order = sorted(r, key=lambda x: -x[0])
+    texts = sorted({t or "" for _, t, *_ in r} | {x.edited for x in got.values()})
+    grams = {x.t: list(x.g) for x in docs_of([]).sparkSession.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", winnow.kgram_hashes(F.col("t")).alias("g")).collect()}
+
+    def kept(t):
+        g, w, out = grams[t], winnow.W, {}
+        for a in range(max(1, len(g) - w + 1)):
+            at = max(range(a, min(a + w, len(g))), key=lambda j: (-g[j], j))
+            out.setdefault(at, (g[at] << 32) | (0xFFFFFFFF - at))
+        return list(out.values())
+
+    def like(a, b):
+        a, b = {x >> 32 for x in kept(a)}, {x >> 32 for x in kept(b)}
+        return len(a & b) / len(a | b)
+
+    sha = lambda p: hashlib.sha256(",".join(map(str, p)).encode()).hexdigest()
+    for (i, t, *_), (_, nxt, *_) in zip(order, order[1:] + order[:1]):
+        t, nxt, x = t or "", nxt or "", got[i]
+        assert (x.near_edited, x.near_next) == pytest.approx((like(t, x.edited), like(t, nxt)))
+        assert (x.a, x.b) == (sha(kept(t)), sha(kept(x.edited)))
+
+
 def test_winnowing_edited_texts(docs_of):
     r = [x for x in rows() if not 300 <= x[0] < 1000] + [(None, "a null id has the last place")]
     got = {x.doc_id: x for x in winnow.compare_edited(docs_of(r)).collect()}
