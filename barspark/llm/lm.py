@@ -39,7 +39,7 @@ from barspark.llm.tokens import hash_words, mix, split
 _U = np.uint64
 ORDER, KAPPA = 2, 50.0
 CHUNK_WORDS = 1_500_000
-STRETCH = 200_000
+STRETCH = 10_000  # tokens whose arcs stay in a core's cache
 END = 0x5EED00E4D0000001
 START = 0x5EED005A870000FF
 
@@ -187,17 +187,23 @@ class Automaton:
     ``count`` gives an n-gram's training count; ``begin`` marks the first
     token of a text.  State 0 is the empty context, 1 to ``order - 1`` are
     as many starts of text, the others are n-grams seen in training.
+    ``scratch`` is room for a number per n-gram.
     """
 
     def __init__(self, place: np.ndarray, count: np.ndarray, begin: np.ndarray, docs_trained: float, kappa: float,
-                 n_train: int, v: int):
-        order = len(place)
+                 n_train: int, v: int, scratch: np.ndarray):
+        order, each = len(place), np.arange(place.shape[1])
         self.start = order - 1
         fail, weight = [np.arange(-1, order - 1)], [np.full(order, math.log10(kappa / (docs_trained + kappa)))]
         sources, words, targets, weights = [], [], [], []
         n_states, shorter_p, shorter_state = order, None, None
         for k in range(order):  # n-grams of k + 1 words, each once
-            gram, at, every = np.unique(place[k], return_index=True, return_inverse=True)
+            scratch[place[k][::-1]] = each[::-1]  # the first token at which an n-gram ends
+            once = scratch[place[k]]
+            at = np.flatnonzero(once == each)
+            gram = place[k][at]
+            scratch[gram] = np.arange(len(gram))
+            every = scratch[place[k]]
             c = count[gram]
             if k == 0:
                 word, self.words = every, len(gram)
@@ -274,10 +280,10 @@ def _traverse(order: int, parts: int, kappa: float, n_train: int, v: int):
         base = np.log10((count + 1) / (n_train + v + 1))
         begin = np.zeros(len(count), bool)
         begin[starts] = True
-        scores = []
+        scores, scratch = [], np.empty(len(c), np.int64)
         for i, j in _stretches(n, STRETCH):
             a, b = starts[i], starts[j - 1] + n[j - 1]
-            m = Automaton(place[:, a:b], c, begin[a:b], docs_trained, kappa, n_train, v)
+            m = Automaton(place[:, a:b], c, begin[a:b], docs_trained, kappa, n_train, v, scratch)
             scores += [m.read(x - a, x - a + y) for x, y in zip(starts[i:j].tolist(), n[i:j].tolist())]
         return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n),
                          "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),

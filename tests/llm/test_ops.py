@@ -495,7 +495,7 @@ def test_lm_states_and_failure_arcs(spark, docs_of, order):
     begin = np.zeros(len(tok), bool)
     begin[np.cumsum(n) - n] = True
     total, words = int(trained.sum()), len(np.unique(place[0][trained]))
-    m = lm.Automaton(place, count, begin, 4.0, 5.0, total, words)
+    m = lm.Automaton(place, count, begin, 4.0, 5.0, total, words, np.empty(len(u), np.int64))
     assert all(m.fail[s] < s for s in range(1, len(m.fail)))  # shorter contexts come first, so the way down ends
 
     def prob(state, w):
