@@ -230,12 +230,13 @@ class Automaton:
         self.word = word
         self.fail, self.fail_weight = np.concatenate(fail).tolist(), np.concatenate(weight).tolist()
         keys = np.concatenate(sources) * self.words + np.concatenate(words)
-        self.arcs = dict(zip(keys.tolist(), zip(np.concatenate(weights).tolist(), np.concatenate(targets).tolist())))
+        self.arcs = dict(zip(keys.tolist(), range(len(keys))))  # (state, word) to an arc's number
+        self.weight, self.target = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
         self.unknown = math.log10(1 / (n_train + v + 1))  # the empty context reads every word
 
     def read(self, first: int, end: int) -> float:
         """Log-probability of the text that holds the tokens ``first`` to ``end``."""
-        arcs, fail, fail_weight, n = self.arcs, self.fail, self.fail_weight, self.words
+        arcs, weight, target, fail, fail_weight, n = self.arcs, self.weight, self.target, self.fail, self.fail_weight, self.words
         state, total = self.start, 0.0
         for w in self.word[first:end].tolist():
             arc = arcs.get(state * n + w)
@@ -246,8 +247,8 @@ class Automaton:
             if arc is None:
                 total += self.unknown
             else:
-                total += arc[0]
-                state = arc[1]
+                total += weight[arc]
+                state = target[arc]
         return total
 
 

@@ -501,11 +501,11 @@ def test_lm_states_and_failure_arcs(spark, docs_of, order):
     def prob(state, w):
         arc = m.arcs.get(state * m.words + w)
         if arc is not None:
-            return 10 ** arc[0]
+            return 10 ** m.weight[arc]
         return 10 ** m.fail_weight[state] * prob(m.fail[state], w) if state else 10 ** m.unknown
 
     assert sum(w in m.arcs for w in range(m.words)) == words  # the root has an arc for every trained word, "zz" has none
-    ended = {state for key, (_, state) in m.arcs.items() if key % m.words == m.word[-1]} - {0}  # nothing follows the end
+    ended = {m.target[arc] for key, arc in m.arcs.items() if key % m.words == m.word[-1]} - {0}  # nothing follows the end
     for state in set(range(len(m.fail))) - ended:
         assert sum(prob(state, w) for w in range(m.words)) == pytest.approx(1.0), state
 
