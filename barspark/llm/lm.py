@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.tokens import hash_words, mix, split
+from barspark.llm.tokens import hash_words, lower_split, mix, split
 
 _U = np.uint64
 ORDER, KAPPA = 2, 50.0
@@ -44,9 +44,9 @@ END = 0x5EED00E4D0000001
 START = 0x5EED005A870000FF
 
 
-def _tokens(texts: list) -> tuple[np.ndarray, np.ndarray]:
+def _tokens(texts: list, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts, each followed by the end token, and token counts."""
-    lists = [split(t) for t in texts]
+    lists = [lower_split(t) if lower else split(t) for t in texts]
     n = np.array([len(x) + 1 for x in lists], np.int64)
     out = np.full(int(n.sum()), END, _U)
     word = np.ones(len(out), bool)
@@ -94,7 +94,7 @@ def _order(h: np.ndarray, parts: int) -> np.ndarray:
     return np.lexsort((h, _part(h, parts)))
 
 
-def _vocabulary(parts: int):
+def _vocabulary(parts: int, lower: bool):
     """Distinct training words of a task, by part, and its token totals."""
     def run(it):
         seen, total, train = [], 0, 0
@@ -113,7 +113,7 @@ def _vocabulary(parts: int):
         for batch in it:
             texts, held = batch.column("text").to_pylist(), batch.column("held_out").to_numpy(zero_copy_only=False)
             for i in range(0, len(texts), 500):
-                tok, n = _tokens(texts[i:i + 500])
+                tok, n = _tokens(texts[i:i + 500], lower)
                 keep = np.repeat(~held[i:i + 500].astype(bool), n)
                 total += len(tok)
                 train += int(keep.sum())
@@ -135,11 +135,11 @@ def _distinct(table: pa.Table) -> pa.Table:
     return pa.table({"v": [v], "train": [sum(table.column("train").to_pylist())], "total": [sum(table.column("total").to_pylist())]})
 
 
-def _wanted(texts, held, order):
+def _wanted(texts, held, order, lower):
     """The n-grams of a chunk: sorted distinct hashes, their training counts, and each token's places in them."""
     all_h, all_n, keep = [[] for _ in range(order)], [], []
     for i in range(0, len(texts), 500):
-        tok, n = _tokens(texts[i:i + 500])
+        tok, n = _tokens(texts[i:i + 500], lower)
         for o, g in enumerate(grams(tok, n, order)):
             all_h[o].append(g)
         all_n.append(n)
@@ -151,10 +151,10 @@ def _wanted(texts, held, order):
     return u, counts, place.reshape(order, -1), n
 
 
-def _ask(order: int, parts: int):
+def _ask(order: int, parts: int, lower: bool):
     def run(table: pa.Table) -> pa.Table:
         held = table.column("held_out").to_numpy().astype(bool)
-        u, counts, _, _ = _wanted(table.column("text").to_pylist(), held, order)
+        u, counts, _, _ = _wanted(table.column("text").to_pylist(), held, order, lower)
         o = _order(u, parts)
         u, counts = u[o], counts[o]
         blocks = list(_blocks(u, parts))
@@ -263,12 +263,12 @@ def _stretches(n: np.ndarray, most: int):
     yield first, len(n)
 
 
-def _traverse(order: int, parts: int, kappa: float, n_train: int, v: int):
+def _traverse(order: int, parts: int, kappa: float, n_train: int, v: int, lower: bool):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _empty()
         held = docs.column("held_out").to_numpy().astype(bool)
-        u, _, place, n = _wanted(docs.column("text").to_pylist(), held, order)
+        u, _, place, n = _wanted(docs.column("text").to_pylist(), held, order, lower)
         o = _order(u, parts)
         c = np.empty(len(u))
         by = {p: _from_planes(b) for p, b in zip(replies.column("part").to_pylist(), replies.column("sums").to_pylist())}
@@ -298,26 +298,27 @@ def _empty() -> pa.Table:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, kappa: float = KAPPA,
-          modulus: int = 7, remainder: int = 2, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+          modulus: int = 7, remainder: int = 2, chunk_words: int = CHUNK_WORDS, lower: bool = False) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents whose crc32 of the id leaves another remainder
-    than ``remainder``.  ``chunk_words`` bounds a chunk's memory (about 150
+    than ``remainder``.  With ``lower`` words are read with A-Z lower-cased.
+    ``chunk_words`` bounds a chunk's memory (about 150
     bytes a word); lists number chunks times parts, so raise it with the corpus.
     """
     spark = docs.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), held.alias("held_out"))
-    words = d.select("text", "held_out").mapInArrow(_vocabulary(parts), "part int, words binary, train long, total long")
+    words = d.select("text", "held_out").mapInArrow(_vocabulary(parts, lower), "part int, words binary, train long, total long")
     r = (words.groupBy("part").applyInArrow(_distinct, "v long, train long, total long")
          .agg(F.sum("v").alias("v"), F.sum("train").alias("train"), F.sum("total").alias("total")).first())
     v, n_train, total = (int(r[x] or 0) for x in ("v", "train", "total"))
     chunks = max(1, math.ceil(total / chunk_words))
     d = d.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-    asked = d.groupBy("chunk").applyInArrow(_ask(order, parts), "chunk long, part int, grams binary, counts binary")
+    asked = d.groupBy("chunk").applyInArrow(_ask(order, parts, lower), "chunk long, part int, grams binary, counts binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "chunk long, part int, sums binary")
     out = d.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _traverse(order, parts, kappa, n_train, v),
+        _traverse(order, parts, kappa, n_train, v, lower),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(n_train).cast("long"))

@@ -29,6 +29,11 @@ def split(text) -> list[bytes]:
     return text.encode().split() if text else []
 
 
+def lower_split(text) -> list[bytes]:
+    """The same with A-Z lower-cased; bytes.lower leaves all other characters as they are."""
+    return text.encode().lower().split() if text else []
+
+
 class Ranges:
     """Hashes of any range of a number sequence, from one pass of prefix sums modulo 2**64."""
 

@@ -437,6 +437,18 @@ def test_lm_scores(docs_of):
         assert x.base_score == pytest.approx(base) and x.score == pytest.approx(score)
 
 
+def test_lm_query_lowers_a_to_z_and_nothing_else(spark, docs_of, table_dir):
+    r = [(i, t.translate(LOW) if t and low else t) for low in (False, True) for i, t in
+         [(1, "The the THE River"), (3, "ÉTÉ Été ÀB river"), (4, "tHE \u212aelvin kelvin KELVIN"), (5, None)]]
+    r = [(i + 10 * j, t) for j in range(2) for i, t in r[4 * j:4 * j + 4]]
+    d = table_dir(documents=docs_of(r))
+    got = sorted(QUERIES["op3_lm"](spark, d).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect())
+    want = sorted(brute_lm([(i, t and t.translate(LOW)) for i, t in r]))
+    assert [tuple(x)[:4] for x in got] == [x[:4] for x in want]
+    for x, y in zip(got, want):
+        assert x.train_tokens == y[4] and x.base_score == pytest.approx(y[5]) and x.score == pytest.approx(y[6])
+
+
 def test_lm_probabilities_sum_to_one(docs_of):
     r = [(0, "a b a c a b"), (1, "b a"), (3, "c c b a")]
     train = [x for x in r if zlib.crc32(str(x[0]).encode()) % 7 != 2]
