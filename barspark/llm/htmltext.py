@@ -18,11 +18,12 @@ declared article only runs that nearly every page of the host carries go
 (``furniture`` of them, and at least ``least_pages`` pages).  Pages of equal
 text count once: neither copies nor repeated rows make a run boilerplate.
 
-Pages with and without an article are compared among themselves.  A host of
-many pages is cut into shards by hash of the page; articles have a suffix array per
-shard, and the share of pages is taken per shard; of pages without an article
-the runs of all shards are compared by hash, so that the host's pages that carry
-a run are counted wherever they lie.
+Pages with and without an article are compared among themselves, a host's all
+together.  The distinct texts of a host of many pages are dealt into shards by hash
+of the text, and a suffix array per shard counts the runs there.  A shard
+names its runs of at least half the share with their counts, so the counts of
+the shards add up to bounds for every run of the host; runs that the bounds leave
+open are counted in all texts.  How many shards there are changes no result.
 
 Edge cases: null or empty html gives an empty text; a null or unparsable url
 puts a page on the host ``''``; unclosed and stray tags are tolerated;
@@ -31,7 +32,9 @@ repeated rows are given each and count once.  Texts are never cut short.
 
 from __future__ import annotations
 
+import hashlib
 import html
+import math
 import re
 from collections import Counter
 
@@ -73,6 +76,8 @@ _NAME = re.compile(r"[a-zA-Z][\w:-]*")
 _SPACE = re.compile(r"\s*")
 _ATTR = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _LONG_REF = re.compile(r"&#([0-9]{8,})")
+_TEXTS = pa.schema([("host", pa.string()), ("declared", pa.bool_()), ("th", pa.int64()), ("shard", pa.int64()),
+                    ("blocks", pa.list_(pa.string()))])
 # how a block counts: not at all, only if it makes up nearly all of its article, only if most of its words are no links
 GONE, MOSTLY, IF_WORDS = -1, -2, -3
 
@@ -269,8 +274,22 @@ def _parse(it):
     for batch in it:
         got = [blocks(x) for x in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("page_id", "url", "host", "shards")), pa.array([z > 0 for z, _ in got]),
-             pa.array([b for _, b in got], pa.list_(pa.string()))], ["page_id", "url", "host", "shards", "declared", "blocks"])
+            [*(batch.column(c) for c in ("page_id", "url", "host")), pa.array([z > 0 for z, _ in got]),
+             pa.array([b for _, b in got], pa.list_(pa.string()))], ["page_id", "url", "host", "declared", "blocks"])
+
+
+def _parse_distinct(it):
+    """Texts of pages, each text of a host once a task, with its hash; pages without words have none."""
+    seen: set[tuple[str, bool, int]] = set()
+    for batch in it:
+        rows = []
+        for page, host_, shards in zip(*(batch.column(c).to_pylist() for c in ("html", "host", "shards"))):
+            zone, b = blocks(page)
+            th = int.from_bytes(hashlib.blake2b(" ".join(b).encode(), digest_size=8).digest(), "little", signed=True)
+            if b and (key := (host_, zone > 0, th)) not in seen:
+                seen.add(key)
+                rows.append({"host": host_, "declared": zone > 0, "th": th, "shard": th % shards, "blocks": b})
+        yield pa.RecordBatch.from_pylist(rows, _TEXTS)
 
 
 def repeated_runs(tokens: np.ndarray, page: np.ndarray, run: int = RUN):
@@ -324,7 +343,7 @@ def _without(words: list[list[str]], gone: np.ndarray) -> list[str]:
 
 
 def _shard(run: int, furniture: float, least_pages: int, open_share: float, open_pages: int):
-    """One suffix array over the distinct pages of a host's shard, all declared or none of them."""
+    """One suffix array over the distinct pages of a host, all declared or none of them."""
     def work(t: pa.Table) -> pa.Table:
         pages = [[b.split() for b in p] for p in t.column("blocks").to_pylist()]
         first: dict[str, int] = {}  # distinct texts, by the first page that holds each
@@ -344,40 +363,86 @@ def _shard(run: int, furniture: float, least_pages: int, open_share: float, open
     return work
 
 
-def _grams(run: int):
-    """Hash of a page's text (null without tokens), and hashes of the runs that start at each token."""
+def _page_runs(page: list[str], run: int) -> np.ndarray:
+    """Hashes of the runs that start at each token of a page."""
+    rng = Ranges(hash_words([w.encode() for b in page for w in b.split()]))
+    at = np.arange(max(0, len(rng.sums) - run))
+    return rng.of(at, at + run).view(np.int64)
+
+
+def _shard_counts(run: int, shares: dict[bool, float], named: float):
+    """Of a shard's distinct texts: their number, the least count that is named, and the runs of such counts."""
+    def work(t: pa.Table) -> pa.Table:
+        _, one = np.unique(t.column("th").to_numpy(), return_index=True)
+        words = [[w.encode() for b in p for w in b.split()] for p in t.column("blocks").take(one).to_pylist()]
+        h = hash_words([w for p in words for w in p])
+        many = repeated_runs(h, np.repeat(np.arange(len(words)), [len(p) for p in words]), run)
+        declared = t.column("declared")[0].as_py()
+        least = max(1, math.ceil(named * shares[declared] * len(words)))
+        at = np.flatnonzero(many >= least)
+        runs, first = np.unique(Ranges(h).of(at, at + run).view(np.int64), return_index=True)
+        return pa.table({"host": t.column("host").slice(0, 1), "declared": [declared], "texts": [len(words)], "least": [least],
+                         "runs": pa.array([[{"run": int(x), "n": int(y)} for x, y in zip(runs, many[at][first])]],
+                                          pa.list_(pa.struct([("run", pa.int64()), ("n", pa.int64())])))})
+    return work
+
+
+def _carried(run: int):
+    """Of the runs asked for, those that each text carries."""
     def work(it):
         for batch in it:
-            out, whole = [], []
-            for p in batch.column("blocks").to_pylist():
-                rng = Ranges(hash_words([w.encode() for b in p for w in b.split()]))
-                at = np.arange(max(0, len(rng.sums) - run))
-                out.append(rng.of(at, at + run).view(np.int64))
-                end = len(rng.sums) - 1
-                whole.append(int(rng.of(np.array([0]), np.array([end])).view(np.int64)[0]) if end > 0 else None)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "blocks")),
-                                              pa.array(whole, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
-                                             ["page_id", "url", "host", "blocks", "th", "grams"])
+            has = [np.intersect1d(_page_runs(p, run), asked) for p, asked in zip(*(batch.column(c).to_pylist() for c in ("blocks", "asked")))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "declared", "th")), pa.array(has, pa.list_(pa.int64()))],
+                                             ["host", "declared", "th", "runs"])
     return work
 
 
-def _drop_grams(run: int):
+def _drop_runs(run: int):
     def work(it):
         for batch in it:
             out = []
-            for p, grams, bad in zip(*(batch.column(c).to_pylist() for c in ("blocks", "grams", "bad"))):
-                if not bad:
-                    out.append(p)
-                    continue
-                words = [b.split() for b in p]
-                starts = np.zeros(sum(map(len, words)), bool)
-                starts[: len(grams)] = np.isin(np.asarray(grams, np.int64), np.asarray(bad, np.int64))
-                out.append(_without(words, _covered(starts, run)))
+            for p, bad in zip(*(batch.column(c).to_pylist() for c in ("blocks", "bad"))):
+                if bad:
+                    words = [b.split() for b in p]
+                    starts = np.zeros(sum(map(len, words)), bool)
+                    runs = _page_runs(p, run)
+                    starts[: len(runs)] = np.isin(runs, np.asarray(bad, np.int64))
+                    p = _without(words, _covered(starts, run))
+                out.append(p)
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.list_(pa.string()))],
                                              ["page_id", "url", "blocks"])
     return work
 
 
+def boilerplate(pages: DataFrame, run: int, furniture: float, least_pages: int, open_share: float, open_pages: int,
+                named: float = 0.5) -> DataFrame:
+    """Hashes of the runs that enough distinct texts of a host carry: host, declared, bad.
+
+    A shard names its runs of at least ``named`` times the share (``least`` texts; ``named`` is 1 at most), so a
+    run that it does not name has at most ``least - 1`` texts there."""
+    texts = pages.select("host", "html", "shards").mapInArrow(
+        _parse_distinct, "host string, declared boolean, th long, shard long, blocks array<string>")
+    key = ["host", "declared"]
+    shards = materialize(texts.groupBy(*key, "shard").applyInArrow(
+        _shard_counts(run, {True: furniture, False: open_share}, named),
+        "host string, declared boolean, texts long, least long, runs array<struct<run:long,n:long>>"), "shard_runs")
+    share, least = (F.when(F.col("declared"), F.lit(x)).otherwise(F.lit(y)) for x, y in ((furniture, open_share), (least_pages, open_pages)))
+    hosts = shards.groupBy(*key).agg(F.sum("texts").alias("texts"), F.sum(F.col("least") - 1).alias("unnamed"))
+    hosts = hosts.select(*key, "unnamed", F.greatest(least.cast("double"), share * F.col("texts")).alias("need"))
+    runs = shards.select(*key, "least", F.explode("runs").alias("r")).groupBy(*key, F.col("r.run").alias("run")).agg(
+        F.sum("r.n").alias("n"), F.sum(F.col("least") - 1).alias("own"))
+    runs = materialize(runs.join(hosts, key).where("n + unnamed - own >= need").select(*key, "run", "n", "need"), "host_runs")
+    sure = runs.where("n >= need").select(*key, "run")
+    open_ = runs.where("n < need")
+    if not open_.isEmpty():
+        asked = open_.groupBy(*key).agg(F.collect_list("run").alias("asked"))
+        has = texts.join(asked, key).select(*key, "th", "blocks", "asked").mapInArrow(
+            _carried(run), "host string, declared boolean, th long, runs array<long>")
+        counts = has.select(*key, "th", F.explode("runs").alias("run")).groupBy(*key, "run").agg(F.count_distinct("th").alias("all"))
+        sure = sure.union(open_.join(counts, [*key, "run"]).where(F.col("all") >= F.col("need")).select(*key, "run"))
+    return materialize(sure.groupBy(*key).agg(F.collect_list("run").alias("bad")), "boilerplate")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run: int = RUN,
             furniture: float = 0.9, least_pages: int = 10, open_share: float = 0.5, open_pages: int = 3,
             shard_pages: int = SHARD_PAGES) -> DataFrame:
@@ -387,19 +452,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # hosts of several shards only; stored, so that its size is known when the join is planned
     hosts = materialize(p.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / shard_pages).alias("shards")).where("shards > 1"), "hot_hosts")
     p = p.join(hosts, "host", "left").withColumn("shards", F.coalesce("shards", F.lit(1)).cast("long"))
-    fields = "page_id long, url string, host string, shards long, declared boolean, blocks array<string>"
-    parse = lambda d: d.select("page_id", "url", "html", "host", "shards").mapInArrow(_parse, fields)
-    parsed = parse(p).withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), F.col("shards")))
-    done = parsed.where("declared or shards = 1").groupBy("host", "shard", "declared").applyInArrow(
-        _shard(run, furniture, least_pages, open_share, open_pages), "page_id long, url string, blocks array<string>")
-    # pages without an article on hosts of several shards: runs that enough distinct pages have, in any shard
-    todo = parse(p.where("shards > 1")).where("not declared").select("page_id", "url", "host", "blocks").mapInArrow(
-        _grams(run), "page_id long, url string, host string, blocks array<string>, th long, grams array<long>")
-    todo = materialize(todo.withColumn("key", F.monotonically_increasing_id()), "open_pages")
-    grams = todo.select("key", "host", "th", F.explode(F.array_distinct("grams")).alias("gram"))
-    sizes = todo.groupBy("host").agg(F.count_distinct("th").alias("pages"))
-    shared = grams.groupBy("host", "gram").agg(F.count_distinct("th").alias("n")).where(F.col("n") >= open_pages).join(sizes, "host")
-    shared = shared.where(F.col("n") >= open_share * F.col("pages")).select("host", "gram")
-    bad = grams.join(shared, ["host", "gram"]).groupBy("key").agg(F.collect_set("gram").alias("bad"))
-    rest = todo.join(bad, "key", "left").mapInArrow(_drop_grams(run), "page_id long, url string, blocks array<string>")
+    fields = "page_id long, url string, host string, declared boolean, blocks array<string>"
+    parse = lambda d: d.select("page_id", "url", "html", "host").mapInArrow(_parse, fields)
+    rules = (run, furniture, least_pages, open_share, open_pages)
+    done = parse(p.where("shards = 1")).groupBy("host", "declared").applyInArrow(_shard(*rules), "page_id long, url string, blocks array<string>")
+    many = p.where("shards > 1")
+    rest = parse(many).join(boilerplate(many, *rules), ["host", "declared"], "left").select("page_id", "url", "blocks", "bad").mapInArrow(
+        _drop_runs(run), "page_id long, url string, blocks array<string>")
     return done.unionByName(rest)

@@ -719,6 +719,26 @@ def test_html_copies_and_quotations_on_undeclared_pages_stay(spark, shard_pages)
     assert all(got[40 + i] == own(3) for i in range(12))
 
 
+@pytest.mark.parametrize("named", [0.5, 1.0])
+def test_html_shards_change_no_result(spark, monkeypatch, named):
+    """Runs near the limits, with copies, in articles and beside them: one suffix array and many shards agree."""
+    whole = htmltext.boilerplate
+    monkeypatch.setattr(htmltext, "boilerplate", lambda *a: whole(*a, named=named))
+    line = lambda c: " ".join(f"{c}{j}" for j in range(10))
+    r = []
+    for host, wrap in (("art", "<article><p>{}</p></article>"), ("open", "<body><div>{}</div></body>")):
+        for i in range(40):
+            parts = [line(f"own{i}x")] + [line(f"run{k}x") for k in (9, 10, 11, 19, 20, 21, 34, 35, 36, 37, 39) if (i * 17 + k) % 40 < k]
+            for copy in range(1 + 3 * (i % 5 == 0)):
+                r.append((len(r), f"http://{host}.example/{i}/{copy}", wrap.format("</p><p>".join(parts))))
+        r += [(len(r), f"http://{host}.example/none", ""), (len(r) + 1, f"http://{host}.example/null", None)]
+    pages = spark.createDataFrame(r, "page_id long, url string, html string")
+    one, shards = ({x.page_id: x.blocks for x in htmltext.extract(pages, shard_pages=n).collect()} for n in (1000, 7))
+    assert one == shards
+    left = {k for b in one.values() for w in " ".join(b).split() if (k := w.split("x")[0]).startswith("run")}
+    assert left == {f"run{k}" for k in (9, 10, 11, 19, 20, 21, 34, 35)}
+
+
 # ---------------------------------------------------------------- 5 SentencePiece
 
 TEXTS = ["", " ", "  a  b ", "\n\nx", "▁x", "<s> hi </s>", "日本語 😀 \u0001 z", "\t\tfoo   bar\r\n", "<0x41>", "é ﬁ", "<unk>x", "go " * 400]
