@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from barspark.llm.common import SPACE, materialize
 from barspark.llm.components import components
-from barspark.llm.tokens import Ranges, groups, hash_words, mix, split
+from barspark.llm.tokens import Ranges, hash_words, lower_split, mix, stretches
 
 _U = np.uint64
 #: Words handled at a time; signatures gathered in a task before they are sent on.
@@ -124,17 +124,12 @@ def _difference(x: bytes, y: bytes) -> int:
     return int.from_bytes((a ^ b).tobytes(), "little").bit_count()
 
 
-def _lower(batch) -> list[list[bytes]]:
-    return [split(t.encode().lower().decode()) if t else [] for t in batch.column("text").to_pylist()]
-
-
 def _summaries(k: int):
     """Per document: set size, set hashes and parity sketch; per stretch: shingles of three or more documents."""
     def run(it):
         for batch in it:
-            lists = _lower(batch)
-            for a, b in groups(lists, PIECE):
-                doc, s, n = shingle_sets(lists[a:b], k)
+            for a, b, lists in stretches(batch.column("text"), PIECE, lower_split):
+                doc, s, n = shingle_sets(lists, k)
                 m = b - a
                 u, c = np.unique(s, return_counts=True)
                 u, c = u[c >= 3], c[c >= 3]
@@ -231,10 +226,9 @@ def _index(k: int, parts: int, frequent: np.ndarray):
                 pa.array([rank[i:j].tobytes() for i, j in zip(at, ends)], pa.binary())], ["part", "sigs", "ids", "ranks"])
 
         for batch in it:
-            lists = _lower(batch)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(_U)
-            for a, b in groups(lists, PIECE):
-                doc, s, size = shingle_sets(lists[a:b], k)
+            for a, b, lists in stretches(batch.column("text"), PIECE, lower_split):
+                doc, s, size = shingle_sets(lists, k)
                 # copies within the stretch: one of them is indexed
                 whole = _sum_by(doc, mix(s), b - a)
                 _, one = np.unique(whole, return_index=True)
@@ -341,9 +335,8 @@ def _cross(table: pa.Table) -> pa.Table:
 def _sets(k: int):
     def run(it):
         for batch in it:
-            lists = _lower(batch)
-            for a, b in groups(lists, PIECE):
-                doc, s, n = shingle_sets(lists[a:b], k)
+            for a, b, lists in stretches(batch.column("text"), PIECE, lower_split):
+                doc, s, n = shingle_sets(lists, k)
                 end = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("node").slice(a, b - a),
@@ -354,8 +347,8 @@ def _sets(k: int):
 def _verify(it):
     for batch in it:
         ok = []
-        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-            x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+        for x, y in zip(batch.column("sa"), batch.column("sb")):  # read in place, without copies of the sets
+            x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
             both = len(np.intersect1d(x, y, assume_unique=True))
             ok.append(100 * both >= 75 * (len(x) + len(y) - both))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "linked"])

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barspark.llm.common import materialize
-from barspark.llm.tokens import Ranges, groups, hash_words, mix, split
+from barspark.llm.tokens import Ranges, hash_words, mix, split, stretches
 from barspark.session import drop_stored, stored
 
 _U = np.uint64
@@ -128,9 +128,7 @@ def _sha(words: list[bytes]) -> str:
 
 def _pieces(texts: pa.Array):
     """Stretches of rows with their words, word hashes and lengths."""
-    lists = [split(t) for t in texts.to_pylist()]
-    for a, b in groups(lists, PIECE):
-        part = lists[a:b]
+    for a, b, part in stretches(texts, PIECE, split):
         lengths = np.array([len(x) for x in part], np.int64)
         yield a, b, part, hash_words([w for x in part for w in x]), lengths
 
@@ -178,10 +176,10 @@ def _cut(window: int):
     def run(it):
         for batch in it:
             removed, shas, kept = [], [], []
-            for t, at in zip(batch.column("text").to_pylist(), batch.column("at").to_pylist()):
-                w = split(t)
+            for t, at in zip(batch.column("text"), batch.column("at")):
+                w = split(t.as_py())
                 edge = np.zeros(len(w) + 1, np.int64)
-                at = np.asarray(at, np.int64)
+                at = at.values.to_numpy(zero_copy_only=False).astype(np.int64)
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + window, -1)
                 gone = np.cumsum(edge[:-1]) > 0

@@ -52,13 +52,17 @@ class Ranges:
         return mix((self.sums[end] - self.sums[first]) * self.inverse[first] + (end - first).astype(_U) * _U(0xD6E8FEB86659FD93))
 
 
-def groups(lists: list[list], most: int):
-    """Cut a list of word lists into stretches of about ``most`` words: (first, end) pairs."""
-    first, n = 0, 0
-    for i, x in enumerate(lists):
+def stretches(texts, most: int, words=split):
+    """Cut an Arrow column of texts into stretches of about ``most`` words: (first, end, word lists).
+
+    Only the words of one stretch are held at a time, however many texts a batch has."""
+    lists, first, n = [], 0, 0
+    for i, t in enumerate(texts):
+        x = words(t.as_py())
         if n and n + len(x) > most:
-            yield first, i
-            first, n = i, 0
+            yield first, i, lists
+            lists, first, n = [], i, 0
+        lists.append(x)
         n += len(x) + 1
-    if first < len(lists):
-        yield first, len(lists)
+    if lists:
+        yield first, first + len(lists), lists

@@ -372,6 +372,34 @@ def test_jaccard_borderline_pairs_of_all_sizes(docs_of):
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(brute_components(r))
 
 
+@pytest.mark.parametrize("module, split, work", [
+    (recompress, "split", lambda: recompress._summaries(3, 1)), (pigeonhole, "lower_split", lambda: pigeonhole._summaries(5)),
+    (pigeonhole, "lower_split", lambda: pigeonhole._index(5, 4, np.empty(0, np.uint64))), (pigeonhole, "lower_split", lambda: pigeonhole._sets(5))])
+def test_words_of_a_batch_are_held_a_stretch_at_a_time(monkeypatch, module, split, work):
+    import pyarrow as pa
+
+    texts = [f"w{i} and some words more that differ {i % 7}" for i in range(1000)]
+    held, most = [], [0]
+    inner = getattr(module, split)
+
+    class Words(list):
+        def __del__(self):
+            held.pop()
+
+    def counting(t):
+        held.append(1)
+        most[0] = max(most[0], len(held))
+        return Words(inner(t))
+
+    monkeypatch.setattr(module, split, counting)
+    monkeypatch.setattr(module, "PIECE", 400)
+    ids = pa.array(range(1000), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(texts)], ["doc_id", "th", "node", "text"])
+    for _ in work()(iter([batch])):
+        pass
+    assert 0 < most[0] < 200
+
+
 def test_jaccard_allocation_covers_every_band():
     for band in range(1, 20):
         segments, deletion = pigeonhole.allocation(band)
