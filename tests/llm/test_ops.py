@@ -57,6 +57,15 @@ def test_quality_distance_is_jensen_shannon(spark):
     assert got[0] == pytest.approx(want) and got[1] == pytest.approx(0) and got[2] is None
 
 
+def test_quality_classes_share_no_character_and_count_as_each_alone(spark):
+    every = spark.range(0x10000).where("id < 55296 or id > 57343").select(
+        F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE").alias("text"), F.lit("en").alias("lang"), F.col("id").alias("doc_id"))
+    alone = [F.length(F.regexp_replace("text", f"[^{c}]+", "")) for c in quality.CLASSES.values()]
+    want = every.select("doc_id", F.array(*alone, 1 - sum(alone)).cast("array<double>").alias("want"))
+    got = quality.features(every).join(want, "doc_id")
+    assert got.count() == 0x10000 - 2048 and got.where("chars <> want").count() == 0
+
+
 def test_quality_rejects_symbol_noise_and_keeps_clean_text(docs_of):
     clean = [(i, f"The house of stone {i} stands by the river, and light falls on paper and tree. It is "
                  + " ".join(f"w{chr(97 + j // 8)}{chr(97 + (i + j) % 26)}ord" for j in range(60)) + ".") for i in range(30)]
