@@ -821,7 +821,9 @@ def test_sentencepiece_unigram_model_by_hand(docs_of, tmp_path):
 
 def test_empty_tables(spark, table_dir):
     d = table_dir(documents=spark.createDataFrame(EMPTY, "doc_id long, text string, lang string, source string, n_chars long"),
-                  pages=spark.createDataFrame(EMPTY, "page_id long, url string, html string"))
+                  pages=spark.createDataFrame(EMPTY, "page_id long, url string, html string"),
+                  embeddings=spark.createDataFrame(EMPTY, "vec_id long, embedding array<float>"),
+                  labels=spark.createDataFrame(EMPTY, "doc_id long, toxic int"))
     for name, q in QUERIES.items():
         assert q(spark, d).count() == 0, name
 
