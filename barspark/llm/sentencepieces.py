@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 MOST_BYTES = 64 << 20
+#: Texts that the tokenizer encodes at a time, joined units or whole ones; the reference library takes eight times as many.
+AT_ONCE = 16
 # Fixed values of the model file's format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -107,7 +109,7 @@ def build(model: dict):
                     merges.append((-s, ids[p], i, p[:i], p[i:]))
         merges.sort()
         core = models.BPE(ids, [(x[3], x[4]) for x in merges], unk_token=pieces[unk][0], fuse_unk=True,
-                          byte_fallback=model["byte_fallback"], cache_capacity=100_000)
+                          byte_fallback=model["byte_fallback"], cache_capacity=10_000)
     else:
         raise ValueError("only unigram and pair models are supported")
     t = Tokenizer(core)
@@ -144,12 +146,13 @@ class Units:
     No piece reaches across units, so a text's ids are those of its units one
     after the other and decoding goes unit by unit.  Distinct new units are joined
     to texts and encoded together; where a unit's ids begin is seen by their
-    markers.  Ids are kept in one growing array (up to ``most`` units, then afresh).
+    markers.  Ids are kept in one growing array (up to ``most`` units, then afresh, and cleared when a task ends).
+    The library's encodings take far more memory than the ids: those of ``AT_ONCE`` joined texts exist at a time.
     Texts that are not plain words between single spaces, and models whose
     pieces may hold a marker inside, are encoded whole.
     """
 
-    def __init__(self, tokenizer, most: int = 600_000, joined: int = 2_000):
+    def __init__(self, tokenizer, most: int = 300_000, joined: int = 2_000):
         self.tokenizer, self.most, self.joined = tokenizer, most, joined
         vocab = tokenizer.get_vocab(with_added_tokens=False)
         self.begins = np.zeros(max(vocab.values()) + 1, bool)
@@ -162,16 +165,20 @@ class Units:
         self.changed: dict[int, str] = {}  # units that decoding does not give again, by number
 
     def whole(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return [np.array(x, np.int32) for x in ids], self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        out, back = [], []
+        for i in range(0, len(texts), AT_ONCE):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + AT_ONCE], add_special_tokens=False)]
+            out += [np.array(x, np.int32) for x in ids]
+            back += self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return out, back
 
     def _learn(self, new: list[str]) -> None:
         parts = [new[i:i + self.joined] for i in range(0, len(new), self.joined)]
-        ids, back = self.whole([" ".join(p) for p in parts])
+        few = (self.whole([" ".join(p) for p in parts[i:i + AT_ONCE]]) for i in range(0, len(parts), AT_ONCE))
         found = [self.ids]
         ends = [self.ends]
         base, n = int(self.ends[-1]), len(self.place)
-        for part, x, text in zip(parts, ids, back):
+        for part, (x, text) in zip(parts, (y for ids, back in few for y in zip(ids, back))):
             first, again = np.flatnonzero(self.begins[x]), text.split(" ")
             if len(first) != len(part) or len(again) != len(part) or first[0]:
                 one, again = self.whole(part)  # a unit at a time
@@ -234,35 +241,40 @@ def _tools(data: bytes, verify: bool):
     return Units(build(read_model(data))), sp
 
 
-def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 2_000_000):
+def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 1_000_000):
     def run(it):
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         units, sp = _tools(data, verify)
-        for batch in it:
-            column, first = batch.column("text"), 0
-            lengths = pc.binary_length(column).to_numpy(zero_copy_only=False)
-            while first < len(lengths):
-                end, n = first, 0
-                while end < len(lengths) and (end == first or n + lengths[end] <= batch_chars):
-                    n += lengths[end]
-                    end += 1
-                ids, back = units.encode(column.slice(first, end - first))
-                part = column.slice(first, end - first).to_pylist()
-                cols = [batch.column("doc_id").slice(first, end - first), pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]),
-                        pa.array([a == b for a, b in zip(back, part)], pa.bool_())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "round_trip"]
-                if sp:
-                    same = [a.tolist() == b for a, b in zip(ids, sp.encode(part, num_threads=threads))]
-                    cols.append(pa.array(same, pa.bool_()))
-                    names.append("parity")
-                if ids_out:
-                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                    cols += [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32())), pa.array(back, pa.string())]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names)
-                first = end
+        try:
+            for batch in it:
+                column, first = batch.column("text"), 0
+                lengths = pc.binary_length(column).to_numpy(zero_copy_only=False)
+                while first < len(lengths):
+                    end, n = first, 0
+                    while end < len(lengths) and (end == first or n + lengths[end] <= batch_chars):
+                        n += lengths[end]
+                        end += 1
+                    ids, back = units.encode(column.slice(first, end - first))
+                    part = column.slice(first, end - first).to_pylist()
+                    cols = [batch.column("doc_id").slice(first, end - first), pa.array([len(x) for x in ids], pa.int64()),
+                            pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]),
+                            pa.array([a == b for a, b in zip(back, part)], pa.bool_())]
+                    names = ["doc_id", "n_tokens", "ids_sha256", "round_trip"]
+                    if sp:
+                        same = [a.tolist() == b for i in range(0, len(part), 8 * AT_ONCE)
+                                for a, b in zip(ids[i:i + 8 * AT_ONCE], sp.encode(part[i:i + 8 * AT_ONCE], num_threads=threads))]
+                        cols.append(pa.array(same, pa.bool_()))
+                        names.append("parity")
+                    if ids_out:
+                        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                        cols += [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32())), pa.array(back, pa.string())]
+                        names += ["ids", "decoded"]
+                    yield pa.RecordBatch.from_arrays(cols, names)
+                    first = end
+        finally:  # the worker outlives the task, beside those of other stages
+            units.clear()
+            pa.default_memory_pool().release_unused()
     return run
 
 

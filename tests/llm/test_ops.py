@@ -891,6 +891,35 @@ def test_units_equal_whole_texts():
         assert back == text
 
 
+def test_units_hold_little_while_encoding_and_nothing_after_a_task():
+    """Encodings of few texts exist at a time, and a worker that has ended its task keeps no units beside later stages."""
+    import pyarrow as pa
+    data = sentencepieces.load(MODEL)
+    units, _ = sentencepieces._tools(data, True)
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(150)] + [f"  odd {i}" for i in range(150)] + [""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    seen, real = [], units.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, few, **settings):
+            seen.append(len(few))
+            return real.encode_batch_fast(few, **settings)
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+    units.tokenizer = Counted()
+    try:
+        out = list(sentencepieces._encode(data, 1, True, True, batch_chars=100_000)(iter([batch, batch])))
+    finally:
+        units.tokenizer = real
+    assert seen and max(seen) <= 16
+    assert not units.place and not len(units.ids) and not units.changed
+    whole = [e.ids for e in real.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x for b in out for x in b.column("ids").to_pylist()] == whole * 2
+    assert all(x for b in out for x in b.column("parity").to_pylist())
+
+
 def test_mix_applied_to_equal_rows_writes_what_the_mix_takes(docs_of):
     """Rows equal in id, source and text: as many rows are written as copies are taken; rows that differ elsewhere keep their columns."""
     r = [(1, "one two three", "en", "a")] * 2 + [(2, "x y", "en", "b")] * 5 + [(None, "p q r", "de", "c")] * 3 + [(3, "solo", "fr", "a"), (3, "solo", "en", None)]
