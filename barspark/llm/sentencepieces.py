@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -88,8 +90,8 @@ def read_model(data: bytes) -> dict:
     return m
 
 
-def build(model: dict):
-    """The tokenizers pipeline of a model."""
+def build(model: dict, distinct: bool = False):
+    """The tokenizers pipeline of a model; ``distinct``: for distinct plain words between single spaces, so it keeps none for later."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     pieces = model["pieces"]
@@ -109,10 +111,14 @@ def build(model: dict):
                     merges.append((-s, ids[p], i, p[:i], p[i:]))
         merges.sort()
         core = models.BPE(ids, [(x[3], x[4]) for x in merges], unk_token=pieces[unk][0], fuse_unk=True,
-                          byte_fallback=model["byte_fallback"], cache_capacity=10_000)
+                          byte_fallback=model["byte_fallback"], cache_capacity=0 if distinct else 10_000)
     else:
         raise ValueError("only unigram and pair models are supported")
     t = Tokenizer(core)
+    if distinct and not model["charsmap"] and model["prefix"] and model["escape"]:
+        # such words are left as they are but for the markers; extra white space, they have none
+        t.pre_tokenizer = pre_tokenizers.Metaspace(MARK, "always", split=True)
+        return t
     steps = []
     if model["charsmap"]:
         steps.append(normalizers.Precompiled(model["charsmap"]))
@@ -145,18 +151,24 @@ class Units:
 
     No piece reaches across units, so a text's ids are those of its units one
     after the other and decoding goes unit by unit.  Distinct new units are joined
-    to texts and encoded together; where a unit's ids begin is seen by their
-    markers.  Ids are kept in one growing array (up to ``most`` units, then afresh, and cleared when a task ends).
-    The library's encodings take far more memory than the ids: those of ``AT_ONCE`` joined texts exist at a time.
+    to texts and encoded together (by ``distinct``, a tokenizer that stores no words, if given); where a unit's ids
+    begin is seen by their markers.  Ids are kept in one growing array (up to ``most`` units, then afresh, and cleared
+    when a task ends).  The library's encodings take far more memory than the ids: those of ``AT_ONCE`` joined texts
+    exist at a time.  Ids whose pieces spell their text are not decoded by the library, all others are.
     Texts that are not plain words between single spaces, and models whose
     pieces may hold a marker inside, are encoded whole.
     """
 
-    def __init__(self, tokenizer, most: int = 300_000, joined: int = 2_000):
-        self.tokenizer, self.most, self.joined = tokenizer, most, joined
+    def __init__(self, tokenizer, most: int = 300_000, joined: int = 2_000, distinct=None):
+        self.tokenizer, self.most, self.joined, self.distinct = tokenizer, most, joined, distinct
         vocab = tokenizer.get_vocab(with_added_tokens=False)
         self.begins = np.zeros(max(vocab.values()) + 1, bool)
         self.begins[[i for p, i in vocab.items() if p.startswith(MARK)]] = True
+        spelled = [b""] * len(self.begins)
+        for p, i in vocab.items():
+            byte = re.fullmatch("<0x([0-9A-Fa-f]{2})>", p)
+            spelled[i] = bytes([int(byte[1], 16)]) if byte else p.replace(MARK, " ").encode()
+        self.spelled = pa.array(spelled, pa.binary())
         self.clear()
 
     def clear(self) -> None:
@@ -164,17 +176,29 @@ class Units:
         self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
         self.changed: dict[int, str] = {}  # units that decoding does not give again, by number
 
-    def whole(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+    def _decode(self, ids: np.ndarray, text: str) -> str:
+        """What the ids decode to: ``text``, if a space (which decoding takes off) and the text is what the pieces spell one
+        after the other.  As pieces of characters are whole, bytes between them in a text of characters are, too."""
+        if len(ids):
+            _, offsets, data = self.spelled.take(pa.array(ids)).buffers()
+            first, end = np.frombuffer(offsets, np.int32, len(ids) + 1)[[0, -1]].tolist()
+            # a model that puts no space before a text spells none there, and is decoded by the library
+            if data.slice(first, end - first).equals(pa.py_buffer(b" " + text.encode())):
+                return text
+        return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+
+    def whole(self, texts: list[str], tokenizer=None) -> tuple[list[np.ndarray], list[str]]:
         out, back = [], []
         for i in range(0, len(texts), AT_ONCE):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + AT_ONCE], add_special_tokens=False)]
-            out += [np.array(x, np.int32) for x in ids]
-            back += self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+            few = texts[i:i + AT_ONCE]
+            ids = [np.array(e.ids, np.int32) for e in (tokenizer or self.tokenizer).encode_batch_fast(few, add_special_tokens=False)]
+            out += ids
+            back += map(self._decode, ids, few)
         return out, back
 
     def _learn(self, new: list[str]) -> None:
         parts = [new[i:i + self.joined] for i in range(0, len(new), self.joined)]
-        few = (self.whole([" ".join(p) for p in parts[i:i + AT_ONCE]]) for i in range(0, len(parts), AT_ONCE))
+        few = (self.whole([" ".join(p) for p in parts[i:i + AT_ONCE]], self.distinct) for i in range(0, len(parts), AT_ONCE))
         found = [self.ids]
         ends = [self.ends]
         base, n = int(self.ends[-1]), len(self.place)
@@ -209,10 +233,12 @@ class Units:
         distinct = words.dictionary.to_pylist()
         if len(self.place) > self.most:
             self.clear()
-        new = [w for w in distinct if w not in self.place]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        number = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = np.arange(len(self.place), len(self.place) + len(new))
+            self._learn([distinct[i] for i in new.tolist()])
+        at = number[words.indices.to_numpy()]
         size = self.ends[at + 1] - self.ends[at]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.ends[at] - upto[:-1], size) + np.arange(upto[-1])]
@@ -238,7 +264,9 @@ def _tools(data: bytes, verify: bool):
     if verify:
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_proto=data)
-    return Units(build(read_model(data))), sp
+    model = read_model(data)
+    tokenizer = build(model)
+    return Units(tokenizer, distinct=build(model, distinct=True) if tokenizer.pre_tokenizer else None), sp
 
 
 def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars: int = 1_000_000):
@@ -262,8 +290,8 @@ def _encode(data: bytes, threads: int, verify: bool, ids_out: bool, batch_chars:
                             pa.array([a == b for a, b in zip(back, part)], pa.bool_())]
                     names = ["doc_id", "n_tokens", "ids_sha256", "round_trip"]
                     if sp:
-                        same = [a.tolist() == b for i in range(0, len(part), 8 * AT_ONCE)
-                                for a, b in zip(ids[i:i + 8 * AT_ONCE], sp.encode(part[i:i + 8 * AT_ONCE], num_threads=threads))]
+                        same = [np.array_equal(a, b) for i in range(0, len(part), 8 * AT_ONCE) for a, b in
+                                zip(ids[i:i + 8 * AT_ONCE], sp.encode(part[i:i + 8 * AT_ONCE], out_type="numpy", num_threads=threads))]
                         cols.append(pa.array(same, pa.bool_()))
                         names.append("parity")
                     if ids_out:
